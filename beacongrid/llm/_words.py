@@ -21,6 +21,10 @@ SPACED[[0x20, *range(0x09, 0x0E)]] = False
 ALNUM = np.zeros(256, bool)
 ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
+#: Bytes of words: a-z, A-Z and everything from 0x80.
+LETTERS = ALNUM.copy()
+LETTERS[[*range(0x30, 0x3A)]] = False
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
@@ -76,6 +80,18 @@ def words_of(data: bytes, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return np.concatenate(starts), np.concatenate(ends), np.concatenate(hashes)
 
 
+def span_hashes(buf: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of any spans of a buffer, sorted by start, worked in blocks; equal bytes hash alike wherever they stand."""
+    whole, out, i = np.frombuffer(buf, np.uint8), [], 0
+    while i < len(start):
+        at = int(start[i])
+        j = max(i + 1, int(np.searchsorted(start, at + _BLOCK)))
+        to = int(end[i:j].max())
+        out.append(_span_hash(whole[at:to], start[i:j] - at, end[i:j] - at))
+        i = j
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 class Words:
     """Words of a list of texts: buf the joined bytes, start, end and hash by word, ptr by text: words of text i are ptr[i]:ptr[i+1]."""
 
@@ -90,6 +106,10 @@ class Words:
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.ptr) - 1), np.diff(self.ptr))
 
+    def prefix(self, n: int) -> np.ndarray:
+        """Hash of each word's first n bytes (all of a shorter word)."""
+        return span_hashes(self.buf, self.start, np.minimum(self.start + n, self.end))
+
     def text(self, i: int) -> bytes:
         return self.buf[self.start[i] : self.end[i]]
 

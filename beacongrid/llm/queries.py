@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from . import near_dedup
+from . import bpe, class_lm, decontaminate, near_dedup, quality, sharding, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_near_dedup": near_dedup.op5_near_dedup,
+    "op7_extendible_shards": sharding.op7_extendible_shards,
+    "op8_class_lm": class_lm.op8_class_lm,
+    "op9_bpe": bpe.op9_bpe,
+    "op10_quality": quality.op10_quality,
 }
 
 SQL = {
+    "op4_decontaminate": decontaminate.SQL,
     "op5_near_dedup": near_dedup.SQL,
+    "op7_extendible_shards": sharding.SQL,
 }
