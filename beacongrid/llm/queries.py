@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, class_lm, decontaminate, near_dedup, quality, sharding, toxicity
+from . import bpe, class_lm, decontaminate, html_extract, language_id, near_dedup, quality, sanitise, sharding, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
+    "op1_main_text": html_extract.op1_main_text,
+    "op3_language_id": language_id.op3_language_id,
+    "op6_sanitise": sanitise.op6_sanitise,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_near_dedup": near_dedup.op5_near_dedup,
     "op7_extendible_shards": sharding.op7_extendible_shards,
