@@ -12,9 +12,11 @@ from __future__ import annotations
 import heapq
 import json
 import mmap
+import struct
 import unicodedata
 import uuid
-from collections.abc import Iterable, Iterator
+from bisect import bisect_left
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from ._common import as_bytes, shared_dir, slices, table
 from ._words import LETTERS, Words
 
-LEXICON, CACHE = 1 << 16, 300_000
+LEXICON, CACHE = 1 << 16, 700_000
 
 
 def byte_chars() -> list[str]:
@@ -63,21 +65,26 @@ class Merger:
 
     def tokens(self, piece: str) -> list[str]:
         """Tokens of one piece."""
-        s = [self.chars[b] for b in piece.encode()]
+        s = list(piece) if piece.isascii() and piece.isprintable() and " " not in piece else [self.chars[b] for b in piece.encode()]
         if not s:
             return []
         s[-1] += self.end
         return self._long(s) if len(s) > 64 else self._short(s)
 
     def _short(self, s: list[str]) -> list[str]:
-        rank, none = self.rank, len(self.rank)
-        while len(s) > 1:
-            ranks = [rank.get(p, none) for p in zip(s, s[1:], strict=False)]
+        get, none = self.rank.get, len(self.rank)
+        ranks = [get(p, none) for p in zip(s, s[1:], strict=False)]
+        while ranks:
             best = min(ranks)
             if best == none:
                 break
             i = ranks.index(best)
-            s[i : i + 2] = [s[i] + s[i + 1]]
+            s[i] += s.pop(i + 1)
+            ranks.pop(i)
+            if i < len(ranks):
+                ranks[i] = get((s[i], s[i + 1]), none)
+            if i:
+                ranks[i - 1] = get((s[i - 1], s[i]), none)
         return s
 
     def _long(self, s: list[str]) -> list[str]:
@@ -189,24 +196,25 @@ class Lexicon:
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
-            data = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-        sizes, at, arrays = np.frombuffer(data, "<i4", 7), 28, []
-        for n in sizes.tolist():
-            arrays.append(np.frombuffer(data, "<i4", n, at))
+            data = memoryview(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
+        sizes, at, arrays = data[:28].cast("i"), 28, []
+        for n in sizes:
+            arrays.append(data[at : at + 4 * n].cast("i"))
             at += 4 * n
         self.first, self.final, self.label, self.target, self.skip, self.offset, self.id = arrays
 
-    def find(self, word: bytes) -> np.ndarray | None:
+    def find(self, word: bytes) -> list[int] | None:
         """Ids of a word; None if it isn't in the automaton."""
+        first, label, target, skip = self.first, self.label, self.target, self.skip
         state = number = 0
         for c in word:
-            a, b = int(self.first[state]), int(self.first[state + 1])
-            e = a + int(np.searchsorted(self.label[a:b], c)) if b - a > 8 else next((k for k in range(a, b) if self.label[k] == c), b)
-            if e >= b or self.label[e] != c:
+            b = first[state + 1]
+            e = bisect_left(label, c, first[state], b)
+            if e >= b or label[e] != c:
                 return None
-            number += int(self.skip[e])
-            state = int(self.target[e])
-        return self.id[self.offset[number] : self.offset[number + 1]] if self.final[state] else None
+            number += skip[e]
+            state = target[e]
+        return self.id[self.offset[number] : self.offset[number + 1]].tolist() if self.final[state] else None
 
 
 class Pieces(dict):
@@ -218,8 +226,8 @@ class Pieces(dict):
 
     def __missing__(self, piece: str) -> tuple[bytes, bytes]:
         ids = self.lexicon.find(piece.encode()) if self.lexicon else None
-        ids = self.merger.ids(piece) if ids is None else ids.tolist()
-        out = (np.array(ids, "<u4").tobytes(), " ".join(self.merger.names[i] for i in ids).encode())
+        ids = self.merger.ids(piece) if ids is None else ids
+        out = (struct.pack(f"<{len(ids)}I", *ids), " ".join(self.merger.names[i] for i in ids).encode())
         if len(self) >= CACHE:
             self.clear()
         if len(piece) < 100:
