@@ -9,6 +9,7 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -62,6 +63,11 @@ def is_remainder(id_col: str, n: int, r: int) -> Column:
     return F.coalesce(remainder(id_col, n) == F.lit(r), F.lit(False))
 
 
+def typed(first: DataType, rest: str) -> StructType:
+    """A column `id` of the given type, then the columns of a DDL string; names inside the type may be anything."""
+    return StructType([StructField("id", first), *DataType.fromDDL(rest).fields])
+
+
 def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 21):
     """Pieces of a batch of at most `most` bytes of text each (one row at least), so that array work stays small."""
     import numpy as np
@@ -80,6 +86,16 @@ def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 21):
         at = to
 
 
+def row_of(docs: DataFrame, but: tuple[str, ...] = ()) -> Column:
+    """All columns as one, for operators that only hand a row through."""
+    return F.struct(F.lit(0).cast("tinyint").alias("_"), *(docs[f"`{c}`"] for c in docs.columns if c not in but))
+
+
+def row_columns(docs: DataFrame, row: str, but: tuple[str, ...] = ()) -> list[Column]:
+    """The columns that row_of packed."""
+    return [F.col(f"{row}.`{c}`").alias(c) for c in docs.columns if c not in but]
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text; null is empty."""
     return [x or b"" for x in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]

@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, slices, table, written
+from ._common import as_bytes, slices, table, typed, written
 from ._words import ALNUM, Words
 
 WINDOW = 13
 PART_BYTES = 1 << 20
-STATE = "id {id}, text string, n_words long, hit array<int>, items array<string>"
+STATE = "text string, n_words long, hit array<int>, items array<string>"
 
 
 class Automaton:
@@ -130,24 +130,24 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     items: ids (as text, sorted, distinct) of items one of whose windows occurs; spans: the hit stretches in code points,
     end exclusive. Null and empty texts have no words and no hits. Items without words have no windows; an item with a
-    null id counts under the empty text; repeated items and ids count once. Repeated rows of docs each give a row.
+    null id counts under the empty text; repeated items and ids count once. Repeated rows of docs each give a row. id_col may be of any type, a struct too.
     No rows, no result rows; no items, no hits. Further columns, whatever their names, are not read.
     """
     spark = docs.sparkSession
     given = items.select(F.coalesce(F.col(item_id_col).cast("string"), F.lit("")).alias("id"), F.col(item_text_col).cast("string").alias("text")).where("text is not null").distinct()
     total = given.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-total // PART_BYTES))
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
+    kind = docs.select(id_col).schema[0].dataType
     state = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<int>").alias("hit"), F.array().cast("array<string>").alias("items")
     )
     for k in range(parts):
         some = given if parts == 1 else given.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == k)
         rows = tuple(sorted((r["id"], r["text"]) for r in some.toLocalIterator()))
-        state = state.mapInArrow(_scan(spark.sparkContext.broadcast(rows), window), STATE.format(id=kind))
+        state = state.mapInArrow(_scan(spark.sparkContext.broadcast(rows), window), typed(kind, STATE))
         if k % 4 == 3 and k < parts - 1:
             state = written(state)
-    out = state.mapInArrow(_report, f"id {kind}, n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int>>")
+    out = state.mapInArrow(_report, typed(kind, "n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int>>"))
     return out.withColumnRenamed("id", id_col)
 
 

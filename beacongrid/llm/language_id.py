@@ -16,10 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, is_remainder, slices, table
+from ._common import as_bytes, is_remainder, slices, table, typed
 
 DIM, TRAIN_ROWS, ROUNDS, COST = 1 << 12, 4_000, 12, 1.0
 UNKNOWN = "und"
@@ -199,17 +199,18 @@ def _predict(shared):
     return run
 
 
-def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held: int = 2) -> DataFrame:
+def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held: int = 2, row: Column | None = None) -> DataFrame:
     """(id_col, held_out, lang_pred, score), one row per row of docs; held_out: crc32(id as text) mod `folds` is `held`, and such rows teach nothing.
 
     `und` with score 0 for null texts, texts without a letter, and if there is nothing to learn from. Null lang teaches nothing. Null id: not
-    held out. Repeated rows each have their row. No rows, no result rows. Further columns, whatever their names, are not read.
+    held out. Repeated rows each have their row. No rows, no result rows. Further columns, whatever their names, are not read. row, if given,
+    is handed through in place of the id.
     """
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
-    base = docs.select(F.col(id_col).alias("id"), is_remainder(id_col, folds, held).alias("held_out"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    row = F.col(id_col) if row is None else row
+    base = docs.select(row.alias("id"), is_remainder(id_col, folds, held).alias("held_out"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     model = fit(base.where("not held_out").select("text", "lang"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = base.select("id", "held_out", "text").mapInArrow(_predict(shared), f"id {kind}, held_out boolean, lang_pred string, score double")
+    out = base.select("id", "held_out", "text").mapInArrow(_predict(shared), typed(base.schema["id"].dataType, "held_out boolean, lang_pred string, score double"))
     return out.withColumnRenamed("id", id_col)
 
 
