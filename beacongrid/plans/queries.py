@@ -838,3 +838,95 @@ def signature(spark, d):
 def pending_reports(spark, d):
     o = read(spark, d, "orders").where("o_orderdate between TIMESTAMP_NTZ '1998-01-01 00:00:00' and TIMESTAMP_NTZ '1999-01-01 00:00:00'")
     return o.join(read(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti").select("o_orderkey")
+
+
+# ---- edges: feeds, models, fuzzy names, composites ----
+
+from ..functions import fuzzy  # noqa: E402
+from ..sources import feeds  # noqa: E402
+
+
+@query(f"WITH {I} SELECT concat('f', CAST(id AS VARCHAR)) AS feed, title, concat('https://example.com/', CAST(id AS VARCHAR)) AS link, CASE WHEN id % 2 = 0 THEN '2024-01-05' ELSE '2024-01-06' END AS published FROM incidents WHERE title NOT LIKE '%&%'")
+def parse_feed(spark, d):
+    rss = "CASE WHEN id % 2 = 0 THEN concat('<rss><channel><item><title>', title, '</title><link>https://example.com/', CAST(id AS STRING), '</link><pubDate>Fri, 05 Jan 2024 10:00:00 GMT</pubDate></item></channel></rss>') ELSE concat('<feed><entry><title>', title, '</title><link href=\"https://example.com/', CAST(id AS STRING), '\"/><updated>2024-01-06T00:00:00Z</updated></entry></feed>') END"
+    e = incidents(spark, d).select(F.expr("concat('f', CAST(id AS STRING))").alias("feed"), F.expr(rss).alias("xml"))
+    return feeds.parse(e, "feed", "xml").select("feed", "title", "link", "published")
+
+
+_BROKEN = "concat(CASE event_id % 3 WHEN 0 THEN '```json ' WHEN 1 THEN 'Answer: ' ELSE '' END, CASE WHEN event_id % 4 = 0 THEN concat('{\"k\":', CAST(event_id AS STRING), ',}') WHEN event_id % 4 = 1 THEN '{\"k\": ' ELSE concat('{\"k\":', CAST(event_id AS STRING), '} and so on') END)"
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 <> 1 THEN concat('{\"k\":', CAST(event_id AS VARCHAR), '}') END AS json FROM events")
+def json_repair(spark, d):
+    return read(spark, d, "events").select("event_id", fuzzy.repaired_json(F.expr(_BROKEN)).alias("json"))
+
+
+@query(None)
+def seqmatch(spark, d):
+    e = incidents(spark, d).select("id", text.norm_title("title").alias("a"))
+    return e.join(e.select((F.col("id") - 1).alias("id"), F.col("a").alias("b")), "id").select("id", r6(fuzzy.matcher_ratio("a", "b"), "ratio"))
+
+
+@query("WITH q AS (SELECT c_custkey, c_custkey % 4 AS k, c_nationkey AS n FROM customer) SELECT c_custkey, concat('X', CAST(n AS VARCHAR)) AS code, CASE k WHEN 0 THEN 'code' WHEN 1 THEN 'alias' ELSE 'alias' END AS how FROM q WHERE k < 3")
+def anchor_resolve(spark, d):
+    a = read(spark, d, "nation").select(F.expr("concat('X', CAST(n_nationkey AS STRING))").alias("code"), F.expr("concat('Port of ', n_name)").alias("canonical_name"), F.expr("array(concat(n_name, ' Intl'))").alias("aliases"))
+    asked = F.expr("CASE c_custkey % 4 WHEN 0 THEN concat('x', CAST(c_nationkey AS STRING)) WHEN 1 THEN concat('nation_', CAST(c_nationkey AS STRING), ' INTL') WHEN 2 THEN concat('PORT OF nation_', CAST(c_nationkey AS STRING)) ELSE 'qqq' END")
+    return fuzzy.resolve(read(spark, d, "customer").select("c_custkey", asked.alias("name")), "c_custkey", "name", a).select("c_custkey", "code", "how")
+
+
+@query(f"WITH {I} SELECT id, occurred_at > TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY AND occurred_at < TIMESTAMP '{AS_OF}' + INTERVAL 1 DAY AS sane FROM incidents WHERE occurred_at IS NOT NULL")
+def time_bounds(spark, d):
+    at = F.col("occurred_at")
+    return incidents(spark, d).where(at.isNotNull()).select("id", ((at > now() - F.expr("INTERVAL 30 DAYS")) & (at < now() + F.expr("INTERVAL 1 DAY"))).alias("sane"))
+
+
+@query(f"WITH {I} SELECT country, avg(severity) AS ti FROM incidents GROUP BY country ORDER BY ti DESC, country LIMIT 8")
+def g1_fallback(spark, d):
+    return incidents(spark, d).groupBy("country").agg(F.avg("severity").alias("ti")).orderBy(F.desc("ti"), "country").limit(8)
+
+
+@query(f"""WITH {I}, g AS (SELECT storyline, count(*) AS n, max(t) AS last, sha256(concat(string_agg(CAST(id AS VARCHAR), ',' ORDER BY id), '#', CAST(max(t) AS VARCHAR))) AS sig FROM incidents WHERE t IS NOT NULL AND severity >= 62 GROUP BY storyline HAVING count(*) >= 2)
+SELECT storyline, n, CAST(substr(storyline, 3) AS INT) % 2 = 0 AS stale FROM g ORDER BY stale DESC, last DESC, n DESC, storyline LIMIT 10""")
+def narrative_queue(spark, d):
+    e = incidents(spark, d).where("t is not null and severity >= 62")
+    g = e.groupBy("storyline").agg(F.count("*").alias("n"), F.max("t").alias("last"), F.sha2(F.concat(F.array_join(F.array_sort(F.collect_list("id")), ","), F.lit("#"), F.max("t").cast("string")), 256).alias("sig")).where("n >= 2")
+    cache = g.where("CAST(substr(storyline, 3) AS INT) % 2 = 1").select("storyline", F.col("sig").alias("held"))
+    q = g.join(cache, "storyline", "left").withColumn("stale", ~F.coalesce(F.col("held") == F.col("sig"), F.lit(False)))
+    return q.orderBy(F.desc("stale"), F.desc("last"), F.desc("n"), "storyline").limit(10).select("storyline", "n", "stale")
+
+
+@query("SELECT page_id FROM pages WHERE regexp_replace(regexp_replace(url, '[#?].*$', ''), '/+$', '') IN (SELECT regexp_replace(regexp_replace(url, '[#?].*$', ''), '/+$', '') FROM pages WHERE page_id % 3 = 0)")
+def url_allowlist(spark, d):
+    p = read(spark, d, "pages").withColumn("u", F.regexp_replace(F.regexp_replace("url", "[#?].*$", ""), "/+$", ""))
+    return p.join(p.where("page_id % 3 = 0").select("u").distinct(), "u", "left_semi").select("page_id")
+
+
+@query(f"WITH {I} SELECT id, CASE WHEN severity < 30 OR (event_type = 'protest' AND severity < 40) THEN 'archived' ELSE 'classified' END AS status FROM (SELECT id, event_type, CASE WHEN {_FLIGHT} THEN greatest(severity, 40) ELSE severity END AS severity FROM incidents)")
+def relevance_tiering(spark, d):
+    e = incidents(spark, d)
+    s = F.when(text.flight_disruption("title"), F.greatest("severity", F.lit(40))).otherwise(F.col("severity"))
+    return e.select("id", F.when((s < 30) | ((F.col("event_type") == "protest") & (s < 40)), "archived").otherwise("classified").alias("status"))
+
+
+@query(f"""WITH {I}, n AS (SELECT *, row_number() OVER (PARTITION BY storyline ORDER BY t DESC, id DESC) AS k FROM incidents WHERE t IS NOT NULL), w AS (SELECT *, list_distinct(list_filter(string_split(hint, ' '), lambda x: x NOT IN ('the','a','an','at','in','on','of','to','and','or','near','update'))) AS u FROM n WHERE k = 1),
+p AS (SELECT a.id AS a_id, b.id AS b_id, len(list_intersect(a.u, b.u)) / CAST(len(list_distinct(list_concat(a.u, b.u))) AS DOUBLE) AS kin FROM w a JOIN w b ON a.country = b.country AND a.id <> b.id AND abs(a.t - b.t) <= {48 * H}),
+r AS (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY kin DESC, b_id) AS j FROM p WHERE kin >= 0.1) SELECT a_id, b_id, round(kin, 6) AS kin FROM r WHERE j <= 6""")
+def adjudication_candidates(spark, d):
+    e = linking.with_tokens(_newest(spark, d), "hint").select("id", "country", "t", "unigrams")
+    keyed = e.withColumn("w", F.explode("unigrams"))
+    other = keyed.select(F.col("id").alias("b_id"), F.col("country").alias("c"), F.col("t").alias("u"), F.col("unigrams").alias("v"), F.col("w").alias("x"))
+    near = keyed.join(other, (F.col("country") == F.col("c")) & (F.col("w") == F.col("x"))).where((F.col("id") != F.col("b_id")) & (F.abs(F.col("t") - F.col("u")) <= 48 * H)).dropDuplicates(["id", "b_id"])
+    kin = near.select(F.col("id").alias("a_id"), "b_id", text.jaccard("unigrams", "v").alias("kin")).where("kin >= 0.1")
+    w = Window.partitionBy("a_id").orderBy(F.desc("kin"), "b_id")
+    return kin.withColumn("j", F.row_number().over(w)).where("j <= 6").select("a_id", "b_id", r6("kin", "kin"))
+
+
+@query(f"""WITH {I}, {_BOXES}, z AS (SELECT id, box_id, severity, row_number() OVER (PARTITION BY id ORDER BY CAST(country_iso <> box_country AS INT), (north - south) * (east - west), box_id) AS k FROM incidents JOIN boxes ON latitude BETWEEN south AND north AND longitude BETWEEN west AND east WHERE event_type = 'airspace_restriction' OR {_FLIGHT}),
+c AS (SELECT box_id, id, severity, row_number() OVER (PARTITION BY box_id ORDER BY severity DESC, id) AS j FROM z WHERE k = 1) SELECT box_id, id, severity FROM c WHERE j = 1 ORDER BY severity DESC, id LIMIT 5""")
+def airspace_cards(spark, d):
+    e = incidents(spark, d)
+    e = e.where((F.col("event_type") == "airspace_restriction") | text.flight_disruption("title"))
+    boxes = read(spark, d, "nation").select(F.col("n_nationkey").alias("box_id"), F.expr("concat('N', CAST(n_nationkey AS STRING))").alias("box_country"), *(F.expr(f"CAST({x} AS DOUBLE)").alias(k) for k, x in {"south": "n_nationkey * 6 - 80", "north": "n_nationkey * 6 - 65", "west": "n_nationkey * 12 - 170", "east": "n_nationkey * 12 - 90"}.items()))
+    at = linking.box_of(e.select("id", F.col("country_iso").alias("country"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon")), boxes)
+    first = scoring.latest_per(at.join(e.select("id", "severity"), "id"), "box_id", F.desc("severity"), F.asc("id"))
+    return first.orderBy(F.desc("severity"), "id").limit(5).select("box_id", "id", "severity")
