@@ -8,9 +8,10 @@
 3.  Band buckets: the member whose buckets are the fullest (the most central one) leads its bucket; each member is
     compared with the leader alone, by signature, then on full sets. So a group of n copies makes n pairs, not n * n.
 4.  Links found so far give components. A bucket that still holds several components has its minority members compared
-    with all members of other components, as signature matrices over blocks of at most 2 * `block` members. What may be
-    linked is verified on full sets. So no link between two components is lost, whatever the size of a bucket.
-5.  Verified links give the final components.
+    with all members of other components, in blocks of about 2 * `block` members: first as signatures, which names the rows
+    that may be linked, then those rows' full sets as products of incidence matrices. A block returns a forest over its
+    components, so a group of n copies never makes n * n rows, and no link between two components is lost, whatever the size of a bucket.
+5.  Links and forests give the final components.
 
 A pair at the threshold shares no band with probability (1 - 0.85 ** 4) ** 24 = 2e-8, and falls below `least` (by
 signature) with probability under 1e-5. Sets are compared as sets of 64-bit shingle hashes.
@@ -30,7 +31,7 @@ from ._common import as_bytes, slices, table, written
 from ._words import Words, mix, windows
 from .components import components
 
-LANES, BANDS, ROWS = 256, 24, 4
+LANES, BANDS, ROWS, SLOTS = 256, 24, 4, 1 << 26
 _FREE = np.uint64((1 << 64) - 1)
 _STEP = 0x9E3779B97F4A7C15
 
@@ -129,9 +130,13 @@ def _sign(n: int):
     return run
 
 
-def _set_rows(n: int):
+def _set_rows(n: int, named):
+    """Sets of the rows whose slot is set in the bitmap `named`."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
+        for every in batches:
+            slot = every.column("slot").to_numpy()
+            whole = every.filter(pa.array((named.value[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1)).astype(bool)))
             for b in slices(whole, "text"):
                 x, ptr = shingle_sets(as_bytes(b.column("text")), n)
                 rows = [x[i:j].tobytes() for i, j in zip(ptr[:-1], ptr[1:], strict=True)]
@@ -140,6 +145,21 @@ def _set_rows(n: int):
     return run
 
 
+def _sets_of(base: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """Sets of the documents in `ids`, and of few others. Texts aren't shuffled: a bitmap of 8 MB, whatever the number of ids, is built by an
+    aggregate and sent to where they are read. The join that follows drops the others."""
+    word, bit = F.shiftright("slot", 6), F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    got = ids.select(_slot("id").alias("slot")).groupBy(word.alias("w")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    named = np.zeros(SLOTS // 64, np.uint64)
+    named[got["w"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
+    shared = base.sparkSession.sparkContext.broadcast(named)
+    return base.where("id is not null").withColumn("slot", _slot("id")).mapInArrow(_set_rows(shingle, shared), "id long, shingles binary")
+
+
+def _slot(col: str) -> F.Column:
+    return F.pmod(F.xxhash64(col), F.lit(SLOTS))
+
+
 def _like(least: float):
     """Pairs whose signatures agree in a share of `least` lanes."""
 
@@ -168,23 +188,72 @@ def _linked(percent: int):
     return run
 
 
-def _across(least: float, percent: int):
-    """Pairs of a block's minority members with members of other components, by signature and set size."""
+def _involved(least: float, percent: int):
+    """Rows of a block that may be linked across components: minority members against the others, by set size and signature."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[pdf["odd"]], pdf[~pdf["odd"]]
+        if not len(left) or not len(right):
+            return pdf[:0].drop(columns=["size", "sig"])
+        s, t = (np.frombuffer(b"".join(x["sig"]), np.uint16).reshape(len(x), -1) for x in (left, right))
+        m, n = left["size"].to_numpy()[:, None], right["size"].to_numpy()[None, :]
+        may = (left["label"].to_numpy()[:, None] != right["label"].to_numpy()[None, :]) & (100 * np.minimum(m, n) >= percent * np.maximum(m, n))
+        a, b = np.nonzero(may)
+        on = [np.zeros(len(left), bool), np.zeros(len(right), bool)]
+        for i in range(0, len(a), 1 << 15):
+            p, q = a[i : i + (1 << 15)], b[i : i + (1 << 15)]
+            good = (s[p] == t[q]).mean(1) >= least
+            on[0][p[good]] = True
+            on[1][q[good]] = True
+        return pd.concat([left[on[0]], right[on[1]]]).drop(columns=["size", "sig"])
+
+    return run
+
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, as a product of incidence matrices over the elements both sides have, in pieces."""
+    x, y = np.concatenate(left), np.concatenate(right)
+    both = np.intersect1d(x, y)
+    out = np.zeros((len(left), len(right)), np.float32)
+    row, col = np.repeat(np.arange(len(left)), [len(v) for v in left]), np.repeat(np.arange(len(right)), [len(v) for v in right])
+    for i in range(0, len(both), 1 << 14):
+        part = both[i : i + (1 << 14)]
+        sides = []
+        for values, owner, n in ((x, row, len(left)), (y, col, len(right))):
+            at = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[at] == values
+            dense = np.zeros((n, len(part)), np.float32)
+            dense[owner[hit], at[hit]] = 1
+            sides.append(dense)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _joined(percent: int):
+    """A forest of exact links between the components of a block's rows: at most one row less than it has components."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = pdf[pdf["odd"]], pdf[~pdf["odd"]]
-        found = []
+        found: list[tuple[int, int]] = []
         if len(left) and len(right):
-            s, t = (np.frombuffer(b"".join(x["sig"]), np.uint16).reshape(len(x), -1) for x in (left, right))
-            m, n = left["size"].to_numpy()[:, None], right["size"].to_numpy()[None, :]
-            may = (left["label"].to_numpy()[:, None] != right["label"].to_numpy()[None, :]) & (100 * np.minimum(m, n) >= percent * np.maximum(m, n))
-            a, b = np.nonzero(may)
-            for i in range(0, len(a), 1 << 16):
-                p, q = a[i : i + (1 << 16)], b[i : i + (1 << 16)]
-                good = (s[p] == t[q]).mean(1) >= least
-                found.append(np.stack([left["id"].to_numpy()[p[good]], right["id"].to_numpy()[q[good]]], 1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs.min(1, initial=1 << 62), "b": pairs.max(1, initial=-(1 << 62))}).drop_duplicates()
+            p, q = ([np.frombuffer(v, np.uint64) for v in x["shingles"]] for x in (left, right))
+            m, n = np.array([len(v) for v in p])[:, None], np.array([len(v) for v in q])[None, :]
+            both = intersections(p, q)
+            la, lb = left["label"].to_numpy(), right["label"].to_numpy()
+            good = (both > 0) & (100 * both >= percent * (m + n - both)) & (la[:, None] != lb[None, :])
+            parent: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while (up := parent.setdefault(x, x)) != x:
+                    parent[x] = x = parent[up]
+                return x
+
+            for i, j in zip(*np.nonzero(good), strict=True):
+                a, b = find(int(la[i])), find(int(lb[j]))
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    found.append((int(la[i]), int(lb[j])))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     return run
 
@@ -234,8 +303,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cols = ["id", "label", "size", "sig"]
     right = rows.select("k", *cols, F.lit(False).alias("odd"), spot("nr").alias("i"), every("nl").alias("j"))
     left = rows.where("label != main").select("k", *cols, F.lit(True).alias("odd"), every("nr").alias("i"), spot("nl").alias("j"))
-    more = right.unionByName(left).groupBy("k", "i", "j").applyInPandas(_across(least, percent), "a long, b long").distinct()
-    more = _verified(base, more.join(links, ["a", "b"], "left_anti"), shingle, percent)
+    blocks = right.unionByName(left).groupBy("k", "i", "j").applyInPandas(_involved(least, percent), "k long, id long, label long, odd boolean, i int, j int")
+    blocks = written(blocks)
+    sets = _sets_of(base, blocks.select("id"), shingle)
+    more = blocks.join(sets, "id").groupBy("k", "i", "j").applyInPandas(_joined(percent), "a long, b long").distinct()
     whole = written(components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(written(more)), "a", "b"))
 
     of_class = classes.join(whole.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", "size", F.coalesce("label", "rep").alias("group"))
@@ -250,8 +321,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _verified(base: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs that are linked, by the sets of the texts they name."""
     pairs = written(pairs)
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = base.join(ids, "id", "left_semi").mapInArrow(_set_rows(shingle), "id long, shingles binary")
+    sets = written(_sets_of(base, pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), shingle))
     return (
         pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
         .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
