@@ -17,8 +17,11 @@ def on_time(df: DataFrame, published: str, ingested: str, days: int = 2) -> Data
     return df.withWatermark(published, f"{days} days").where(F.col(published) >= F.col(ingested) - F.expr(f"INTERVAL {days} DAYS"))
 
 
-def suppression(df: DataFrame, key: str, id_col: str, micros: str, tier_rank: str, hours: int = 4) -> DataFrame:
-    """(id, blocked) as a stream. The claim of each key is (rank, expiry); a key without rows for long enough is forgotten by the state's timeout."""
+def suppression(df: DataFrame, key: str, id_col: str, micros: str, tier_rank: str, hours: int = 4, forget: bool = False) -> DataFrame:
+    """(id, blocked) as a stream. The claim of each key is (rank, expiry).
+
+    forget: keys silent for twice `hours` lose their state, for streams that run on; a run that ends when its input does would wait for that for ever.
+    """
 
     def run(_: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -28,11 +31,12 @@ def suppression(df: DataFrame, key: str, id_col: str, micros: str, tier_rank: st
         told, now = fold_suppression(list(zip(rows["i"].tolist(), rows["t"].tolist(), rows["r"].tolist(), strict=True)), tuple(state.get) if state.exists else None, hours)
         if now is not None:
             state.update(now)
-            state.setTimeoutDuration(2 * hours * 3_600_000)
+            if forget:
+                state.setTimeoutDuration(2 * hours * 3_600_000)
         yield pd.DataFrame(told, columns=["id", "blocked"])
 
     rows = df.where(F.col(tier_rank) > 0).select(F.col(key).alias("k"), F.col(id_col).cast("long").alias("i"), F.col(micros).cast("long").alias("t"), F.col(tier_rank).cast("int").alias("r"))
-    return rows.groupBy("k").applyInPandasWithState(run, "id long, blocked boolean", "rank int, expires long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return rows.groupBy("k").applyInPandasWithState(run, "id long, blocked boolean", "rank int, expires long", "append", GroupStateTimeout.ProcessingTimeTimeout if forget else GroupStateTimeout.NoTimeout)
 
 
 def quiet_sessions(df: DataFrame, group: str, time: str, hours: int = 12, delay: str = "1 hour") -> DataFrame:

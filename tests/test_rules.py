@@ -1,0 +1,126 @@
+"""Rules that SQL doesn't say, against plain Python; order and partitions don't matter; streams equal batches."""
+
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from beacongrid.functions import fuzzy, text
+from beacongrid.operators import alerts, ingest, linking
+from beacongrid.plans.bindings import incidents
+from beacongrid.sources import feeds, ports
+from beacongrid.streaming import state
+
+SF = "/root/testdata/sf0.001"
+H = 3_600_000_000
+
+
+def one(spark, column, **values):
+    return spark.createDataFrame([Row(**values)]).select(column.alias("x")).first()["x"]
+
+
+@pytest.mark.parametrize(
+    ("title", "kind"),
+    [
+        ("Border war latest: what we know", "desk_label"),
+        ("At least 7 killed in latest strikes", None),
+        ("Siege, day 1,628: drones over the port", "war_diary"),
+        ("Two killed on day 2 of protests", None),
+        ("Two years after the raid", "anniversary"),
+        ("Man charged over blast", "court"),
+        ("Harbor shelled | Live: Gazette", None),
+    ],
+)
+def test_aftermath(spark, title, kind):
+    assert one(spark, text.aftermath("t"), t=title) == kind
+
+
+@pytest.mark.parametrize(("title", "want"), [("Blast Hits Port - Daily Wire", "blast hits port"), ("A - b | a suffix that is certainly longer than forty-five characters", "a b a suffix that is certainly longer than fortyfive characters"), ("Çatışma: X-Y!", "çatışma xy"), ("", "")])
+def test_norm_title(spark, title, want):
+    assert one(spark, text.norm_title("t"), t=title) == want
+
+
+def test_suppression_sequences():
+    seq = [(1, 0, 1), (2, H, 1), (3, 2 * H, 3), (4, 3 * H, 2), (5, 5 * H, 2), (6, 6 * H + 1, 1), (7, 20 * H, 1)]
+    told, now = alerts.fold_suppression(seq, None, 4)
+    assert [b for _, b in told] == [False, True, False, True, True, False, False]
+    assert now == (1, 24 * H)
+
+
+def _batch(e):
+    return {(r["id"], r["blocked"]) for r in alerts.suppressed(e, "country", "id", "t", "r").collect()}
+
+
+def test_suppression_ignores_partitions_and_order(spark):
+    e = incidents(spark, SF).where("t is not null").withColumn("r", alerts.rank(F.col("alert_tier"))).select("country", "id", "t", "r")
+    want = _batch(e)
+    for n in (1, 4, 16):
+        assert _batch(e.repartition(n).orderBy(F.desc("id"))) == want
+    by = {}
+    for r in sorted(e.where("r > 0").collect(), key=lambda r: (r["t"], r["id"])):
+        by.setdefault(r["country"], []).append((r["id"], r["t"], r["r"]))
+    assert {x for rows in by.values() for x in alerts.fold_suppression(rows, None, 4)[0]} == want
+
+
+def test_suppression_stream_equals_batch(spark, tmp_path):
+    e = incidents(spark, SF).where("t is not null").withColumn("r", alerts.rank(F.col("alert_tier"))).select("country", "id", "t", "r")
+    want = _batch(e)
+    e.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(e.schema).parquet(str(tmp_path / "in"))
+    run = state.suppression(stream, "country", "id", "t", "r").writeStream.format("memory").queryName("claims").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    assert run.awaitTermination(120)
+    assert {(r["id"], r["blocked"]) for r in spark.table("claims").collect()} == want
+
+
+def test_late_rows_drop_in_stream_as_in_batch(spark, tmp_path):
+    e = incidents(spark, SF).select("id", F.col("published_at").cast("timestamp").alias("p"), (F.col("ingested_at") + F.expr("INTERVAL 3 DAYS") * (F.col("id") % 2)).cast("timestamp").alias("i"))
+    e.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(e.schema).parquet(str(tmp_path / "in"))
+    state.on_time(stream, "p", "i").select("id").writeStream.format("memory").queryName("late").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(120)
+    assert {r["id"] for r in spark.table("late").collect()} == {r["id"] for r in e.where("id % 2 = 0").collect()}
+
+
+def test_assignment_ignores_partitions(spark):
+    e = linking.with_tokens(incidents(spark, SF), "hint")
+    want = {tuple(r) for r in linking.assign_in_order(e, "country").collect()}
+    for n in (1, 16):
+        assert {tuple(r) for r in linking.assign_in_order(e.repartition(n), "country").collect()} == want
+
+
+def test_anchored_runs_start_at_their_first_event(spark):
+    df = spark.createDataFrame([("a", 1, 0, 5), ("a", 2, 20 * H, 9), ("a", 3, 30 * H, 1), ("b", 4, None, 1), ("b", 5, None, 3), ("b", 6, 0, 1)], "k string, id long, t long, s int")
+    got = {tuple(r) for r in linking.anchored_runs(df, ["k"], "t", "id", "s").collect()}
+    assert got == {(1, 2, 9, 2), (3, 1, 1, 3), (4, 2, 3, 5), (6, 1, 1, 6)}
+
+
+def test_similar_pairs_equal_brute_force(spark):
+    texts = [(i, " ".join(f"w{(i * k) % 7}" for k in range(3 + i % 9))) for i in range(60)]
+    df = spark.createDataFrame(texts, "id long, t string")
+    sets = {}
+    for i, t in texts:
+        w = t.split()
+        sets[i] = set(w) if len(w) < 4 else {" ".join(w[j : j + 4]) for j in range(len(w) - 3)}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.4}
+    assert {(r["a"], r["b"]) for r in ingest.similar_pairs(df, "id", F.col("t"), 0.4).collect()} == want
+
+
+def test_feeds_strict_and_forgiving():
+    rss = '<rss><channel><item><title>A &amp; b</title><link>https://x.example/1</link><pubDate>Mon, 01 Jan 2024 00:00:00 GMT</pubDate><source url="https://www.y.example/f">Y</source></item></channel></rss>'
+    assert feeds.items_of(rss) == [("A & b", "https://x.example/1", None, "2024-01-01", "y.example")]
+    assert feeds.items_of("<rss><item><title>A & b</title><link>l</link></item>") == [("A & b", "l", None, None, None)]
+    assert feeds.items_of(None) == feeds.items_of("") == []
+
+
+def test_json_repair():
+    assert fuzzy.first_object('```json\n{"a": 1, "b": [2,],}\n```') == '{"a":1,"b":[2]}'
+    assert fuzzy.first_object("no {broken") is None and fuzzy.first_object(None) is None
+    assert fuzzy.all_objects('[{"a":1}, {"b": , {"c":{"d":2}}') == ['{"a":1}', '{"c":{"d":2}}']
+
+
+def test_classifier_failure_keeps_rows(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "id long, t string")
+    assert fuzzy.classified(df, "t", ports.stub_classifier, "relevance int, llm_confidence double").where("relevance is not null").count() == 2
+
+    def down(texts):
+        raise OSError
+
+    assert fuzzy.classified(df, "t", down, "relevance int, llm_confidence double").where("relevance is null").count() == 2
