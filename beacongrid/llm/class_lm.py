@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ._common import as_bytes, is_remainder, slices, table, written
 from ._words import SPACED, Words, mix
 
-WORDS, GROUPS, CLASSES, HEAD = 1024, 512, 48, 1 << 19
+WORDS, GROUPS, CLASSES, HEAD = 768, 256, 48, 1 << 18
 UNKNOWN, BACKOFF = 0.5, 5.0
 END = np.uint64(0x5851F42D4C957F2D)
 
@@ -232,16 +232,18 @@ def class_lm(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
         if held_words + r["n"] > HEAD:
             break
         least, held_words = r["k"], held_words + r["n"]
-    head = counts.where(level >= least).select("h", "c").toPandas()
-    items = Items(head["h"].to_numpy(np.int64).view(np.uint64), head["c"].to_numpy(np.int64))
+    head = counts.where(level >= least).select("h", "c").toArrow()
+    items = Items(head["h"].to_numpy().view(np.uint64), head["c"].to_numpy())
+    del head
     once = {r["c"]: r["n"] for r in counts.where("c <= 2").groupBy("c").agg(F.count("*").alias("n")).collect()}
     discount = min(0.9, max(0.1, once.get(1, 0) / max(1, once.get(1, 0) + 2 * once.get(2, 0))))
 
     told = spark.sparkContext.broadcast(items)
-    pair = train.mapInArrow(_bigrams(told), "pair int, c long").groupBy("pair").agg(F.sum("c").alias("c")).toPandas()
+    pair = train.mapInArrow(_bigrams(told), "pair int, c long").groupBy("pair").agg(F.sum("c").alias("c")).toArrow()
     m = WORDS + GROUPS
     pairs = np.zeros(m * m)
-    pairs[pair["pair"].to_numpy(np.int64)] = pair["c"].to_numpy(float)
+    pairs[pair["pair"].to_numpy()] = pair["c"].to_numpy()
+    del pair
     types = np.zeros(GROUPS)
     for r in counts.groupBy("g").agg(F.count("*").alias("n")).collect():
         types[r["g"]] = r["n"]
