@@ -13,13 +13,19 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+#: Batches of texts for Python workers, where the session has Spark's defaults.
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package: its folder joins the path that workers get."""
+    """Lets Python workers import this package, as its folder joins the path that workers get, and bounds what a batch of texts takes: 1000 rows and 8 MB, unless set otherwise."""
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
+    for key, most in ARROW.items():
+        if spark.conf.get(key) == spark._jvm.org.apache.spark.sql.internal.SQLConf().getConfString(key):
+            spark.conf.set(key, most)
     return spark
 
 

@@ -106,31 +106,36 @@ def _scan(shared, window: int):
     return run
 
 
-def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _report(with_text: bool):
     """Word ranges to code points of the original text."""
-    for whole in batches:
-        for b in slices(whole, "text"):
-            hits, n_hit, spans = b.column("hit").to_pylist(), [], []
-            for t, hit in zip(b.column("text"), hits, strict=True):
-                n_hit.append(sum(hit[1::2]) - sum(hit[::2]))
-                if hit:
-                    w = Words([t.as_py().encode()], ALNUM)
-                    point = np.cumsum((np.frombuffer(w.buf, np.uint8) & 0xC0) != 0x80)
-                    spans.append([{"start": int(point[w.start[x]]) - 1, "end": int(point[w.end[y - 1] - 1])} for x, y in zip(hit[::2], hit[1::2], strict=True)])
-                else:
-                    spans.append([])
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("n_words"), pa.array(n_hit, pa.int64()), b.column("items"), pa.array(spans, kind)], ["id", "n_words", "n_hit", "items", "spans"]
-            )
-
-
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    names = ["id", "text", "n_words"] if with_text else ["id", "n_words"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in slices(whole, "text"):
+                hits, n_hit, spans = b.column("hit").to_pylist(), [], []
+                for t, hit in zip(b.column("text"), hits, strict=True):
+                    n_hit.append(sum(hit[1::2]) - sum(hit[::2]))
+                    if hit:
+                        w = Words([t.as_py().encode()], ALNUM)
+                        point = np.cumsum((np.frombuffer(w.buf, np.uint8) & 0xC0) != 0x80)
+                        spans.append([{"start": int(point[w.start[x]]) - 1, "end": int(point[w.end[y - 1] - 1])} for x, y in zip(hit[::2], hit[1::2], strict=True)])
+                    else:
+                        spans.append([])
+                kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+                yield pa.RecordBatch.from_arrays(
+                    [*map(b.column, names), pa.array(n_hit, pa.int64()), b.column("items"), pa.array(spans, kind)], [*names, "n_hit", "items", "spans"]
+                )
+
+    return run
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, with_text: bool = False) -> DataFrame:
     """Occurrences of benchmark windows: (id_col, n_words, n_hit, items, spans), one row per row of docs.
 
     items: ids (as text, sorted, distinct) of items one of whose windows occurs; spans: the hit stretches in code points,
     end exclusive. Null and empty texts have no words and no hits. Items without words have no windows; an item with a
-    null id counts under the empty text; repeated items and ids count once. Repeated rows of docs each give a row. id_col may be of any type, a struct too.
+    null id counts under the empty text; repeated items and ids count once. Repeated rows of docs each give a row. id_col may be of any type, a struct too; with_text hands the text through.
     No rows, no result rows; no items, no hits. Further columns, whatever their names, are not read.
     """
     spark = docs.sparkSession
@@ -147,7 +152,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         state = state.mapInArrow(_scan(spark.sparkContext.broadcast(rows), window), typed(kind, STATE))
         if k % 4 == 3 and k < parts - 1:
             state = written(state)
-    out = state.mapInArrow(_report, typed(kind, "n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int>>"))
+    out = state.mapInArrow(_report(with_text), typed(kind, "text string, " * with_text + "n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int>>"))
     return out.withColumnRenamed("id", id_col)
 
 

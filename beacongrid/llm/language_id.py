@@ -184,7 +184,7 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array([v.tobytes() for v in x], pa.binary())], ["lang", "x"])
 
 
-def _predict(shared):
+def _predict(shared, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text", 1 << 20):
@@ -194,7 +194,8 @@ def _predict(shared):
                     # an ASCII letter settles it; only texts without one are decoded
                     letters = np.array([bool(_ASCII_LETTER[np.frombuffer(t[:256], np.uint8)].any()) or has_letter(t.decode("utf-8", "replace")) for t in texts], bool)
                     lang, score = shared.value.predict(texts, letters)
-                    yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(part.num_columns - 1)), pa.array(lang), pa.array(score)], [*part.schema.names[:-1], "lang_pred", "score"])
+                    names = ["id", "held_out", "text"][: 2 + with_text]
+                    yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*names, "lang_pred", "score"])
 
     return run
 
@@ -204,13 +205,14 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     `und` with score 0 for null texts, texts without a letter, and if there is nothing to learn from. Null lang teaches nothing. Null id: not
     held out. Repeated rows each have their row. No rows, no result rows. Further columns, whatever their names, are not read. row, if given,
-    is handed through in place of the id.
+    is handed through in place of the id, and the text with it.
     """
+    with_text = row is not None
     row = F.col(id_col) if row is None else row
     base = docs.select(row.alias("id"), is_remainder(id_col, folds, held).alias("held_out"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     model = fit(base.where("not held_out").select("text", "lang"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = base.select("id", "held_out", "text").mapInArrow(_predict(shared), typed(base.schema["id"].dataType, "held_out boolean, lang_pred string, score double"))
+    out = base.select("id", "held_out", "text").mapInArrow(_predict(shared, with_text), typed(base.schema["id"].dataType, "held_out boolean, " + "text string, " * with_text + "lang_pred string, score double"))
     return out.withColumnRenamed("id", id_col)
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beacongrid.llm._common import ready, row_columns, row_of, table, written
+from beacongrid.llm._common import ready, row_of, table, written
 from beacongrid.llm.bpe import bpe, tokenizer_path
 from beacongrid.llm.decontaminate import contaminated, decontaminate
 from beacongrid.llm.language_id import UNKNOWN, language_id
@@ -21,8 +21,9 @@ from beacongrid.llm.sanitise import sanitise
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which no language can be told go: null texts and texts without a letter. A missing lang is filled in."""
-    found = language_id(docs, row=row_of(docs)).where(F.col("lang_pred") != UNKNOWN)
-    return found.select(*(F.coalesce(c, F.col("lang_pred")).alias("lang") if n == "lang" else c for n, c in zip(docs.columns, row_columns(docs, "doc_id"), strict=True)))
+    found = language_id(docs, row=row_of(docs, ("text",))).where(F.col("lang_pred") != UNKNOWN)
+    now = {"text": F.col("text"), "lang": F.coalesce("doc_id.lang", "lang_pred")}
+    return found.select(*(now[c].alias(c) if c in now else F.col(f"doc_id.`{c}`").alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +39,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark windows make up a twentieth or more go."""
-    packed = docs.select(row_of(docs).alias("row"), F.col("text"))
-    return decontaminate(packed, table(spark, sf_dir, "benchmark"), id_col="row").where(~contaminated()).select(*row_columns(docs, "row"))
+    packed = docs.select(row_of(docs, ("text",)).alias("row"), F.col("text"))
+    found = decontaminate(packed, table(spark, sf_dir, "benchmark"), id_col="row", with_text=True).where(~contaminated())
+    return found.select(*(F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
