@@ -1,6 +1,7 @@
 import os
 import sys
 
+import pandas as pd
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -46,7 +47,7 @@ def oracle():
 def rows(df):
     """Rows of a pandas frame as sorted text, floats to 6 places."""
     cols = sorted(df.columns)
-    say = lambda v: "null" if v is None or v != v else f"{float(v):.5f}" if isinstance(v, float) else str(v)
+    say = lambda v: "null" if v is None or v is pd.NA or v is pd.NaT or v != v else f"{float(v):.5f}" if isinstance(v, float) and v != int(v) else str(int(v)) if isinstance(v, float) else str(v)
     return cols, sorted(tuple(say(v) for v in r) for r in df[cols].astype(object).itertuples(index=False))
 
 
