@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import reachable
+
 AS_OF = "2024-01-31 00:00:00"
 AS_OF_MICROS = 1_706_659_200_000_000
 
@@ -44,7 +46,7 @@ MICROS = {"spark": "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:0
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return reachable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
