@@ -165,7 +165,7 @@ def fit(train: DataFrame, most: int = TRAIN_ROWS) -> Identifier:
         step = F.when(F.col("lang") == lang, F.lit(max(1, -(-n // each)))).otherwise(step)
     picked = rows.where(F.pmod(F.xxhash64("text"), step) == 0).select("lang", "text")
     langs, xs = [], []
-    for r in picked.mapInArrow(_sample, "lang string, x binary").toLocalIterator():
+    for r in picked.mapInArrow(_sample, "lang string, x binary").collect():
         langs.append(r["lang"])
         xs.append(np.frombuffer(bytes(r["x"]), np.float16))
     if not langs:  # every text of a tiny table missed the sample
