@@ -74,10 +74,16 @@ def typed(first: DataType, rest: str) -> StructType:
     return StructType([StructField("id", first), *DataType.fromDDL(rest).fields])
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 21):
-    """Pieces of a batch of at most `most` bytes of text each (one row at least), so that array work stays small."""
+#: What empties caches that operators hold in this Python worker.
+HELD: list = []
+
+
+def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 21, keep: bool = False):
+    """Caches that another operator's tasks left in this worker go, unless `keep`. Pieces of a batch of at most `most` bytes of text each (one row at least), so that array work stays small."""
     import numpy as np
 
+    while HELD and not keep:
+        HELD.pop()()
     if not batch.num_rows:
         return
     import pyarrow.compute as pc

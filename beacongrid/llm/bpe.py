@@ -26,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, shared_dir, slices, table
+from ._common import HELD, as_bytes, shared_dir, slices, table
 from ._words import LETTERS, Words
 
 LEXICON, CACHE = 1 << 16, 700_000
@@ -251,6 +251,7 @@ class Pieces(dict):
 
 @lru_cache(1)
 def _worker_pieces(spec: bytes, path: str | None) -> Pieces:
+    HELD.append(_worker_pieces.cache_clear)
     return Pieces(_merger(spec), Lexicon(path) if path else None)
 
 
@@ -258,7 +259,7 @@ def _encode(shared, name: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _worker_pieces(shared.value, SparkFiles.get(name) if name else None)
         for whole in batches:
-            for b in slices(whole, "text"):
+            for b in slices(whole, "text", keep=True):
                 got = [pieces.encode(t or "") for t in b.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id"), pa.array([len(a) // 4 for a, _ in got], pa.int64()), pa.array([a for a, _ in got], pa.binary()), pa.array([d for _, d in got], pa.binary())],
@@ -271,7 +272,7 @@ def _encode(shared, name: str | None):
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words that occur twice or more in a slice of a batch, with their counts."""
     for whole in batches:
-        for b in slices(whole, "text", 8 << 20):
+        for b in slices(whole, "text", 8 << 20, keep=True):
             w = Words(as_bytes(b.column("text")), LETTERS)
             _, first, n = np.unique(w.hash, return_index=True, return_counts=True)
             first, n = first[n > 1], n[n > 1]
