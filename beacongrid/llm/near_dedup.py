@@ -40,7 +40,7 @@ def _draw(x: np.ndarray, j: int) -> np.ndarray:
     return mix(x + np.uint64((j + 1) * _STEP & (1 << 64) - 1))
 
 
-def superminhash(x: np.ndarray, ptr: np.ndarray, lanes: int = LANES, part: int = 60_000) -> np.ndarray:
+def superminhash(x: np.ndarray, ptr: np.ndarray, lanes: int = LANES, part: int = 30_000) -> np.ndarray:
     """Signatures (sets, lanes) of the sets x[ptr[i]:ptr[i+1]]; the high half of a lane is the step, the low half the draw. All lanes of an empty set are free."""
     sets = len(ptr) - 1
     out = np.full(sets * lanes, _FREE, np.uint64)
@@ -102,7 +102,7 @@ def _sums(x: np.ndarray, ptr: np.ndarray) -> np.ndarray:
 def _sign(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in slices(whole, "text"):
+            for b in slices(whole, "text", 1 << 20):
                 x, ptr = shingle_sets(as_bytes(b.column("text")), n)
                 size = np.diff(ptr)
                 sig = superminhash(x, ptr)
@@ -137,7 +137,7 @@ def _set_rows(n: int, named):
         for every in batches:
             slot = every.column("slot").to_numpy()
             whole = every.filter(pa.array((named.value[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1)).astype(bool)))
-            for b in slices(whole, "text"):
+            for b in slices(whole, "text", 1 << 20):
                 x, ptr = shingle_sets(as_bytes(b.column("text")), n)
                 rows = [x[i:j].tobytes() for i, j in zip(ptr[:-1], ptr[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(rows, pa.binary())], ["id", "shingles"])
