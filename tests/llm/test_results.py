@@ -132,6 +132,25 @@ def test_terms_that_disclose_are_found(spark):
     assert all(len(got[600 + i]["spans"]) == 1 for i in range(20))
 
 
+def test_a_signature_in_many_documents_discloses(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    text = lambda: " ".join(word() for _ in range(8))
+    rows = [(i, f"{text()}\nregards Zorblax\njoe@corp.example Quuxel the\n{text()} the") for i in range(40)]
+    rows += [(100 + i, f"{text()} the {text()}") for i in range(600)]
+    rows += [(800 + i, f"{text()}\nmail x{i}@corp.example or {word()} now") for i in range(20)]
+    got = {r["doc_id"]: r["clean_text"] for r in sanitise.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(40):
+        assert re.sub(r"\[TERM\]", "", got[i]) == rows[i][1].replace("joe@corp.example Quuxel", "[EMAIL] ")
+    assert all(got[800 + i] == rows[640 + i][1].replace(f"x{i}@corp.example", "[EMAIL]") for i in range(20))
+
+
+def test_confidence_bound():
+    k, n = np.array([1, 3, 5, 50, 500]), np.array([1, 3, 10, 100, 1000])
+    q = sanitise.surely(k, n)
+    assert np.allclose(q[:2], [0.01, 0.01 ** (1 / 3)]) and (np.diff(q[2:]) > 0).all() and (q < k / n).all()
+
+
 def test_tokens_equal_the_library(spark, texts):
     from tokenizers import Tokenizer
 
