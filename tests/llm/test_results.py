@@ -145,6 +145,17 @@ def test_a_signature_in_many_documents_discloses(spark):
     assert all(got[800 + i] == rows[640 + i][1].replace(f"x{i}@corp.example", "[EMAIL]") for i in range(20))
 
 
+def test_copies_change_no_disclosure(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = [(i, f"{word()} {word()}\nZorblax joe@corp.example the\n{word()} the") for i in range(12)]
+    rows += [(100 + i, f"{word()} the {word()}") for i in range(600)]
+    many = rows + [(1000 * (1 + i) + k, rows[i][1]) for i in range(12) for k in range(100)]
+    one, all_ = ({r["doc_id"]: r["clean_text"] for r in sanitise.sanitise(spark.createDataFrame(x, "doc_id long, text string")).collect()} for x in (rows, many))
+    assert all("Zorblax" not in one[i] and one[i] == all_[i] for i in range(12))
+    assert all(all_[i] == one[i // 1000 - 1] for i in all_ if i >= 1000)
+
+
 def test_confidence_bound():
     k, n = np.array([1, 3, 5, 50, 500]), np.array([1, 3, 10, 100, 1000])
     q = sanitise.surely(k, n)
