@@ -5,7 +5,8 @@ length is one vector of unit length. Families are found from the training langua
 nearer than the mean distance between languages. Family and language decisions are linear support vector machines (L2-regularised hinge loss,
 dual coordinate descent), one for each pair; the pairs vote, ties go to the larger sum of margins.
 
-Training uses at most TRAIN_ROWS rows, an equal share for each language, picked by hash of the text; everything else is read whole.
+Training uses at most TRAIN_ROWS distinct texts (one of each language at least), an equal share for each language: those with the smallest hashes, so
+min(distinct texts, share) of each language, whatever copies it has. Everything else is read whole.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, is_remainder, slices, table, typed
+from ._common import as_bytes, is_remainder, slices, table, typed, written
 
-DIM, TRAIN_ROWS, ROUNDS, COST = 1 << 12, 1_600, 12, 1.0
+DIM, TRAIN_ROWS, ROUNDS, COST = 1 << 12, 4_000, 12, 1.0
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 _ASCII_LETTER = np.zeros(256, bool)
@@ -58,19 +59,20 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and _LETTER.search(text) is not None
 
 
-def svm(x: np.ndarray, y: np.ndarray, cost: float = COST, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights (bias last) of a linear SVM by dual coordinate descent; y is 1 or -1. Balanced: each class has the same total cost."""
-    a = np.hstack([x, np.ones((len(x), 1), np.float32)])
+def svm(x: np.ndarray, y: np.ndarray, rows: np.ndarray, cost: float = COST, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights (bias last) of a linear SVM over x[rows] by dual coordinate descent; y is 1 or -1. Balanced: each class has the same total cost. x is never copied."""
     share = np.where(y > 0, (y < 0).sum(), (y > 0).sum()) / len(y) * 2 * cost
-    alpha, w, norm = np.zeros(len(y)), np.zeros(a.shape[1]), np.einsum("ij,ij->i", a, a).astype(float)
+    alpha, w, one = np.zeros(len(y)), np.zeros(x.shape[1] + 1), np.ones(x.shape[1] + 1)
+    norm = np.array([1 + float(np.square(x[i].astype(np.float32)).sum()) for i in rows])
     rng = np.random.default_rng(7)
     for _ in range(rounds):
         worst = 0.0
         for i in rng.permutation(len(y)):
-            g = y[i] * (w @ a[i]) - 1
+            one[:-1] = x[rows[i]]
+            g = y[i] * (w @ one) - 1
             new = min(max(alpha[i] - g / norm[i], 0.0), share[i])
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * a[i]
+                w += (new - alpha[i]) * y[i] * one
                 worst = max(worst, abs(new - alpha[i]))
                 alpha[i] = new
         if worst < 1e-3:
@@ -103,8 +105,8 @@ class Votes:
         self.pairs = list(itertools.combinations(range(len(self.names)), 2))
         w = []
         for a, b in self.pairs:
-            of = (y_ == self.names[a]) | (y_ == self.names[b])
-            w.append(svm(x[of], np.where(y_[of] == self.names[a], 1.0, -1.0)))
+            of = np.flatnonzero((y_ == self.names[a]) | (y_ == self.names[b]))
+            w.append(svm(x, np.where(y_[of] == self.names[a], 1.0, -1.0), of))
         self.w = np.array(w).T.astype(np.float32) if w else np.zeros((x.shape[1] + 1, 0), np.float32)
 
     def decide(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +129,7 @@ class Identifier:
     def __init__(self, x: np.ndarray, y: list[str]):
         names = sorted(set(y))
         y_ = np.array(y)
-        self.families = families({n: x[y_ == n].mean(0) for n in names})
+        self.families = families({n: x[y_ == n].mean(0, dtype=np.float32) for n in names})
         of = {n: str(i) for i, g in enumerate(self.families) for n in g}
         self.top = Votes(x, [of[n] for n in y]) if names else None
         self.inner = {}
@@ -156,24 +158,40 @@ class Identifier:
 def fit(train: DataFrame, most: int = TRAIN_ROWS) -> Identifier:
     """train: (text, lang). Languages are those with a text that has a letter."""
     rows = train.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).where(F.col("text").rlike(r"\p{L}"))
-    of_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    keys = written(rows.select("lang", "h").distinct())
+    of_lang = {r["lang"]: r["n"] for r in keys.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not of_lang:
-        return Identifier(np.zeros((0, DIM), np.float32), [])
+        return Identifier(np.zeros((0, DIM), np.float16), [])
     each = max(1, most // len(of_lang))
-    step = F.lit(1)
-    for lang, n in sorted(of_lang.items()):
-        step = F.when(F.col("lang") == lang, F.lit(max(1, -(-n // each)))).otherwise(step)
-    picked = rows.where(F.pmod(F.xxhash64("text"), step) == 0).select("lang", "text")
+    chosen = _smallest(keys, of_lang, each)
+    picked = rows.join(F.broadcast(train.sparkSession.createDataFrame(chosen, "lang string, h long")), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "text")
     langs, xs = [], []
-    for r in picked.mapInArrow(_sample, "lang string, x binary").collect():
+    for r in picked.mapInArrow(_sample, "lang string, x binary").toLocalIterator():
         langs.append(r["lang"])
-        xs.append(np.frombuffer(bytes(r["x"]), np.float16))
-    if not langs:  # every text of a tiny table missed the sample
-        for r in rows.orderBy("lang", "text").limit(most).select("lang", "text").collect():
-            langs.append(r["lang"])
-            xs.append(vectors([r["text"].encode()])[0])
-    order = sorted(range(len(langs)), key=lambda i: (langs[i], xs[i].tobytes()))
-    return Identifier(np.array([xs[i] for i in order], np.float32), [langs[i] for i in order])
+        xs.append(bytes(r["x"]))
+    order = sorted(range(len(langs)), key=lambda i: (langs[i], xs[i]))
+    x = np.empty((len(xs), DIM), np.float16)
+    for k, i in enumerate(order):
+        x[k] = np.frombuffer(xs[i], np.float16)
+    return Identifier(x, [langs[i] for i in order])
+
+
+def _smallest(keys: DataFrame, of_lang: dict[str, int], each: int) -> list[tuple[str, int]]:
+    """The min(n, each) smallest hashes of each language, of which keys: (lang, h) has of_lang[lang] = n. Reads those below a bound that most likely holds enough, then a wider one where it didn't."""
+    out, left, room = [], dict(of_lang), each + 6 * each**0.5 + 16
+    while left:
+        most = {lang: (1 << 63) - 1 if room >= n else int(2**64 * room / n) - (1 << 63) for lang, n in left.items()}
+        bound = keys.sparkSession.createDataFrame(sorted(most.items()), "lang string, most long")
+        found: dict[str, list[int]] = {lang: [] for lang in left}
+        for r in keys.join(F.broadcast(bound), "lang").where("h <= most").select("lang", "h").collect():
+            found[r["lang"]].append(r["h"])
+        for lang, h in found.items():
+            if len(h) >= min(each, left[lang]):
+                out += [(lang, x) for x in sorted(h)[:each]]
+                del left[lang]
+        room *= 4
+    return out
 
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -234,6 +234,17 @@ def test_language_on_held_out_rows(spark):
     assert (m["lang"] == m["lang_pred"]).mean() > 0.98
 
 
+def test_copies_leave_the_sample_of_a_language_whole(spark):
+    rows = [("aa", "the hot text")] * 9800 + [("aa", f"text number {chr(97 + i % 26)} {i}") for i in range(199)] + [("bb", f"un autre texte {i}") for i in range(30)]
+    seen = []
+    real, language_id.Identifier = language_id.Identifier, lambda x, y: seen.append((len(x), Counter(y))) or real(x, y)
+    try:
+        language_id.fit(spark.createDataFrame(rows, "lang string, text string"), 100)
+    finally:
+        language_id.Identifier = real
+    assert seen == [(80, Counter(aa=50, bb=30))]
+
+
 def test_class_model_beats_unigrams_and_base_is_exact(spark):
     got = class_lm.class_lm(spark.read.parquet(f"{SF}/documents.parquet")).toPandas()
     d = pd.read_parquet(f"{SF}/documents.parquet").set_index("doc_id")["text"]
