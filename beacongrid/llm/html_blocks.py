@@ -13,8 +13,9 @@ _TAG = re.compile(
 )
 _NAMES = re.compile(r"(?:^|\s)(class|id|role|itemprop|data-mark|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
-#: Elements whose content is no text of the page, up to their end tag.
-RAW = frozenset("script style title textarea noscript template iframe svg math object canvas xmp noembed noframes select datalist".split())
+#: Elements whose content is no text of the page, up to their end tag. Without one, those of TO_END take the rest of the page, the others nothing.
+RAW = frozenset("script style title textarea noscript template iframe svg annotation annotation-xml object canvas xmp noembed noframes select datalist".split())
+TO_END = frozenset("script style title textarea".split())
 #: Elements that begin and end a block.
 BLOCK = frozenset(
     "html head body article section main nav header footer aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th form fieldset legend label "
@@ -52,6 +53,22 @@ def _end(stack: list[tuple[str, str, str]], what: tuple[frozenset, frozenset]) -
             return
 
 
+def _ends_of(page: str, name: str) -> dict[int, int]:
+    """Where an element ends, by the end of its opening tag; unclosed ones have no entry, and comments and TO_END count for nothing."""
+    out: dict[int, int] = {}
+    stack: list[int] = []
+    tag = re.compile(rf"<!--.*?(?:-->|\Z)|<({'|'.join(sorted(TO_END))})(?=[\s/>]).*?(?:</\1(?=[\s/>])|\Z)|<(/?){re.escape(name)}(?=[\s/>])((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.I | re.S)
+    for m in tag.finditer(page):
+        if m[2] is None:
+            continue
+        if m[2]:
+            if stack:
+                out[stack.pop()] = m.end()
+        elif not (name == "svg" and m[3].endswith("/")):
+            stack.append(m.end())
+    return out
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks of a page, in page order; character references decoded, white space one space, empty blocks left out. Hidden elements have none."""
     out: list[Block] = []
@@ -59,6 +76,7 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     linked = 0
     where: list[tuple[str, str, str]] | None = None
+    ends: dict[str, dict[int, int]] = {}
 
     def flush() -> None:
         nonlocal linked, where
@@ -108,8 +126,13 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in RAW:
             flush() if name in ("title", "textarea", "select") else None
-            found = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-            at = found.end() if found else n
+            if name in TO_END:
+                found = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+                at = found.end() if found else n
+            elif not (name == "svg" and attrs.endswith("/")):
+                if name not in ends:
+                    ends[name] = _ends_of(page, name)
+                at = ends[name].get(at, at)
             continue
         if name == "br":
             parts.append(" ") if parts else None

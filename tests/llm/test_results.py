@@ -281,6 +281,18 @@ def test_main_text():
     assert right / sum(len(y) for _, y in fresh) > 0.97
 
 
+@pytest.mark.parametrize("tag", ["<svg viewBox='0 0 1 1' />", "<math/>", "<select><option>", "<object data=x>", "<canvas>", "<iframe src=x>", "<template>"])
+def test_unclosed_and_empty_elements_leave_the_page(tag):
+    name = re.match("<([a-z]+)", tag)[1]
+    page = f"<p>one</p>{tag}<p>two</p><{name}></{name}><p>three</p><!-- </{name}> --><p>four"
+    assert [b.text for b in html_blocks.blocks(page)] == ["one", "two", "three", "four"]
+
+
+def test_raw_elements_nest_and_math_is_text():
+    page = "<p>a<object>x<object>y</object>z</object>b <math><mi>E</mi><mo>=</mo><annotation>tex</annotation></math> c</p><p>d<script>e"
+    assert [b.text for b in html_blocks.blocks(page)] == ["ab E= c", "d"]
+
+
 def test_viterbi_equals_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(30):
