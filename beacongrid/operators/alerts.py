@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import accidental_cause, aftermath
 from ..params import FRESH, NOT_NEWS, TIERS, Alerts
+from ..session import settled
 
 
 def rank(tier: Column) -> Column:
@@ -104,6 +105,56 @@ def suppressed(df: DataFrame, key: str, id_col: str, micros: str, tier_rank: str
     return rows.repartition("k").sortWithinPartitions("k", "t", "i").mapInPandas(run, "id long, blocked boolean")
 
 
+def fresh_enough(ingested: Column, as_of: Column, p: Alerts = Alerts()) -> Column:
+    """Whether a row is young enough to page: `stale_days` since its intake at most. A row without a time of intake is."""
+    return F.coalesce(ingested >= as_of - F.expr(f"INTERVAL {p.stale_days} DAYS"), F.lit(True))
+
+
+def claim(held: dict[str, tuple[int, int]], t: int, r: int, keys: list[str], sent: bool, hours: int) -> str:
+    """Decision on a row of rank r at microsecond t, after those before it; held: (rank, expiry) by key. A row is suppressed if a live claim on one of its keys is of its rank or higher; else it claims all its keys,
+    raising the ranks of live claims and renewing expiries, and is sent; if sending fails it sets all its keys free, older claims on them included."""
+    for k in [k for k in keys if k in held and held[k][1] <= t]:
+        del held[k]
+    if any(k in held and r <= held[k][0] for k in keys):
+        return "suppressed"
+    for k in keys:
+        if sent:
+            held[k] = (max(r, held[k][0]) if k in held else r, t + hours * 3_600_000_000)
+        else:
+            held.pop(k, None)
+    return "sent" if sent else "failed"
+
+
+def two_key_claims(df: DataFrame, hours: int = 4) -> DataFrame:
+    """(id, decision): sent, suppressed or failed, by the claims on two keys. df: id, t (microseconds), rank (over 0), key, geo (may be null), sent (whether delivery worked).
+
+    A decision depends on those before it on either key, so rows that keys join, directly or over other rows, are one stream: such groups are components of the graph of keys, found by label propagation over
+    keys; rows are dealt by group, sorted, and only the claims of the open group are held.
+    """
+    rows = df.where("rank > 0 and t is not null")
+    edges = rows.where("geo is not null").select("key", "geo").distinct()
+    label = settled(edges.select("key", F.col("key").alias("group")).distinct())
+    while True:
+        low = edges.join(label, "key").groupBy("geo").agg(F.min("group").alias("group"))
+        now = settled(edges.join(low, "geo").groupBy("key").agg(F.min("group").alias("group")))
+        if not now.exceptAll(label).limit(1).count():
+            break
+        label = now
+    dealt = rows.join(label, "key", "left").select(F.coalesce("group", "key").alias("k"), F.col("id").alias("i"), "t", F.col("rank").cast("int").alias("r"), "key", "geo", "sent")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held = None, {}
+        for pdf in batches:
+            done = []
+            for k, i, t, r, a, b, sent in zip(*(pdf[c].tolist() for c in ("k", "i", "t", "r", "key", "geo", "sent")), strict=True):
+                if k != at:
+                    at, held = k, {}
+                done.append((i, claim(held, t, r, [x for x in (a, b) if isinstance(x, str)], bool(sent), hours)))
+            yield pd.DataFrame(done, columns=["id", "decision"]).astype({"id": "int64"})
+
+    return dealt.repartition("k").sortWithinPartitions("k", "t", "i").mapInPandas(run, "id long, decision string")
+
+
 def escalations(df: DataFrame, group: str, order: list[Column], tier_rank: Column) -> DataFrame:
     """peak: highest rank so far; escalated: a row above the peak of the rows before it."""
     w = Window.partitionBy(group).orderBy(*order)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import haversine
+from ..functions.geo import EARTH_KM, haversine
 from ..functions.text import containment, hint_tokens, hint_words, jaccard
 from ..params import Linking, Vocabulary
 
@@ -40,11 +41,16 @@ def linked(a: str, b: str, p: Linking = Linking(), v: Vocabulary = Vocabulary())
 
 
 def candidate_pairs(df: DataFrame, id_col: str, keys: list[Column]) -> DataFrame:
-    """(a, b) structs of rows that share a blocking key, each pair once. A pair that no key joins can't be linked if keys cover every linking path."""
+    """(a, b) structs of rows that share a blocking key and whose countries don't differ, each pair once. Rows without a country meet those of every country. A pair that no key joins can't be linked if keys cover every linking path."""
     cols = ["id", "t", "country", "anchor", "place", "tokens", "unigrams"]
     row = df.select(F.struct(F.col(id_col).alias("id"), *cols[1:]).alias("e"), F.explode(F.array_distinct(F.array_compact(F.flatten(F.array(*keys))))).alias("k"))
-    pairs = row.select("k", F.col("e").alias("a")).join(row.select("k", F.col("e").alias("b")), "k").where("a.id < b.id")
-    return pairs.dropDuplicates(["a", "b"]).drop("k")
+    other = row.select("k", F.col("e").alias("b"))
+    home = row.where("e.country is not null").select("k", F.col("e.country").alias("c"), F.col("e").alias("a"))
+    same = home.join(other.withColumn("c", F.col("b.country")), ["k", "c"]).where("a.id < b.id").select("a", "b")
+    free = row.where("e.country is null").select("k", F.col("e").alias("a")).join(other, "k").where("a.id < b.id or (a.id > b.id and b.country is not null)")
+    swap = F.col("a.id") > F.col("b.id")
+    free = free.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"))
+    return same.unionByName(free).withColumn("_a", F.col("a.id")).withColumn("_b", F.col("b.id")).dropDuplicates(["_a", "_b"]).drop("_a", "_b")
 
 
 def best_match(pairs: DataFrame, order: list[Column]) -> DataFrame:
@@ -168,14 +174,19 @@ def summaries(df: DataFrame, group: str, micros: str, severity: str, domain: str
 
 
 def nearby(points: DataFrame, places: DataFrame, km: float, most: int) -> DataFrame:
-    """The `most` nearest places within `km` of each point: (id, place_id, distance, k). Points and places meet in cells of latitude and longitude as wide as the radius, so only neighbours are compared."""
+    """The `most` nearest places within `km` of each point: (id, place_id, distance, k). Points and places meet in cells: bands of latitude as high as the radius, cut into equal columns at least as wide
+    as the radius where the band lies nearest to a pole, so only neighbours are compared. Columns go round the globe; around a pole there is one."""
     deg = km / 111.0
-    cell = lambda c, step: F.floor(c / F.lit(step))
-    wide = 8 * deg  # a cell of longitude, wide enough up to 82 degrees
-    a = points.where("lat is not null and lon is not null").withColumn("cy", cell(F.col("lat"), deg)).withColumn("cx", cell(F.col("lon"), wide))
-    near = F.array(*(F.lit(k) for k in (-1, 0, 1)))
-    b = places.select("place_id", F.col("lat").alias("plat"), F.col("lon").alias("plon"), "tier")
-    b = b.withColumn("cy", F.explode(F.transform(near, lambda k: cell(F.col("plat"), deg) + k))).withColumn("cx", F.explode(F.transform(near, lambda k: cell(F.col("plon"), wide) + k)))
+    reach = math.sin(min(math.pi / 2, km / EARTH_KM))
+    band = lambda c: F.floor(c / F.lit(deg)).cast("long")
+    top = lambda cy: F.least(F.lit(90.0), F.greatest(F.abs(cy), F.abs(cy + 1)) * deg)  # noqa: E731  the latitude nearest to a pole
+    narrow = lambda cy: F.cos(F.radians(top(cy)))
+    columns = lambda cy: F.when(narrow(cy) > 1.01 * reach, F.greatest(F.lit(1), F.floor(360 / (1.01 * F.degrees(F.asin(F.lit(reach) / F.greatest(narrow(cy), F.lit(reach)))))))).otherwise(F.lit(1)).cast("long")
+    column = lambda lon, n: F.floor(F.pmod(lon + 180, F.lit(360.0)) / 360 * n).cast("long")
+    a = points.where("lat is not null and lon is not null").withColumn("cy", band(F.col("lat"))).withColumn("cx", column(F.col("lon"), columns(F.col("cy"))))
+    b = places.where("lat is not null and lon is not null").select("place_id", F.col("lat").alias("plat"), F.col("lon").alias("plon"), "tier")
+    b = b.withColumn("cy", F.explode(F.array(*(band(F.col("plat")) + k for k in (-1, 0, 1))))).withColumn("n", columns(F.col("cy"))).withColumn("c", column(F.col("plon"), F.col("n")))
+    b = b.withColumn("cx", F.explode(F.array_distinct(F.array(*(F.pmod(F.col("c") + k, F.col("n")) for k in (-1, 0, 1)))))).drop("n", "c")
     d = haversine(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))
     hits = a.join(b, ["cy", "cx"]).withColumn("distance", d).where(F.col("distance") <= km)
     w = Window.partitionBy("id").orderBy("distance", "tier", "place_id")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import registrable
+from ..params import RISK, SEVERE
+
 
 def event_time(as_of: Column) -> Column:
     """Occurred, else published, else ingested; never later than as_of."""
@@ -17,11 +20,11 @@ def in_window(df: DataFrame, as_of: Column, hours: int) -> DataFrame:
     return df.where((at >= as_of - F.expr(f"INTERVAL {hours} HOURS")) & (at < as_of))
 
 
-def country_selection(df: DataFrame, country: str, severity: str, text: str, pattern: str, protected: list[str], least: int = 20, severe: int = 80, most: int = 5) -> DataFrame:
-    """Countries with many events, a severe one, or a matching one; protected ones first."""
-    g = df.where(F.col(country).isNotNull()).groupBy(country).agg(F.count("*").alias("n"), F.max(severity).alias("top"), F.count_if(F.lower(text).rlike(pattern)).alias("matching"))
-    g = g.where((F.col("n") >= least) | (F.col("top") >= severe) | (F.col("matching") > 0))
-    return g.withColumn("protected", F.col(country).isin(*protected)).orderBy(F.desc("protected"), F.desc("n"), country).limit(most)
+def country_selection(df: DataFrame, country: str, severity: str, matching: Column, least: int = 3, severe: int = 80, least_matching: int = 1, most: int = 5) -> DataFrame:
+    """Countries with many scored events, a severe one, or enough that match (disrupted flights, say); the last two protect a country: it comes before all that only have many."""
+    g = df.where(F.col(country).isNotNull() & F.col(severity).isNotNull()).groupBy(country).agg(F.count("*").alias("n"), F.max(severity).alias("top"), F.count_if(matching).alias("matching"))
+    strong = (F.col("top") >= severe) | (F.col("matching") >= least_matching)
+    return g.where((F.col("n") >= least) | strong).withColumn("protected", strong).orderBy(F.desc("protected"), F.desc("n"), country).limit(most)
 
 
 def official(domain: Column, suffixes: tuple[str, ...] = (".gov", ".mil", ".int"), state_media: dict[str, str] | None = None, country: Column | None = None) -> Column:
@@ -37,8 +40,9 @@ def official(domain: Column, suffixes: tuple[str, ...] = (".gov", ".mil", ".int"
 
 
 def verification(df: DataFrame, cluster: str, domain: str, is_official: Column, penalized: Column) -> DataFrame:
-    """official, corroborated (two independent domains that aren't penalised) or single."""
-    return df.groupBy(cluster).agg(F.max(is_official.cast("int")).alias("_o"), F.countDistinct(F.when(~penalized, F.col(domain))).alias("n_independent")).select(
+    """official, corroborated (two independent sources) or single. Sources are registrable domains; those that are penalised neither count nor make a cluster official."""
+    ok = ~F.coalesce(penalized, F.lit(False))
+    return df.groupBy(cluster).agg(F.max((is_official & ok).cast("int")).alias("_o"), F.countDistinct(F.when(ok, registrable(F.col(domain)))).alias("n_independent")).select(
         cluster, "n_independent", F.when(F.col("_o") == 1, "official").when(F.col("n_independent") >= 2, "corroborated").otherwise("single").alias("label")
     )
 
@@ -74,4 +78,6 @@ def spillover(df: DataFrame, terms: DataFrame, id_col: str, country: str, text:
 
 
 def risk_level(confirmed_severe: Column, top: Column, n: Column) -> Column:
-    return F.when((confirmed_severe >= 3) | ((confirmed_severe >= 1) & (top >= 95)), "HIGH").when((confirmed_severe >= 1) | (top >= 80) | (n >= 10), "ELEVATED").when(n >= 3, "MODERATE").otherwise("LOW")
+    """Of a country's clusters: those both severe and corroborated, the highest severity, and their number."""
+    first = F.when((confirmed_severe >= 3) | ((confirmed_severe >= 2) & (n >= 10)), RISK[0])
+    return first.when((confirmed_severe >= 1) | (top >= SEVERE), RISK[1]).when((top >= 64) | ((top >= 60) & (n >= 5)), RISK[2]).otherwise(RISK[3])

@@ -9,13 +9,15 @@ from ..params import Scoring, Vocabulary
 
 
 def credibility(df: DataFrame, domain: str, table: DataFrame, unknown: float = 0.6) -> DataFrame:
-    """credibility of each row's domain: its own entry, else of the nearest parent domain listed, else `unknown`. table: (parent, score), distinct parents.
+    """credibility of each row's domain: its own entry, else that of the parent domain listed first, else `unknown`. table: (parent, score, place), distinct parents, place their order in the list.
 
     Each distinct domain is split into its suffixes, which are joined by equality.
     """
-    part = F.split(F.col(domain), r"\.")
-    tails = df.select(domain).where(F.col(domain).isNotNull()).distinct().select(domain, F.posexplode(F.transform(F.sequence(F.lit(1), F.size(part)), lambda i: F.array_join(F.slice(part, i, F.size(part)), "."))))
-    best = tails.join(table, F.col("col") == F.col("parent")).groupBy(domain).agg(F.min_by("score", "pos").alias("credibility"))
+    names = df.select(domain).where(F.col(domain).isNotNull()).distinct()
+    dot = names.select(domain, F.explode(F.sequence(F.lit(1), F.size(F.split(domain, r"\.")))).alias("i"))
+    tails = dot.select(domain, F.expr(f"substring_index(`{domain}`, '.', -i)").alias("tail"))
+    own = F.when(F.col("tail") == F.col(domain), -1).otherwise(F.col("place"))
+    best = tails.join(table, F.col("tail") == F.col("parent")).groupBy(domain).agg(F.min_by("score", own).alias("credibility"))
     return df.join(best, domain, "left").withColumn("credibility", F.coalesce("credibility", F.lit(unknown)))
 
 
@@ -80,4 +82,4 @@ def latest_per(df: DataFrame, key: str, *order: Column) -> DataFrame:
 
 
 def vocabulary_table(spark, v: Vocabulary = Vocabulary()) -> DataFrame:
-    return spark.createDataFrame(sorted(v.credibility.items()), "parent string, score double")
+    return spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(v.credibility.items())], "parent string, score double, place int")

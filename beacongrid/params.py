@@ -10,6 +10,44 @@ FRESH = ("same_day", "previous_day")
 NOT_NEWS = ("followup", "roundup", "commentary")
 
 
+# Markers of prompts in scraped text, by regular expression, in any case.
+INJECTIONS = (r"\[INST\]", r"<\|system\|>", r"<\|user\|>", r"<\|assistant\|>", "IGNORE PREVIOUS INSTRUCTIONS", "FORGET ALL PRIOR", "YOU ARE NOW", "SYSTEM OVERRIDE")
+
+# Shapes of headlines that report on what is already known, as (kind, all of which must match, none of which may). The first kind that fits names it.
+# The first two are labels: they are sought in the headline without its publisher.
+AFTERMATH = (
+    ("desk_label", (r"(?i)^[^:]{0,70}\b(latest|live|updates?|timeline|recap|roundup)\b(\s+(news|live|updates?|blog|coverage|briefing))*\s*:",), ()),
+    ("war_diary", (r"(?i)^[^:]{0,50}\bday\s+\d[\d,]{0,6}\b[^:]{0,20}:",), ()),
+    ("retrospective", (r"(?i)\b(one|two|three|four|five|\d+)\s+(week|month|year|day)s?\s+(later|after|since)\b",), ()),
+    ("explainer", (r"(?i)\b(what we know|as it happened|key moments|explainer)\b",), ()),
+    ("probe", (r"(?i)(expands? probe|probe into|investigation into|inquiry into)",), ()),
+    ("arrest_for_earlier_incident", (r"(?i)\b(suspects?|men|man|woman|women|teen|teenager|youth|driver|student|person|individual|resident|worker|diver|soldier|two|three|four|five|six|seven|eight|nine|ten|\d{1,3})\b(\s+\S+){0,3}\s+\b(arrested|detained|in custody|taken into custody)\b(\s+\S+){0,3}\s+\b(in|over|after|following|for)\b(\s+\S+){0,8}?\s*\b(shooting|killing|murder|homicide|stabbing|bombing|blast|blasts|explosion|explosions|crash|assault|kidnapping|abduction|arson)\b|^(\w+\s+){0,2}arrests?\s+(made\s+)?(after|over|in connection with)\b",), ()),
+    ("judicial", (r"(?i)\b(charged|sentenced|convicted|indicted|pleads? guilty|on trial)\b|\bcharges\s+(\w+[- ]){1,3}(over|with|in connection)\b",), ()),
+    ("resolution", (r"(?i)(safely rescued|released hostage|freed after|reopens? after|to demolish)",), ()),
+    ("post_mortem", (r"(?i)\b(autops(y|ies)|post-?mortem)\b",), ()),
+    ("toll_revision", (r"(?i)\b(death|casualty|injury)\s+toll\b(\s+\S+){0,3}\s+(rises?|climbs?|reaches|jumps?|updated|revised|up\s+(to|by))\b|\btoll\s+(rises?|climbs?|jumps?)\s+to\b",), ()),
+    ("remains_recovery", (r"(?i)\b(bodies|body|remains)\b(\s+of)?(\s+\S+){0,5}\s+\b(recovered|repatriated|identified|exhumed|handed over)\b",), ()),
+    ("burial", (r"(?i)\b(funerals?|mourners|laid to rest|buried in|burial (of|for))\b",), (r"(?i)\b(attack|strike|bomb\w*|shell\w*|blast|fire|shooting|hits?|targets?|struck|kill\w*)\b(\s+\S+){0,3}\s+(on|at|of)?\s*(the\s+)?(funeral|mourners|procession)\b",)),
+)
+LABELS = ("desk_label", "war_diary")
+
+# Causes of accidents, in the same form; event types that say nothing about the cause; what exempts a headline.
+ACCIDENTS = (
+    ("natural", (r"(?i)\b(earthquakes?|quakes?|aftershocks?|tsunami|volcanic|flood\w*|torrential|downpours?|landslides?|mudslides?|avalanche|wildfire\w*|bushfire\w*|typhoons?|hurricanes?|cyclones?|monsoon)\b",), ()),
+    ("crowd_crush", (r"(?i)\b(stampede|crowd crush)\b",), ()),
+    ("transport_accident", (r"(?i)\b(bus(es)?|coach|truck|lorry|cars?|van|minibus|train|tram|ferry|boat|vessel)\b", r"(?i)\b(crash\w*|collision|collided|overturn\w*|derail\w*|capsiz\w*|plunge[sd]?|veers? off|rolls? into|accident)\b"), ()),
+    ("structural_collapse", (r"(?i)\b(tunnel|building|bridge|mine|scaffolding)\s+collapse\b",), ()),
+    ("industrial", (r"(?i)\bgas leak\b",), ()),
+)
+ANY_CAUSE = ("mass_casualty_event", "civilian_casualties")
+AVIATION_NEXUS = r"(?i)\b(airports?|airlines?|flights?|aircraft|planes?|airplanes?|helicopters?|airspace|runways?|aviation)\b"
+HOSTILE_CONTEXT = r"(?i)\b(airstrikes?|strikes?|struck|attacks?|bomb\w*|shell\w*|shooting|shot|gunmen|gunman|missiles?|drones?|terror\w*|ambush|blast|ied|militants?|insurgents?|troops)\b"
+
+# Risk levels of a country, the highest first, and the severity from which an event is severe.
+RISK = ("Kritik", "Yüksek", "Yükseltilmiş", "Normal")
+SEVERE = 71
+
+
 @dataclass(frozen=True)
 class Tension:
     """Weights of the tension index; fixed values."""
@@ -41,6 +79,8 @@ class Tier:
 
 @dataclass(frozen=True)
 class Alerts:
+    """Fixed values."""
+
     ladder: tuple[Tier, ...] = (
         Tier("CRITICAL", 80, 0.62, located=True, fresh=True),
         Tier("ALERT", 65, 0.50, located_or_fresh=True),
@@ -52,10 +92,13 @@ class Alerts:
     corroboration_floor: int = 2
     suppression_hours: int = 4
     quiet_hours: int = 12
+    stale_days: int = 30
 
 
 @dataclass(frozen=True)
 class Scoring:
+    """Points and caps of severity, weights of confidence; fixed values."""
+
     base: int = 20
     proximity: int = 30
     restricted_zone: int = 20
@@ -75,6 +118,8 @@ class Scoring:
 
 @dataclass(frozen=True)
 class Linking:
+    """Thresholds and windows of storylines; fixed values."""
+
     jaccard: float = 0.4
     days: int = 14
     assist: float = 0.2
@@ -100,7 +145,7 @@ class Vocabulary:
     aviation: str = "airport|flight|airline|runway|airspace"
     disruption: str = "cancel(?:s|ed|led)?|divert(?:s|ed)?|ground(?:s|ed)?|clos(?:es|ed|ure)|suspend(?:s|ed)?"
     casualties: str = "killed|dead|kills|injured|wounded"
-    injections: tuple[str, ...] = ("ignore (?:all )?previous instructions", "disregard the above", "system prompt")
+    injections: tuple[str, ...] = INJECTIONS
     stop_words: tuple[str, ...] = ("the", "a", "an", "at", "in", "on", "of", "to", "and", "or", "near", "update")
     shared_words: tuple[str, ...] = ("sector", "north", "south")
     credibility: dict[str, float] = field(default_factory=lambda: {"src0.example.com": 0.95, "src1.example.com": 0.85, "src2.example.com": 0.8, "src3.example.com": 0.7, "example.com": 0.65})

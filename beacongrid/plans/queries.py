@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, text
 from ..operators import alerts, forecast, ingest, lifecycle, linking, reports, scoring
-from ..params import Vocabulary
+from ..params import ACCIDENTS, AFTERMATH, ANY_CAUSE, AVIATION_NEXUS, HOSTILE_CONTEXT, INJECTIONS, LABELS, RISK, SEVERE, Vocabulary
 from .bindings import ARTICLES, AS_OF, AS_OF_MICROS, articles, incidents, incidents_sql, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,7 +49,12 @@ def b(alternation: str) -> str:
 # ---- text ----
 
 
-@query(r"SELECT page_id, md5(trim(regexp_replace(regexp_replace(html, '</?[a-zA-Z][^>]*>', ' ', 'g'), '[ \t\n\f\r\x0B]+', ' ', 'g'))) AS canonical_md5 FROM pages")
+_CLEAN = "regexp_replace(html, '</?[a-zA-Z][^>]*>', ' ', 'g')"
+for _p in INJECTIONS:
+    _CLEAN = f"regexp_replace({_CLEAN}, '(?i){_p}', '', 'g')"
+
+
+@query(rf"SELECT page_id, md5(trim(regexp_replace({_CLEAN}, '[ \t\n\f\r\x0B]+', ' ', 'g'))) AS canonical_md5 FROM pages")
 def canonicalize(spark, d):
     return read(spark, d, "pages").select("page_id", F.md5(text.canonical("html")).alias("canonical_md5"))
 
@@ -132,9 +137,20 @@ def prescreen(spark, d):
     return incidents(spark, d).select("id", lifecycle.next_status(F.col("status"), F.col("severity")).alias("status"))
 
 
-_TITLE = r"regexp_replace(title, '\s+[-|–—]\s+[^-|–—]*$', '')"
-_AFTER = "CASE " + " ".join(f"WHEN regexp_matches({_TITLE}, '{p}') THEN '{k}'" for k, p in text.AFTERMATH) + " END"
-_CAUSE = f"CASE WHEN event_type NOT IN ('runway_incursion', 'airspace_restriction') AND NOT {_HAS('attack|bomb|drone|missile|shooting')} THEN CASE " + " ".join(f"WHEN regexp_matches(title, '{p}') THEN '{k}'" for k, p in text.ACCIDENTS) + " END END"
+_TITLE = r"trim(regexp_replace(title, '\s+[-|–—]\s+[^-|–—]*$', ''))"
+
+
+def _kinds(kinds, labels=()) -> str:
+    """The CASE that names the first kind whose patterns fit."""
+    at = lambda k, p: f"regexp_matches({_TITLE if k in labels else 'title'}, '{p}')"
+    return "CASE " + " ".join("WHEN " + " AND ".join([at(k, p) for p in need] + [f"NOT {at(k, p)}" for p in never]) + f" THEN '{k}'" for k, need, never in kinds) + " END"
+
+
+#: A kind of event that says nothing about its cause, for every second incident.
+_CASUALTY = "CASE WHEN id % 2 = 0 THEN 'mass_casualty_event' ELSE event_type END"
+_AFTER = _kinds(AFTERMATH, LABELS)
+_CAUSE_OF = lambda kind: f"CASE WHEN {kind} IN {ANY_CAUSE} AND NOT regexp_matches(title, '{AVIATION_NEXUS}') AND NOT regexp_matches(title, '{HOSTILE_CONTEXT}') THEN {_kinds(ACCIDENTS)} END"
+_CAUSE = _CAUSE_OF("event_type")
 
 
 @query(f"WITH {I} SELECT id, {_AFTER} AS kind FROM incidents")
@@ -142,9 +158,9 @@ def aftermath_kind(spark, d):
     return incidents(spark, d).select("id", text.aftermath("title").alias("kind"))
 
 
-@query(f"WITH {I} SELECT id, {_CAUSE} AS kind FROM incidents")
+@query(f"WITH {I} SELECT id, {_CAUSE_OF(_CASUALTY)} AS kind FROM incidents")
 def accidental_cause(spark, d):
-    return incidents(spark, d).select("id", text.accidental_cause("title", "event_type").alias("kind"))
+    return incidents(spark, d).select("id", text.accidental_cause("title", F.expr(_CASUALTY)).alias("kind"))
 
 
 @query(f"WITH {I} SELECT id, regexp_extract(lower(url), '^[a-z]+://(?:www\\.)?([^/?#:]+)', 1) IN ('src3.example.com') OR len(string_split(title, '|')) > 3 OR regexp_matches(url, '/[0-9a-f]{{24,}}(?:[/?#]|$)') AS farm FROM incidents")
@@ -195,11 +211,15 @@ def page_date(spark, d):
 SQL["page_date"] = f"WITH {I} SELECT id, CASE id % 4 WHEN 0 THEN concat('2024-01-', lpad(CAST(id % 28 + 1 AS VARCHAR), 2, '0')) WHEN 1 THEN '2024-01-09' WHEN 2 THEN '2024-01-11' END AS day FROM incidents"
 
 
-@query(f"WITH {I} SELECT id, CASE WHEN id % 3 = 0 THEN CAST(CAST(published_at AS DATE) AS VARCHAR) ELSE CAST(CAST(published_at AS DATE) - 100 AS VARCHAR) END AS day FROM incidents WHERE day(published_at) <= 28")
+#: Every third time has a stale year, every third is of another season and is given up, all others are of the day before their publication.
+_REPAIR = "CASE id % 3 WHEN 0 THEN published_at WHEN 2 THEN published_at - INTERVAL 1 DAY END"
+
+
+@query(f"WITH {I} SELECT id, strftime({_REPAIR}, '%Y-%m-%d %H:%M:%S') AS at FROM incidents WHERE published_at <= TIMESTAMP '{AS_OF}' AND published_at - INTERVAL 1 DAY >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY")
 def year_repair(spark, d):
-    e = incidents(spark, d).withColumn("p", F.to_date("published_at")).where(F.dayofmonth("p") <= 28)
-    claimed = F.when(F.col("id") % 3 == 0, F.add_months("p", -24)).otherwise(F.date_sub("p", 100))
-    return e.select("id", text.repaired_year(claimed, F.col("p")).cast("string").alias("day"))
+    e = incidents(spark, d).where(f"published_at <= {NOW} and published_at - INTERVAL 1 DAY >= {NOW} - INTERVAL 30 DAYS")
+    claimed = F.expr("CASE id % 3 WHEN 0 THEN published_at - make_dt_interval(datediff(to_date(published_at), add_months(to_date(published_at), -24))) WHEN 1 THEN published_at - INTERVAL 100 DAYS ELSE published_at - INTERVAL 1 DAY END")
+    return e.select("id", F.date_format(text.repaired_year(claimed, F.col("published_at"), now()), "yyyy-MM-dd HH:mm:ss").alias("at"))
 
 
 _PROP = "CASE WHEN event_id % 3 = 0 THEN 'high' WHEN event_id % 3 = 1 THEN props ELSE CAST(event_id % 150 AS STRING) END"
@@ -314,11 +334,21 @@ def corroborate(spark, d):
 
 @query(rf"""WITH w AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}\p{{M}}_\s]', '', 'g'), '\s+', ' ', 'g')), ' '), lambda x: x <> '') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 4 THEN w ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM w), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
-i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2)
-SELECT a, b, round(c / CAST(p.n + q.n - c AS DOUBLE), 6) AS similarity FROM i JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE c / CAST(p.n + q.n - c AS DOUBLE) >= 0.4""")
+i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+e AS (SELECT a, count(*) AS n_links, min(b) FILTER (c = p.n AND c = q.n) AS twin FROM i JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE c / CAST(p.n + q.n - c AS DOUBLE) >= 0.4 GROUP BY a)
+SELECT doc_id, least(doc_id, coalesce(twin, doc_id)) AS class_id, coalesce(n_links, 0) AS n_links FROM documents LEFT JOIN e ON a = doc_id""")
 def near_dup_shingles(spark, d):
     body = F.trim(F.regexp_replace(F.regexp_replace(F.lower("body"), text.NOT_WORD, ""), r"\s+", " "))
-    return ingest.similar_pairs(articles(spark, d), "doc_id", body, 0.4).select("a", "b", r6("similarity", "similarity"))
+    return ingest.link_counts(*ingest.similar_classes(articles(spark, d), "doc_id", body, 0.4)).withColumnRenamed("id", "doc_id")
+
+
+@query(None)
+def duplicate_of(spark, d):
+    """Incoming: the second half of incidents; the pool: the newest 2000 of the first, with their place."""
+    e = incidents(spark, d).select("id", "title", F.concat_ws(" ", "title", "hint").alias("body"), F.col("hint").alias("place"), "ingested_at")
+    half = e.agg(F.expr("percentile_approx(ingested_at, 0.5)").alias("half"))
+    e = e.join(F.broadcast(half))  # one row
+    return ingest.duplicates_of(e.where("ingested_at > half"), e.where("ingested_at <= half"), "id", [F.desc("ingested_at"), F.desc("id")], _PLACES)
 
 
 @query(f"""WITH {I}, g AS (SELECT storyline, count(*) AS n, max(severity) AS top, max(occurred_at) AS last FROM incidents WHERE occurred_at BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL 14 DAY AND TIMESTAMP '{AS_OF}' GROUP BY 1 HAVING count(*) >= 2)
@@ -433,6 +463,18 @@ def suppression(spark, d):
     return alerts.suppressed(e, "country", "id", "t", "r")
 
 
+@query(None)
+def two_key_claims(spark, d):
+    """Every seventh delivery fails."""
+    key, geo = alerts.suppression_keys(F.col("storyline"), F.col("id").cast("string"), F.col("anchor"), F.col("country_iso"), F.col("hint"))
+    return alerts.two_key_claims(incidents(spark, d).select("id", "t", alerts.rank(F.col("alert_tier")).alias("rank"), key.alias("key"), geo.alias("geo"), (F.col("id") % 7 != 0).alias("sent")))
+
+
+@query(f"WITH {I} SELECT id, ingested_at - INTERVAL 10 DAY >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY AS fresh FROM incidents")
+def alert_freshness(spark, d):
+    return incidents(spark, d).select("id", alerts.fresh_enough(F.col("ingested_at") - F.expr("INTERVAL 10 DAYS"), now()).alias("fresh"))
+
+
 @query(f"""WITH {I}, r AS (SELECT id, storyline, t, CASE alert_tier WHEN 'CRITICAL' THEN 3 WHEN 'ALERT' THEN 2 WHEN 'WATCH' THEN 1 ELSE 0 END AS r FROM incidents WHERE t IS NOT NULL)
 SELECT id, max(r) OVER w AS peak, coalesce(r > max(r) OVER (PARTITION BY storyline ORDER BY t, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS escalated FROM r WHERE r > 0 WINDOW w AS (PARTITION BY storyline ORDER BY t, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def escalation(spark, d):
@@ -495,16 +537,18 @@ def linking_pool(spark, d):
     return scoring.latest_per(e, "storyline", F.desc("t"), F.desc("id")).select("id", "storyline")
 
 
-_PAIRS = f"""nw AS (SELECT *, row_number() OVER (PARTITION BY storyline ORDER BY t DESC, id DESC) AS k FROM tk WHERE t IS NOT NULL),
-p AS (SELECT a.id AS a_id, b.id AS b_id, abs(a.t - b.t) AS gap, a.anchor = b.anchor AS same, len(list_intersect(a.s, b.s)) / CAST(len(list_distinct(list_concat(a.s, b.s))) AS DOUBLE) AS sim, list_intersect(a.u, b.u) AS sh, len(list_intersect(a.u, b.u)) / CAST(least(len(a.u), len(b.u)) AS DOUBLE) AS con
-  FROM nw a JOIN nw b ON a.country_iso = b.country_iso AND a.id < b.id WHERE a.k = 1 AND b.k = 1),
-lk AS (SELECT a_id, b_id, sim FROM p WHERE gap <= {14 * 24 * H} AND ((sim > 0.4 AND len(list_filter(sh, lambda x: x <> 'sector')) > 0) OR (gap <= {72 * H} AND len(sh) >= 2 AND len(list_filter(sh, lambda x: x <> 'sector')) >= 1 AND con >= 0.5) OR (coalesce(same, false) AND (gap <= {72 * H} OR sim >= 0.2))))"""
+#: A country that every thirteenth row lacks, and a place that every third has.
+_LAND = "CASE WHEN id % 13 <> 0 THEN country_iso END"
+_SPOT = "CASE WHEN id % 3 = 0 THEN concat('P', CAST(CAST(substr(storyline, 3) AS INT) % 17 AS STRING)) END"
+_PAIRS = f"""nw AS (SELECT *, {_LAND} AS land, {_SPOT} AS spot, row_number() OVER (PARTITION BY storyline ORDER BY t DESC, id DESC) AS k FROM tk WHERE t IS NOT NULL),
+p AS (SELECT a.id AS a_id, b.id AS b_id, abs(a.t - b.t) AS gap, a.anchor = b.anchor AS same, a.spot = b.spot AS near, len(list_intersect(a.s, b.s)) / CAST(len(list_distinct(list_concat(a.s, b.s))) AS DOUBLE) AS sim, list_intersect(a.u, b.u) AS sh, len(list_intersect(a.u, b.u)) / CAST(least(len(a.u), len(b.u)) AS DOUBLE) AS con
+  FROM nw a JOIN nw b ON coalesce(a.land = b.land, true) AND a.id < b.id WHERE a.k = 1 AND b.k = 1),
+lk AS (SELECT a_id, b_id, sim FROM p WHERE gap <= {14 * 24 * H} AND ((sim > 0.4 AND len(list_filter(sh, lambda x: x <> 'sector')) > 0) OR (gap <= {72 * H} AND len(sh) >= 2 AND len(list_filter(sh, lambda x: x <> 'sector')) >= 1 AND con >= 0.5) OR (coalesce(same, false) AND (gap <= {72 * H} OR sim >= 0.2)) OR (NOT coalesce(same, false) AND coalesce(near, false) AND sim >= 0.2)))"""
 
 
 def _linked(spark, d):
-    e = linking.with_tokens(_newest(spark, d).drop("country").withColumnRenamed("country_iso", "country"), "hint").withColumn("place", F.lit(None).cast("string"))
-    key = lambda c: F.transform(c, lambda x: F.concat_ws("|", F.col("country"), x))
-    pairs = linking.candidate_pairs(e, "id", [key(F.col("unigrams")), key(F.array(F.upper("anchor")))])
+    e = linking.with_tokens(_newest(spark, d).withColumn("country", F.expr(_LAND)), "hint").withColumn("place", F.expr(_SPOT))
+    pairs = linking.candidate_pairs(e, "id", [F.col("unigrams"), F.array(F.concat(F.lit("@"), F.upper("anchor")), F.concat(F.lit("#"), F.col("place")))])
     return pairs.where(linking.linked("a", "b")).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), text.jaccard(F.col("a.tokens"), F.col("b.tokens")).alias("similarity"))
 
 
@@ -669,9 +713,14 @@ def event_window(spark, d):
     return reports.in_window(incidents(spark, d), now(), 48).select("id")
 
 
-@query(f"WITH {I}, g AS (SELECT country_iso, count(*) AS n, max(severity) AS top, count(*) FILTER (regexp_matches(lower(title), 'hostage')) AS matching FROM incidents GROUP BY country_iso HAVING count(*) >= 20 OR max(severity) >= 80 OR count(*) FILTER (regexp_matches(lower(title), 'hostage')) > 0) SELECT country_iso, n, top, matching FROM g ORDER BY country_iso IN ('N1', 'N2') DESC, n DESC, country_iso LIMIT 5")
+_SCORED = "status IN ('scored', 'reconciled', 'archived')"
+
+
+@query(f"""WITH {I}, g AS (SELECT country_iso, count(*) AS n, max(severity) AS top, count(*) FILTER (status <> 'archived' AND {_FLIGHT}) AS matching FROM incidents WHERE {_SCORED} AND country_iso IS NOT NULL AND severity IS NOT NULL GROUP BY country_iso)
+SELECT country_iso, n, top, matching FROM g WHERE n >= 3 OR top >= 80 OR matching >= 1 ORDER BY (top >= 80 OR matching >= 1) DESC, n DESC, country_iso LIMIT 5""")
 def country_selection(spark, d):
-    return reports.country_selection(incidents(spark, d), "country_iso", "severity", "title", "hostage", ["N1", "N2"]).select("country_iso", "n", "top", "matching")
+    disrupted = (F.col("status") != "archived") & text.flight_disruption("title")
+    return reports.country_selection(incidents(spark, d).where(_SCORED), "country_iso", "severity", disrupted).select("country_iso", "n", "top", "matching")
 
 
 _DOM = "CASE WHEN id % 9 = 0 THEN 'news.gov.example' WHEN id % 9 = 1 THEN 'state.example' ELSE domain END"
@@ -682,10 +731,16 @@ def official_domain(spark, d):
     return incidents(spark, d).select("id", reports.official(F.expr(_DOM), state_media={"state.example": "N3"}, country=F.col("country_iso")).alias("official"))
 
 
-@query(f"WITH {I}, g AS (SELECT storyline, max(CAST(id % 9 = 0 AS INT)) AS o, count(DISTINCT CASE WHEN domain <> 'news.src3.example.com' THEN domain END) AS n FROM (SELECT id, storyline, {_DOM} AS domain FROM incidents WHERE id % 5 = 0) GROUP BY storyline) SELECT storyline, n AS n_independent, CASE WHEN o = 1 THEN 'official' WHEN n >= 2 THEN 'corroborated' ELSE 'single' END AS label FROM g")
+_SOLE = "CASE WHEN CAST(substr(storyline, 3) AS INT) % 3 = 0 THEN 'news.src3.example.com' ELSE domain END"
+
+
+@query(f"""WITH {I}, s AS (SELECT storyline, {_DOM.replace('domain END', _SOLE + ' END')} AS domain FROM incidents), g AS (SELECT storyline, max(CAST(domain = 'news.gov.example' AND CAST(substr(storyline, 3) AS INT) % 2 = 0 AS INT)) AS o,
+  count(DISTINCT CASE WHEN domain <> 'news.src3.example.com' AND NOT (domain = 'news.gov.example' AND CAST(substr(storyline, 3) AS INT) % 2 = 1) THEN regexp_extract(domain, '([^.]+[.][^.]+)$', 1) END) AS n FROM s GROUP BY storyline)
+SELECT storyline, n AS n_independent, CASE WHEN o = 1 THEN 'official' WHEN n >= 2 THEN 'corroborated' ELSE 'single' END AS label FROM g""")
 def verification_label(spark, d):
-    e = incidents(spark, d).where("id % 5 = 0").withColumn("domain", F.expr(_DOM))
-    return reports.verification(e, "storyline", "domain", reports.official(F.col("domain")), F.col("domain") == "news.src3.example.com")
+    e = incidents(spark, d).withColumn("domain", F.expr(_SOLE)).withColumn("domain", F.expr(_DOM))
+    penalized = (F.col("domain") == "news.src3.example.com") | ((F.col("domain") == "news.gov.example") & (F.substring("storyline", 3, 9).cast("int") % 2 == 1))
+    return reports.verification(e, "storyline", "domain", reports.official(F.col("domain")), penalized)
 
 
 _PL = "CASE WHEN id % 4 = 0 THEN country_iso ELSE concat('sector ', CAST(CAST(substr(storyline, 3) AS INT) % 30 AS STRING)) END"
@@ -731,10 +786,11 @@ def spillover(spark, d):
     return reports.spillover(incidents(spark, d), terms, "id", "country_iso", "title")
 
 
-@query(f"WITH {I}, g AS (SELECT country, count(*) FILTER (severity >= 80 AND n_corroborating >= 2) AS c, max(severity) AS m, count(DISTINCT storyline) AS n FROM incidents GROUP BY country) SELECT country, CASE WHEN c >= 3 OR (c >= 1 AND m >= 95) THEN 'HIGH' WHEN c >= 1 OR m >= 80 OR n >= 10 THEN 'ELEVATED' WHEN n >= 3 THEN 'MODERATE' ELSE 'LOW' END AS level FROM g")
+@query(f"""WITH {I}, g AS (SELECT country, event_type, count(*) FILTER (severity >= {SEVERE} AND n_corroborating >= 2) AS c, max(severity) AS m, count(DISTINCT storyline) AS n FROM incidents GROUP BY country, event_type)
+SELECT country, event_type, CASE WHEN c >= 3 OR (c >= 2 AND n >= 10) THEN '{RISK[0]}' WHEN c >= 1 OR m >= {SEVERE} THEN '{RISK[1]}' WHEN m >= 64 OR (m >= 60 AND n >= 5) THEN '{RISK[2]}' ELSE '{RISK[3]}' END AS level FROM g""")
 def risk_level(spark, d):
-    g = incidents(spark, d).groupBy("country").agg(F.count_if((F.col("severity") >= 80) & (F.col("n_corroborating") >= 2)).alias("c"), F.max("severity").alias("m"), F.countDistinct("storyline").alias("n"))
-    return g.select("country", reports.risk_level(F.col("c"), F.col("m"), F.col("n")).alias("level"))
+    g = incidents(spark, d).groupBy("country", "event_type").agg(F.count_if((F.col("severity") >= SEVERE) & (F.col("n_corroborating") >= 2)).alias("c"), F.max("severity").alias("m"), F.countDistinct("storyline").alias("n"))
+    return g.select("country", "event_type", reports.risk_level(F.col("c"), F.col("m"), F.col("n")).alias("level"))
 
 
 @query(f"WITH {I} SELECT id, CASE lower(concat('Sector ', CAST(id % 20 AS VARCHAR))) WHEN 'sector 1' THEN 'first' ELSE concat('sector ', CAST(id % 20 AS VARCHAR)) END AS place FROM incidents")

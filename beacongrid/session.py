@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -16,3 +17,14 @@ def reachable(spark: SparkSession) -> SparkSession:
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
     return spark
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df, computed once: a checkpoint in spark.checkpoint.dir, which all nodes share. Where that is unset, a temporary folder on a single machine; on a cluster that is an error."""
+    sc = df.sparkSession.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        named = sc.getConf().get("spark.checkpoint.dir", None)
+        if not named and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="beacongrid-"))
+    return df.checkpoint()

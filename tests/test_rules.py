@@ -1,11 +1,16 @@
 """Rules that SQL doesn't say, against plain Python; order and partitions don't matter; streams equal batches."""
 
+import difflib
+import math
+import random
+import time
+
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from beacongrid.functions import fuzzy, text
-from beacongrid.operators import alerts, ingest, linking
+from beacongrid.operators import alerts, ingest, linking, reports
 from beacongrid.plans.bindings import incidents
 from beacongrid.sources import feeds, ports
 from beacongrid.streaming import state
@@ -25,8 +30,19 @@ def one(spark, column, **values):
         ("At least 7 killed in latest strikes", None),
         ("Siege, day 1,628: drones over the port", "war_diary"),
         ("Two killed on day 2 of protests", None),
-        ("Two years after the raid", "anniversary"),
-        ("Man charged over blast", "court"),
+        ("Two years after the raid", "retrospective"),
+        ("Man charged over blast", "judicial"),
+        ("Troops planted charges under the bridge", None),
+        ("Suspect arrested in July shooting that killed teen", "arrest_for_earlier_incident"),
+        ("113 arrested after protest turns violent", None),
+        ("Autopsy conducted on shooting suspect", "post_mortem"),
+        ("Casualty toll in the north up by 1,240 over past day", "toll_revision"),
+        ("Body recovered from rubble after airstrike", "remains_recovery"),
+        ("Thousands attend funeral of slain officer", "burial"),
+        ("Strike on funeral procession wounds 12", None),
+        ("Hostages safely rescued after raid", "resolution"),
+        ("What we know about the raid", "explainer"),
+        ("Inquiry into the raid opens", "probe"),
         ("Harbor shelled | Live: Gazette", None),
     ],
 )
@@ -34,6 +50,127 @@ def test_aftermath(spark, title, kind):
     assert one(spark, text.aftermath("t"), t=title) == kind
 
 
+@pytest.mark.parametrize(
+    ("title", "kind", "want"),
+    [
+        ("Bus overturns on highway, 4 dead", "mass_casualty_event", "transport_accident"),
+        ("Bus stop opens", "mass_casualty_event", None),
+        ("Drone crashes into bus stop", "mass_casualty_event", None),
+        ("Floods leave 30 dead", "civilian_casualties", "natural"),
+        ("Floods strand 7,000 at airport", "civilian_casualties", None),
+        ("Floods leave 30 dead", "missile_strike", None),
+        ("Stampede at stadium", "mass_casualty_event", "crowd_crush"),
+        ("Mine collapse traps ten", "mass_casualty_event", "structural_collapse"),
+        ("Gas leak kills six", "mass_casualty_event", "industrial"),
+    ],
+)
+def test_accidental_cause(spark, title, kind, want):
+    assert one(spark, text.accidental_cause("t", "k"), t=title, k=kind) == want
+
+
+def test_year_repair(spark):
+    as_of = F.expr("TIMESTAMP_NTZ '2026-01-05 00:00:00'")
+    cases = [
+        ("2024-12-31 10:00:00", "2026-01-02 09:00:00", "2025-12-31 10:00:00"),  # across New Year, and the last day of a month stays
+        ("2024-01-01 00:00:00", "2026-01-02 00:00:00", "2026-01-01 00:00:00"),
+        ("2023-12-26 00:00:00", "2026-01-02 00:00:00", None),  # a real anniversary
+        ("2025-12-20 00:00:00", "2026-01-02 00:00:00", "2025-12-20 00:00:00"),  # sane as it is
+        ("2024-02-29 00:00:00", "2026-01-02 00:00:00", None),
+        ("2026-03-01 00:00:00", "2026-01-02 00:00:00", None),
+    ]
+    df = spark.createDataFrame([(a, b) for a, b, _ in cases], "a string, b string").select(F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
+    assert [None if r["x"] is None else str(r["x"]) for r in df.select(text.repaired_year("a", "b", as_of).alias("x")).collect()] == [w for *_, w in cases]
+
+
+@pytest.mark.parametrize(("severe", "top", "n", "want"), [(3, 71, 3, "Kritik"), (2, 71, 10, "Kritik"), (2, 71, 9, "Yüksek"), (0, 100, 1, "Yüksek"), (0, 70, 1, "Yükseltilmiş"), (0, 63, 5, "Yükseltilmiş"), (0, 63, 4, "Normal"), (0, 59, 99, "Normal")])
+def test_risk_level(spark, severe, top, n, want):
+    assert one(spark, reports.risk_level(F.col("c"), F.col("m"), F.col("n")), c=severe, m=top, n=n) == want
+
+
+def test_penalized_sources_make_nothing_official(spark):
+    df = spark.createDataFrame([("a", "x.gov"), ("b", "www.p.example"), ("b", "q.p.example"), ("b", "bad.example"), ("c", "x.gov"), ("c", "p.example"), ("c", "r.example")], "k string, d string")
+    got = reports.verification(df, "k", "d", reports.official(F.col("d")), (F.col("d") == "bad.example") | ((F.col("d") == "x.gov") & (F.col("k") == "a")))
+    assert {r["k"]: (r["n_independent"], r["label"]) for r in got.collect()} == {"a": (0, "single"), "b": (1, "single"), "c": (3, "official")}
+
+
+def test_nearby_goes_round_the_globe_and_over_poles(spark):
+    rng = random.Random(8)
+    at = lambda: (rng.choice([rng.uniform(-90, 90), rng.uniform(80, 90), rng.uniform(-1, 1)]), rng.choice([rng.uniform(-180, 180), rng.uniform(179, 180), rng.uniform(-180, -179)]))
+    points, places = [(i, *at()) for i in range(150)] + [(900, 0.0, 179.95)], [(i, *at(), 1) for i in range(150)] + [(901, 0.0, -179.95, 1)]
+
+    def km(a, b):
+        p, q, d = math.radians(a[1]), math.radians(b[1]), math.radians(b[2] - a[2])
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(d / 2) ** 2
+        return 2 * 6371.0 * math.atan2(math.sqrt(h), math.sqrt(max(1 - h, 0.0)))
+
+    a, b = spark.createDataFrame(points, "id long, lat double, lon double"), spark.createDataFrame(places, "place_id long, lat double, lon double, tier int")
+    for radius in (50.0, 700.0):
+        got = {(r["id"], r["place_id"]) for r in linking.nearby(a, b, radius, 1000).collect()}
+        assert got == {(p[0], q[0]) for p in points for q in places if km(p, q) <= radius} and (900, 901) in got
+
+
+def test_missing_country_meets_every_country(spark):
+    df = spark.createDataFrame([(1, 0, "A"), (2, 0, None), (3, 0, "B"), (4, 0, None)], "id long, t long, country string").withColumn("hint", F.lit("zebra kiosk")).withColumn("anchor", F.lit(None).cast("string")).withColumn("place", F.lit(None).cast("string"))
+    pairs = linking.candidate_pairs(linking.with_tokens(df, "hint"), "id", [F.col("unigrams")])
+    assert sorted((r["x"], r["y"]) for r in pairs.where(linking.linked("a", "b")).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).collect()) == [(1, 2), (1, 4), (2, 3), (2, 4), (3, 4)]
+
+
+def test_duplicates_equal_brute_force(spark):
+    rng = random.Random(3)
+    places = {"kyiv": None, "lviv": None}
+    word = lambda: rng.choice("strike hits port ship fire crew kyiv lviv dock harbour dawn".split())
+    rows = [(i, " ".join(word() for _ in range(rng.randint(0, 6))), " ".join(word() for _ in range(rng.choice([2, 30]))), rng.choice([None, "kyiv", ""])) for i in range(160)]
+    df = spark.createDataFrame(rows, "id long, title string, body string, place string")
+    got = {r["id"]: r["duplicate_of"] for r in ingest.duplicates_of(df.where("id >= 80"), df.where("id < 80"), "id", [F.desc("id")], places, most=60).collect()}
+    grams = lambda t: set(t.split()) if len(t.split()) < 4 else {tuple(t.split()[k : k + 4]) for k in range(len(t.split()) - 3)}
+    share = lambda a, b: len(a & b) / len(a | b) if a and b else 0.0
+    named = lambda t: {p for p in places if p in (t or "").split()}
+
+    def first(x):
+        for y in reversed(rows[20:80]):
+            p, q = named(x[1]), named(f"{y[1]} {y[3] or ''}")
+            if p and q and not p & q:
+                continue
+            ratio = difflib.SequenceMatcher(None, x[1], y[1]).ratio() if x[1] and y[1] else 0.0
+            if ratio >= 0.65 or share(set(x[1].split()), set(y[1].split())) >= 0.72 or (len(x[2]) > 100 and len(y[2]) > 100 and share(grams(x[2]), grams(y[2])) >= 0.4):
+                return y[0]
+        return None
+
+    assert got == {x[0]: first(x) for x in rows[80:]}
+    assert len({v for v in got.values() if v is not None}) > 5
+
+
+def test_two_keys_claim_together(spark):
+    rows = [
+        (1, 0, 2, "a", "g", True),
+        (2, H, 2, "b", "g", True),  # another storyline, the same place
+        (3, H, 3, "b", "g", True),  # worse: goes out, raises g
+        (4, 2 * H, 2, "a", None, True),
+        (5, 2 * H, 3, "c", "g", True),
+        (6, 3 * H, 3, "d", None, False),  # fails, claims nothing
+        (7, 3 * H, 1, "d", None, True),
+        (8, 6 * H, 2, "a", "g", True),  # 5 hours after the last claim on g
+        (9, 6 * H, 1, None, None, True),
+    ]
+    df = spark.createDataFrame(rows, "id long, t long, rank int, key string, geo string, sent boolean").where("key is not null")
+    want = {1: "sent", 2: "suppressed", 3: "sent", 4: "suppressed", 5: "suppressed", 6: "failed", 7: "sent", 8: "sent"}
+    for n in (1, 8):
+        assert {r["id"]: r["decision"] for r in alerts.two_key_claims(df.repartition(n)).collect()} == want
+
+
+def test_failed_delivery_frees_both_keys(spark):
+    df = spark.createDataFrame([(1, 0, 1, "a", "g", True), (2, H, 2, "b", "g", False), (3, 2 * H, 1, "c", "g", True)], "id long, t long, rank int, key string, geo string, sent boolean")
+    assert {r["id"]: r["decision"] for r in alerts.two_key_claims(df).collect()} == {1: "sent", 2: "failed", 3: "sent"}
+
+
+def test_shingles_of_a_long_text(spark):
+    t = " ".join(f"w{i % 19_000}" for i in range(20_000))
+    began = time.time()
+    assert one(spark, F.size(text.shingles("t")), t=t) == 19_000 and time.time() - began < 30
+    assert one(spark, F.array_sort(text.shingles("t")), t="a b a") == ["a", "b"] and one(spark, text.shingles("t"), t="") == []
+    assert one(spark, text.shingles("t"), t="a b c d e a b c d") == ["a b c d", "b c d e", "c d e a", "d e a b", "e a b c"]
+
+
 @pytest.mark.parametrize(("title", "want"), [("Blast Hits Port - Daily Wire", "blast hits port"), ("A - b | a suffix that is certainly longer than forty-five characters", "a b a suffix that is certainly longer than fortyfive characters"), ("Çatışma: X-Y!", "çatışma xy"), ("", "")])
 def test_norm_title(spark, title, want):
     assert one(spark, text.norm_title("t"), t=title) == want
@@ -101,6 +238,8 @@ def test_similar_pairs_equal_brute_force(spark):
         sets[i] = set(w) if len(w) < 4 else {" ".join(w[j : j + 4]) for j in range(len(w) - 3)}
     want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.4}
     assert {(r["a"], r["b"]) for r in ingest.similar_pairs(df, "id", F.col("t"), 0.4).collect()} == want
+    got = {r["id"]: (r["class_id"], r["n_links"]) for r in ingest.link_counts(*ingest.similar_classes(df, "id", F.col("t"), 0.4)).collect()}
+    assert got == {i: (min(j for j in sets if sets[j] == sets[i]), sum(i in p for p in want)) for i in sets}
 
 
 def test_feeds_strict_and_forgiving():
