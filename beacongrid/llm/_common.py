@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,39 +18,66 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 
 #: Batches of texts for Python workers, where the session has Spark's defaults.
 ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+#: No key of a join's rows may hold more than this part of them and still be shuffled: there are at most so many such keys, so they are broadcast.
+HOT = 4096
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package, as its folder joins the path that workers get, and bounds what a batch of texts takes: 1000 rows and 8 MB, unless set otherwise."""
+    """Lets Python workers import this package: its folder joins the path that workers get. Every operator calls it; the session's settings stay."""
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
+    return spark
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """For the queries and the pipeline, which own their session: bounds what a batch of texts takes, unless set otherwise."""
     for key, most in ARROW.items():
         if spark.conf.get(key) == spark._jvm.org.apache.spark.sql.internal.SQLConf().getConfString(key):
             spark.conf.set(key, most)
-    return spark
+    return ready(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every node shares: spark.checkpoint.dir; a temporary one only where it is unset (tests)."""
+    """The folder every node shares: spark.checkpoint.dir. Where it is unset, a temporary one on a single machine; on a cluster that is an error."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     at = sc._jsc.sc().getCheckpointDir()
     if not at.isDefined():
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="beacongrid-"))
         at = sc._jsc.sc().getCheckpointDir()
     return at.get().rstrip("/")
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage ends there, and losing an executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """df as a Parquet table in the shared folder: lineage ends there, and losing an executor loses nothing. A result may go on reading it, so it stays."""
+    return Scratch(df.sparkSession).written(df)
+
+
+class Scratch:
+    """Tables that only the steps of a block need: gone from the shared folder when it ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_dir(self.spark)}/table-{uuid.uuid4().hex}"
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        sc = self.spark.sparkContext
+        for path in map(sc._jvm.org.apache.hadoop.fs.Path, self.paths):
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -55,8 +85,33 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def joined(rows: DataFrame, by: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """rows joined with `by`, which has one row for each key, where a key may hold any share of rows: keys of more than a HOT-th of all rows meet theirs by broadcast, all others by a shuffle."""
+    counts = rows.groupBy(*on).agg(F.count("*").alias("_n"))
+    total = rows.count()
+    hot = [r[: len(on)] for r in counts.where(F.col("_n") > max(1000, total // HOT)).collect()] if total > 1000 else []
+    if not hot:
+        return rows.join(by, on, how)
+    keys = F.broadcast(rows.sparkSession.createDataFrame(hot, rows.select(*on).schema))
+    few = F.broadcast(by.join(keys, on, "left_semi"))
+    return rows.join(keys, on, "left_semi").join(few, on, how).unionByName(rows.join(keys, on, "left_anti").join(by, on, how))
+
+
+def ship(spark: SparkSession, parts: Iterator[bytes]) -> str:
+    """Puts a file into the shared folder, piece by piece, from which every executor gets it; its name for SparkFiles."""
+    sc, name = spark.sparkContext, f"lexicon-{uuid.uuid4().hex}.bin"
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    for part in parts:
+        for i in range(0, len(part), 1 << 20):
+            out.write(bytearray(part[i : i + (1 << 20)]))
+    out.close()
+    sc.addFile(path.toString())
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def remainder(id_col: str, n: int) -> Column:
@@ -74,16 +129,26 @@ def typed(first: DataType, rest: str) -> StructType:
     return StructType([StructField("id", first), *DataType.fromDDL(rest).fields])
 
 
-#: What empties caches that operators hold in this Python worker.
-HELD: list = []
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def lean(run: Run) -> Run:
+    """run, a function over the batches of a task, after whose last batch the worker gives back what its memory pools hold, so that the next stage finds none of it."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return go
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 21, keep: bool = False):
-    """Caches that another operator's tasks left in this worker go, unless `keep`. Pieces of a batch of at most `most` bytes of text each (one row at least), so that array work stays small."""
+def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 21):
+    """Pieces of a batch of at most `most` bytes of text each (one row at least), so that array work stays small."""
     import numpy as np
 
-    while HELD and not keep:
-        HELD.pop()()
     if not batch.num_rows:
         return
     import pyarrow.compute as pc

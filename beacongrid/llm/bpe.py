@@ -4,7 +4,7 @@ Words (letter runs) are counted over all texts; the most frequent ones are encod
 automaton (Daciuk et al. 2000): states with equal right languages are one, so suffixes are shared, and each edge carries the
 number of words before it, so a path yields the word's number and with it its ids. The automaton is one file in the shared folder, which
 Spark hands to every executor; workers map it into memory. A piece that isn't in it is merged exactly, by rank, left first.
-Which words are in the automaton changes speed only, never ids.
+Which words are in the automaton changes speed only, never ids. What a task has looked up or merged it keeps while it runs, up to 2 * CACHE pieces (some 60 MB); nothing stays in the worker.
 """
 
 from __future__ import annotations
@@ -12,12 +12,11 @@ from __future__ import annotations
 import heapq
 import json
 import mmap
+import os
 import struct
 import unicodedata
-import uuid
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +25,10 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import HELD, as_bytes, shared_dir, slices, table
+from ._common import Scratch, as_bytes, lean, ready, ship, slices, table
 from ._words import LETTERS, Words
 
-LEXICON, CACHE = 1 << 16, 700_000
+LEXICON, CACHE = 1 << 16, 100_000
 
 
 def byte_chars() -> list[str]:
@@ -49,11 +48,13 @@ class Merger:
         given = json.loads(spec)
         model = given["model"]
         self.vocab: dict[str, int] = model["vocab"]
+        own = {t: t for t in self.vocab}  # one copy of each string
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.rank = {tuple(p): i for i, p in enumerate(pairs)}
+        self.rank = {(own.get(a, a), own.get(b, b)): i for i, (a, b) in enumerate(pairs)}
         self.end = model["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in given["added_tokens"]}
         self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
+        self.begins = os.path.commonprefix(list(self.special))
         self.split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.piece = regex.compile(given["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         self.chars = byte_chars()
@@ -111,11 +112,6 @@ class Merger:
         return [self.vocab[t] for t in self.tokens(piece)]
 
 
-@lru_cache(2)
-def _merger(spec: bytes) -> Merger:
-    return Merger(spec)
-
-
 def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
     """A minimal acyclic transducer of the words as one file: a head of seven counts and offsets, then int32 arrays and labels."""
     states: list[dict[int, int]] = [{}]
@@ -168,10 +164,10 @@ def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
     count: dict[int, int] = {}
     walk = [(0, False)]
     while walk:
-        s, ready = walk.pop()
+        s, done = walk.pop()
         if s in count:
             continue
-        if ready:
+        if done:
             count[s] = final[s] + sum(count[t] for t in states[s].values())
         else:
             walk.append((s, True))
@@ -218,26 +214,29 @@ class Lexicon:
 
 
 class Pieces(dict):
-    """Packed ids and decoded bytes of pieces met by this worker; from the automaton, or else merged. Emptied when full."""
+    """Packed ids and decoded bytes of pieces; from the automaton, or else merged. When CACHE pieces are held, those not met since the last time go."""
 
     def __init__(self, merger: Merger, lexicon: Lexicon | None):
         super().__init__()
-        self.merger, self.lexicon = merger, lexicon
+        self.merger, self.lexicon, self.old = merger, lexicon, {}
 
     def __missing__(self, piece: str) -> tuple[bytes, bytes]:
-        ids = self.lexicon.find(piece.encode()) if self.lexicon else None
-        ids = self.merger.ids(piece) if ids is None else ids
-        out = (struct.pack(f"<{len(ids)}I", *ids), " ".join(self.merger.names[i] for i in ids).encode())
-        if len(self) >= CACHE:
-            self.clear()
+        out = self.old.get(piece)
+        if out is None:
+            ids = self.lexicon.find(piece.encode()) if self.lexicon else None
+            ids = self.merger.ids(piece) if ids is None else ids
+            out = (struct.pack(f"<{len(ids)}I", *ids), " ".join(self.merger.names[i] for i in ids).encode())
         if len(piece) < 100:
+            if len(self) >= CACHE:
+                self.old = dict(self)
+                self.clear()
             self[piece] = out
         return out
 
     def encode(self, text: str) -> tuple[bytes, bytes]:
         """Ids as little-endian unsigned 32-bit integers, and the decoded text in UTF-8."""
         m = self.merger
-        if not m.split or "<|" not in text:
+        if not m.split or m.begins not in text:
             found = [self[p] for p in m.pieces(text)]
         else:
             found = []
@@ -249,30 +248,25 @@ class Pieces(dict):
         return b"".join([a for a, _ in found]), b" ".join([b for _, b in found])
 
 
-@lru_cache(1)
-def _worker_pieces(spec: bytes, path: str | None) -> Pieces:
-    HELD.append(_worker_pieces.cache_clear)
-    return Pieces(_merger(spec), Lexicon(path) if path else None)
-
-
 def _encode(shared, name: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _worker_pieces(shared.value, SparkFiles.get(name) if name else None)
+        pieces = Pieces(Merger(shared.value), Lexicon(SparkFiles.get(name)) if name else None)
         for whole in batches:
-            for b in slices(whole, "text", keep=True):
+            for b in slices(whole, "text"):
                 got = [pieces.encode(t or "") for t in b.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id"), pa.array([len(a) // 4 for a, _ in got], pa.int64()), pa.array([a for a, _ in got], pa.binary()), pa.array([d for _, d in got], pa.binary())],
                     ["id", "n_tokens", "ids", "decoded"],
                 )
 
-    return run
+    return lean(run)
 
 
+@lean
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words that occur twice or more in a slice of a batch, with their counts."""
     for whole in batches:
-        for b in slices(whole, "text", 8 << 20, keep=True):
+        for b in slices(whole, "text", 8 << 20):
             w = Words(as_bytes(b.column("text")), LETTERS)
             _, first, n = np.unique(w.hash, return_index=True, return_counts=True)
             first, n = first[n > 1], n[n > 1]
@@ -282,29 +276,16 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON) -> list[bytes]:
     """The most frequent words of all texts, at most `most`: all words of the count levels that fit."""
-    counts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_frequent, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = counts.withColumn("level", F.floor(F.log2("n") * 8).cast("int")).cache()
-    try:
+    with Scratch(docs.sparkSession) as scratch:
+        counts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_frequent, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        counts = scratch.written(counts.withColumn("level", F.floor(F.log2("n") * 8).cast("int")))
         least, held = None, 0
         for r in sorted(counts.groupBy("level").agg(F.count("*").alias("k")).collect(), reverse=True):
             held += r["k"]
             if held > most:
                 break
             least = r["level"]
-        return [bytes(r["word"]) for r in counts.where(F.col("level") >= least).select("word").toLocalIterator()] if least is not None else []
-    finally:
-        counts.unpersist()
-
-
-def ship(spark: SparkSession, data: bytes) -> str:
-    """Puts a file into the shared folder, from which every executor gets it; its name for SparkFiles."""
-    sc, name = spark.sparkContext, f"lexicon-{uuid.uuid4().hex}.bin"
-    path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
-    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
-    out.write(bytearray(data))
-    out.close()
-    sc.addFile(path.toString())
-    return name
+        return counts.where(F.col("level") >= least).select("word").toArrow()["word"].to_pylist() if least is not None else []
 
 
 def bpe(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", lexicon: int = LEXICON) -> DataFrame:
@@ -313,16 +294,15 @@ def bpe(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
     tokenizer: path of a tokenizer file of byte-level BPE with word ends. Special tokens' strings in a text are those tokens. Null and empty texts have
     no ids. Null ids and repeated rows each have their row. No rows, no result rows. Further columns, whatever their names, are not read.
     """
-    spark = docs.sparkSession
+    spark = ready(docs.sparkSession)
     with open(tokenizer, "rb") as f:
         spec = f.read()
-    merger = _merger(spec)
-    ready = {}
+    merger, known = Merger(spec), {}
     for w in frequent_words(docs, text_col, lexicon) if lexicon else []:
         piece = w.decode("utf-8", "ignore")
         if piece.encode() == w and merger.pieces(piece) == [piece]:
-            ready[w] = merger.ids(piece)
-    name = ship(spark, compile_lexicon(ready)) if ready else None
+            known[w] = merger.ids(piece)
+    name = ship(spark, [compile_lexicon(known)]) if known else None
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     out = base.mapInArrow(_encode(spark.sparkContext.broadcast(spec), name), f"id {kind}, n_tokens long, ids binary, decoded binary")

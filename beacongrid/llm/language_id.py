@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, is_remainder, slices, table, typed, written
+from ._common import Scratch, as_bytes, is_remainder, lean, ready, slices, table, typed
 
 DIM, TRAIN_ROWS, ROUNDS, COST = 1 << 12, 4_000, 12, 1.0
 UNKNOWN = "und"
@@ -159,13 +159,17 @@ def fit(train: DataFrame, most: int = TRAIN_ROWS) -> Identifier:
     """train: (text, lang). Languages are those with a text that has a letter."""
     rows = train.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).where(F.col("text").rlike(r"\p{L}"))
     rows = rows.withColumn("h", F.xxhash64("text"))
-    keys = written(rows.select("lang", "h").distinct())
+    with Scratch(ready(train.sparkSession)) as scratch:
+        return _fitted(rows, scratch.written(rows.select("lang", "h").distinct()), most)
+
+
+def _fitted(rows: DataFrame, keys: DataFrame, most: int) -> Identifier:
     of_lang = {r["lang"]: r["n"] for r in keys.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not of_lang:
         return Identifier(np.zeros((0, DIM), np.float16), [])
     each = max(1, most // len(of_lang))
     chosen = _smallest(keys, of_lang, each)
-    picked = rows.join(F.broadcast(train.sparkSession.createDataFrame(chosen, "lang string, h long")), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "text")
+    picked = rows.join(F.broadcast(rows.sparkSession.createDataFrame(chosen, "lang string, h long")), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "text")
     langs, xs = [], []
     for r in picked.mapInArrow(_sample, "lang string, x binary").toLocalIterator():
         langs.append(r["lang"])
@@ -194,6 +198,7 @@ def _smallest(keys: DataFrame, of_lang: dict[str, int], each: int) -> list[tuple
     return out
 
 
+@lean
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for b in slices(whole, "text"):
@@ -214,16 +219,17 @@ def _predict(shared, with_text: bool):
                     names = ["id", "held_out", "text"][: 2 + with_text]
                     yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*names, "lang_pred", "score"])
 
-    return run
+    return lean(run)
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held: int = 2, row: Column | None = None) -> DataFrame:
     """(id_col, held_out, lang_pred, score), one row per row of docs; held_out: crc32(id as text) mod `folds` is `held`, and such rows teach nothing.
 
-    `und` with score 0 for null texts, texts without a letter, and if there is nothing to learn from. Null lang teaches nothing. Null id: not
-    held out. Repeated rows each have their row. No rows, no result rows. Further columns, whatever their names, are not read. row, if given,
+    `und` with score 0 for null texts, texts without a letter, and if there is nothing to learn from; very long texts are read whole. Null lang teaches nothing. Null id: not
+    held out. Repeated rows each have their row; votes that tie go to the larger sum of margins, then to the first name. No rows, no result rows. Further columns, whatever their names, are not read. row, if given,
     is handed through in place of the id, and the text with it.
     """
+    ready(docs.sparkSession)
     with_text = row is not None
     row = F.col(id_col) if row is None else row
     base = docs.select(row.alias("id"), is_remainder(id_col, folds, held).alias("held_out"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
