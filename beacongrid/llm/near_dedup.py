@@ -11,14 +11,19 @@
     with all members of other components, in blocks of about 2 * `block` members: first as signatures, which names the rows
     that may be linked, then those rows' full sets as products of incidence matrices. A block returns a forest over its
     components, so a group of n copies never makes n * n rows, and no link between two components is lost, whatever the size of a bucket.
+    A pair is looked at in the first bucket it shares only. n members of a bucket that stay apart cost n * n / block signatures.
 5.  Links and forests give the final components.
 
-A pair at the threshold shares no band with probability (1 - 0.85 ** 4) ** 24 = 2e-8, and falls below `least` (by
-signature) with probability under 1e-5. Sets are compared as sets of 64-bit shingle hashes.
+Tables of at most MOST_IDS rows (ids of copies, of pairs to compare, of shared buckets) are sent to where rows are, so that signatures aren't shuffled for them. Beyond that joins shuffle, and
+buckets of more than a 4096th of all keys still meet their members by broadcast. A signature keeps 8 bits of each lane, which raises the share of equal lanes by a 256th of the unequal ones.
+
+There are as many bands as a pair at the threshold needs to share one but for a probability of 2e-8 (24 at 0.85, 34 at 0.8). A pair is given up by signature where it
+lies five standard deviations of the estimate below the threshold (a probability under 1e-5). Sets are compared as sets of 64-bit shingle hashes.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +31,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from ._common import as_bytes, slices, table, written
+from ._common import HOT, Scratch, as_bytes, lean, ready, slices, table, written
 from ._words import Words, mix, windows
 from .components import components
 
-LANES, BANDS, ROWS, SLOTS = 256, 24, 4, 1 << 26
+LANES, ROWS, MISS, MOST_IDS = 256, 4, 2.1e-8, 1 << 19
 _FREE = np.uint64((1 << 64) - 1)
 _STEP = 0x9E3779B97F4A7C15
 
@@ -99,35 +105,32 @@ def _sums(x: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return run[ptr[1:]] - run[ptr[:-1]]
 
 
-def _sign(n: int):
+def bands_for(percent: int) -> int:
+    """Bands of ROWS lanes, such that a pair at the threshold shares none with probability MISS at most."""
+    return min(LANES // ROWS, max(1, math.ceil(math.log(MISS) / math.log1p(-min(0.999, (percent / 100) ** ROWS)))))
+
+
+def _sign(n: int, bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text", 1 << 20):
                 x, ptr = shingle_sets(as_bytes(b.column("text")), n)
                 size = np.diff(ptr)
                 sig = superminhash(x, ptr)
-                key = np.zeros((len(size), BANDS), np.uint64)
+                key = np.zeros((len(size), bands), np.uint64)
                 for r in range(ROWS):
-                    key = mix(key * np.uint64(3) + sig[:, r : BANDS * ROWS : ROWS])
-                key = mix(key + np.arange(BANDS, dtype=np.uint64)[None, :])
-                low = (sig & np.uint64(0xFFFF)).astype(np.uint16)
+                    key = mix(key * np.uint64(3) + sig[:, r : bands * ROWS : ROWS])
+                key = mix(key + np.arange(bands, dtype=np.uint64)[None, :])
+                low = (sig & np.uint64(0xFF)).astype(np.uint8)
                 some = size > 0
-                bands = pa.ListArray.from_arrays(
-                    np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32), key[some].view(np.int64).ravel()
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column("id"),
-                        pa.array(size, pa.int64()),
-                        pa.array(_sums(mix(x), ptr).view(np.int64), mask=~some),
-                        pa.array(_sums(mix(x ^ np.uint64(_STEP)), ptr).view(np.int64), mask=~some),
-                        bands,
-                        pa.array([s.tobytes() for s in low], pa.binary()),
-                    ],
-                    ["id", "size", "d1", "d2", "bands", "sig"],
-                )
+                lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32), key[some].view(np.int64).ravel())
+                cols = {
+                    "id": b.column("id"), "size": pa.array(size, pa.int64()), "d1": pa.array(_sums(mix(x), ptr).view(np.int64), mask=~some), "d2": pa.array(_sums(mix(x ^ np.uint64(_STEP)), ptr).view(np.int64), mask=~some),
+                    "bands": lists, "sig": pa.array([s.tobytes() for s in low], pa.binary()),
+                }
+                yield pa.RecordBatch.from_pydict(cols)
 
-    return run
+    return lean(run)
 
 
 def _set_rows(n: int, named):
@@ -142,22 +145,21 @@ def _set_rows(n: int, named):
                 rows = [x[i:j].tobytes() for i, j in zip(ptr[:-1], ptr[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(rows, pa.binary())], ["id", "shingles"])
 
-    return run
+    return lean(run)
 
 
 def _sets_of(base: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """Sets of the documents in `ids`, and of few others. Texts aren't shuffled: a bitmap of 8 MB, whatever the number of ids, is built by an
-    aggregate and sent to where they are read. The join that follows drops the others."""
+    """Sets of the documents in `ids`, and of few others. Texts aren't shuffled: a bitmap is built by an aggregate and sent to where they are read. It has 32 to 64 slots
+    for each id, up to 64 MB in all (then more of the others come along). The join that follows drops the others."""
+    ids = ids.distinct()
+    slots = 1 << min(29, max(16, 6 + ids.count().bit_length() - 1))
+    slot = lambda: F.pmod(F.xxhash64("id"), F.lit(slots))
     word, bit = F.shiftright("slot", 6), F.expr("shiftleft(1L, cast(slot & 63 as int))")
-    got = ids.select(_slot("id").alias("slot")).groupBy(word.alias("w")).agg(F.bit_or(bit).alias("bits")).toPandas()
-    named = np.zeros(SLOTS // 64, np.uint64)
-    named[got["w"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
+    got = ids.select(slot().alias("slot")).groupBy(word.alias("w")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    named = np.zeros(slots // 64, np.uint64)
+    named[got["w"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
     shared = base.sparkSession.sparkContext.broadcast(named)
-    return base.where("id is not null").withColumn("slot", _slot("id")).mapInArrow(_set_rows(shingle, shared), "id long, shingles binary")
-
-
-def _slot(col: str) -> F.Column:
-    return F.pmod(F.xxhash64(col), F.lit(SLOTS))
+    return base.where("id is not null").withColumn("slot", slot()).mapInArrow(_set_rows(shingle, shared), "id long, shingles binary")
 
 
 def _like(least: float):
@@ -166,11 +168,11 @@ def _like(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                a, c = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint16).reshape(b.num_rows, -1) for k in ("sig_a", "sig_b"))
+                a, c = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(b.num_rows, -1) for k in ("sig_a", "sig_b"))
                 good = pa.array((a == c).mean(1) >= least)
                 yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(good)
 
-    return run
+    return lean(run)
 
 
 def _linked(percent: int):
@@ -185,27 +187,31 @@ def _linked(percent: int):
                 good.append(both > 0 and 100 * both >= percent * (len(s) + len(t) - both))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return run
+    return lean(run)
 
 
 def _involved(least: float, percent: int):
-    """Rows of a block that may be linked across components: minority members against the others, by set size and signature."""
+    """Rows of a block that may be linked across components and share no earlier band: minority members against the others, by set size and signature."""
+    drop = ["size", "sig", "bands", "band"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = pdf[pdf["odd"]], pdf[~pdf["odd"]]
         if not len(left) or not len(right):
-            return pdf[:0].drop(columns=["size", "sig"])
-        s, t = (np.frombuffer(b"".join(x["sig"]), np.uint16).reshape(len(x), -1) for x in (left, right))
+            return pdf[:0].drop(columns=drop)
+        s, t = (np.frombuffer(b"".join(x["sig"]), np.uint8).reshape(len(x), -1) for x in (left, right))
+        u, v = (np.stack(x["bands"].tolist())[:, : pdf["band"].iloc[0]] for x in (left, right))
         m, n = left["size"].to_numpy()[:, None], right["size"].to_numpy()[None, :]
         may = (left["label"].to_numpy()[:, None] != right["label"].to_numpy()[None, :]) & (100 * np.minimum(m, n) >= percent * np.maximum(m, n))
         a, b = np.nonzero(may)
         on = [np.zeros(len(left), bool), np.zeros(len(right), bool)]
-        for i in range(0, len(a), 1 << 15):
-            p, q = a[i : i + (1 << 15)], b[i : i + (1 << 15)]
+        for i in range(0, len(a), 1 << 12):
+            p, q = a[i : i + (1 << 12)], b[i : i + (1 << 12)]
+            new = ~(u[p] == v[q]).any(1)
+            p, q = p[new], q[new]
             good = (s[p] == t[q]).mean(1) >= least
             on[0][p[good]] = True
             on[1][q[good]] = True
-        return pd.concat([left[on[0]], right[on[1]]]).drop(columns=["size", "sig"])
+        return pd.concat([left[on[0]], right[on[1]]]).drop(columns=drop)
 
     return run
 
@@ -216,8 +222,8 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     both = np.intersect1d(x, y)
     out = np.zeros((len(left), len(right)), np.float32)
     row, col = np.repeat(np.arange(len(left)), [len(v) for v in left]), np.repeat(np.arange(len(right)), [len(v) for v in right])
-    for i in range(0, len(both), 1 << 14):
-        part = both[i : i + (1 << 14)]
+    for i in range(0, len(both), 1 << 12):
+        part = both[i : i + (1 << 12)]
         sides = []
         for values, owner, n in ((x, row, len(left)), (y, col, len(right))):
             at = np.minimum(np.searchsorted(part, values), len(part) - 1)
@@ -258,70 +264,95 @@ def _joined(percent: int):
     return run
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int = 85, least: float = 0.74, block: int = 256) -> DataFrame:
-    """Near-duplicate groups: (id_col, n_shingles, component_id, kept), one row per row of docs.
+def _small(df: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it has MOST_IDS rows at most."""
+    return F.broadcast(df) if df.count() <= MOST_IDS else df
+
+
+def _meet(rows: DataFrame, by: DataFrame, hot: list[int]) -> DataFrame:
+    """rows and by, a written table of one row a bucket, joined on k. If by is large, the buckets in `hot` still aren't shuffled."""
+    if not hot or by.count() <= MOST_IDS:
+        return rows.join(_small(by), "k")
+    keys = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in hot], "k long"))
+    return rows.join(keys, "k", "left_semi").join(F.broadcast(by.join(keys, "k", "left_semi")), "k").unionByName(rows.join(keys, "k", "left_anti").join(by, "k"))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, least: float | None = None, block: int = 256) -> DataFrame:
+    """Near-duplicate groups: (id_col, n_shingles, component_id, kept), one row per row of docs. Ids are whole numbers.
 
     Texts are lower-cased (A-Z); words are runs of anything but space and 0x09-0x0D. Documents whose sets of distinct
-    `shingle`-word shingles have a Jaccard similarity of `percent` / 100 or more are linked.
+    `shingle`-word shingles have a Jaccard similarity of `percent` / 100 or more, a tie included, are linked. least: share of equal lanes from which a pair is compared on full sets.
 
     Null and empty texts, and texts without words: n_shingles 0, a group of their own. Null id: component_id null, kept
     true, linked with nothing. Repeated rows of one id are one document. Fewer words than `shingle`: the whole sequence
-    is one shingle. No rows, no result rows. Further columns of docs, whatever their names, are not read.
+    is one shingle. Very long texts are read whole. No rows, no result rows. Further columns of docs, whatever their names, are not read.
     """
-    spark = docs.sparkSession
+    spark = ready(docs.sparkSession)
+    if not isinstance(docs.select(id_col).schema[0].dataType, IntegralType):
+        raise TypeError(f"{id_col} must hold whole numbers")
+    share = percent / 100
+    least = share - 5 * math.sqrt(share * (1 - share) / LANES) if least is None else least
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    one = written(base.mapInArrow(_sign(shingle), "id long, size long, d1 long, d2 long, bands array<long>, sig binary"))
+    one = written(base.mapInArrow(_sign(shingle, bands_for(percent)), "id long, size long, d1 long, d2 long, bands array<long>, sig binary"))
     known = one.where("id is not null and d1 is not null")
-    classes = written(known.groupBy("d1", "d2", "size").agg(F.min("id").alias("rep")))
-    reps = known.join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    classes = written(known.groupBy("d1", "d2", "size").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
+    with Scratch(spark) as scratch:
+        several = _small(scratch.written(classes.where("n > 1").drop("n")))
+        copies = known.select("id", "d1", "d2", "size").join(several, ["d1", "d2", "size"]).where("id != rep").select("id").distinct()
+        copies = scratch.written(copies.join(classes.select(F.col("rep").alias("id")), "id", "left_anti"))  # an id of several texts may stand for another class
+        reps = known.join(_small(copies), "id", "left_anti")
+        whole = written(_groups(base, reps, scratch, shingle, percent, least, block))
+
+    of_class = classes.join(whole.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", "size", F.coalesce("label", "rep").alias("group"))
+    own = known.select("id", "d1", "d2", "size").join(of_class, ["d1", "d2", "size"]).groupBy("id").agg(F.min("group").alias("group"))
+    got = one.select("id", "size").join(own, "id", "left")
+    group = F.coalesce("group", "id")
+    return got.select(
+        F.col("id").alias(id_col), F.col("size").alias("n_shingles"), group.alias("component_id"), F.coalesce(F.col("id") == group, F.lit(True)).alias("kept")
+    )
 
-    keys = reps.select("id", F.explode("bands").alias("k"))
-    full = keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
-    members = written(keys.join(full, "k"))
+
+def _groups(base: DataFrame, reps: DataFrame, scratch: Scratch, shingle: int, percent: int, least: float, block: int) -> DataFrame:
+    """(node, label) of the representatives that are linked with another."""
+    keys = reps.select("id", F.posexplode("bands").alias("band", "k"))
+    full = scratch.written(keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1"))
+    hot = [r["k"] for r in full.where(F.col("n") > max(1000, reps.count() * bands_for(percent) // HOT)).select("k").collect()]
+    members = scratch.written(_meet(keys, full, hot))
     central = members.groupBy("id").agg(F.sum("n").alias("c"))
     lead = members.join(central, "id").groupBy("k").agg(F.max(F.struct("c", (-F.col("id")).alias("m"))).alias("x")).select("k", (-F.col("x.m")).alias("lead"))
-    star = members.join(lead, "k").where("id != lead").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+    star = scratch.written(_meet(members, scratch.written(lead), hot).where("id != lead").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct())
 
-    sigs = reps.select("id", "size", "sig")
+    sigs = lambda ids: reps.join(_small(scratch.written(ids.distinct())), "id", "left_semi").select("id", "size", "sig", "bands")
+    ends = sigs(star.select(F.col("a").alias("id")).unionByName(star.select(F.col("b").alias("id"))))
     near = (
-        star.join(sigs.select(F.col("id").alias("a"), F.col("size").alias("m"), F.col("sig").alias("sig_a")), "a")
-        .join(sigs.select(F.col("id").alias("b"), F.col("size").alias("n"), F.col("sig").alias("sig_b")), "b")
+        star.join(ends.select(F.col("id").alias("a"), F.col("size").alias("m"), F.col("sig").alias("sig_a")), "a")
+        .join(ends.select(F.col("id").alias("b"), F.col("size").alias("n"), F.col("sig").alias("sig_b")), "b")
         .where(100 * F.least("m", "n") >= percent * F.greatest("m", "n"))
         .select("a", "b", "sig_a", "sig_b")
         .mapInArrow(_like(least), "a long, b long")
     )
-    links = written(_verified(base, near, shingle, percent))
-    label = written(components(links, "a", "b"))
+    label = scratch.written(components(scratch.written(_verified(base, scratch.written(near), scratch, shingle, percent)), "a", "b"))
 
-    tagged = members.where("n > 2").join(label.withColumnRenamed("node", "id"), "id", "left").select("k", "id", "n", F.coalesce("label", "id").alias("label"))
+    tagged = scratch.written(members.where("n > 2").join(label.withColumnRenamed("node", "id"), "id", "left").select("k", "band", "id", "n", F.coalesce("label", "id").alias("label")))
     parts = tagged.groupBy("k", "label").agg(F.count("*").alias("c"))
     mixed = parts.groupBy("k").agg(F.count("*").alias("parts"), F.sum("c").alias("all"), F.max(F.struct("c", "label")).alias("main")).where("parts > 1")
     mixed = mixed.select("k", F.col("main.label").alias("main"), F.ceil(F.col("all") / block).cast("int").alias("nr"), F.ceil((F.col("all") - F.col("main.c")) / block).cast("int").alias("nl"))
-    rows = tagged.select("k", "id", "label").join(mixed, "k").join(sigs, "id")
+    rows = scratch.written(_meet(tagged, scratch.written(mixed), hot))
+    rows = rows.join(sigs(rows.select("id")), "id")
     spot = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    cols = ["id", "label", "size", "sig"]
-    right = rows.select("k", *cols, F.lit(False).alias("odd"), spot("nr").alias("i"), every("nl").alias("j"))
-    left = rows.where("label != main").select("k", *cols, F.lit(True).alias("odd"), every("nr").alias("i"), spot("nl").alias("j"))
-    blocks = right.unionByName(left).groupBy("k", "i", "j").applyInPandas(_involved(least, percent), "k long, id long, label long, odd boolean, i int, j int")
-    blocks = written(blocks)
+    cols = ["k", "band", "id", "label", "size", "sig", "bands"]
+    right = rows.select(*cols, F.lit(False).alias("odd"), spot("nr").alias("i"), every("nl").alias("j"))
+    left = rows.where("label != main").select(*cols, F.lit(True).alias("odd"), every("nr").alias("i"), spot("nl").alias("j"))
+    blocks = scratch.written(right.unionByName(left).groupBy("k", "i", "j").applyInPandas(_involved(least, percent), "k long, id long, label long, odd boolean, i int, j int"))
     sets = _sets_of(base, blocks.select("id"), shingle)
-    more = blocks.join(sets, "id").groupBy("k", "i", "j").applyInPandas(_joined(percent), "a long, b long").distinct()
-    whole = written(components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(written(more)), "a", "b"))
-
-    of_class = classes.join(whole.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", "size", F.coalesce("label", "rep").alias("group"))
-    own = known.select("id", "d1", "d2", "size").join(of_class, ["d1", "d2", "size"]).groupBy("id").agg(F.min("group").alias("group"))
-    got = one.select("id", "size").join(own, "id", "left")
-    group = F.coalesce("group", "id")
-    return got.select(
-        F.col("id").alias(id_col), F.col("size").alias("n_shingles"), group.alias("component_id"), F.coalesce(F.col("id") == group, F.lit(True)).alias("kept")
-    )
+    more = scratch.written(blocks.join(sets, "id").groupBy("k", "i", "j").applyInPandas(_joined(percent), "a long, b long").distinct())
+    return components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more), "a", "b")
 
 
-def _verified(base: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _verified(base: DataFrame, pairs: DataFrame, scratch: Scratch, shingle: int, percent: int) -> DataFrame:
     """The pairs that are linked, by the sets of the texts they name."""
-    pairs = written(pairs)
-    sets = written(_sets_of(base, pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), shingle))
+    sets = scratch.written(_sets_of(base, pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), shingle))
     return (
         pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
         .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
@@ -331,7 +362,7 @@ def _verified(base: DataFrame, pairs: DataFrame, shingle: int, percent: int) ->
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(table(spark, sf_dir, "documents"))
+    return near_dedup(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
 SQL = r"""
