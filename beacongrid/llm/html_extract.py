@@ -2,8 +2,9 @@
 
 Each block has binary features of its ancestors (tags; words of class, id and role, by what they usually name) and of its text (length, links, sentence
 ends, place in the page). Two labels, main and other. The model is trained by gradient ascent on the conditional log-likelihood (forward and backward over
-whole pages at once) on labelled pages of two kinds: pages of the table that mark their article themselves (<article>, <main> or itemprop articleBody; blocks of
-menus, forms and the like inside are other), at most TRAIN_PAGES picked by hash of the page, and MADE_PAGES laid out here in many ways with the label of every block.
+whole pages, those of similar length at once) on labelled pages of two kinds: pages of the table that mark their article themselves (<article>, <main> or itemprop articleBody; blocks of
+menus, forms and the like inside are other), of about TRAIN_PAGES (2 * TRAIN_PAGES at most) picked by hash of the page, and MADE_PAGES laid out here in many ways with the label of every block. Pages are read where they are: only
+numbers of features and labels reach the driver, of whole pages, however long.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import slices, table
+from ._common import lean, ready, slices, table
 from .html_blocks import Block, blocks
 
-TRAIN_PAGES, MADE_PAGES, LONGEST = 200, 500, 80
+TRAIN_PAGES, MADE_PAGES = 200, 500
 
 #: What words of class, id and role usually name.
 ROLES = {
@@ -57,6 +58,14 @@ def roles(names: list[str]) -> set[str]:
     return out
 
 
+#: Every feature a block can have.
+FEATURES = [
+    "bias", "ends", "first", "last", "rights", "long", "role:none", "leaf:none", *(f"{k}:{t}" for t in sorted(_TAGS) for k in ("in", "leaf")), *(f"role:{r}" for r in ROLES),
+    *(f"{k}:{i}" for k, n in (("words", 5), ("links", 4), ("marks", 4), ("place", 5), ("deep", 4)) for i in range(n)),
+]
+_NUMBER = {f: i for i, f in enumerate(FEATURES)}
+
+
 def features(page: list[Block]) -> list[list[str]]:
     """Binary features of every block of a page."""
     out, n = [], len(page)
@@ -125,40 +134,54 @@ class Crf:
 
 
 def train(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 150, ridge: float = 0.02) -> Crf:
-    """Maximum conditional likelihood with a ridge, by Adam; all pages are padded into one array."""
-    pages = [(f[:LONGEST], y[:LONGEST]) for f, y in pages if f]
-    names = {f: i for i, f in enumerate(sorted({x for fs, _ in pages for f in fs for x in f}))}
-    n, t = len(pages), max((len(f) for f, _ in pages), default=1)
-    mask, y = np.zeros((n, t), bool), np.zeros((n, t), np.int64)
-    x = np.zeros((n, t, len(names)), np.float32)
-    for i, (fs, ys) in enumerate(pages):
-        mask[i, : len(fs)], y[i, : len(fs)] = True, ys
-        for j, f in enumerate(fs):
-            x[i, j, [names[k] for k in f]] = 1
-    flat = x[mask]
-    theta = np.zeros(len(names) + 6)
+    """Maximum conditional likelihood with a ridge, by Adam, on whole pages."""
+    return _train([(np.array([_NUMBER[k] for f in fs for k in f], np.int64), np.array([len(f) for f in fs], np.int64), np.array(ys, np.int64)) for fs, ys in pages if fs], rounds, ridge)
+
+
+def _train(pages: list[tuple[np.ndarray, np.ndarray, np.ndarray]], rounds: int = 150, ridge: float = 0.02) -> Crf:
+    """pages: features of all blocks, how many each block has, and labels. Pages whose lengths are within a power of two go through forward and backward side by side."""
+    pages = sorted(pages, key=lambda p: len(p[1]))
+    n, used = len(pages), np.unique(np.concatenate([np.zeros(0, np.int64), *(f for f, *_ in pages)]))
+    column = np.zeros(len(FEATURES), np.int64)
+    column[used] = np.arange(len(used))
+    size = np.array([len(k) for _, k, _ in pages], np.int64)
+    flat = np.zeros((size.sum(), len(used)), np.float32)
+    flat[np.repeat(np.arange(size.sum()), np.concatenate([np.zeros(0, np.int64), *(k for _, k, _ in pages)])), column[np.concatenate([np.zeros(0, np.int64), *(f for f, *_ in pages)])]] = 1
+    label = np.concatenate([np.zeros(0, np.int64), *(y for *_, y in pages)])
+    at = np.cumsum(size) - size
+    groups = []
+    for g in np.split(np.arange(n), np.flatnonzero(np.diff(np.log2(np.maximum(size, 1)).astype(int))) + 1) if n else ():
+        t = int(size[g].max())
+        mask = np.arange(t)[None, :] < size[g][:, None]
+        place = np.where(mask, at[g][:, None] + np.arange(t), 0)
+        hot = np.stack([label[place] == 0, label[place] == 1], 2) & mask[:, :, None]
+        pair = (hot[:, :-1, :, None] & hot[:, 1:, None, :]).sum((0, 1))
+        groups.append((mask, place, hot[:, 0].sum(0), pair))
+    theta = np.zeros(len(used) + 6)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    hot = np.stack([y == 0, y == 1], 2) & mask[:, :, None]
-    pair = mask[:, 1:, None, None] & hot[:, :-1, :, None] & hot[:, 1:, None, :]
-    for k in range(1, rounds + 1):
+    for k in range(1, rounds + 1 if n else 0):
         w, step, start = theta[:-6], theta[-6:-2].reshape(2, 2), theta[-2:]
-        s = np.zeros((n, t, 2))
-        s[..., 1][mask] = flat @ w
-        fwd, bwd = np.zeros((n, t, 2)), np.zeros((n, t, 2))
-        fwd[:, 0] = start + s[:, 0]
-        for j in range(1, t):
-            z = np.logaddexp.reduce(fwd[:, j - 1, :, None] + step, axis=1) + s[:, j]
-            fwd[:, j] = np.where(mask[:, j, None], z, fwd[:, j - 1])
-        for j in range(t - 2, -1, -1):
-            z = np.logaddexp.reduce(step[None] + (s[:, j + 1] + bwd[:, j + 1])[:, None, :], axis=2)
-            bwd[:, j] = np.where(mask[:, j + 1, None], z, 0)
-        total = np.logaddexp.reduce(fwd[:, -1], axis=1)
-        p = np.exp(fwd + bwd - total[:, None, None]) * mask[:, :, None]
-        both = np.exp(fwd[:, :-1, :, None] + step + (s[:, 1:] + bwd[:, 1:])[:, :, None, :] - total[:, None, None, None]) * mask[:, 1:, None, None]
-        g = np.concatenate([flat.T @ (hot[..., 1] - p[..., 1])[mask], (pair.sum((0, 1)) - both.sum((0, 1))).ravel(), (hot[:, 0] - p[:, 0]).sum(0)]) / n - ridge * theta
+        score = flat @ w
+        p, edge, begin = np.zeros(len(flat)), np.zeros((2, 2)), np.zeros(2)
+        for mask, place, hot, pair in groups:
+            s = np.zeros((*mask.shape, 2))
+            s[..., 1] = np.where(mask, score[place], 0)
+            fwd, bwd, t = np.zeros_like(s), np.zeros_like(s), mask.shape[1]
+            fwd[:, 0] = start + s[:, 0]
+            for j in range(1, t):
+                fwd[:, j] = np.where(mask[:, j, None], np.logaddexp.reduce(fwd[:, j - 1, :, None] + step, axis=1) + s[:, j], fwd[:, j - 1])
+            for j in range(t - 2, -1, -1):
+                bwd[:, j] = np.where(mask[:, j + 1, None], np.logaddexp.reduce(step[None] + (s[:, j + 1] + bwd[:, j + 1])[:, None, :], axis=2), 0)
+            total = np.logaddexp.reduce(fwd[:, -1], axis=1)
+            own = np.exp(fwd + bwd - total[:, None, None])
+            p[place[mask]] = own[..., 1][mask]
+            both = np.exp(fwd[:, :-1, :, None] + step + (s[:, 1:] + bwd[:, 1:])[:, :, None, :] - total[:, None, None, None]) * mask[:, 1:, None, None]
+            edge += pair - both.sum((0, 1))
+            begin += hot - own[:, 0].sum(0)
+        g = np.concatenate([flat.T @ (label - p), edge.ravel(), begin]) / n - ridge * theta
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta = theta + 0.1 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
-    return Crf(names, theta[:-6], theta[-6:-2].reshape(2, 2), theta[-2:])
+    return Crf({FEATURES[i]: k for k, i in enumerate(used.tolist())}, theta[:-6], theta[-6:-2].reshape(2, 2), theta[-2:])
 
 
 _OUT = frozenset("nav aside form footer button label".split())
@@ -268,18 +291,25 @@ def made_pages(count: int = MADE_PAGES, seed: int = 11) -> Iterator[str]:
         yield f"<html><head><title>{phrase(2, 6)}</title></head><body>{body}</body></html>"
 
 
-def fit(pages: list[str]) -> Crf:
-    """Trained on given pages that mark their article, and on made ones."""
-    data = []
-    for p in sorted(pages):
-        b = blocks(p)
-        y = own_labels(b)
-        if y is not None:
-            data.append((features(b), y))
-    for p in made_pages():
-        b = blocks(p)
-        data.append((features(b), [int(x.mark == "1") for x in b]))
-    return train(data)
+def _numbers(page: list[Block], y: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    fs = features(page)
+    return np.array([_NUMBER[k] for f in fs for k in f], np.int16), np.array([len(f) for f in fs], np.int16), np.array(y, np.int16)
+
+
+@lean
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features and labels of the pages that mark their article."""
+    for whole in batches:
+        for b in slices(whole, "html"):
+            rows = [_numbers(page, y) for page in map(blocks, b.column("html").to_pylist()) if page and (y := own_labels(page)) is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k].tobytes() for x in rows], pa.binary()) for k in range(3)], ["features", "counts", "labels"])
+
+
+def fit(pages: list[str], data: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = ()) -> Crf:
+    """Trained on given pages that mark their article, on data of _labelled, and on made pages."""
+    own = [_numbers(b, y) for b in map(blocks, sorted(pages)) if b and (y := own_labels(b)) is not None]
+    made = [_numbers(b, [int(x.mark == "1") for x in b]) for b in map(blocks, made_pages())]
+    return _train([*own, *data, *made])
 
 
 def main_text(page: str | None, model: Crf) -> tuple[str, int, int]:
@@ -301,21 +331,25 @@ def _extract(shared):
                     ["id", "url", "text", "n_chars", "n_main_blocks", "n_blocks"],
                 )
 
-    return run
+    return lean(run)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", train_pages: int = TRAIN_PAGES) -> DataFrame:
     """(id_col, url, text, n_chars, n_main_blocks, n_blocks), one row per row of pages; text joins the main blocks in page order by one space.
 
-    Null and empty pages, and pages without text, have the empty text. Null ids and urls stay null. Repeated rows each have their row. No rows, no result rows; the
+    Null and empty pages, and pages without text, have the empty text; very long ones are read whole. Blocks whose labels tie are other. Null ids and urls stay null. Repeated rows each have their row. No rows, no result rows; the
     model is then trained on made pages alone. Further columns, whatever their names, are not read.
     """
+    ready(pages.sparkSession)
     kind = pages.select(id_col).schema[0].dataType.simpleString()
     base = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    total = base.count()
-    step = max(1, total // train_pages)
-    some = base.where(F.pmod(F.xxhash64("html"), F.lit(step)) == 0).select("html").where("html is not null and length(html) < 200000").distinct().orderBy(F.xxhash64("html"), "html").limit(2 * train_pages)
-    model = fit([r["html"] for r in some.collect()])
+    hashed = base.where("html is not null").select(F.xxhash64("html").alias("h"), "html")
+    total = hashed.agg(F.approx_count_distinct("h")).first()[0]
+    some = hashed.where(F.pmod("h", F.lit(max(1, total // train_pages))) == 0)
+    picked = [r["h"] for r in some.select("h").distinct().orderBy("h").limit(2 * train_pages).collect()]
+    marked = some.where(F.col("h").isin(picked)).dropDuplicates(["h"]).select("h", "html").mapInArrow(_labelled, "features binary, counts binary, labels binary") if picked else None
+    rows = sorted(tuple(bytes(x) for x in r) for r in marked.collect()) if picked else []
+    model = fit([], [tuple(np.frombuffer(x, np.int16) for x in r) for r in rows])
     shared = pages.sparkSession.sparkContext.broadcast(model)
     out = base.mapInArrow(_extract(shared), f"id {kind}, url string, text string, n_chars long, n_main_blocks int, n_blocks int")
     return out.withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)
