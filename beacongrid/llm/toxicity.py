@@ -3,31 +3,33 @@
 Training: at most about TRAIN_ROWS labelled rows, picked by hash of their id, whose small table is broadcast. Distinct labelled texts are counted once, by document and label, for words and for their prefixes of 4 to 7 bytes. A
 feature's weight is its log-odds between labels under a Dirichlet prior in proportion to its overall frequency, less Z standard errors
 (the informative prior of Monroe, Colaresi and Quinn 2008). A token scores the highest weight of its word and prefixes, less DRIFT, so
-that ordinary tokens score below 0. Features of positive score are few: those in MIN_DOCS toxic texts or more, of which the best
-MOST_FEATURES at most are sent to executors.
+that ordinary tokens score below 0. Features of positive score are those in MIN_DOCS toxic texts or more whose score is over DRIFT; all of them are put, sorted by hash, into a file in the shared folder
+that the workers map into memory, however many they are.
 
 Scoring: Ruzzo and Tompa's linear-time scan finds every maximal segment. A segment of score S among n tokens has the expectation
 E = K n exp(-lambda S) in clean text (Karlin and Altschul 1990); lambda solves sum(p exp(lambda s)) = 1 on clean tokens and K comes from
-clean texts' maxima. Segments with E under SIGNIFICANT are reported. A logistic curve over the best segment's -log E and the sum of significant
+clean texts' maxima, as its likeliest value: P(max <= x) = exp(-K n exp(-lambda x)), where a text without a positive token only says that its maximum is below the least positive score. Segments with E under SIGNIFICANT are reported. A logistic curve over the best segment's -log E and the sum of significant
 ones turns them into a probability; it is fitted on at most FIT_ROWS training rows, picked by hash of the text.
 """
 
 from __future__ import annotations
 
 import math
+import mmap
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, is_remainder, slices, table, written
+from ._common import Scratch, as_bytes, is_remainder, lean, ready, ship, slices, table
 from ._words import LETTERS, Words, mix
 
 PREFIXES = (4, 5, 6, 7)
 ALPHA, Z, DRIFT = 50.0, 1.64, 1.5
-MIN_DOCS, MOST_FEATURES, TRAIN_ROWS, FIT_ROWS = 3, 100_000, 500_000, 100_000
+MIN_DOCS, TRAIN_ROWS, FIT_ROWS = 3, 500_000, 100_000
 SIGNIFICANT = 0.05
 SPAN = "array<struct<start:int,end:int,score:double>>"
 
@@ -38,6 +40,7 @@ def features(w: Words) -> list[np.ndarray]:
     return [w.hash, *(np.where(size > n, mix(w.prefix(n) + np.uint64(n)), np.uint64(0)) for n in PREFIXES)]
 
 
+@lean
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of each label that have a feature; the row of feature 0 counts the texts."""
     held = [{}, {}]
@@ -81,19 +84,34 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Scorer:
-    """Weights by feature (sorted hashes) and the calibration."""
+    """Weights by feature (sorted hashes, then weights, in a file; none without one) and the calibration."""
 
-    def __init__(self, f: np.ndarray, weight: np.ndarray, lam: float, k: float, curve: tuple[float, float, float]):
-        self.f, self.weight, self.lam, self.k, self.curve = f, weight, lam, k, curve
+    def __init__(self, file: str | None, lam: float, k: float, curve: tuple[float, float, float]):
+        self.file, self.lam, self.k, self.curve, self.held = file, lam, k, curve, None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "held": None}
+
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.held is None:
+            if self.file is None:
+                self.held = np.zeros(0, np.uint64), np.zeros(0)
+            else:
+                with open(SparkFiles.get(self.file), "rb") as file:
+                    data = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+                half = len(data) // 16
+                self.held = np.frombuffer(data, np.uint64, half), np.frombuffer(data, np.float64, half, 8 * half)
+        return self.held
 
     def tokens(self, w: Words) -> np.ndarray:
         """Score of each word."""
         best = np.full(len(w.hash), -DRIFT)
-        if len(self.f):
+        f, weight = self.table()
+        if len(f):
             for h in features(w):
-                at = np.searchsorted(self.f, h)
-                at[at == len(self.f)] = 0
-                best = np.where((self.f[at] == h) & (h != 0), np.maximum(best, self.weight[at] - DRIFT), best)
+                at = np.searchsorted(f, h)
+                at[at == len(f)] = 0
+                best = np.where((f[at] == h) & (h != 0), np.maximum(best, weight[at] - DRIFT), best)
         return best
 
     def expectation(self, score: float, n: int) -> float:
@@ -159,7 +177,7 @@ def _score(shared):
                     ["id", "held_out", "score", "best", "total", "spans"],
                 )
 
-    return run
+    return lean(run)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
@@ -180,29 +198,33 @@ def fit(base: DataFrame, marks: DataFrame) -> Scorer:
 
     Repeated texts count once, as toxic if one of them is. Without both labels every text scores the share of toxic ones.
     """
+    with Scratch(base.sparkSession) as scratch:
+        return _fitted(base, marks, scratch)
+
+
+def _fitted(base: DataFrame, marks: DataFrame, scratch: Scratch) -> Scorer:
     spark = base.sparkSession
-    marks = written(marks.where("id is not null and toxic in (0, 1)"))
+    marks = scratch.written(marks.where("id is not null and toxic in (0, 1)"))
     step = max(1, -(-marks.count() // TRAIN_ROWS))
     marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0)
     base = base.where("text is not null")
     keyed = base.join(F.broadcast(marks), "id").select("id", "toxic", F.xxhash64("text").alias("k"))
-    reps = written(keyed.groupBy("k").agg(F.min("id").alias("id"), F.max("toxic").alias("toxic")).select("id", "toxic"))
+    reps = scratch.written(keyed.groupBy("k").agg(F.min("id").alias("id"), F.max("toxic").alias("toxic")).select("id", "toxic"))
     data = base.join(F.broadcast(reps), "id").select("id", "text", "toxic")
-    counts = written(data.select("text", "toxic").mapInArrow(_count, "f long, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+    counts = scratch.written(data.select("text", "toxic").mapInArrow(_count, "f long, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     totals = counts.where("f = 0").first()
     n0, n1 = (totals["clean"], totals["toxic"]) if totals else (0, 0)
-    none = np.zeros(0, np.uint64)
     if not n0 or not n1:
         share = min(1 - 1e-6, max(1e-6, (n1 + 0.5) / (n0 + n1 + 1) if n0 + n1 else 0.01))
-        return Scorer(none, none.astype(float), 1.0, 1.0, (math.log(share / (1 - share)), 0.0, 0.0))
+        return Scorer(None, 1.0, 1.0, (math.log(share / (1 - share)), 0.0, 0.0))
     prior = F.lit(ALPHA) * (F.col("clean") + F.col("toxic")) / (n0 + n1)
     odds = lambda y, n: F.log((y + prior) / (n + ALPHA - y - prior))
     weight = odds(F.col("toxic"), n1) - odds(F.col("clean"), n0) - Z * F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     best = counts.where(f"f != 0 and toxic >= {MIN_DOCS}").withColumn("weight", weight).where(F.col("weight") > DRIFT)
-    best = best.orderBy(F.desc("weight"), "f").limit(MOST_FEATURES).toPandas()
-    f = best["f"].to_numpy(np.int64).view(np.uint64)
+    best = best.select("f", "weight").toArrow()
+    f = best["f"].to_numpy().view(np.uint64)
     order = np.argsort(f)
-    model = Scorer(f[order], best["weight"].to_numpy(float)[order], 1.0, 1.0, (0.0, 0.0, 0.0))
+    model = Scorer(ship(spark, [f[order].tobytes(), best["weight"].to_numpy()[order].tobytes()]) if len(f) else None, 1.0, 1.0, (0.0, 0.0, 0.0))
 
     # lambda on clean tokens, counted by rounded score; K from clean texts' expected maxima
     def clean_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,18 +234,15 @@ def fit(base: DataFrame, marks: DataFrame) -> Scorer:
                 s = np.round(shared.value.tokens(w), 1)
                 v, n = np.unique(s, return_counts=True)
                 top = [max([0.0, *(x for *_, x in maximal_segments(s[p:q]))]) if (s[p:q] > 0).any() else 0.0 for p, q in zip(w.ptr[:-1], w.ptr[1:], strict=True)]
-                m, c = np.unique(np.round(top, 1), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([v, m])), pa.array(np.concatenate([n, c]), pa.int64()), pa.array([False] * len(v) + [True] * len(m))], ["s", "n", "top"])
+                m, of = np.unique(np.round(top, 1), return_inverse=True)
+                c, size = np.bincount(of, minlength=len(m)), np.bincount(of, np.diff(w.ptr), len(m)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([v, m])), pa.array(np.concatenate([n, c]), pa.int64()), pa.array(np.concatenate([n, size]), pa.int64()), pa.array([False] * len(v) + [True] * len(m))], ["s", "n", "size", "top"])
 
     shared = spark.sparkContext.broadcast(model)
-    hist = data.where("toxic = 0").select("text").mapInArrow(clean_scores, "s double, n long, top boolean").groupBy("s", "top").agg(F.sum("n").alias("n")).toPandas()
+    hist = data.where("toxic = 0").select("text").mapInArrow(lean(clean_scores), "s double, n long, size long, top boolean").groupBy("s", "top").agg(F.sum("n").alias("n"), F.sum("size").alias("size")).toPandas()
     seg, tok = hist[hist["top"]], hist[~hist["top"]]
     model.lam = _lambda(tok["s"].to_numpy(), tok["n"].to_numpy(float))
-    words = tok["n"].sum() / max(1, seg["n"].sum())
-    # P(max > 0) = 1 - exp(-K n) up to the first positive score: exact for rare chance hits
-    hits = (seg.loc[seg["s"] > 0, "n"].sum() + 0.5) / (seg["n"].sum() + 1)
-    least = seg.loc[seg["s"] > 0, "s"].min() if (seg["s"] > 0).any() else 0.0
-    model.k = -math.log(1 - min(0.999, hits)) * math.exp(min(50.0, model.lam * least)) / max(1.0, words)
+    model.k = tail_factor(seg["s"].to_numpy(), seg["n"].to_numpy(float), seg["size"].to_numpy(float), model.lam)
     few = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-int(n0 + n1) // FIT_ROWS)))) == 0
     sample = data.where(few).select(F.col("toxic").alias("id"), F.lit(False).alias("held_out"), "text")
     got = sample.mapInArrow(_score(spark.sparkContext.broadcast(model)), f"id int, held_out boolean, score double, best double, total double, spans {SPAN}").select("id", "best", "total").toPandas()
@@ -231,6 +250,13 @@ def fit(base: DataFrame, marks: DataFrame) -> Scorer:
     return model
 
 
+def tail_factor(top: np.ndarray, texts: np.ndarray, words: np.ndarray, lam: float) -> float:
+    """The likeliest K of P(max <= x) = exp(-K n exp(-lam x)), of so many texts with so many words in all for each maximum; a maximum of 0 is one below the least positive one. Half a hit is added."""
+    hit = top > 0
+    least = top[hit].min() if hit.any() else 0.0
+    return float((texts[hit].sum() + 0.5) / max(1e-300, (words * np.exp(-lam * np.where(hit, top, least))).sum()))
+
+
 def _lambda(s: np.ndarray, n: np.ndarray) -> float:
     """The positive root of sum(p exp(lambda s)) = 1; 1 if no score is positive or the mean isn't negative."""
     if not len(s) or s.max() <= 0:
@@ -251,10 +277,11 @@ def _lambda(s: np.ndarray, n: np.ndarray) -> float:
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5) -> DataFrame:
     """(id_col, held_out, score, spans), one row per row of docs; held_out: crc32(id as text) mod `folds` is 0, and such rows teach nothing.
 
-    spans: significant segments in code points. Null and empty texts have no tokens and score as a text without any toxic token. Null labels and
+    spans: significant segments in code points. Null and empty texts have no tokens and score as a text without any toxic token; very long ones are read whole. A segment whose expectation is SIGNIFICANT exactly is reported. Null labels and
     labels of unknown ids teach nothing; of several labels of one id the highest counts. Null id: not held out, never a training row.
     Repeated rows each have their row. No rows, no result rows. Further columns, whatever their names, are not read.
     """
+    ready(docs.sparkSession)
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), is_remainder(id_col, folds, 0).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where("toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
