@@ -3,8 +3,8 @@
 One pass over the texts gives each document its counts, written once. Of the counts, four rates are judged: symbols per
 word, characters per word, lines repeated and words repeated. Each task folds the rates of its rows into one sketch for
 each (lang, source): a KLL sketch, whose compaction keeps every second item, so that two sketches merge into one with the
-same error. Sketches are merged in two steps, first over 64 salts of the group, so that a source holding a third of all
-rows sends no more than one sketch a task to any place. The fences drawn from a group's quartiles are joined back.
+same error. A task sends its sketches on when it holds HELD of them. Sketches are merged as a tree: as long as a group has more than FAN, its sketches are dealt over as many
+salts as leave about FAN / 2 for each, so nothing ever loads more, however many tasks and sources there are. The fences drawn from a group's quartiles are joined back.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, slices, table, written
+from ._common import Scratch, as_bytes, lean, ready, slices, table, written
 from ._words import SPACED, Words, windows
 
 RATES = ("symbol_rate", "word_length", "line_rate", "repeat_rate")
@@ -26,7 +26,7 @@ RATES = ("symbol_rate", "word_length", "line_rate", "repeat_rate")
 SLACK = {"symbol_rate": 0.25, "word_length": 3.0, "line_rate": 0.30, "repeat_rate": 0.20}
 #: Quartile distances from the median to a fence, and rows a group needs to be judged by its own quartiles.
 WIDTH, ENOUGH = 8.0, 50
-SALTS = 64
+FAN, HELD, MOST_GROUPS = 256, 512, 200_000
 
 
 class Kll:
@@ -122,6 +122,7 @@ def _dup_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+@lean
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for b in slices(whole, "text"):
@@ -141,13 +142,20 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One sketch of each rate for each (lang, source) of a partition."""
     held: dict[tuple, list[Kll]] = {}
+
+    def rows() -> pd.DataFrame:
+        out = [(a, b, *(s.dump() for s in own)) for (a, b), own in held.items()]
+        held.clear()
+        return pd.DataFrame(out, columns=["lang", "source", *RATES])
+
     for pdf in batches:
-        for key, rows in pdf.groupby(["lang", "source"], dropna=False, sort=False):
+        for key, part in pdf.groupby(["lang", "source"], dropna=False, sort=False):
             own = held.setdefault(tuple(None if pd.isna(x) else x for x in key), [Kll() for _ in RATES])
             for s, r in zip(own, RATES, strict=True):
-                s.add(rows[r].to_numpy(float))
-    out = [(a, b, *(s.dump() for s in own)) for (a, b), own in held.items()]
-    yield pd.DataFrame(out, columns=["lang", "source", *RATES])
+                s.add(part[r].to_numpy(float))
+            if len(held) >= HELD:
+                yield rows()
+    yield rows()
 
 
 def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -160,8 +168,14 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def _merge_langs(pdf: pd.DataFrame) -> pd.DataFrame:
-    return _merge(pdf)[["lang", *RATES, "salt"]]
+def _merged(parts: DataFrame, by: list[str], scratch: Scratch) -> DataFrame:
+    """parts (by, RATES), merged until no group has more than FAN sketches. No task gets more than about FAN of one group."""
+    names = ", ".join(f"{c} string" for c in by)
+    binaries = ", ".join(f"{r} binary" for r in RATES)
+    while (most := parts.groupBy(*by).agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]) > FAN:
+        salted = parts.withColumn("salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(-(-2 * most // FAN))).cast("int"))
+        parts = scratch.written(salted.groupBy(*by, "salt").applyInPandas(_merge, f"{names}, {binaries}, salt int").drop("salt"))
+    return parts
 
 
 def _fences(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -179,9 +193,10 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     A document fails at the base with under 20 words, or over 30 % of its words repeated; else it is kept while no rate lies
     above its group's fence: the median plus 8 quartile distances, SLACK at least. Rows that fail at the base don't shape the
     fences. A group of under ENOUGH such rows is judged by the fences of its language.
-    Null and empty texts have no words, so they fail at the base. Null lang or source is a group like any other. Ties and
+    Null and empty texts have no words, so they fail at the base; very long texts are counted whole. Null lang or source is a group like any other. A rate on the fence is kept; ties and
     repeated rows each count. No rows, no result rows. Further columns, whatever their names, are not read.
     """
+    ready(docs.sparkSession)
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"))
     longs = ", ".join(f"{c} long" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"))
@@ -198,16 +213,16 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         )
     )
     binaries = ", ".join(f"{r} binary" for r in RATES)
-    parts = counts.where("not base_failed").select("lang", "source", *RATES).mapInPandas(_sketch, f"lang string, source string, {binaries}")
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64(*RATES), F.lit(SALTS)).cast("int"))
-    once = salted.groupBy("lang", "source", "salt").applyInPandas(_merge, f"lang string, source string, {binaries}, salt int").drop("salt")
     tops = ", ".join(f"{r}_top double" for r in RATES)
-    fences = once.groupBy("lang", "source").applyInPandas(_fences, f"lang string, source string, {tops}, n long")
-    broad = once.withColumn("salt", F.pmod(F.xxhash64("source", *RATES), F.lit(SALTS)).cast("int")).groupBy("lang", "salt").applyInPandas(_merge_langs, f"lang string, {binaries}, salt int")
-    broad = broad.drop("salt").groupBy("lang").applyInPandas(_fences, f"lang string, {tops}, n long")
-    broad = broad.select(F.col("lang").alias("whole_lang"), *(F.col(f"{r}_top").alias(f"{r}_whole") for r in RATES))
-    fences = fences.join(broad, F.col("lang").eqNullSafe(F.col("whole_lang")))
+    with Scratch(docs.sparkSession) as scratch:
+        parts = scratch.written(counts.where("not base_failed").select("lang", "source", *RATES).mapInPandas(_sketch, f"lang string, source string, {binaries}"))
+        parts = _merged(parts, ["lang", "source"], scratch)
+        own = scratch.written(parts.groupBy("lang", "source").applyInPandas(_fences, f"lang string, source string, {tops}, n long"))
+        broad = _merged(parts.drop("source"), ["lang"], scratch).groupBy("lang").applyInPandas(_fences, f"lang string, {tops}, n long")
+        broad = broad.select(F.col("lang").alias("whole_lang"), *(F.col(f"{r}_top").alias(f"{r}_whole") for r in RATES))
+        fences = written(own.join(broad, F.col("lang").eqNullSafe(F.col("whole_lang"))))
     top = lambda r: F.when(F.col("n") >= ENOUGH, F.col(f"{r}_top")).otherwise(F.col(f"{r}_whole")).alias(f"{r}_top")
+    fences = F.broadcast(fences) if fences.count() <= MOST_GROUPS else fences  # beyond, Spark splits the groups that are too large for one task
     fences = fences.select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), *(top(r) for r in RATES))
     got = counts.join(fences, F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source")), "left")
     within = F.lit(True)
