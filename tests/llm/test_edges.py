@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from beacongrid.llm import bpe, class_lm, decontaminate, html_extract, language_id, near_dedup, quality, sanitise, sharding, toxicity
+from beacongrid.llm import _common, bpe, class_lm, decontaminate, html_extract, language_id, near_dedup, quality, sanitise, sharding, toxicity
 
 LONG = "the whole of it is long and very much so, " * 8000
 ROWS = [
@@ -72,6 +72,46 @@ def test_empty_table(name, docs, labels, items):
     assert apply(name, docs.where("false"), labels.where("false"), items.where("false")).count() == 0
 
 
+def test_ties_have_defined_results(spark):
+    rows = [(i, " ".join(f"w{k}" for k in range(i, i + 19))) for i in (0, 1)]  # 17 three-word shingles each, 16 shared of 18
+    near = lambda p: {r["doc_id"]: r["component_id"] for r in near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=p).collect()}
+    assert near(88) == {0: 0, 1: 0} and near(89) == {0: 0, 1: 1}
+    half = spark.createDataFrame([(1, " ".join(["alpha beta"] + ["x"] * 38)), (2, " ".join(["alpha beta"] + ["x"] * 39))], "doc_id long, text string")
+    found = decontaminate.decontaminate(half, spark.createDataFrame([("a", "alpha beta"), ("b", "alpha beta")], "item_id string, text string")).withColumn("bad", decontaminate.contaminated())
+    assert {r["doc_id"]: (r["items"], r["bad"]) for r in found.collect()} == {1: (["a", "b"], True), 2: (["a", "b"], False)}
+    at = sharding.shards(spark.createDataFrame([(1, "x" * 10), (2, "y" * 10)], "doc_id long, text string"), 20).toPandas()
+    assert set(at["depth"]) == {0} and set(at["shard_bytes"]) == {20}
+
+
+def test_very_long_texts_are_whole(spark):
+    long = "one two three " * 150_000
+    docs = spark.createDataFrame([(1, long + "mail bob@example.com"), (2, long + "the cat sat on the mat")], "doc_id long, text string").withColumn("lang", F.lit("en")).withColumn("source", F.lit("s"))
+    assert {r["doc_id"]: r["n_words"] for r in quality.quality(docs).collect()} == {1: 450_002, 2: 450_006}
+    assert {r["doc_id"]: len(r["spans"]) for r in sanitise.sanitise(docs).collect()} == {1: 1, 2: 0}
+    found = decontaminate.decontaminate(docs, spark.createDataFrame([(1, "the cat sat on the mat")], "item_id long, text string")).collect()
+    assert {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in found} == {1: [], 2: [(len(long), len(long) + 22)]}
+    assert {r["n_tokens"] for r in class_lm.class_lm(docs).collect()} == {450_003, 450_007}
+    assert {r["doc_id"]: r["n_shingles"] for r in near_dedup.near_dedup(docs, shingle=1).collect()} == {1: 5, 2: 8}
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Context:
+        master = "spark://somewhere:7077"
+        getConf = staticmethod(lambda: {})
+
+        class _jsc:  # noqa: N801
+            sc = staticmethod(lambda: type("S", (), {"getCheckpointDir": staticmethod(lambda: type("O", (), {"isDefined": staticmethod(lambda: False)}))}))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        _common.shared_dir(type("Session", (), {"sparkContext": Context}))
+
+
+def test_operators_leave_the_session_as_it_is(spark, docs):
+    before = dict(spark.conf.getAll)
+    class_lm.class_lm(docs).count()
+    assert dict(spark.conf.getAll) == before
+
+
 def test_defined_results(docs, labels, items):
     near = {r["doc_id"]: r for r in near_dedup.near_dedup(docs).collect()}
     assert near[2]["component_id"] == 1 and not near[2]["kept"] and near[1]["kept"]

@@ -76,7 +76,7 @@ def test_large_group_of_near_copies_equals_brute_force(spark):
             if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
                 ra, rb = find(a), find(b)
                 parent[max(ra, rb)] = min(ra, rb)
-    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), block=64).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=85, block=64).collect()}
     assert got == {i: find(i) for i in sets}
 
 
@@ -93,12 +93,34 @@ def test_spans_point_at_the_original(spark):
     assert r["n_hit"] == 5 and [docs.first()["text"][s["start"] : s["end"]] for s in r["spans"]] == ["The QUICK-brown fox, éa"]
 
 
-def test_several_automata_equal_one(spark, monkeypatch):
-    docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
-    key = lambda df: sorted((r["doc_id"], r["n_hit"], tuple(r["items"]), tuple(map(tuple, r["spans"]))) for r in df.collect())
-    one = key(decontaminate.decontaminate(docs, items))
-    monkeypatch.setattr(decontaminate, "PART_BYTES", 1500)
-    assert key(decontaminate.decontaminate(docs, items)) == one
+def test_automaton_equals_brute_force(tmp_path, monkeypatch):
+    rng = random.Random(1)
+    for k in range(120):
+        word = lambda v=rng.choice([2, 3, 6, 30]): f"w{rng.randrange(v)}"
+        items = [(str(i), " ".join(word() for _ in range(rng.choice([0, 1, 2, 3, 5, 8, 14, 20])))) for i in range(rng.choice([0, 1, 3, 6]))]
+        texts = [" ".join(word() if rng.random() < 0.9 else "zz" for _ in range(rng.choice([0, 1, 3, 10, 40, 90]))) for _ in range(rng.choice([0, 1, 4]))]
+        window = rng.choice([2, 4, 13])
+        monkeypatch.setattr(decontaminate, "STRETCH", rng.choice([1, 2, 5, 256]))
+        (tmp_path / f"{k}").write_bytes(b"".join(decontaminate.compile_automaton(items, window)))
+        machine, w = decontaminate.Automaton(str(tmp_path / f"{k}")), Words([t.encode() for t in texts], ALNUM)
+        got = {(a, z, n) for a, z, s in zip(*(x.tolist() for x in machine.scan(w.hash, w.ptr)), strict=True) for n in machine.names_of(s)}
+        want = set()
+        for at, t in zip(w.ptr.tolist(), texts):
+            for name, i in items:
+                n = min(window, len(i.split()))
+                grams = {tuple(i.split()[j : j + n]) for j in range(len(i.split()) - n + 1)}
+                want |= {(at + j, at + j + n, name) for j in range(len(t.split()) - n + 1) if n and tuple(t.split()[j : j + n]) in grams}
+        assert got == want
+
+
+def test_many_items_make_one_automaton_and_one_scan(spark):
+    rng = random.Random(2)
+    items = [(i, " ".join(f"{rng.randrange(10**7):x}" for _ in range(700))) for i in range(1100)]
+    assert sum(len(t) for _, t in items) > 4_500_000
+    docs = [(0, " ".join(items[7][1].split()[100:140])), (1, "nothing of it")]
+    got = decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r["doc_id"]: (r["n_hit"], r["items"]) for r in got.collect()} == {0: (40, ["7"]), 1: (0, [])}
 
 
 def test_base_spans_equal_expressions(texts):
@@ -156,6 +178,64 @@ def test_copies_change_no_disclosure(spark):
     assert all(all_[i] == one[i // 1000 - 1] for i in all_ if i >= 1000)
 
 
+def test_terms_of_a_long_line_are_found():
+    gap = "-" * 3000
+    text = f"far{gap} one two three {gap} four joe@corp.example five {gap}\nnext"
+    (_, terms), = sanitise.contexts(text, sanitise.base_spans(text))
+    assert [text[a:z] for a, z, _ in terms] == ["far", "one", "two", "three", "four", "five"]
+    long = "y" * 5000
+    (_, terms), = sanitise.contexts(f"{long} a@b.example {long}", [(0, 5001, 5012)])
+    assert [z - a for a, z, _ in terms] == [5000, 5000]
+
+
+def test_secrets():
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    text = f'token = "{key}" and averyveryverylongwordwithoutnumbers and 1234567890123456789012345 and release-2024-january-notes-x'
+    assert [text[a:b] for a, b in sanitise.secrets(text)] == [key]
+    assert sanitise.cleaned(text, [("secret", *sanitise.secrets(text)[0])]).startswith('token = "[SECRET]" and')
+
+
+def test_flagged_terms_equal_plain_counts(spark):
+    """Every entity and term by plain loops over distinct texts."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcde") for _ in range(2))
+    rows = [(i, " ".join(word() for _ in range(rng.randint(0, 6))) + rng.choice(["", " m1@corp.example Blip", " m2@corp.example Clap", f" m{i}@corp.example"]) + rng.choice(["", " Zorb Quux", " Zorb"]) + " " + word()) for i in range(500)]
+    rows += [(1000 + i, rows[i][1]) for i in range(0, 500, 7)]
+    texts = sorted({t for _, t in rows})
+    near, with_t, with_e = {}, Counter(), Counter()
+    for t in texts:
+        with_t.update({sanitise.lower_ascii(x) for x in re.findall(r"[0-9A-Za-z]+", t)})
+        found = sanitise.contexts(t, sanitise.base_spans(t))
+        with_e.update({e for e, _ in found})
+        for e, terms in found:
+            for *_, x in terms:
+                near.setdefault((e, x), set()).add(t)
+    flagged = {}
+    for (e, x), where in near.items():
+        share = 1 + math.log2(sanitise.surely(np.array([len(where)]), np.array([with_t[x]]))[0]) / math.log2(len(texts) / with_e[e])
+        if share >= 0.8:
+            flagged[e, x] = "removed" if share >= 0.95 else "term"
+    assert flagged
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in sanitise.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        base = [(sanitise.KINDS[k], a, b) for k, a, b in sanitise.base_spans(t)]
+        more = {(flagged[e, x], a, z) for e, terms in sanitise.contexts(t, sanitise.base_spans(t)) for a, z, x in terms if (e, x) in flagged}
+        assert got[i] == base + sorted(more, key=lambda s: (s[0] != "term", s[1]))
+
+
+def test_base_digest_equals_plain_expressions(spark, texts):
+    got = {r["doc_id"]: r["base_sha256"] for r in queries.QUERIES["op6_sanitise"](spark, SF).collect()}
+    for i, t in texts.items():
+        out = []
+        for kind, p in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(?:\.[0-9]+){3}"), ("card", r"[0-9](?:[ -]?[0-9])+"), ("phone", r"\+[0-9][ ().0-9-]+[0-9]")):
+            for m in re.finditer(p, t or ""):
+                d = [int(x) for x in m[0] if x.isdigit()]
+                odd = sum(d[::-1][0::2]) + sum(sum(map(int, str(2 * x))) for x in d[::-1][1::2])
+                if kind == "email" or kind == "ip" and max(map(int, m[0].split("."))) <= 255 or kind == "card" and 13 <= len(d) <= 19 and odd % 10 == 0 or kind == "phone" and 9 <= len(d) <= 15:
+                    out.append(f"{kind}:{m.start()}:{m.end()}")
+        assert got[i] == hashlib.sha256(",".join(out).encode()).hexdigest()
+
+
 def test_confidence_bound():
     k, n = np.array([1, 3, 5, 50, 500]), np.array([1, 3, 10, 100, 1000])
     q = sanitise.surely(k, n)
@@ -199,6 +279,40 @@ def test_quality_counts_equal_plain_ones(spark, texts):
         assert r["base_failed"] == (len(w) < 20 or 100 * len(hit) > 30 * len(w)) and not (r["base_failed"] and r["kept"])
 
 
+def test_fences_and_verdict_equal_exact_quartiles(spark):
+    """Groups small enough for sketches to be exact: median plus 8 quartile distances, the slack at least; groups of under 50 rows take their language's."""
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefg") for _ in range(n))
+    rows = []
+    for i in range(170):
+        lang, source = ("en", "a") if i < 90 else ("en", "b") if i < 110 else ("fr", None)
+        w = [word(rng.randint(2, 6)) for _ in range(rng.randint(20, 40))]
+        w += ["#$%"] * (rng.randint(0, 2) if i % 11 else 25)
+        rows.append((i, "\n".join([" ".join(w), *(["same line"] * (rng.randint(0, 1) if i % 13 else 9))]), lang, source))
+    got = {r["doc_id"]: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)).collect()}
+    good = [r for r in got.values() if not r["base_failed"]]
+    rank = lambda v, q: sorted(v)[min(len(v) - 1, max(0, math.ceil(q * len(v)) - 1))]
+    for r in got.values():
+        own = [x for x in good if (x["lang"], x["source"]) == (r["lang"], r["source"])]
+        own = own if len(own) >= quality.ENOUGH else [x for x in good if x["lang"] == r["lang"]]
+        within = True
+        for k in quality.RATES:
+            v = [x[k] for x in own]
+            top = rank(v, 0.5) + max(quality.SLACK[k], 8 * (rank(v, 0.75) - rank(v, 0.25)))
+            assert math.isclose(r[f"{k}_top"], top, rel_tol=1e-9)
+            within = within and r[k] <= top
+        assert r["kept"] == (not r["base_failed"] and within)
+    assert len({r["kept"] for r in good}) == 2
+
+
+def test_many_sketches_merge_as_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FAN", 4)
+    monkeypatch.setattr(quality, "HELD", 3)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(8)
+    got = quality.quality(docs).select("doc_id", "kept").collect()
+    assert len(got) == docs.count() and sum(r["kept"] for r in got) > len(got) / 2
+
+
 def test_sketches_merge():
     rng = np.random.default_rng(2)
     x = rng.normal(size=40_000)
@@ -224,8 +338,41 @@ def test_segments_equal_brute_force():
 def test_toxicity_on_held_out_rows(spark):
     got = toxicity.toxicity(spark.read.parquet(f"{MORE}/documents.parquet"), spark.read.parquet(f"{MORE}/labels.parquet")).where("held_out").toPandas()
     m = got.merge(pd.read_parquet(f"{MORE}/labels.parquet"), on="doc_id")
-    hit = m["score"] >= 0.5
-    assert (hit == (m["toxic"] == 1)).mean() > 0.9
+    hit, toxic = m["score"] >= 0.5, m["toxic"] == 1
+    assert (hit & toxic).sum() / toxic.sum() > 0.6 and (hit & toxic).sum() / hit.sum() > 0.9
+
+
+def test_all_maximal_segments_equal_their_definition():
+    """Ruzzo and Tompa: the best segment, then the same left and right of it."""
+    rng = random.Random(6)
+
+    def split(s, a, b):
+        best = max(((sum(s[i:j]), -(j - i), -i) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0, 0, 0))
+        if best[0] <= 0:
+            return []
+        i = -best[2]
+        j = i - best[1]
+        return [*split(s, a, i), (i, j, best[0]), *split(s, j, b)]
+
+    for _ in range(150):
+        s = [rng.choice([-7, -3, -1, 2, 4, 9]) + rng.random() for _ in range(rng.randint(0, 16))]
+        got = toxicity.maximal_segments(np.array(s, float))
+        want = split(s, 0, len(s))
+        assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in want] and np.allclose([v for *_, v in got], [v for *_, v in want])
+
+
+def test_expectations_hold_on_clean_texts():
+    """Of random texts without structure, about a share of e has a segment that is expected e times or less."""
+    rng = np.random.default_rng(4)
+    s, p = np.array([-1.5, 0.5, 1.0, 2.0]), np.array([0.9, 0.06, 0.03, 0.01])
+    lam = toxicity._lambda(s, p)
+    texts = [rng.choice(s, n, p=p) for n in rng.integers(50, 400, 4000)]
+    top = np.array([max([0.0, *(v for *_, v in toxicity.maximal_segments(x))]) for x in texts])
+    words = np.array([len(x) for x in texts], float)
+    k = toxicity.tail_factor(top, np.ones(len(top)), words, lam)
+    for e in (0.02, 0.05, 0.2):
+        share = (k * words * np.exp(-lam * top) <= e).mean()
+        assert e / 3 < share < 1.7 * e
 
 
 def test_language_on_held_out_rows(spark):
@@ -234,6 +381,24 @@ def test_language_on_held_out_rows(spark):
     assert (m["lang"] == m["lang_pred"]).mean() > 0.98
 
 
+def test_svm_meets_its_dual():
+    """Primal and dual objective meet, so the machine is the optimum of its problem."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(80, 5)).astype(np.float32)
+    y = np.where(x[:, 0] + 0.7 * x[:, 1] + rng.normal(size=80) * 0.5 > 0.3, 1.0, -1.0)
+    w = language_id.svm(x, y, np.arange(80), cost=1.0, rounds=3000)
+    share = np.where(y > 0, (y < 0).sum(), (y > 0).sum()) / 80 * 2
+    a = np.column_stack([x, np.ones(80)])
+    value = lambda v: 0.5 * v @ v + (share * np.maximum(0, 1 - y * (a @ v))).sum()
+    assert all(value(w) <= value(w + d) + 1e-2 for d in rng.normal(size=(400, 6)) * rng.choice([1e-3, 1e-2, 0.1, 1.0], size=(400, 1)))
+
+
+def test_a_language_of_one_hot_text_is_learned(spark):
+    rows = [(i, "the cat sat on the mat", "en") for i in range(5000)] + [(5000 + i, f"le chat dort sous la table numéro {i}", "fr") for i in range(300)]
+    got = language_id.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).where("held_out").groupBy("lang_pred").count().collect()
+    assert {r["lang_pred"] for r in got} == {"en", "fr"}
+
+
 def test_copies_leave_the_sample_of_a_language_whole(spark):
     rows = [("aa", "the hot text")] * 9800 + [("aa", f"text number {chr(97 + i % 26)} {i}") for i in range(199)] + [("bb", f"un autre texte {i}") for i in range(30)]
     seen = []
@@ -259,6 +424,56 @@ def test_class_model_beats_unigrams_and_base_is_exact(spark):
     assert held["score"].sum() > held["base_score"].sum() and (got["score"] < 0).all()
 
 
+@pytest.mark.parametrize("least", [1, 2, 10**9])
+def test_class_score_equals_plain_sums_and_sums_to_one(spark, least, monkeypatch):
+    """Every text's score from the model's own classes by plain loops; the probabilities of all words, one unknown a group and the end sum to 1 after any class."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("aa bb cc dd ee ff gg".split()) for _ in range(rng.randint(0, 9)))) for i in range(60)] + [(60, "zz only once qq zz"), (61, "aa unseen?! bb")]
+    models = []
+    real = class_lm.fit
+    monkeypatch.setattr(class_lm, "fit", lambda *a: models.append(real(*a)) or models[-1])
+    got = class_lm.class_lm(spark.createDataFrame(rows, "doc_id long, text string"), least=least).collect()
+    m = models[0]
+    lex, key = m.lexicon, lambda w: int(class_lm.tokens([w.encode()])[0][0])
+    words = {r["doc_id"]: dict(rows)[r["doc_id"]].split() + [None] for r in got}
+    c = Counter(w for r in got if not r["held_out"] for w in words[r["doc_id"]])
+    group = lambda w: key(w) & 255
+    types = Counter(group(w) for w, n in c.items() if w is not None and n < least)
+
+    def cls(w):
+        return int(lex.look(np.array([class_lm.END if w is None else key(w)]))[1][0])
+
+    mass = Counter()
+    for w, n in c.items():
+        mass[cls(w)] += n
+    mass[cls(None)] += 0.5
+    for g in range(256):
+        mass[int(lex.of[len(lex.core) + 1 + g])] += 0.5
+
+    def p(w, before):
+        if w is None:
+            own = c[None] + 0.5
+        elif c[w] >= least:
+            own = c[w]
+        else:
+            own = c[w] - m.discount if c[w] else m.discount * types[group(w)] + 0.5
+        return 10 ** m.step[before, cls(w)] * own / mass[cls(w)]
+
+    for r in got:
+        before, want = cls(None), 0.0
+        for w in words[r["doc_id"]]:
+            want += math.log10(p(w, before))
+            before = cls(w)
+        assert math.isclose(r["score"], want, rel_tol=1e-9), words[r["doc_id"]]
+        assert r["n_known"] == sum(w in c for w in words[r["doc_id"]])
+        assert math.isclose(r["base_score"], sum(math.log10((c[w] + 1) / (sum(c.values()) + len(c) + 1)) for w in words[r["doc_id"]]), rel_tol=1e-9)
+    for before in range(class_lm.CLASSES):
+        total = sum(p(w, before) for w in c)
+        total += sum(10 ** m.step[before, int(lex.of[len(lex.core) + 1 + g])] * (m.discount * types[g] + 0.5) / mass[int(lex.of[len(lex.core) + 1 + g])] for g in range(256))
+        classes = {cls(w) for w in c} | {int(k) for k in lex.of[len(lex.core) + 1 :]}
+        assert math.isclose(total, sum(10 ** m.step[before, k] for k in classes), rel_tol=1e-9) and math.isclose(sum(10 ** m.step[before]), 1, rel_tol=1e-9)
+
+
 def test_exchange_separates_two_languages():
     pairs = np.zeros((8, 8))
     pairs[np.ix_([0, 2, 4, 6], [0, 2, 4, 6])] = 10
@@ -293,6 +508,44 @@ def test_raw_elements_nest_and_math_is_text():
     assert [b.text for b in html_blocks.blocks(page)] == ["ab E= c", "d"]
 
 
+def test_long_pages_teach_and_are_read_whole(spark):
+    para = lambda i: f"<p>Sentence number {i} says something, and then some more of it. It goes on for a while.</p>"
+    page = "<nav><a href=/>Home</a></nav><article><h1>Head</h1>" + "".join(map(para, range(3000))) + "</article><footer>&copy; Someone</footer>"
+    assert len(page) > 200_001
+    seen = []
+    real, html_extract._train = html_extract._train, lambda pages, *a: seen.append(max(len(k) for _, k, _ in pages)) or real(pages[:40], 20)
+    try:
+        got = html_extract.extract(spark.createDataFrame([(1, "u", page), (2, "v", page), (3, "w", None)], "page_id long, url string, html string")).orderBy("page_id").collect()
+    finally:
+        html_extract._train = real
+    assert seen == [3003]
+    assert got[0]["text"] == got[1]["text"] and got[0]["n_blocks"] == 3003 and "Sentence number 2999 says" in got[0]["text"] and got[2]["text"] == ""
+
+
+def test_training_climbs_the_likelihood():
+    """The weights are where the penalised likelihood, by summing over all labellings, has no slope."""
+    rng = random.Random(2)
+    pages = [([rng.sample(["bias", "ends", "long", "rights"], rng.randint(0, 4)) for _ in range(n)], [rng.randint(0, 1) for _ in range(n)]) for n in (1, 2, 3, 3, 5)]
+    m = html_extract.train(pages, rounds=3000, ridge=0.1)
+    names, theta = sorted(m.names, key=m.names.get), np.concatenate([m.w, m.step.ravel(), m.start])
+
+    def value(th):
+        w, step, start = th[:-6], th[-6:-2].reshape(2, 2), th[-2:]
+        out = -0.05 * th @ th
+        for fs, ys in pages:
+            of = lambda y: start[y[0]] + sum(w[names.index(f)] for f, k in zip(fs, y, strict=True) if k for f in f) + sum(step[a, b] for a, b in zip(y, y[1:], strict=False))
+            every = [of([k >> i & 1 for i in range(len(fs))]) for k in range(1 << len(fs))]
+            out += (of(ys) - np.logaddexp.reduce(every)) / len(pages)
+        return out
+
+    best = value(theta)
+    for i in range(len(theta)):
+        for d in (1e-2, -1e-2):
+            moved = theta.copy()
+            moved[i] += d
+            assert value(moved) <= best + 1e-5
+
+
 def test_viterbi_equals_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(30):
@@ -303,6 +556,23 @@ def test_viterbi_equals_brute_force():
         assert m.decode(f) == [best >> (5 - i) & 1 for i in range(6)]
 
 
+def test_directory_and_deep_splits(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "FIRST_BITS", 2)
+    monkeypatch.setattr(sharding, "NEXT_BITS", 3)
+    docs = spark.createDataFrame([(i, "y" * (50 + i % 40)) for i in range(300)], "doc_id long, text string")
+    placed = sharding.shards(docs, 400)
+    want = {}
+    h = {i: int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16) for i in range(300)}
+    for i in h:
+        for d in range(61):
+            if sum(50 + j % 40 for j in h if h[j] >> (60 - d) == h[i] >> (60 - d)) <= 400:
+                want[i] = d
+                break
+    assert {r["doc_id"]: r["depth"] for r in placed.collect()} == want
+    d = sorted(sharding.directory(placed).collect(), key=lambda r: r["low"])
+    assert d[0]["low"] >= 0 and d[-1]["high"] <= 1 << 60 and all(a["high"] <= b["low"] for a, b in zip(d, d[1:], strict=False)) and sum(r["shard_rows"] for r in d) == 300
+
+
 def test_hot_key_spreads_over_shards(spark):
     rows = [(1, "x" * 90)] * 60 + [(i, "y" * 50) for i in range(2, 30)]
     got = sharding.shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 400).toPandas()
@@ -316,7 +586,7 @@ def test_pipeline_equals_brute_force(spark):
     sets = {}
     for i, t in zip(d["doc_id"], d["text"], strict=True):
         w = re.findall(r"[^\x20\x09-\x0D]+", t.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
-        sets[i] = {tuple(w[k : k + 3]) for k in range(max(1, len(w) - 2))} if w else set()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
     up = {i: i for i in sets}
 
     def find(x):
@@ -326,7 +596,7 @@ def test_pipeline_equals_brute_force(spark):
 
     for a in sets:
         for b in sets:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
                 ra, rb = find(a), find(b)
                 up[max(ra, rb)] = min(ra, rb)
     bench = pd.read_parquet(f"{SF}/benchmark.parquet")
