@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..params import AFRICA
+
 EARTH_KM = 6371.0
 
 
@@ -40,3 +42,8 @@ def places_in(text: Column, parents: dict[str, str | None]) -> Column:
 def places_disagree(a: Column, b: Column) -> Column:
     """Both name places, and none in common."""
     return (F.size(a) > 0) & (F.size(b) > 0) & ~F.arrays_overlap(a, b)
+
+
+def in_africa(iso: Column) -> Column:
+    """Whether a country code is African; a missing one isn't."""
+    return F.coalesce(F.upper(F.trim(iso)).isin(*AFRICA), F.lit(False))

@@ -176,3 +176,8 @@ def recent_paged(claims: DataFrame, events: DataFrame, as_of_micros: int, most:
     """Storylines with a live claim, their highest tier and latest expiry; the top by expiry."""
     live = claims.where(F.col("expires") > as_of_micros).join(events, "id")
     return live.groupBy("storyline").agg(F.max("tier_rank").alias("tier_rank"), F.max("expires").alias("expires")).orderBy(F.desc("expires"), "storyline").limit(most)
+
+
+def located(anchor: Column, latitude: Column) -> Column:
+    """Whether a place is known: an anchor or a coordinate."""
+    return F.coalesce(anchor != "", F.lit(False)) | latitude.isNotNull()

@@ -68,3 +68,36 @@ def adjacency(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Edges in both directions, once, without loops."""
     both = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).unionByName(edges.select(F.col(b).alias("a"), F.col(a).alias("b")))
     return both.where("a != b").distinct()
+
+
+def acquired(df: DataFrame, claims: DataFrame, id_col: str, now: Column) -> DataFrame:
+    """df after workers tried to lock rows: claims (id, worker, at). The first claim on a free row of status deduped wins, by time, then worker; lock_owner, heartbeat and status follow."""
+    first = claims.groupBy(id_col).agg(F.min(F.struct("at", "worker")).alias("_c"))
+    free = F.col("_c").isNotNull() & (F.col("status") == "deduped") & F.col("lock_owner").isNull()
+    got = df.join(first, id_col, "left")
+    return got.select(
+        *(c for c in df.columns if c not in ("status", "lock_owner", "heartbeat")), F.when(free, "locked").otherwise(F.col("status")).alias("status"), F.when(free, F.col("_c.worker")).otherwise(F.col("lock_owner")).alias("lock_owner"), F.when(free, now).otherwise(F.col("heartbeat")).alias("heartbeat")
+    )
+
+
+def released(df: DataFrame, releases: DataFrame, id_col: str) -> DataFrame:
+    """df after workers gave rows back: releases (id, worker, requeue). Only the owner's counts; a row that is still locked is queued again if asked for; a second release changes nothing."""
+    r = releases.groupBy(id_col, F.col("worker").alias("lock_owner")).agg(F.bool_or("requeue").alias("_q"))
+    got = df.join(r, [id_col, "lock_owner"], "left")
+    own = F.col("_q").isNotNull()
+    return got.select(*(c for c in df.columns if c not in ("status", "lock_owner")), F.when(own & F.col("_q") & (F.col("status") == "locked"), "deduped").otherwise(F.col("status")).alias("status"), F.when(~own, F.col("lock_owner")).alias("lock_owner"))
+
+
+def transitioned(df: DataFrame, changes: DataFrame, id_col: str) -> DataFrame:
+    """df with the status of each row that changes (id, from_status, to_status) names, where its status is still from_status; one change a row and status."""
+    got = df.join(changes.select(id_col, F.col("from_status").alias("status"), "to_status"), [id_col, "status"], "left")
+    return got.select(*(F.coalesce("to_status", "status").alias("status") if c == "status" else F.col(c) for c in df.columns))
+
+
+def degradations(stats: DataFrame, sample: int = 10) -> DataFrame:
+    """(stage, problem) of a run's counters: (stage, name, value, message). An error, failed events, and dates of which none could be verified in `sample` fetched articles or more."""
+    error = stats.where("name = 'error' and message is not null").select("stage", F.col("message").alias("problem"))
+    failed = stats.where("name = 'events_failed' and value > 0").select("stage", F.concat(F.col("value").cast("string"), F.lit(" event(s) failed")).alias("problem"))
+    g = stats.groupBy("stage").agg(F.coalesce(F.max(F.when(F.col("name") == "full_text_attempted", F.col("value"))), F.lit(0)).alias("a"), F.coalesce(F.max(F.when(F.col("name") == "publish_dates_verified", F.col("value"))), F.lit(0)).alias("v"))
+    down = g.where((F.col("stage") == "pass_a") & (F.col("a") >= sample) & (F.col("v") == 0)).select("stage", F.concat(F.lit("no date verified in "), F.col("a").cast("string"), F.lit(" articles")).alias("problem"))
+    return error.unionByName(failed).unionByName(down)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import registrable
-from ..params import RISK, SEVERE
+from ..functions.text import aftermath, flight_disruption, registrable
+from ..params import NOT_NEWS, RISK, SAFETY_ONLY, SEVERE, STRATEGIC
 
 
 def event_time(as_of: Column) -> Column:
@@ -81,3 +81,32 @@ def risk_level(confirmed_severe: Column, top: Column, n: Column) -> Column:
     """Of a country's clusters: those both severe and corroborated, the highest severity, and their number."""
     first = F.when((confirmed_severe >= 3) | ((confirmed_severe >= 2) & (n >= 10)), RISK[0])
     return first.when((confirmed_severe >= 1) | (top >= SEVERE), RISK[1]).when((top >= 64) | ((top >= 60) & (n >= 5)), RISK[2]).otherwise(RISK[3])
+
+
+def retrospective(df: DataFrame, cluster: str, title: str = "title", report_kind: str = "report_kind") -> DataFrame:
+    """(cluster, retrospective): whether every member reports on what is already known, by its kind or its headline."""
+    old = F.coalesce(F.col(report_kind).isin(*NOT_NEWS), F.lit(False)) | aftermath(title).isNotNull()
+    return df.groupBy(cluster).agg(F.bool_and(old).alias("retrospective"))
+
+
+def section(event_type: Column, safety: tuple[str, ...] = SAFETY_ONLY, strategic: tuple[str, ...] = STRATEGIC) -> Column:
+    """Where a cluster goes: strategic, field, or nowhere (null) if it is of safety alone."""
+    return F.when(F.coalesce(event_type.isin(*strategic), F.lit(False)), "strategic").when(~F.coalesce(event_type.isin(*safety), F.lit(False)), "field")
+
+
+def airspace_relevant(event_type: Column, text: Column, threats: tuple[str, ...], disrupted: Column | None = None) -> Column:
+    """A type that threatens airspace, or a text that reports disrupted flights."""
+    return F.coalesce(event_type.isin(*threats), F.lit(False)) | (flight_disruption(text) if disrupted is None else disrupted)
+
+
+def with_dim(df: DataFrame, dim: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """df with columns of a dimension, null where it has no such key; dim has one row a key."""
+    return df.join(dim.select(key, *columns), key, "left")
+
+
+def coordinates(df: DataFrame, gazetteer: DataFrame, key: str, iso: str) -> DataFrame:
+    """df with lat, lon of its place key. gazetteer: (place, lat, lon, place_iso), one row a place. An entry of another country than the row's is refused."""
+    g = gazetteer.select(F.col("place").alias("_p"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), "place_iso")
+    other = F.coalesce((F.upper(F.trim(F.col(iso))) != "") & (F.col("place_iso") != "") & (F.upper(F.trim(F.col(iso))) != F.col("place_iso")), F.lit(False))
+    got = df.join(g, F.col(key) == F.col("_p"), "left")
+    return got.withColumn("lat", F.when(~other, F.col("_lat"))).withColumn("lon", F.when(~other, F.col("_lon"))).drop("_p", "_lat", "_lon", "place_iso")

@@ -83,3 +83,13 @@ def latest_per(df: DataFrame, key: str, *order: Column) -> DataFrame:
 
 def vocabulary_table(spark, v: Vocabulary = Vocabulary()) -> DataFrame:
     return spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(v.credibility.items())], "parent string, score double, place int")
+
+
+def corroboration_weight(sources: Column) -> Column:
+    """The row itself and its corroborating sources."""
+    return 1 + F.greatest(F.coalesce(F.size(sources), F.lit(0)), F.lit(0))
+
+
+def top_k(df: DataFrame, group: str, k: int, *order: Column) -> DataFrame:
+    """The first k rows of each group. The limit is the feature; Spark keeps k rows a task before it shuffles."""
+    return df.withColumn("_rn", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_rn") <= k).drop("_rn")

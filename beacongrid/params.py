@@ -150,3 +150,17 @@ class Vocabulary:
     shared_words: tuple[str, ...] = ("sector", "north", "south")
     credibility: dict[str, float] = field(default_factory=lambda: {"src0.example.com": 0.95, "src1.example.com": 0.85, "src2.example.com": 0.8, "src3.example.com": 0.7, "example.com": 0.65})
     unknown_credibility: float = 0.6
+
+
+# Countries of Africa, by ISO code.
+AFRICA = (
+    "DZ", "AO", "BJ", "BW", "BF", "BI", "CM", "CV", "CF", "TD", "KM", "CD", "CG", "CI", "DJ", "EG", "GQ", "ER", "SZ", "ET", "GA", "GM", "GH", "GN", "GW", "KE", "LS", "LR", "LY", "MG", "MW", "ML", "MR", "MU", "MA", "MZ", "NA", "NE", "NG",
+    "RW", "ST", "SN", "SC", "SL", "SO", "ZA", "SS", "SD", "TZ", "TG", "TN", "UG", "ZM", "ZW", "EH",
+)
+
+# Event types of safety alone, and of strategy; what a page says that only keeps robots out; labels of a day's precision.
+SAFETY_ONLY = ("bird_strike", "engine_failure", "emergency_landing", "depressurization", "fire_on_board", "unruly_passenger", "runway_incursion")
+STRATEGIC = ("travel_advisory", "travel_ban", "embassy_closure", "political_event", "general_strike", "evacuation", "humanitarian_crisis")
+CHALLENGES = ("vercel security checkpoint", "just a moment", "checking your browser", "cf-browser-verification", "attention required", "captcha")
+NO_DATE, UNVERIFIED = "tarih belirsiz", " (tarih doğrulanmadı — yayın tarihi teyit edilemedi)"
+PRECISION = {"this_week": " (gün tahmini)", "approximate": " (yaklaşık)", "unknown": " (tarih kaynağın yayın tarihine dayalı)"}

@@ -986,3 +986,6 @@ def airspace_cards(spark, d):
     at = linking.box_of(e.select("id", F.col("country_iso").alias("country"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon")), boxes)
     first = scoring.latest_per(at.join(e.select("id", "severity"), "id"), "box_id", F.desc("severity"), F.asc("id"))
     return first.orderBy(F.desc("severity"), "id").limit(5).select("box_id", "id", "severity")
+
+
+from . import more  # noqa: E402, F401  registers its queries

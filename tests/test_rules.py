@@ -263,3 +263,35 @@ def test_classifier_failure_keeps_rows(spark):
         raise OSError
 
     assert fuzzy.classified(df, "t", down, "relevance int, llm_confidence double").where("relevance is null").count() == 2
+
+
+@pytest.mark.parametrize(("hint", "want"), [("  Port FIRE,  Jun8 unknown ", "port fire"), ("in-n-out nov20", "in-n-out"), ("Unknown", None), (None, None)])
+def test_hint_normal(spark, hint, want):
+    df = spark.createDataFrame([(hint,)], "t string")
+    assert df.select(text.normalized_hint("t").alias("x")).first()["x"] == want
+
+
+def test_day_labels(spark):
+    rows = [("2026-01-02 10:00:00", None, "same_day", True), ("2026-01-02 10:00:00", None, "approximate", None), (None, "2026-01-03 00:00:00", None, True), (None, None, "this_week", True), ("2026-01-02 10:00:00", None, "same_day", False)]
+    df = spark.createDataFrame(rows, "o string, p string, c string, v boolean").select(F.col("o").cast("timestamp_ntz").alias("o"), F.col("p").cast("timestamp_ntz").alias("p"), "c", "v")
+    got = [r["x"] for r in df.select(text.day_label("o", "p", "c", "v").alias("x")).collect()]
+    assert got == ["2026-01-02", "2026-01-02 (yaklaşık)", "2026-01-03 (tarih kaynağın yayın tarihine dayalı)", "tarih belirsiz (gün tahmini)", "2026-01-02 (tarih doğrulanmadı — yayın tarihi teyit edilemedi)"]
+
+
+def test_fetching_asks_again(spark):
+    def fetch(url):
+        fetch.n = getattr(fetch, "n", 0) + 1
+        if url == "down" or fetch.n % 2:
+            raise OSError
+        return None if url == "gone" else f"body of {url}"
+
+    df = spark.createDataFrame([("a",), ("down",), ("gone",), (None,)], "u string").coalesce(1)
+    assert {r["u"]: r["body"] for r in ports.fetched(df, "u", fetch).collect()} == {"a": "body of a", "down": None, "gone": None, None: None}
+
+
+def test_bucket_waits():
+    at = [0.0]
+    b = ports.Bucket(2.0, 3.0, lambda: at[0])
+    assert [b.take() for _ in range(5)] == [0, 0, 0, 0.5, 1.0]
+    at[0] = 10.0
+    assert b.take(3) == 0 and b.take() == 0.5
