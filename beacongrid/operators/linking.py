@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -62,30 +64,43 @@ def best_match(pairs: DataFrame, order: list[Column]) -> DataFrame:
 def assign_in_order(df: DataFrame, block: str, p: Linking = Linking()) -> DataFrame:
     """(id, storyline_of): events of a block, in time order, each joining the storyline of the most similar newest member, or opening its own, named by its id.
 
-    The result depends on order, so a block is one stream: rows are dealt by block and sorted, and only the newest event of each storyline within the time window is held.
+    The result depends on order, so a block is one stream: rows are dealt by block and sorted, and only the newest event of each storyline within the time window is held, by its tokens, so that a row meets
+    only storylines it shares one with. Ties go to the storyline opened first.
     Rows: block, id, t (microseconds), unigrams, tokens.
     """
     span = p.days * 86_400_000_000
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, open_ = None, {}
+        at, open_, by, opened = None, {}, {}, itertools.count()
+
+        def close(name: int) -> None:
+            for w in open_.pop(name)[1]:
+                by[w].discard(name)
+
         for pdf in batches:
             out = []
             for k, i, t, tokens in zip(pdf["k"].tolist(), pdf["i"].tolist(), pdf["t"].tolist(), pdf["tokens"].tolist(), strict=True):
                 if k != at:
-                    at, open_ = k, {}
+                    at, open_, by = k, {}, {}
                 own, best, best_sim = set(tokens), None, p.jaccard
-                for s, (last, held) in list(open_.items()):
+                shared = Counter(s for w in own for s in by.get(w, ()))
+                for s, n in shared.items():
+                    last, held, place = open_[s]
                     if t - last > span:
-                        del open_[s]
+                        close(s)
                         continue
-                    union = len(own | held)
-                    sim = len(own & held) / union if own and held else 0.0
-                    if sim > best_sim:
+                    sim = n / (len(own) + len(held) - n)
+                    if sim > best_sim or best is not None and sim == best_sim and place < open_[best][2]:
                         best, best_sim = s, sim
-                name = i if best is None else best
-                open_[name] = (t, own)
+                name, place = (i, next(opened)) if best is None else (best, open_[best][2])
+                if best is not None:
+                    close(name)
+                open_[name] = (t, own, place)
+                for w in own:
+                    by.setdefault(w, set()).add(name)
                 out.append((i, name))
+            for s in [s for s, (last, *_) in open_.items() if len(pdf) and t - last > span]:
+                close(s)
             yield pd.DataFrame(out, columns=["id", "storyline_of"]).astype("int64")
 
     rows = df.where("t is not null").select(F.col(block).alias("k"), F.col("id").alias("i"), "t", "tokens")
@@ -124,23 +139,23 @@ def anchored_runs(df: DataFrame, keys: list[str], micros: str, id_col: str, seve
 
 
 def centrist_clusters(df: DataFrame, block: str, least: float = 0.40) -> DataFrame:
-    """(id, cluster): in order of t and id, each row joins the cluster whose first member is the most similar, from `least` on (ties: the earlier), or opens one named by its id. Held: the first members of one block."""
+    """(id, cluster): in order of t and id, each row joins the cluster whose first member is the most similar, from `least` on (ties: the earlier), or opens one named by its id. Held: the first members of one block, by their tokens, so that a row meets only those it shares one with."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, heads = None, []
+        at, heads, by = None, [], {}
         for pdf in batches:
             out = []
             for k, i, tokens in zip(pdf["k"].tolist(), pdf["i"].tolist(), pdf["tokens"].tolist(), strict=True):
                 if k != at:
-                    at, heads = k, []
-                own, best, best_sim = frozenset(tokens), None, -1.0
-                for name, held in heads:
-                    sim = 1.0 if own == held and own else len(own & held) / len(own | held) if own and held else 0.0
-                    if sim >= least and sim > best_sim:
-                        best, best_sim = name, sim
+                    at, heads, by = k, [], {}
+                own = frozenset(tokens)
+                shared = Counter(h for w in own for h in by.get(w, ()))
+                best = min(((-sim, h) for h, n in shared.items() if (sim := n / (len(own) + heads[h][1] - n)) >= least), default=None)
                 if best is None:
-                    heads.append((i, own))
-                out.append((i, i if best is None else best))
+                    for w in own:
+                        by.setdefault(w, []).append(len(heads))
+                    heads.append((i, len(own)))
+                out.append((i, i if best is None else heads[best[1]][0]))
             yield pd.DataFrame(out, columns=["id", "cluster"]).astype("int64")
 
     rows = df.select(F.col(block).alias("k"), F.col("id").alias("i"), "t", "tokens")

@@ -223,6 +223,63 @@ def test_assignment_ignores_partitions(spark):
         assert {tuple(r) for r in linking.assign_in_order(e.repartition(n), "country").collect()} == want
 
 
+def _by_country(spark, with_undated):
+    e = linking.with_tokens(incidents(spark, SF), "hint").select("id", "country", "t", "tokens").collect()
+    out = {}
+    for r in sorted(e, key=lambda r: (r["t"] is not None, r["t"] or 0, r["id"])):
+        if with_undated or r["t"] is not None:
+            out.setdefault(r["country"], []).append((r["id"], r["t"], set(r["tokens"])))
+    return out
+
+
+def test_assignment_equals_plain_python(spark):
+    want = {}
+    for rows in _by_country(spark, False).values():
+        lines = []  # (name, time of the newest, its tokens), in order of opening
+        for i, t, own in rows:
+            sims = [(len(own & held) / len(own | held), -k) for k, (_, last, held) in enumerate(lines) if t - last <= 14 * 24 * H]
+            sim, k = max(sims, default=(0.0, 0))
+            if sim > 0.4:
+                want[i] = lines[-k][0]
+                lines[-k] = (lines[-k][0], t, own)
+            else:
+                want[i] = i
+                lines.append((i, t, own))
+    assert {r["id"]: r["storyline_of"] for r in linking.assign_in_order(linking.with_tokens(incidents(spark, SF), "hint"), "country").collect()} == want
+
+
+def test_centrist_clusters_equal_plain_python(spark):
+    want = {}
+    for rows in _by_country(spark, True).values():
+        heads = []
+        for i, _, own in rows:
+            sim, k = max(((len(own & held) / len(own | held), -k) for k, (_, held) in enumerate(heads)), default=(0.0, 0))
+            want[i] = heads[-k][0] if sim >= 0.4 else i
+            if sim < 0.4:
+                heads.append((i, own))
+    e = linking.with_tokens(incidents(spark, SF), "hint")
+    assert {r["id"]: r["cluster"] for r in linking.centrist_clusters(e, "country").collect()} == want
+    assert {r["id"]: r["cluster"] for r in linking.centrist_clusters(e.repartition(7), "country").collect()} == want
+
+
+def test_merged_runs_equal_plain_python(spark):
+    runs = {}
+    for r in sorted(incidents(spark, SF).select("id", "hint", "country", "anchor", "t", "severity").collect(), key=lambda r: (r["t"] is not None, r["t"] or 0, r["id"])):
+        own = runs.setdefault(tuple(x for x in (r["hint"], r["country"], r["anchor"]) if x is not None), [])
+        t = r["t"]
+        if own and (t is None and own[-1][0]["t"] is None or t is not None and own[-1][0]["t"] is not None and t - own[-1][0]["t"] <= 24 * H):
+            own[-1].append(r)
+        else:
+            own.append([r])
+    want = {(x[0]["id"], len(x), max(r["severity"] for r in x)) for own in runs.values() for x in own}
+    assert {(r["first_id"], r["members"], r["severity"]) for r in linking.anchored_runs(incidents(spark, SF), ["hint", "country", "anchor"], "t", "id", "severity").collect()} == want
+
+
+def test_seqmatch_equals_difflib(spark):
+    got = spark.createDataFrame([("abcd", "bcde"), ("", "a"), ("x" * 250 + "abc", "abc" + "x" * 250)], "a string, b string").select("a", "b", fuzzy.matcher_ratio("a", "b").alias("r")).collect()
+    assert [r["r"] for r in got] == [difflib.SequenceMatcher(None, r["a"], r["b"]).ratio() if r["a"] and r["b"] else 0.0 for r in got]
+
+
 def test_anchored_runs_start_at_their_first_event(spark):
     df = spark.createDataFrame([("a", 1, 0, 5), ("a", 2, 20 * H, 9), ("a", 3, 30 * H, 1), ("b", 4, None, 1), ("b", 5, None, 3), ("b", 6, 0, 1)], "k string, id long, t long, s int")
     got = {tuple(r) for r in linking.anchored_runs(df, ["k"], "t", "id", "s").collect()}
