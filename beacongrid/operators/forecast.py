@@ -84,3 +84,8 @@ def calibration(df: DataFrame, last: int = 4) -> DataFrame:
     newest = df.select("report").distinct().orderBy(F.desc("report")).limit(last)
     e = df.join(newest, "report", "left_semi")
     return e.groupBy("country").agg(F.count("*").alias("n"), F.sum(F.col("hit").cast("long")).alias("hits"), F.sum(((F.col("predicted") == "Escalating") & (F.col("hit") == 0)).cast("long")).alias("over"), F.sum(((F.col("predicted") == "De-escalating") & (F.col("hit") == 0)).cast("long")).alias("under"))
+
+
+def fallback(df: DataFrame, country: str, severity: str, most: int = 8) -> DataFrame:
+    """The countries of the highest mean severity, where no model says which matter; the limit is the feature."""
+    return df.groupBy(country).agg(F.avg(severity).alias("ti")).orderBy(F.desc("ti"), country).limit(most)

@@ -101,3 +101,19 @@ def degradations(stats: DataFrame, sample: int = 10) -> DataFrame:
     g = stats.groupBy("stage").agg(F.coalesce(F.max(F.when(F.col("name") == "full_text_attempted", F.col("value"))), F.lit(0)).alias("a"), F.coalesce(F.max(F.when(F.col("name") == "publish_dates_verified", F.col("value"))), F.lit(0)).alias("v"))
     down = g.where((F.col("stage") == "pass_a") & (F.col("a") >= sample) & (F.col("v") == 0)).select("stage", F.concat(F.lit("no date verified in "), F.col("a").cast("string"), F.lit(" articles")).alias("problem"))
     return error.unionByName(failed).unionByName(down)
+
+
+def counters(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Rows and the median of a value, rounded down, by group."""
+    return df.groupBy(group).agg(F.count("*").alias("n"), F.floor(F.median(value)).cast("int").alias(f"median_{value}"))
+
+
+def metrics(df: DataFrame, kind: str, since: Column, at: str, payload: str, path: str) -> DataFrame:
+    """Rows of each kind since a time, and the sum of one number of their JSON payload."""
+    return df.where(F.col(at) >= since).groupBy(kind).agg(F.count("*").alias("n"), F.sum(F.get_json_object(payload, path).cast("int")).alias("total"))
+
+
+def relevance_status(severity: Column, event_type: Column, disrupted: Column, floor: int = 30, protest_floor: int = 40, disrupted_floor: int = 40) -> Column:
+    """archived or classified: disrupted flights count for `disrupted_floor` at least; protests need more than others."""
+    s = F.when(disrupted, F.greatest(severity, F.lit(disrupted_floor))).otherwise(severity)
+    return F.when((s < floor) | ((event_type == "protest") & (s < protest_floor)), "archived").otherwise("classified")

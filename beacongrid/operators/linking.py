@@ -188,22 +188,26 @@ def summaries(df: DataFrame, group: str, micros: str, severity: str, domain: str
     )
 
 
-def nearby(points: DataFrame, places: DataFrame, km: float, most: int) -> DataFrame:
-    """The `most` nearest places within `km` of each point: (id, place_id, distance, k). Points and places meet in cells: bands of latitude as high as the radius, cut into equal columns at least as wide
-    as the radius where the band lies nearest to a pole, so only neighbours are compared. Columns go round the globe; around a pole there is one."""
+def cells(lat: Column, lon: Column, km: float) -> tuple[Column, Column]:
+    """A point's own cell, and those in which its neighbours within `km` lie, as (cy, cx) structs: bands of latitude as high as the radius, cut into equal columns at least as wide as the radius where the band lies
+    nearest to a pole. Columns go round the globe; around a pole there is one."""
     deg = km / 111.0
     reach = math.sin(min(math.pi / 2, km / EARTH_KM))
-    band = lambda c: F.floor(c / F.lit(deg)).cast("long")
-    top = lambda cy: F.least(F.lit(90.0), F.greatest(F.abs(cy), F.abs(cy + 1)) * deg)  # noqa: E731  the latitude nearest to a pole
-    narrow = lambda cy: F.cos(F.radians(top(cy)))
+    narrow = lambda cy: F.cos(F.radians(F.least(F.lit(90.0), F.greatest(F.abs(cy), F.abs(cy + 1)) * deg)))
     columns = lambda cy: F.when(narrow(cy) > 1.01 * reach, F.greatest(F.lit(1), F.floor(360 / (1.01 * F.degrees(F.asin(F.lit(reach) / F.greatest(narrow(cy), F.lit(reach)))))))).otherwise(F.lit(1)).cast("long")
-    column = lambda lon, n: F.floor(F.pmod(lon + 180, F.lit(360.0)) / 360 * n).cast("long")
-    a = points.where("lat is not null and lon is not null").withColumn("cy", band(F.col("lat"))).withColumn("cx", column(F.col("lon"), columns(F.col("cy"))))
-    b = places.where("lat is not null and lon is not null").select("place_id", F.col("lat").alias("plat"), F.col("lon").alias("plon"), "tier")
-    b = b.withColumn("cy", F.explode(F.array(*(band(F.col("plat")) + k for k in (-1, 0, 1))))).withColumn("n", columns(F.col("cy"))).withColumn("c", column(F.col("plon"), F.col("n")))
-    b = b.withColumn("cx", F.explode(F.array_distinct(F.array(*(F.pmod(F.col("c") + k, F.col("n")) for k in (-1, 0, 1)))))).drop("n", "c")
+    column = lambda n: F.floor(F.pmod(lon + 180, F.lit(360.0)) / 360 * n).cast("long")
+    cell = lambda cy, cx: F.struct(cy.alias("cy"), cx.alias("cx"))
+    own = F.floor(lat / F.lit(deg)).cast("long")
+    near = [cell(own + i, F.pmod(column(columns(own + i)) + j, columns(own + i))) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+    return cell(own, column(columns(own))), F.array_distinct(F.array(*near))
+
+
+def nearby(points: DataFrame, places: DataFrame, km: float, most: int) -> DataFrame:
+    """The `most` nearest places within `km` of each point: (id, place_id, distance, k). Points and places meet in cells, so only neighbours are compared."""
+    a = points.where("lat is not null and lon is not null").withColumn("cell", cells(F.col("lat"), F.col("lon"), km)[0])
+    b = places.where("lat is not null and lon is not null").select("place_id", F.col("lat").alias("plat"), F.col("lon").alias("plon"), "tier", F.explode(cells(F.col("lat"), F.col("lon"), km)[1]).alias("cell"))
     d = haversine(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))
-    hits = a.join(b, ["cy", "cx"]).withColumn("distance", d).where(F.col("distance") <= km)
+    hits = a.join(b, "cell").withColumn("distance", d).where(F.col("distance") <= km)
     w = Window.partitionBy("id").orderBy("distance", "tier", "place_id")
     return hits.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most).select("id", "place_id", "distance", "k")
 
@@ -221,10 +225,26 @@ def box_of(points: DataFrame, boxes: DataFrame) -> DataFrame:
 
 
 def co_located(df: DataFrame, hours: int = 6, km: float = 50.0) -> DataFrame:
-    """Flash convergence: starts of a window of `hours` with two event types or more at one place: (id, types). Places are equal anchors, or points within `km`. Only events of one country and neighbouring hours meet."""
+    """Flash convergence: starts of a window of `hours` with two event types or more at one place: (id, types). Places are equal anchors, or points within `km`.
+
+    Events of one country and neighbouring hours meet by anchor and by cell of the globe, so a busy country isn't compared as a whole.
+    """
     span = hours * 3_600_000_000
-    a = df.where("t is not null").withColumn("h", F.floor(F.col("t") / span))
-    b = a.select(*(F.col(c).alias(f"{c}2") for c in ("id", "t", "country", "event_type", "anchor", "lat", "lon"))).withColumn("h", F.explode(F.array(F.floor(F.col("t2") / span), F.floor(F.col("t2") / span) - 1)))
-    same = F.coalesce(F.col("anchor") == F.col("anchor2"), F.lit(False)) | (haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) <= km)
-    pairs = a.join(b, (a["country"] == b["country2"]) & (a["h"] == b["h"])).where((F.col("t2") >= F.col("t")) & (F.col("t2") - F.col("t") <= span) & same)
-    return pairs.groupBy("id").agg(F.countDistinct("event_type2").alias("types")).where("types >= 2")
+    e = df.where("t is not null").withColumn("h", F.floor(F.col("t") / span))
+    later = e.select(*(F.col(c).alias(f"{c}2") for c in ("t", "event_type", "lat", "lon")), "country", "anchor", F.explode(F.array(F.col("h"), F.col("h") - 1)).alias("h"))
+    within = (F.col("t2") >= F.col("t")) & (F.col("t2") - F.col("t") <= span)
+    by_anchor = e.join(later.where("anchor is not null"), ["country", "h", "anchor"]).where(within).select("id", "event_type2")
+    points = e.where("lat is not null and lon is not null").withColumn("cell", cells(F.col("lat"), F.col("lon"), km)[0])
+    others = later.where("lat2 is not null and lon2 is not null").drop("anchor").withColumn("cell", F.explode(cells(F.col("lat2"), F.col("lon2"), km)[1]))
+    by_cell = points.join(others, ["country", "h", "cell"]).where(within & (haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) <= km)).select("id", "event_type2")
+    return by_anchor.unionByName(by_cell).groupBy("id").agg(F.countDistinct("event_type2").alias("types")).where("types >= 2")
+
+
+def adjudication_candidates(df: DataFrame, id_col: str, group: str, hours: int = 48, least: float = 0.1, most: int = 6) -> DataFrame:
+    """(a_id, b_id, kin): for each row, the rows of its group within `hours` whose words (unigrams) are the most akin, `most` at most (the limit is the feature); ties by id. Rows that share no word aren't akin."""
+    keyed = df.select(F.col(id_col).alias("a_id"), group, "t", "unigrams", F.explode("unigrams").alias("w"))
+    other = keyed.select(F.col("a_id").alias("b_id"), group, F.col("t").alias("u"), F.col("unigrams").alias("v"), "w")
+    near = keyed.join(other, [group, "w"]).where((F.col("a_id") != F.col("b_id")) & (F.abs(F.col("t") - F.col("u")) <= hours * 3_600_000_000)).dropDuplicates(["a_id", "b_id"])
+    kin = near.select("a_id", "b_id", jaccard("unigrams", "v").alias("kin")).where(F.col("kin") >= least)
+    w = Window.partitionBy("a_id").orderBy(F.desc("kin"), "b_id")
+    return kin.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= most).drop("_rn")

@@ -110,3 +110,14 @@ def coordinates(df: DataFrame, gazetteer: DataFrame, key: str, iso: str) -> Data
     other = F.coalesce((F.upper(F.trim(F.col(iso))) != "") & (F.col("place_iso") != "") & (F.upper(F.trim(F.col(iso))) != F.col("place_iso")), F.lit(False))
     got = df.join(g, F.col(key) == F.col("_p"), "left")
     return got.withColumn("lat", F.when(~other, F.col("_lat"))).withColumn("lon", F.when(~other, F.col("_lon"))).drop("_p", "_lat", "_lon", "place_iso")
+
+
+def narrative_queue(df: DataFrame, storyline: str, id_col: str, micros: str, cache: DataFrame | None = None, least: int = 2, most: int | None = 10) -> DataFrame:
+    """Storylines to be told (storyline, n, last, signature, stale): those whose rows differ from what the cache (storyline, held) was told of come first, then the newest; `most` is the feature, None gives all, unordered.
+
+    A signature is a digest of a storyline's ids in order and its last time; a storyline's ids are few, as they are of one window.
+    """
+    g = df.groupBy(storyline).agg(F.count("*").alias("n"), F.max(micros).alias("last"), F.sha2(F.concat(F.array_join(F.array_sort(F.collect_list(id_col)), ","), F.lit("#"), F.max(micros).cast("string")), 256).alias("signature")).where(F.col("n") >= least)
+    q = g.withColumn("held", F.lit(None).cast("string")) if cache is None else g.join(cache, storyline, "left")
+    q = q.withColumn("stale", ~F.coalesce(F.col("held") == F.col("signature"), F.lit(False))).drop("held")
+    return q if most is None else q.orderBy(F.desc("stale"), F.desc("last"), F.desc("n"), storyline).limit(most)

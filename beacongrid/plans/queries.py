@@ -835,7 +835,7 @@ def geo_distribution(spark, d):
 
 @query(f"WITH {I} SELECT status, count(*) AS n, CAST(floor(median(severity)) AS INT) AS median_severity FROM incidents GROUP BY status")
 def run_stats(spark, d):
-    return incidents(spark, d).groupBy("status").agg(F.count("*").alias("n"), F.floor(F.median("severity")).cast("int").alias("median_severity"))
+    return lifecycle.counters(incidents(spark, d), "status", "severity")
 
 
 @query(f"WITH {I} SELECT id FROM incidents WHERE status = 'locked' AND ingested_at < TIMESTAMP '{AS_OF}' - INTERVAL 15 MINUTE")
@@ -881,8 +881,7 @@ def run_snapshot(spark, d):
 
 @query("SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract(props, '$.k') AS INT)) AS BIGINT) AS k FROM events WHERE ts >= TIMESTAMP '2024-01-29 00:00:00' GROUP BY event_type")
 def telemetry_24h(spark, d):
-    e = read(spark, d, "events").where("ts >= TIMESTAMP_NTZ '2024-01-29 00:00:00'")
-    return e.groupBy("event_type").agg(F.count("*").alias("n"), F.sum(F.get_json_object("props", "$.k").cast("int")).alias("k"))
+    return lifecycle.metrics(read(spark, d, "events"), "event_type", F.expr("TIMESTAMP_NTZ '2024-01-29 00:00:00'"), "ts", "props", "$.k").withColumnRenamed("total", "k")
 
 
 @query(f"WITH {I} SELECT id, sha256(concat(CAST(id AS VARCHAR), '#', storyline)) AS signature FROM incidents")
@@ -938,17 +937,15 @@ def time_bounds(spark, d):
 
 @query(f"WITH {I} SELECT country, avg(severity) AS ti FROM incidents GROUP BY country ORDER BY ti DESC, country LIMIT 8")
 def g1_fallback(spark, d):
-    return incidents(spark, d).groupBy("country").agg(F.avg("severity").alias("ti")).orderBy(F.desc("ti"), "country").limit(8)
+    return forecast.fallback(incidents(spark, d), "country", "severity")
 
 
 @query(f"""WITH {I}, g AS (SELECT storyline, count(*) AS n, max(t) AS last, sha256(concat(string_agg(CAST(id AS VARCHAR), ',' ORDER BY id), '#', CAST(max(t) AS VARCHAR))) AS sig FROM incidents WHERE t IS NOT NULL AND severity >= 62 GROUP BY storyline HAVING count(*) >= 2)
 SELECT storyline, n, CAST(substr(storyline, 3) AS INT) % 2 = 0 AS stale FROM g ORDER BY stale DESC, last DESC, n DESC, storyline LIMIT 10""")
 def narrative_queue(spark, d):
     e = incidents(spark, d).where("t is not null and severity >= 62")
-    g = e.groupBy("storyline").agg(F.count("*").alias("n"), F.max("t").alias("last"), F.sha2(F.concat(F.array_join(F.array_sort(F.collect_list("id")), ","), F.lit("#"), F.max("t").cast("string")), 256).alias("sig")).where("n >= 2")
-    cache = g.where("CAST(substr(storyline, 3) AS INT) % 2 = 1").select("storyline", F.col("sig").alias("held"))
-    q = g.join(cache, "storyline", "left").withColumn("stale", ~F.coalesce(F.col("held") == F.col("sig"), F.lit(False)))
-    return q.orderBy(F.desc("stale"), F.desc("last"), F.desc("n"), "storyline").limit(10).select("storyline", "n", "stale")
+    told = reports.narrative_queue(e, "storyline", "id", "t", most=None).where("CAST(substr(storyline, 3) AS INT) % 2 = 1").select("storyline", F.col("signature").alias("held"))
+    return reports.narrative_queue(e, "storyline", "id", "t", told).select("storyline", "n", "stale")
 
 
 @query("SELECT page_id FROM pages WHERE regexp_replace(regexp_replace(url, '[#?].*$', ''), '/+$', '') IN (SELECT regexp_replace(regexp_replace(url, '[#?].*$', ''), '/+$', '') FROM pages WHERE page_id % 3 = 0)")
@@ -960,8 +957,7 @@ def url_allowlist(spark, d):
 @query(f"WITH {I} SELECT id, CASE WHEN severity < 30 OR (event_type = 'protest' AND severity < 40) THEN 'archived' ELSE 'classified' END AS status FROM (SELECT id, event_type, CASE WHEN {_FLIGHT} THEN greatest(severity, 40) ELSE severity END AS severity FROM incidents)")
 def relevance_tiering(spark, d):
     e = incidents(spark, d)
-    s = F.when(text.flight_disruption("title"), F.greatest("severity", F.lit(40))).otherwise(F.col("severity"))
-    return e.select("id", F.when((s < 30) | ((F.col("event_type") == "protest") & (s < 40)), "archived").otherwise("classified").alias("status"))
+    return e.select("id", lifecycle.relevance_status(F.col("severity"), F.col("event_type"), text.flight_disruption("title")).alias("status"))
 
 
 @query(f"""WITH {I}, n AS (SELECT *, row_number() OVER (PARTITION BY storyline ORDER BY t DESC, id DESC) AS k FROM incidents WHERE t IS NOT NULL), w AS (SELECT *, list_distinct(list_filter(string_split(hint, ' '), lambda x: x NOT IN ('the','a','an','at','in','on','of','to','and','or','near','update'))) AS u FROM n WHERE k = 1),
@@ -969,12 +965,7 @@ p AS (SELECT a.id AS a_id, b.id AS b_id, len(list_intersect(a.u, b.u)) / CAST(le
 r AS (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY kin DESC, b_id) AS j FROM p WHERE kin >= 0.1) SELECT a_id, b_id, round(kin, 6) AS kin FROM r WHERE j <= 6""")
 def adjudication_candidates(spark, d):
     e = linking.with_tokens(_newest(spark, d), "hint").select("id", "country", "t", "unigrams")
-    keyed = e.withColumn("w", F.explode("unigrams"))
-    other = keyed.select(F.col("id").alias("b_id"), F.col("country").alias("c"), F.col("t").alias("u"), F.col("unigrams").alias("v"), F.col("w").alias("x"))
-    near = keyed.join(other, (F.col("country") == F.col("c")) & (F.col("w") == F.col("x"))).where((F.col("id") != F.col("b_id")) & (F.abs(F.col("t") - F.col("u")) <= 48 * H)).dropDuplicates(["id", "b_id"])
-    kin = near.select(F.col("id").alias("a_id"), "b_id", text.jaccard("unigrams", "v").alias("kin")).where("kin >= 0.1")
-    w = Window.partitionBy("a_id").orderBy(F.desc("kin"), "b_id")
-    return kin.withColumn("j", F.row_number().over(w)).where("j <= 6").select("a_id", "b_id", r6("kin", "kin"))
+    return linking.adjudication_candidates(e, "id", "country").select("a_id", "b_id", r6("kin", "kin"))
 
 
 @query(f"""WITH {I}, {_BOXES}, z AS (SELECT id, box_id, severity, row_number() OVER (PARTITION BY id ORDER BY CAST(country_iso <> box_country AS INT), (north - south) * (east - west), box_id) AS k FROM incidents JOIN boxes ON latitude BETWEEN south AND north AND longitude BETWEEN west AND east WHERE event_type = 'airspace_restriction' OR {_FLIGHT}),
