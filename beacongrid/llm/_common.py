@@ -20,6 +20,8 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 #: No key of a join's rows may hold more than this part of them and still be shuffled: there are at most so many such keys, so they are broadcast.
 HOT = 4096
+#: Rows of a few numbers that are sent to where others are, instead of shuffling those.
+MOST_IDS = 1 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -97,6 +99,11 @@ def joined(rows: DataFrame, by: DataFrame, on: list[str], how: str = "inner") ->
     return rows.join(keys, on, "left_semi").join(few, on, how).unionByName(rows.join(keys, on, "left_anti").join(by, on, how))
 
 
+def small(df: DataFrame) -> DataFrame:
+    """A written table of ids or the like, to be broadcast if it has MOST_IDS rows at most."""
+    return F.broadcast(df) if df.count() <= MOST_IDS else df
+
+
 def ship(spark: SparkSession, parts: Iterator[bytes]) -> str:
     """Puts a file into the shared folder, piece by piece, from which every executor gets it; its name for SparkFiles."""
     sc, name = spark.sparkContext, f"lexicon-{uuid.uuid4().hex}.bin"

@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from ._common import HOT, Scratch, as_bytes, lean, ready, slices, table, written
+from ._common import HOT, MOST_IDS, Scratch, as_bytes, lean, ready, slices, small, table, written
 from ._words import Words, mix, windows
 from .components import components
 
-LANES, ROWS, MISS, MOST_IDS = 256, 4, 2.1e-8, 1 << 19
+LANES, ROWS, MISS = 256, 4, 2.1e-8
 _FREE = np.uint64((1 << 64) - 1)
 _STEP = 0x9E3779B97F4A7C15
 
@@ -264,15 +264,10 @@ def _joined(percent: int):
     return run
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """A written table, to be broadcast if it has MOST_IDS rows at most."""
-    return F.broadcast(df) if df.count() <= MOST_IDS else df
-
-
 def _meet(rows: DataFrame, by: DataFrame, hot: list[int]) -> DataFrame:
     """rows and by, a written table of one row a bucket, joined on k. If by is large, the buckets in `hot` still aren't shuffled."""
     if not hot or by.count() <= MOST_IDS:
-        return rows.join(_small(by), "k")
+        return rows.join(small(by), "k")
     keys = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in hot], "k long"))
     return rows.join(keys, "k", "left_semi").join(F.broadcast(by.join(keys, "k", "left_semi")), "k").unionByName(rows.join(keys, "k", "left_anti").join(by, "k"))
 
@@ -297,10 +292,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = one.where("id is not null and d1 is not null")
     classes = written(known.groupBy("d1", "d2", "size").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
     with Scratch(spark) as scratch:
-        several = _small(scratch.written(classes.where("n > 1").drop("n")))
+        several = small(scratch.written(classes.where("n > 1").drop("n")))
         copies = known.select("id", "d1", "d2", "size").join(several, ["d1", "d2", "size"]).where("id != rep").select("id").distinct()
         copies = scratch.written(copies.join(classes.select(F.col("rep").alias("id")), "id", "left_anti"))  # an id of several texts may stand for another class
-        reps = known.join(_small(copies), "id", "left_anti")
+        reps = known.join(small(copies), "id", "left_anti")
         whole = written(_groups(base, reps, scratch, shingle, percent, least, block))
 
     of_class = classes.join(whole.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", "size", F.coalesce("label", "rep").alias("group"))
@@ -322,7 +317,7 @@ def _groups(base: DataFrame, reps: DataFrame, scratch: Scratch, shingle: int, pe
     lead = members.join(central, "id").groupBy("k").agg(F.max(F.struct("c", (-F.col("id")).alias("m"))).alias("x")).select("k", (-F.col("x.m")).alias("lead"))
     star = scratch.written(_meet(members, scratch.written(lead), hot).where("id != lead").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct())
 
-    sigs = lambda ids: reps.join(_small(scratch.written(ids.distinct())), "id", "left_semi").select("id", "size", "sig", "bands")
+    sigs = lambda ids: reps.join(small(scratch.written(ids.distinct())), "id", "left_semi").select("id", "size", "sig", "bands")
     ends = sigs(star.select(F.col("a").alias("id")).unionByName(star.select(F.col("b").alias("id"))))
     near = (
         star.join(ends.select(F.col("id").alias("a"), F.col("size").alias("m"), F.col("sig").alias("sig_a")), "a")
