@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beacongrid.llm._common import row_of, small_batches, table, written
+from beacongrid.llm._common import row_of, small, small_batches, table, written
 from beacongrid.llm.bpe import bpe, tokenizer_path
 from beacongrid.llm.decontaminate import contaminated, decontaminate
 from beacongrid.llm.language_id import UNKNOWN, language_id
@@ -31,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group (five-word shingles, similarity of 0.8 or more) stays, the one of the smallest doc_id, in one row if it is repeated. Rows without doc_id
     and documents without words stay; very long texts are compared whole; no rows, no result rows."""
     groups = written(near_dedup(docs, shingle=5, percent=80))
-    gone = groups.where("not kept").select("doc_id").distinct()
+    gone = small(written(groups.where("not kept").select("doc_id").distinct()))  # else all texts would be shuffled
     again = groups.where("doc_id is not null and kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     left = docs.join(gone, "doc_id", "left_anti")
     if not again.isEmpty():
