@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, class_lm, decontaminate, html_extract, language_id, near_dedup, quality, sanitise, sharding, toxicity
+from . import bpe, class_lm, decontaminate, divergence, html_extract, language_id, near_dedup, packing, periodic, quality, sanitise, sharding, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
@@ -15,10 +15,14 @@ QUERIES = {
     "op8_class_lm": class_lm.op8_class_lm,
     "op9_bpe": bpe.op9_bpe,
     "op10_quality": quality.op10_quality,
+    "op11_divergence": divergence.op11_divergence,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
+    "op13_packing": packing.op13_packing,
 }
 
 SQL = {
     "op4_decontaminate": decontaminate.SQL,
     "op5_near_dedup": near_dedup.SQL,
     "op7_extendible_shards": sharding.SQL,
+    "op11_divergence": divergence.SQL,
 }
