@@ -4,8 +4,8 @@ A document of T tokens has T // most pieces of `most` tokens, then one piece for
 sequence by itself, so no sequence crosses documents and none is padded: a batch takes sequences of one bucket. Sequences are numbered bucket by bucket, longest first,
 without gaps, so a bucket is a range of numbers (`buckets`).
 
-Token ids come from words between white space, which no token crosses: each distinct one of a task is encoded once, exactly, and the ids of a slice of texts are gathered from
-those by array operations. A task keeps up to WORDS distinct words (some 60 MB) and forgets them when it ends.
+Token ids come from words between white space, which no token crosses: each distinct one of a task is encoded once, by the tokenizer's library, and the ids of a slice of texts are gathered from
+those by array operations. A task keeps some WORDS distinct words at most (about 50 MB) and forgets them when it ends.
 """
 
 from __future__ import annotations
@@ -19,50 +19,60 @@ from pyspark.sql import functions as F
 
 from ._common import as_bytes, lean, ready, slices, table, typed, written
 from ._words import SPACED, Words
-from .bpe import Merger, Pieces, tokenizer_path
+from .bpe import tokenizer_path
 
-LONGEST, END, WORDS = 4096, 2, 400_000
+LONGEST, END, WORDS = 4096, 2, 1 << 20
 
 
 class Encoder:
     """Ids of many texts at once. Tokens of the vocabulary never hold space or 0x09-0x0D, and neither lower-casing nor composition looks across them, so words between them are encoded one by one."""
 
     def __init__(self, spec: bytes):
-        self.pieces = Pieces(Merger(spec), None)
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_buffer(spec)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[int, int] = {}
-        self.ids, self.ptr, self.held = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
+        """Forgets all words. hash: of each known word, sorted; start and size: where its ids are in `ids`."""
+        self.hash, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.held = np.zeros(1 << 16, np.uint32), 0
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.hash, hashes)
+        known = at < len(self.hash)
+        known[known] = self.hash[at[known]] == hashes[known]
+        return at, known
 
     def _learn(self, words: Words, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """The number of each distinct word; new ones are encoded."""
-        if len(self.number) > WORDS:
+        """The place of each distinct word among the known ones; new ones are encoded."""
+        if len(self.hash) > WORDS:
             self._clear()
-        out = np.empty(len(hashes), np.int64)
-        for i, (h, at) in enumerate(zip(hashes.tolist(), first.tolist(), strict=True)):
-            k = self.number.get(h)
-            if k is None:
-                ids = np.frombuffer(self.pieces.encode(words.text(at).decode("utf-8", "replace"))[0], "<u4")
-                k = self.number[h] = len(self.number)
-                while self.held + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
-                if k + 2 > len(self.ptr):
-                    self.ptr = np.concatenate([self.ptr, np.zeros(len(self.ptr), np.int64)])
-                self.ids[self.held : self.held + len(ids)] = ids
-                self.held += len(ids)
-                self.ptr[k + 1] = self.held
-            out[i] = k
-        return out
+        at, known = self._find(hashes)
+        if known.all():
+            return at
+        new = np.flatnonzero(~known)
+        got = self.tokenizer.encode([words.text(i).decode("utf-8", "replace") for i in first[new].tolist()], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(got.ids, np.uint32)
+        size = np.bincount(np.array(got.word_ids, np.int64), minlength=len(new)) if len(ids) else np.zeros(len(new), np.int64)
+        while self.held + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
+        self.ids[self.held : self.held + len(ids)] = ids
+        start = self.held + np.cumsum(size) - size
+        self.held += len(ids)
+        self.hash, self.start, self.size = (np.insert(old, at[new], more) for old, more in ((self.hash, hashes[new]), (self.start, start), (self.size, size)))
+        return np.searchsorted(self.hash, hashes)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin."""
         w = Words(texts, SPACED, lower=False)
         hashes, first, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
         word = self._learn(w, hashes, first)[inverse]
-        n = self.ptr[word + 1] - self.ptr[word]
+        n = self.size[word]
         end = np.concatenate([[0], np.cumsum(n)])
-        at = np.arange(end[-1]) + np.repeat(self.ptr[word] - end[:-1], n)
+        at = np.arange(end[-1]) + np.repeat(self.start[word] - end[:-1], n)
         return self.ids[at], end[w.ptr]
 
 
@@ -103,7 +113,7 @@ def decompose(docs: DataFrame, tokenizer: str, most: int = LONGEST, end: int | N
     """(id_col, start, length, ids, doc_tokens): the pieces of every row of docs, of 1, 2, 4 ... `most` tokens.
 
     ids: the piece's token ids packed as little-endian unsigned 32-bit integers. start: ids of the document before it. doc_tokens: ids of the whole document, the id `end` that closes it included
-    (end None: nothing closes it, and a document without tokens has no piece). tokenizer: path of a tokenizer file of byte-level BPE with word ends. most: a power of two.
+    (end None: nothing closes it, and a document without tokens has no piece). tokenizer: path of a tokenizer file whose tokens don't hold white space. most: a power of two.
 
     Null and empty texts are the closing id alone, one piece of one token. A document of exactly `most` tokens is one piece. Very long texts are cut like others. Null ids and
     repeated rows each have their pieces. No rows, no result rows. Further columns, whatever their names, are not read.
