@@ -1,13 +1,13 @@
 """How the sources of a language differ in their words, by sorting and run-length scans.
 
-1.  Each task counts (language, source, term) over the documents it reads, so what is shuffled are its partial runs: a term, a source, the first document, the number of documents
-    and of occurrences. Rows are dealt out by (lang, term) and sorted by (lang, term, source, document) within their partition; one scan adds partial runs of one source, and then
-    runs of one term, and keeps the terms of LEAST documents or more.
+1.  Each task counts (language, source, term) over slices of the documents it reads, so what is shuffled are partial runs: a term, a source, the first document, the number of documents
+    and of occurrences. Rows are dealt out by (lang, term) and sorted by (lang, term, source, document) within their partition, behind a 64-bit hash of (lang, term) that spares most comparisons of texts;
+    one scan adds runs of one term, keeps the terms of LEAST documents or more, and adds the partial runs of each source of those.
 2.  Totals of what is kept give every group (lang, source) its probabilities, in whole billionths.
 3.  A second scan over runs of (lang, term), dealt out and sorted again with the groups of a language ahead of its terms, emits partial distances of pairs of sources; adding them gives the distances.
     The terms a group uses most beyond its language come from the same rows, the first TOP of each group.
 
-A hot term or source is a partial run for each task, not a row for each document. A scan holds the sources of one term, and for the pairs the sources of one language; a square of distances up to
+A hot term or source is a partial run for each slice of texts, not a row for each document. A scan holds the sources of one term, and for the pairs the sources of one language; a square of distances up to
 CELLS cells is added up in the task, beyond that each block of terms emits its own partial distances.
 """
 
@@ -25,51 +25,42 @@ from ._common import as_bytes, lean, ready, slices, small, table, written
 from ._words import LETTERS, Words, mix
 
 LEAST, TOP, UNIT, PRIOR = 30, 50, 1_000_000_000, 5
-#: Partial runs that a task holds before it emits them, and cells of a square of distances.
-HELD, CELLS = 1 << 19, 1 << 22
+#: Bytes of texts that are counted at once, and cells of a square of distances.
+SLICE, CELLS = 8 << 20, 1 << 22
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PARTIAL = pa.schema([("lang", pa.string()), ("term", pa.string()), ("source", pa.string()), ("doc", pa.int64()), ("docs", pa.int64()), ("n", pa.int64())])
 _KEPT = pa.schema([("lang", pa.string()), ("term", pa.string()), ("source", pa.string()), ("n", pa.int64()), ("all_n", pa.int64()), ("head", pa.bool_())])
 
 
-def _emit(groups: list[tuple[str, str]], held: dict[int, list]) -> pa.RecordBatch:
-    g, term, doc, docs, n = zip(*held.values(), strict=True)
-    cols = [[groups[k][0] for k in g], pa.array(term, pa.binary()).cast(pa.string()), [groups[k][1] for k in g], doc, docs, n]
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) if not isinstance(c, pa.Array) else c for c, f in zip(cols, _PARTIAL, strict=True)], schema=_PARTIAL)
+def _spans(buf: bytes, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """Pieces of a buffer as an array of texts."""
+    size = end - start
+    to = np.concatenate([[0], np.cumsum(size)])
+    data = np.frombuffer(buf, np.uint8)[np.arange(to[-1]) + np.repeat(start - to[:-1], size)]
+    return pa.StringArray.from_buffers(len(size), pa.py_buffer(to.astype(np.int32)), pa.py_buffer(data))
 
 
 @lean
 def _partial_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents and occurrences of each (lang, source, term) of a task."""
-    groups: list[tuple[str, str]] = []
-    number: dict[tuple[str, str], int] = {}
-    held: dict[int, list] = {}
+    """Documents and occurrences of each (lang, source, term) of a slice of texts."""
     for whole in batches:
-        for b in slices(whole, "text"):
+        for b in slices(whole, "text", SLICE):
             w = Words(as_bytes(b.column("text")), LETTERS)
             own = w.owner()
             if not len(own):
                 continue
-            of = np.array([number.setdefault(k, len(number)) for k in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), strict=True)])
-            groups += list(number)[len(groups) :]
+            of: dict[tuple[str, str], int] = {}
+            group = np.array([of.setdefault(k, len(of)) for k in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), strict=True)])
             _, first, n = np.unique(mix(w.hash + own.astype(np.uint64) * _ODD), return_index=True, return_counts=True)  # a term of a document
-            key, at, back = np.unique(mix(w.hash[first] ^ mix(of[own[first]].astype(np.uint64) + np.uint64(1))), return_index=True, return_inverse=True)
-            docs, total = np.bincount(back).tolist(), np.bincount(back, weights=n).astype(np.int64).tolist()
-            place = first[at]
-            doc = b.column("doc").to_numpy()[own[place]].tolist()
-            for k, i, g, p, d, t in zip(key.tolist(), place.tolist(), of[own[place]].tolist(), doc, docs, total, strict=True):
-                got = held.get(k)
-                if got is None:
-                    held[k] = [g, w.text(i), p, d, t]
-                else:
-                    got[2] = min(got[2], p)
-                    got[3] += d
-                    got[4] += t
-            if len(held) >= HELD:
-                yield _emit(groups, held)
-                held = {}
-    if held:
-        yield _emit(groups, held)
+            _, at, back = np.unique(mix(w.hash[first] ^ mix(group[own[first]].astype(np.uint64) + np.uint64(1))), return_index=True, return_inverse=True)
+            place, docs, total = first[at], np.bincount(back), np.bincount(back, weights=n).astype(np.int64)
+            order = np.argsort(place)  # rows of a document stay together, which packs well
+            place, docs, total = place[order], docs[order], total[order]
+            row = own[place]
+            names = [pa.array([k[i] for k in of], pa.string()).take(pa.array(group[row])) for i in (0, 1)]
+            term = _spans(w.buf, w.start[place], w.end[place])
+            doc = b.column("doc").take(pa.array(row))
+            yield pa.RecordBatch.from_arrays([names[0], term, names[1], doc, pa.array(docs), pa.array(total)], schema=_PARTIAL)
 
 
 def _starts(b: pa.Table | pa.RecordBatch, names: list[str]) -> np.ndarray:
@@ -86,31 +77,58 @@ def _starts(b: pa.Table | pa.RecordBatch, names: list[str]) -> np.ndarray:
 def _by_source(b: pa.Table) -> pa.Table:
     """One row for each run of a source: its documents and occurrences added."""
     at = np.flatnonzero(_starts(b, ["lang", "term", "source"]))
+    if not len(at):
+        return b
     sums = [pa.array(np.add.reduceat(b.column(c).to_numpy(), at)) for c in ("docs", "n")]
-    return pa.table([*(b.column(c).take(pa.array(at)) for c in ("lang", "term", "source", "doc")), *sums], schema=_PARTIAL)
+    return pa.table([*(b.column(c).take(pa.array(at)) for c in ("lang", "term", "source")), *sums], names=["lang", "term", "source", "docs", "n"])
+
+
+def _wide(batches: Iterator[pa.RecordBatch], rows: int = 1 << 16) -> Iterator[pa.Table]:
+    """The batches, some `rows` rows at once."""
+    held, n = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            n += b.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def _scan(least: int):
     """Runs of (lang, term) with `least` documents or more: a row for each source of them."""
 
+    def begins(t: pa.Table) -> np.ndarray:
+        """Where a run of (lang, term) begins: rows of one hash are compared, all others differ."""
+        h = t.column("h").to_numpy()
+        out = np.append(True, h[1:] != h[:-1])
+        alike = np.flatnonzero(~out)
+        if len(alike):
+            now, then = (t.select(["lang", "term"]).take(pa.array(i)) for i in (alike, alike - 1))
+            out[alike] = np.logical_or(*(pc.not_equal(now.column(c), then.column(c)).to_numpy() for c in ("lang", "term")))
+        return out
+
     def kept(t: pa.Table) -> pa.Table:
-        at = np.flatnonzero(_starts(t, ["lang", "term"]))
+        at = np.flatnonzero(begins(t))
         size = np.diff(np.append(at, t.num_rows))
-        docs, n = (np.add.reduceat(t.column(c).to_numpy(), at) for c in ("docs", "n"))
-        head = np.zeros(t.num_rows, bool)
-        head[at] = True
-        out = pa.table([*(t.column(c) for c in ("lang", "term", "source", "n")), pa.array(np.repeat(n, size)), pa.array(head)], schema=_KEPT)
-        return out.filter(pa.array(np.repeat(docs >= least, size)))
+        enough = np.repeat(np.add.reduceat(t.column("docs").to_numpy(), at) >= least, size)
+        t = _by_source(t.filter(pa.array(enough)).drop_columns("h").combine_chunks())
+        head = _starts(t, ["lang", "term"])
+        at = np.flatnonzero(head)
+        n = t.column("n").to_numpy()
+        every = np.repeat(np.add.reduceat(n, at), np.diff(np.append(at, t.num_rows))) if len(at) else n
+        return pa.table([*(t.column(c) for c in ("lang", "term", "source", "n")), pa.array(every), pa.array(head)], schema=_KEPT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = None
-        for b in batches:
-            if not b.num_rows:
-                continue
-            now = pa.Table.from_batches([b]).cast(_PARTIAL)
-            now = _by_source(pa.concat_tables([tail, now]) if tail is not None else now)
-            cut = int(np.flatnonzero(_starts(now, ["lang", "term"]))[-1])
+        for now in _wide(batches):
+            now = pa.concat_tables([tail, now]).combine_chunks() if tail is not None else now
+            cut = int(np.flatnonzero(begins(now))[-1])
             tail = now.slice(cut).combine_chunks()
+            if not cut and tail.num_rows > 1 << 16:  # one run goes on and on
+                tail = _by_source(tail.drop_columns("h")).append_column("h", [tail.column("h").combine_chunks()[:1].take(pa.array([0] * len(np.flatnonzero(_starts(tail, ["source"])))))])
             if cut:
                 yield from kept(now.slice(0, cut)).to_batches()
         if tail is not None:
@@ -122,7 +140,7 @@ def _scan(least: int):
 def _pairs(cells: int):
     """Partial distances of the pairs of sources of each language: rows of kind 0 name a language's sources with the probability of a term they lack, rows of kind 1 are terms."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
         lang = None
         names: list[str] = []
         rest: list[int] = []
@@ -165,9 +183,7 @@ def _pairs(cells: int):
                 yield rows(0, square if square is not None else np.zeros((len(names), len(names)), np.int64))
 
         for b in batches:
-            if not b.num_rows:
-                continue
-            t = pa.Table.from_batches([b.select(["lang", "kind", "term", "source", "p"])])
+            t = b.select(["lang", "kind", "term", "source", "p"])
             cuts = [*np.flatnonzero(_starts(t, ["lang", "kind"])).tolist(), t.num_rows]
             for s, e in zip(cuts, cuts[1:], strict=False):
                 part = t.slice(s, e - s)
@@ -210,7 +226,7 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     base = docs.select(said(text_col).alias("text"), said(lang_col).alias("lang"), said(source_col).alias("source"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     partial = base.withColumn("doc", F.monotonically_increasing_id()).mapInArrow(_partial_runs, "lang string, term string, source string, doc long, docs long, n long")
-    in_order = partial.repartition(n, "lang", "term").sortWithinPartitions("lang", "term", "source", "doc")
+    in_order = partial.repartition(n, "lang", "term").withColumn("h", F.xxhash64("lang", "term")).sortWithinPartitions("h", "lang", "term", "source", "doc").drop("doc")
     kept = written(in_order.mapInArrow(_scan(least), "lang string, term string, source string, n long, all_n long, head boolean"))
 
     own = kept.groupBy("lang", "source").agg(F.sum("n").alias("own"))
@@ -237,10 +253,10 @@ def _dealt(run):
     """run over the batches of each deal by itself."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ahead: list[pa.RecordBatch] = []
-        pieces = (b.slice(s, e - s) for b in batches if b.num_rows for c in [[*np.flatnonzero(_starts(b, ["deal"])).tolist(), b.num_rows]] for s, e in zip(c, c[1:], strict=False))
+        ahead: list[pa.Table] = []
+        pieces = (b.slice(s, e - s) for b in _wide(batches) for c in [[*np.flatnonzero(_starts(b, ["deal"])).tolist(), b.num_rows]] for s, e in zip(c, c[1:], strict=False))
 
-        def of(deal: int) -> Iterator[pa.RecordBatch]:
+        def of(deal: int) -> Iterator[pa.Table]:
             while ahead and ahead[0].column("deal")[0].as_py() == deal:
                 yield ahead.pop()
                 ahead.extend(b for b in [next(pieces, None)] if b is not None)

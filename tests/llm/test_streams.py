@@ -246,8 +246,8 @@ def test_divergence_equals_brute_force(spark, least, cells):
     assert divergence.divergence(docs.limit(0)).count() == 0
 
 
-def test_divergence_emits_before_memory_fills(spark, monkeypatch):
-    monkeypatch.setattr(divergence, "HELD", 3)
+def test_partial_and_long_runs(monkeypatch):
+    monkeypatch.setattr(divergence, "SLICE", 300)
     rng = random.Random(1)
     rows = [(" ".join(rng.choices("abcdefghijklmnop", k=30)), rng.choice("xy"), f"s{rng.randrange(5)}") for _ in range(200)]
     parts = [divergence.pa.RecordBatch.from_pylist([{"text": t, "lang": g, "source": s, "doc": i} for i, (t, g, s) in enumerate(rows[k : k + 20], k)]) for k in range(0, 200, 20)]
@@ -257,3 +257,9 @@ def test_divergence_emits_before_memory_fills(spark, monkeypatch):
             sums[r["lang"], r["source"], r["term"]] += r["n"]
     want = Counter((g, s, t) for x, g, s in rows for t in x.split())
     assert sums == want
+    one = [{"lang": "x", "term": "t", "source": f"s{k // 30_000}", "doc": k, "docs": 1, "n": 2, "h": 5} for k in range(90_000)]
+    rest = [{**one[0], "term": "u", "docs": 29}, {**one[0], "term": "v", "docs": 30, "h": 6}]
+    kind = divergence.pa.schema([*(f for f in divergence._PARTIAL if f.name != "doc"), ("h", divergence.pa.int64())])
+    feed = [divergence.pa.RecordBatch.from_pylist(x, schema=kind) for x in (one[:70_000], one[70_000:80_000], one[80_000:], rest)]
+    got = [(r["term"], r["source"], r["n"], r["all_n"], r["head"]) for b in divergence._scan(30)(iter(feed)) for r in b.to_pylist()]
+    assert got == [("t", "s0", 60_000, 180_000, True), ("t", "s1", 60_000, 180_000, False), ("t", "s2", 60_000, 180_000, False), ("v", "s0", 2, 2, True)]
