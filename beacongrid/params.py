@@ -43,6 +43,9 @@ ANY_CAUSE = ("mass_casualty_event", "civilian_casualties")
 AVIATION_NEXUS = r"(?i)\b(airports?|airlines?|flights?|aircraft|planes?|airplanes?|helicopters?|airspace|runways?|aviation)\b"
 HOSTILE_CONTEXT = r"(?i)\b(airstrikes?|strikes?|struck|attacks?|bomb\w*|shell\w*|shooting|shot|gunmen|gunman|missiles?|drones?|terror\w*|ambush|blast|ied|militants?|insurgents?|troops)\b"
 
+# Words that most names of airports have.
+BOILERPLATE = r"\b(?:international|intl|airport|airfield|air\s?base|airbase|regional|municipal|the|capital|city)\b"
+
 # Risk levels of a country, the highest first, and the severity from which an event is severe.
 RISK = ("Kritik", "Yüksek", "Yükseltilmiş", "Normal")
 SEVERE = 71

@@ -979,4 +979,4 @@ def airspace_cards(spark, d):
     return first.orderBy(F.desc("severity"), "id").limit(5).select("box_id", "id", "severity")
 
 
-from . import more  # noqa: E402, F401  registers its queries
+from . import more, further  # noqa: E402, F401  register their queries
