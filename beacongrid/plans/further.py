@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..functions import fuzzy, text
-from ..operators import linking, storylines
+from ..functions import fuzzy, names, text
+from ..operators import airspace, linking, storylines
 from ..params import BOILERPLATE
+from ..session import shared
+from ..sources import feed_source
 from ..streaming import watchdog
 from .bindings import AS_OF_MICROS, incidents, read
-from .queries import _LAND, _PAIRS, _SPOT, _TOK, H, I, _newest, query, r6
+from .queries import _FLIGHT, _HAV, _LAND, _PAIRS, _SPOT, _TOK, H, I, _newest, query, r6
 
 # ---- anchors by the likeness of whole words ----
 
@@ -59,3 +63,101 @@ SELECT source, s AS last_seen, unnest(range(s + 10800000, e, 7200000)) AS paged_
 def watchdog_pages(spark, d):
     beats = incidents(spark, d).where("t is not null and severity >= 95").select("domain", F.floor(F.col("t") / 1000).alias("at"))
     return watchdog.pages(beats, "domain", "at", AS_OF_MICROS // 1000)
+
+
+# ---- registrable domains by rules ----
+
+_RULES = ("com", "net", "org", "example.org", "*.example.net", "!ththth.example.net", "// not a rule", "")
+_HOST = r"regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/?#:]+)', 1), '^www[.]', '')"
+
+
+@query(f"""WITH h AS (SELECT page_id, {_HOST} AS host FROM pages), k(key, more) AS (VALUES ('com', 0), ('net', 0), ('org', 0), ('example.org', 0), ('example.net', 1), ('ththth.example.net', -1)),
+p AS (SELECT DISTINCT host, string_split(host, '.') AS p FROM h), t AS (SELECT host, p, n, array_to_string(list_slice(p, len(p) - n + 1, len(p)), '.') AS key FROM p, unnest(range(1, 12)) AS u(n) WHERE n <= len(p)),
+m AS (SELECT host, n + more AS labels, row_number() OVER (PARTITION BY host ORDER BY CAST(more = -1 AS INT) DESC, n + more DESC) AS k FROM t JOIN k USING (key) WHERE n + more <= len(p)),
+o AS (SELECT p.host, p, coalesce(labels, 1) AS n FROM p LEFT JOIN m ON m.host = p.host AND k = 1)
+SELECT page_id, array_to_string(list_slice(p, len(p) - n + 1, len(p)), '.') AS suffix, array_to_string(list_slice(p, len(p) - least(n + 1, len(p)) + 1, len(p)), '.') AS domain FROM h JOIN o USING (host)""")
+def reg_domain_rules(spark, d):
+    p = read(spark, d, "pages").select("page_id", text.host("url").alias("host"))
+    rules = spark.createDataFrame([(r,) for r in _RULES], "rule string")
+    return p.join(names.registrable_by(p, "host", rules), "host").select("page_id", "suffix", "domain")
+
+
+# ---- reference tables and airspace ----
+
+_BOX = {"south": "n_nationkey * 6 - 80", "north": "n_nationkey * 6 - 65", "west": "n_nationkey * 12 - 170", "east": "n_nationkey * 12 - 90"}
+_BOX_SQL = ", ".join(f"CAST({x} AS DOUBLE) AS {k}" for k, x in _BOX.items())
+_SEED = {
+    "seeded": ("customer", "concat('C', CAST(c_custkey % 400 AS STRING))", "c_name", "CASE WHEN c_custkey % 31 = 0 THEN 'xx' ELSE concat('n', CAST(c_nationkey AS STRING)) END", "CASE WHEN c_custkey % 37 = 0 THEN NULL WHEN c_custkey % 41 = 0 THEN 95 ELSE c_nationkey * 6 - 80 + c_custkey % 18 END", "c_nationkey * 12 - 170 + c_custkey % 80"),
+    "curated": ("supplier", "CASE WHEN s_suppkey % 13 = 0 THEN ' ' ELSE concat('c', CAST(s_suppkey * 3 AS STRING)) END", "s_name", "concat('N', CAST(s_nationkey AS STRING))", "s_nationkey * 6 - 80 + s_suppkey % 16", "s_nationkey * 12 - 170 + s_suppkey % 80"),
+}
+
+
+def _seed(kind: str) -> str:
+    t, code, name, country, lat, lon = _SEED[kind]
+    return f"SELECT {code} AS code, {name} AS name, {country} AS country, CAST({lat} AS DOUBLE) AS lat, CAST({lon} AS DOUBLE) AS lon"
+
+
+@query(f"""WITH b AS (SELECT concat('N', CAST(n_nationkey AS STRING)) AS box_country, {_BOX_SQL} FROM nation), u AS ({_seed('curated')}, 'curated' AS origin, 0 AS trust FROM supplier UNION ALL {_seed('seeded')}, 'seeded', 1 FROM customer),
+n AS (SELECT upper(trim(code)) AS code, name, upper(trim(country)) AS country, lat, lon, origin, trust FROM u),
+f AS (SELECT n.*, CASE WHEN code = '' THEN 'no code' WHEN country = 'XX' THEN 'no country' WHEN lat IS NULL THEN 'no coordinates' WHEN lat NOT BETWEEN -90 AND 90 OR lon NOT BETWEEN -180 AND 180 THEN 'out of range'
+  WHEN NOT (lat BETWEEN south AND north AND lon BETWEEN west AND east) THEN 'outside its country' END AS fault FROM n LEFT JOIN b ON box_country = country)
+SELECT origin, code, name, coalesce(fault, CASE WHEN row_number() OVER (PARTITION BY code, fault IS NULL ORDER BY trust, name, lat, lon) > 1 THEN 'superseded' END) AS reason FROM f""")
+def reference_merge(spark, d):
+    boxes = read(spark, d, "nation").select(F.col("n_nationkey").alias("box_id"), F.expr("concat('N', CAST(n_nationkey AS STRING))").alias("box_country"), *(F.expr(f"CAST({x} AS DOUBLE)").alias(k) for k, x in _BOX.items()))
+    rows = lambda kind: read(spark, d, _SEED[kind][0]).selectExpr(*(f"{'CAST(' if k in ('lat', 'lon') else ''}{x}{' AS DOUBLE)' if k in ('lat', 'lon') else ''} AS {k}" for k, x in zip(("code", "name", "country", "lat", "lon"), _SEED[kind][1:], strict=True)))
+    return airspace.merged_reference([("curated", rows("curated")), ("seeded", rows("seeded"))], boxes).select("origin", "code", "name", "reason")
+
+
+_FIR = f"SELECT concat('F', lpad(CAST(n_nationkey AS STRING), 2, '0')) AS icao, n_nationkey AS k, {_BOX_SQL} FROM nation"
+_CARD = ["id", "country_iso AS country", "concat('sector ', CAST(CAST(substr(storyline, 3) AS INT) % 6 AS STRING)) AS location", "severity", "CASE WHEN id % 3 > 0 THEN latitude END AS lat", "longitude AS lon", "event_type = 'airspace_restriction' AS aviation"]
+_AIR = ["s_suppkey AS place_id", "concat('N', CAST(s_nationkey AS STRING)) AS country", "CAST(s_suppkey % 3 AS INT) AS tier", "CAST(s_suppkey * 37 % 140 - 70 AS DOUBLE) AS lat", "CAST(s_suppkey * 53 % 300 - 150 AS DOUBLE) AS lon"]
+
+
+@query(f"""WITH {I}, f AS ({_FIR}), fc AS (SELECT icao, concat('N', CAST(k AS STRING)) AS country FROM f UNION ALL SELECT icao, concat('N', CAST((k + 1) % 25 AS STRING)) FROM f),
+z AS (SELECT DISTINCT concat('N', CAST(s_nationkey AS STRING)) AS country FROM supplier WHERE s_nationkey % 6 = 0), x AS (SELECT icao, max(CAST(fc.country IN (SELECT country FROM z) AS INT)) AS shut FROM fc GROUP BY icao),
+v AS (SELECT f.*, shut, concat(icao, CASE WHEN shut = 1 THEN '*' ELSE '' END) AS code FROM f JOIN x USING (icao)),
+e AS (SELECT a.icao AS a, b.icao AS b FROM f a JOIN f b ON b.k = (a.k + 1) % 25 OR b.k = (a.k + 7) % 25), eb AS (SELECT DISTINCT * FROM (SELECT a, b FROM e UNION ALL SELECT b, a FROM e)),
+ap AS (SELECT {', '.join(_AIR)} FROM supplier), c AS (SELECT {', '.join(_CARD)} FROM incidents WHERE event_type = 'airspace_restriction' OR {_FLIGHT}),
+aa AS (SELECT id, icao FROM (SELECT id, icao, row_number() OVER (PARTITION BY id ORDER BY CAST(c.country <> fc.country AS INT), (north - south) * (east - west), icao) AS r FROM c JOIN f ON lat BETWEEN south AND north AND lon BETWEEN west AND east JOIN fc USING (icao)) WHERE r = 1),
+g AS (SELECT id, place_id, tier, {_HAV} AS km FROM (SELECT c.id, place_id, tier, pow(sin(radians(ap.lat - c.lat) / 2), 2) + cos(radians(c.lat)) * cos(radians(ap.lat)) * pow(sin(radians(ap.lon - c.lon) / 2), 2) AS h FROM c JOIN aa USING (id), ap)),
+d AS (SELECT id, place_id, round(km, 0) AS km, row_number() OVER (PARTITION BY id ORDER BY km, tier, place_id) AS r FROM g WHERE km <= 500),
+da AS (SELECT id, string_agg(concat(place_id, ':', CAST(km AS BIGINT)), ',' ORDER BY r) AS airports FROM d WHERE r <= 3 GROUP BY id),
+nb AS (SELECT a, string_agg(code, ',' ORDER BY shut DESC, icao) AS n FROM eb JOIN v ON v.icao = b GROUP BY a),
+cf AS (SELECT country, string_agg(code, ',' ORDER BY shut DESC, icao) AS firs, min(CASE WHEN shut = 1 THEN icao END) AS s, min(icao) AS m, max(shut) AS shut FROM fc JOIN v USING (icao) GROUP BY country),
+cn AS (SELECT country, string_agg(code, ',' ORDER BY shut DESC, icao) AS n FROM (SELECT DISTINCT fc.country, b FROM fc JOIN eb ON fc.icao = a WHERE NOT EXISTS (SELECT 1 FROM fc o WHERE o.country = fc.country AND o.icao = b)) JOIN v ON v.icao = b GROUP BY country),
+ca AS (SELECT country, string_agg(concat(place_id, ':'), ',' ORDER BY r) AS airports FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY tier, place_id) AS r FROM ap) WHERE r <= 3 GROUP BY country),
+al AS (SELECT c.*, 'point' AS scope, v.icao AS icao, code AS firs, n, coalesce(airports, '') AS airports, true AS says FROM c JOIN aa USING (id) JOIN v USING (icao) LEFT JOIN nb ON nb.a = v.icao LEFT JOIN da ON da.id = c.id
+  UNION ALL SELECT c.*, 'country', coalesce(s, m), firs, n, coalesce(airports, ''), aviation OR shut = 1 FROM c JOIN cf ON cf.country = c.country LEFT JOIN cn ON cn.country = c.country LEFT JOIN ca ON ca.country = c.country WHERE c.id NOT IN (SELECT id FROM aa)),
+r AS (SELECT *, row_number() OVER w AS n1, first_value(scope) OVER w AS fs, first_value(location) OVER w AS fl, row_number() OVER (PARTITION BY country, icao, scope, location ORDER BY severity DESC NULLS LAST, id) AS k1 FROM al WHERE says WINDOW w AS (PARTITION BY country, icao ORDER BY severity DESC NULLS LAST, id)),
+o AS (SELECT *, row_number() OVER (PARTITION BY country ORDER BY severity DESC NULLS LAST, id) AS place_rank FROM r WHERE CASE WHEN scope = 'country' THEN n1 = 1 ELSE k1 = 1 AND NOT (fs = 'country' AND fl = location) END)
+SELECT country, CAST(place_rank AS INT) AS place_rank, id, scope, icao, firs, coalesce(n, '') AS neighbours, airports FROM o WHERE place_rank <= 5""")
+def airspace_assessment(spark, d):
+    n, s = read(spark, d, "nation"), read(spark, d, "supplier")
+    iso = lambda k: F.concat(F.lit("N"), (k).cast("string"))
+    k = F.col("n_nationkey")
+    name = lambda x: F.concat(F.lit("F"), F.lpad(x.cast("string"), 2, "0"))
+    firs = n.select(name(k).alias("icao"), F.array(iso(k), iso((k + 1) % 25)).alias("countries"), *(F.expr(f"CAST({x} AS DOUBLE)").alias(c) for c, x in _BOX.items()))
+    borders = n.select(name(k).alias("a"), F.explode(F.array(name((k + 1) % 25), name((k + 7) % 25))).alias("b"))
+    zones = s.where("s_nationkey % 6 = 0").select(iso(F.col("s_nationkey")).alias("country"), F.concat(F.lit("Z"), F.col("s_nationkey").cast("string")).alias("zone"), F.lit(None).cast("string").alias("valid_until"))
+    e = incidents(spark, d)
+    c = e.where((F.col("event_type") == "airspace_restriction") | text.flight_disruption("title")).selectExpr(*_CARD)
+    got = airspace.cards(c, firs, borders, zones, s.selectExpr(*_AIR))
+    codes = lambda a: F.coalesce(F.array_join(F.transform(a, lambda v: F.concat(v["icao"], F.when(v["free"], "").otherwise("*"))), ","), F.lit(""))
+    ports = F.coalesce(F.array_join(F.transform("airports", lambda a: F.concat(a["place_id"].cast("string"), F.lit(":"), F.coalesce(a["km"].cast("string"), F.lit("")))), ","), F.lit(""))
+    return got.select("country", "place_rank", "id", "scope", "icao", codes("firs").alias("firs"), codes("neighbours").alias("neighbours"), ports.alias("airports"))
+
+
+# ---- feeds as a data source ----
+
+
+@query(f"""WITH {I}, a AS (SELECT id, greatest(CASE WHEN id % 5 > 0 THEN id % 5 ELSE 0 END, CASE WHEN id % 4 = 2 THEN 3 ELSE 0 END) AS n FROM incidents)
+SELECT concat('f', CAST(id AS VARCHAR)) AS feed, concat('https://example.com/', CAST(id AS VARCHAR), '#adv-202401', lpad(CAST(id % 31 + 1 AS VARCHAR), 2, '0')) AS link, CASE WHEN id % 3 = 0 THEN 'lenient' ELSE 'strict' END AS kind FROM a WHERE id % 11 > 0 AND id % 31 + 1 >= 24 AND id % 4 <> 0 AND (n >= 3 OR id % 4 = 1)
+UNION ALL SELECT concat('f', CAST(id AS VARCHAR)), NULL, 'corrupt' FROM a WHERE id % 11 = 0""")
+def advisory_feeds(spark, d):
+    said = "concat('Advisory level ', CAST(id % 5 AS STRING), CASE id % 4 WHEN 0 THEN ', no change' WHEN 1 THEN ', raised' WHEN 2 THEN ', reconsider travel' ELSE '' END)"
+    day = "concat('2024-01-', lpad(CAST(id % 31 + 1 AS STRING), 2, '0'), 'T00:00:00Z')"
+    xml = f"CASE WHEN id % 11 = 0 THEN 'nothing here' ELSE concat('<rss><channel><item><title>', {said}, '</title><link>https://example.com/', CAST(id AS STRING), '</link><description>&lt;b&gt;text&lt;/b&gt;</description><pubDate>', {day}, '</pubDate></item>', CASE WHEN id % 3 = 0 THEN '<br>' ELSE '' END, '<item><title>Advisory level 4</title><link>https://example.com/undated</link></item></channel></rss>') END"
+    path = f"{shared(spark)}/feeds-{uuid.uuid4().hex}"
+    incidents(spark, d).select(F.to_json(F.struct(F.expr("concat('f', CAST(id AS STRING))").alias("feed"), F.expr(xml).alias("xml"))).alias("value")).write.text(path)
+    got = feed_source.register(spark).read.format("landed_feeds").option("advisories", "true").option("as_of", "2024-01-31T00:00:00Z").option("lines", "true").load(path)
+    return got.select("feed", "link", "kind")

@@ -20,11 +20,17 @@ def reachable(spark: SparkSession) -> SparkSession:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df, computed once: a checkpoint in spark.checkpoint.dir, which all nodes share. Where that is unset, a temporary folder on a single machine; on a cluster that is an error."""
-    sc = df.sparkSession.sparkContext
+    """df, computed once: a checkpoint in the shared folder."""
+    shared(df.sparkSession)
+    return df.checkpoint()
+
+
+def shared(spark: SparkSession) -> str:
+    """The folder all nodes share: spark.checkpoint.dir. Where that is unset, a temporary folder on a single machine; on a cluster that is an error."""
+    sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         named = sc.getConf().get("spark.checkpoint.dir", None)
         if not named and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
             raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="beacongrid-"))
-    return df.checkpoint()
+    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")

@@ -27,19 +27,31 @@ def _day(text: str | None) -> str | None:
         return None
 
 
+def _href(item: str) -> str | None:
+    return html.unescape(m[1]) if (m := re.search(r"<link\b[^>]*\bhref=[\"']([^\"']*)", item, re.I)) else None
+
+
 def _plain(tag: str) -> str:
     return tag.rpartition("}")[2].lower()
 
 
-def items_of(xml: str | None) -> list[tuple]:
-    """(title, link, description, day, source host) of each item. A feed that isn't well formed is read by its tags."""
+def items_of(xml: str | None, kind: bool = False) -> list[tuple] | tuple[str, list[tuple]]:
+    """(title, link, description, day, source host) of each item. A feed that isn't well formed is read by its tags. With `kind`: (`strict` or `lenient`, items), and dates stay as they are said."""
+    told: list[str] = []
+    items = _items(xml, told, (lambda d: d) if kind else _day)
+    return (told[0], items) if kind else items
+
+
+def _items(xml: str | None, told: list[str], _day) -> list[tuple]:
+    told.append("lenient" if not xml else "strict")
     if not xml:
         return []
     try:
         root = ET.fromstring(xml)
     except ET.ParseError:
+        told[0] = "lenient"
         get = lambda s, t: html.unescape(re.sub(r"<!\[CDATA\[|\]\]>", "", m[1])).strip() if (m := re.search(rf"<{t}\b[^>]*>(.*?)</{t}>", s, re.S | re.I)) else None
-        return [(get(s, "title"), get(s, "link"), get(s, "description") or get(s, "summary"), _day(get(s, "pubDate") or get(s, "updated")), None) for s in re.findall(r"<(?:item|entry)\b.*?</(?:item|entry)>", xml, re.S | re.I)]
+        return [(get(s, "title"), get(s, "link") or _href(s), get(s, "description") or get(s, "summary"), _day(get(s, "pubDate") or get(s, "published") or get(s, "updated")), None) for s in re.findall(r"<(?:item|entry)\b.*?</(?:item|entry)>", xml, re.S | re.I)]
     out = []
     for e in root.iter():
         if _plain(e.tag) in ("item", "entry"):
