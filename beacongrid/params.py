@@ -43,6 +43,25 @@ ANY_CAUSE = ("mass_casualty_event", "civilian_casualties")
 AVIATION_NEXUS = r"(?i)\b(airports?|airlines?|flights?|aircraft|planes?|airplanes?|helicopters?|airspace|runways?|aviation)\b"
 HOSTILE_CONTEXT = r"(?i)\b(airstrikes?|strikes?|struck|attacks?|bomb\w*|shell\w*|shooting|shot|gunmen|gunman|missiles?|drones?|terror\w*|ambush|blast|ied|militants?|insurgents?|troops)\b"
 
+# Headlines that assert a hostile act, in any case: acts as nouns, their verbs, weapons and actors with verbs, acts with a preposition or a verb of delivery, verbs with what is hit, ordnance, drones over a place.
+HOSTILE_ACT = (
+    r"(?i)\b(explosions?|bombings?|shelling|airstrikes?|air strikes?|missile strikes?|missile attacks?|drone attacks?|drone strikes?|gunfire|assassinat(ion|ed)|massacred?|ambush|suicide bomb(er)?|car bomb|truck bomb|improvised explosive"
+    r"|terror(ist)?s? attacks?|artillery|mortar|kidnapped|abducted|attacked|bombed|shelled|stormed|detonated|hijacked|opened fire|shot dead|shot down"
+    r"|(drones?|missiles?|rockets?|uavs?)\s+(target(ed|s)?|hit|struck|strike[sd]?)"
+    r"|(drones?|missiles?|rockets?|uavs?|strikes?|shelling|bombardment|troops|forces|militants?|gunmen|rebels?|insurgents?|terrorists?|jets?|warplanes?|raids?)['’\"]?\s+([\w'’-]+\s+){0,3}(kills?|killed|injur(e|es|ed)|wounds?|wounded)"
+    r"|(kills?|killed|injur(e|es|ed)|wounded)\s+([\w'’-]+\s+){0,2}(civilians?|people|residents?|children|women|worshippers|passengers|pilgrims)"
+    r"|(down(s|ed)?|intercept(s|ed)?|shoot(s)? down)\s+([\w'’-]+\s+){0,3}(drones?|missiles?|aircraft|jets?|uavs?)"
+    r"|(attacks?|strikes?|assaults?|offensives?|raids?|bombardments?)\s+(on|against)\b"
+    r"|(launch(ed|es|ing)?|carr(y|ies|ied)\s+out|conduct(ed|s|ing)?|mount(ed|s|ing)?|unleash(ed|es|ing)?)\s+(the\s+|a\s+|an\s+|its\s+|their\s+|[\w'’-]+\s+){0,3}(attacks?|strikes?|raids?|offensives?|assaults?|bombardments?)"
+    r"|(forces|troops|army|navy|air force|militants?|gunmen|rebels?|insurgents?|fighters?|jets?|warplanes?|artillery|militia|units?)\s+([\w'’-]+\s+){0,2}(hits?|struck|strikes?|target(ed|s)?|seiz(e|ed|es)|captur(e|ed|es)|overran|overrun|shell(ed|s)?|storm(ed|s)?|raid(ed|s)?)"
+    r"|(hits?|struck|targeted)\s+([\w'’-]+\s+){0,3}(naval base|air ?base|military base|port|refinery|depot|terminal|substation|power (plant|station|grid)|pipeline|airport|barracks|checkpoint|convoy|warehouse)"
+    r"|explosive (device|drone|belt)|drones? (spotted|sighted|flew) over)\b"
+)
+
+# Headers of a written digest, in order, and lines that say there is nothing.
+DIGEST_HEADERS = ("GENEL DURUM DEĞERLENDİRMESİ", "ÜLKE DEĞERLENDİRMELERİ", "HAVACILIK OPERASYONLARINA ETKİ", "KRİTİK GELİŞMELER", "İZLEME VE BEKLENTİLER")
+DIGEST_EMPTY = ("yok", "veri yok", "bulunmuyor", "-")
+
 # Words that most names of airports have.
 BOILERPLATE = r"\b(?:international|intl|airport|airfield|air\s?base|airbase|regional|municipal|the|capital|city)\b"
 

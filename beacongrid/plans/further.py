@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import fuzzy, names, text
-from ..operators import airspace, linking, storylines
-from ..params import BOILERPLATE
+from ..operators import airspace, linking, rules, storylines
+from ..params import AFRICA, BOILERPLATE, DIGEST_HEADERS, HOSTILE_ACT
 from ..session import shared
 from ..sources import feed_source
 from ..streaming import watchdog
@@ -161,3 +161,57 @@ def advisory_feeds(spark, d):
     incidents(spark, d).select(F.to_json(F.struct(F.expr("concat('f', CAST(id AS STRING))").alias("feed"), F.expr(xml).alias("xml"))).alias("value")).write.text(path)
     got = feed_source.register(spark).read.format("landed_feeds").option("advisories", "true").option("as_of", "2024-01-31T00:00:00Z").option("lines", "true").load(path)
     return got.select("feed", "link", "kind")
+
+
+# ---- rules after a classifier ----
+
+_SAID = {
+    "relevance": "CASE WHEN id % 19 = 0 THEN NULL ELSE CAST(id % 97 AS INT) END",
+    "event_type": "CASE id % 9 WHEN 0 THEN 'noise' WHEN 1 THEN 'african_terrorism' WHEN 2 THEN 'made_up' WHEN 3 THEN NULL ELSE event_type END",
+    "sub_type": "CASE id % 4 WHEN 0 THEN 'protest' WHEN 1 THEN 'nothing' END",
+    "country_iso": "CASE id % 7 WHEN 0 THEN ' ng' WHEN 1 THEN 'usa' WHEN 2 THEN 'N1' WHEN 3 THEN '' WHEN 4 THEN 'EG' END",
+    "report_kind": "CASE id % 6 WHEN 0 THEN 'Follow-up' WHEN 1 THEN ' Round_Up ' WHEN 2 THEN 'rumour' WHEN 3 THEN NULL ELSE report_kind END",
+}
+_TYPES = ("armed_conflict", "protest", "bomb_threat", "african_terrorism", "terrorism", "unclassified")
+
+
+@query(f"""WITH {I}, s AS (SELECT id, title, {_FLIGHT} AS disrupted, {", ".join(f"{v} AS {k}" for k, v in _SAID.items())} FROM incidents),
+a AS (SELECT *, coalesce(relevance, 50) AS rel, coalesce(event_type, 'unclassified') AS said, upper(trim(country_iso))[1:2] AS two FROM s),
+b AS (SELECT *, disrupted AND rel < 40 AS saved, CASE WHEN disrupted AND rel < 40 THEN 40 ELSE rel END AS r, CASE WHEN disrupted AND rel < 40 AND said = 'noise' THEN 'unclassified' ELSE said END AS now, CASE WHEN regexp_full_match(two, '[A-Z][A-Z]') THEN two END AS iso FROM a),
+c AS (SELECT *, r < 30 OR (now = 'noise' AND r < 40) AS gone, now NOT IN {_TYPES} AND now <> 'noise' AS unknown, now = 'african_terrorism' AND NOT coalesce(iso IN {AFRICA}, false) AS outside, regexp_replace(lower(coalesce(report_kind, '')), '[\\s_-]+', '', 'g') AS kind FROM b)
+SELECT id, CASE WHEN gone THEN 'archived' ELSE 'classified' END AS status, CASE WHEN gone OR now = 'noise' OR unknown THEN 'unclassified' WHEN outside THEN 'terrorism' ELSE now END AS event_type, CASE WHEN NOT gone AND sub_type IN {_TYPES} THEN sub_type END AS sub_type,
+  CASE WHEN NOT gone THEN iso END AS country_iso, CASE WHEN kind IN ('followup', 'roundup', 'commentary') THEN kind ELSE 'new_incident' END AS report_kind, CASE WHEN NOT gone THEN 0 WHEN regexp_matches(title, '{HOSTILE_ACT.replace("'", "''")}') THEN 1 END AS charge,
+  CASE WHEN gone THEN 'archived' WHEN outside THEN 'outside_africa' WHEN unknown THEN 'unknown_type' WHEN now = 'noise' THEN 'noise' WHEN saved THEN 'disruption' ELSE 'kept' END AS rule FROM c""")
+def decided_types(spark, d):
+    e = incidents(spark, d)
+    said = e.select("id", "title", text.flight_disruption("title").alias("disrupted"), *(F.expr(v).alias(k) for k, v in _SAID.items()))
+    got = rules.decided(said, spark.createDataFrame([(c,) for c in _TYPES], "code string"))
+    return got.select("id", "status", "event_type", "sub_type", "country_iso", "report_kind", "charge", "rule")
+
+
+_TERMS = (("drone attack", "N1"), ("missile strike", "N2"), ("harbor", "N3"), ("near sector 1", "N4"), ("flight diverted", "N5"))
+
+
+@query(f"WITH {I}, t(term, about) AS (VALUES {', '.join(map(str, _TERMS))}) SELECT DISTINCT id, about FROM incidents JOIN t ON contains(concat(' ', regexp_replace(lower(title), '[^a-z0-9_]+', ' ', 'g'), ' '), concat(' ', term, ' ')) AND country_iso IS DISTINCT FROM about")
+def spillover_terms(spark, d):
+    return rules.spillover_phrases(incidents(spark, d), spark.createDataFrame(_TERMS, "term string, about string"), "id", "country_iso", "title")
+
+
+_H = [f"'{h}'" for h in DIGEST_HEADERS]
+_DIGEST = f"concat('**', title, '**', chr(10), {_H[1]}, ':', chr(10), '- ', lower(country_iso), ' | ', hint, ' https://x.example/a', chr(10), '- ZZ | made up', chr(10), {_H[2]}, chr(10), CASE WHEN id % 3 = 0 THEN 'YOK' ELSE concat('- ', domain, ' — Kaynak: wire', chr(10), '...', chr(10), '• second') END, chr(10), {_H[4]}, chr(10), '- watch ', CAST(id AS STRING))"
+
+
+@query(f"WITH {I} SELECT id, trim(title) AS overview, concat(upper(country_iso)[1:2], '=', hint) AS countries, CASE WHEN id % 3 = 0 THEN '' ELSE concat(domain, '/second') END AS aviation, concat('watch ', CAST(id AS VARCHAR)) AS watch, true AS valid FROM incidents")
+def digest_parse(spark, d):
+    e = incidents(spark, d).select("id", F.expr(_DIGEST).alias("x"), F.array(F.substring(F.upper("country_iso"), 1, 2)).alias("known"))
+    g = e.select("id", rules.digest(F.col("x"), F.col("known")).alias("g"))
+    land = F.array_join(F.transform("g.countries", lambda c: F.concat(c["iso"], F.lit("="), c["text"])), "/")
+    return g.select("id", "g.overview", land.alias("countries"), F.array_join("g.aviation", "/").alias("aviation"), F.array_join("g.watch", "/").alias("watch"), "g.valid")
+
+
+@query(f"""WITH {I}, l AS (SELECT country, sha256(concat('{{"id":', CAST(id AS VARCHAR), ',"event_type":"', event_type, '","severity":', CAST(severity AS VARCHAR), '}}')) AS h, count(*) AS n FROM incidents GROUP BY 1, 2),
+a AS (SELECT country, substr(h, 1, 2) AS p, sum(n) AS n, sha256(string_agg(concat(h, ':', CAST(n AS VARCHAR)), ',' ORDER BY concat(h, ':', CAST(n AS VARCHAR)))) AS d FROM l GROUP BY 1, 2),
+b AS (SELECT country, substr(p, 1, 1) AS p, sum(n) AS n, sha256(string_agg(concat(p, ':', d), ',' ORDER BY concat(p, ':', d))) AS d FROM a GROUP BY country, substr(p, 1, 1))
+SELECT country, CAST(sum(n) AS BIGINT) AS rows, sha256(string_agg(concat(p, ':', d), ',' ORDER BY concat(p, ':', d))) AS root FROM b GROUP BY country""")
+def merkle_manifest(spark, d):
+    return rules.merkle_manifest(incidents(spark, d), "country", ["id", "event_type", "severity"])
