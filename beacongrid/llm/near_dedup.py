@@ -17,7 +17,7 @@
 Tables of at most MOST_IDS rows (ids of copies, of pairs to compare, of shared buckets) are sent to where rows are, so that signatures aren't shuffled for them. Beyond that joins shuffle, and
 buckets of more than a 4096th of all keys still meet their members by broadcast. A signature keeps 8 bits of each lane, which raises the share of equal lanes by a 256th of the unequal ones.
 
-There are as many bands as a pair at the threshold needs to share one but for a probability of 2e-8 (24 at 0.85, 34 at 0.8). A pair is given up by signature where it
+There are as many bands as a pair at the threshold needs to share one but for a probability of 2e-8 (24 of four lanes at 0.85, 34 at 0.8; under 0.71 bands have fewer lanes, so that there are enough of them). A pair is given up by signature where it
 lies five standard deviations of the estimate below the threshold (a probability under 1e-5). Sets are compared as sets of 64-bit shingle hashes.
 """
 
@@ -105,12 +105,24 @@ def _sums(x: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return run[ptr[1:]] - run[ptr[:-1]]
 
 
+def rows_for(percent: int) -> int:
+    """Lanes a band: ROWS, or as many fewer as it takes to have the lanes for all bands that a low threshold needs."""
+    for rows in range(ROWS, 0, -1):
+        if _needed(percent, rows) <= LANES // rows:
+            return rows
+    raise ValueError(f"links of {percent} percent need more than {LANES} bands of one lane")
+
+
+def _needed(percent: int, rows: int) -> int:
+    return max(1, math.ceil(math.log(MISS) / math.log1p(-min(0.999, (percent / 100) ** rows))))
+
+
 def bands_for(percent: int) -> int:
-    """Bands of ROWS lanes, such that a pair at the threshold shares none with probability MISS at most."""
-    return min(LANES // ROWS, max(1, math.ceil(math.log(MISS) / math.log1p(-min(0.999, (percent / 100) ** ROWS)))))
+    """Bands of rows_for(percent) lanes, such that a pair at the threshold shares none with probability MISS at most."""
+    return _needed(percent, rows_for(percent))
 
 
-def _sign(n: int, bands: int):
+def _sign(n: int, bands: int, rows: int = ROWS):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text", 1 << 20):
@@ -118,8 +130,8 @@ def _sign(n: int, bands: int):
                 size = np.diff(ptr)
                 sig = superminhash(x, ptr)
                 key = np.zeros((len(size), bands), np.uint64)
-                for r in range(ROWS):
-                    key = mix(key * np.uint64(3) + sig[:, r : bands * ROWS : ROWS])
+                for r in range(rows):
+                    key = mix(key * np.uint64(3) + sig[:, r : bands * rows : rows])
                 key = mix(key + np.arange(bands, dtype=np.uint64)[None, :])
                 low = (sig & np.uint64(0xFF)).astype(np.uint8)
                 some = size > 0
@@ -276,7 +288,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Near-duplicate groups: (id_col, n_shingles, component_id, kept), one row per row of docs. Ids are whole numbers.
 
     Texts are lower-cased (A-Z); words are runs of anything but space and 0x09-0x0D. Documents whose sets of distinct
-    `shingle`-word shingles have a Jaccard similarity of `percent` / 100 or more, a tie included, are linked. least: share of equal lanes from which a pair is compared on full sets.
+    `shingle`-word shingles have a Jaccard similarity of `percent` / 100 or more, a tie included, are linked; thresholds of under 7 percent are an error, as there are too few lanes. least: share of equal lanes from which a pair is compared on full sets.
 
     Null and empty texts, and texts without words: n_shingles 0, a group of their own. Null id: component_id null, kept
     true, linked with nothing. Repeated rows of one id are one document. Fewer words than `shingle`: the whole sequence
@@ -288,7 +300,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     share = percent / 100
     least = share - 5 * math.sqrt(share * (1 - share) / LANES) if least is None else least
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    one = written(base.mapInArrow(_sign(shingle, bands_for(percent)), "id long, size long, d1 long, d2 long, bands array<long>, sig binary"))
+    one = written(base.mapInArrow(_sign(shingle, bands_for(percent), rows_for(percent)), "id long, size long, d1 long, d2 long, bands array<long>, sig binary"))
     known = one.where("id is not null and d1 is not null")
     classes = written(known.groupBy("d1", "d2", "size").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
     with Scratch(spark) as scratch:

@@ -22,17 +22,15 @@ from ._common import Scratch, as_bytes, lean, ready, slices, table, written
 from ._words import SPACED, Words, windows
 
 RATES = ("symbol_rate", "word_length", "line_rate", "repeat_rate")
-#: Least distance of a fence from the median, by rate: differences smaller than these are no fault.
-SLACK = {"symbol_rate": 0.25, "word_length": 3.0, "line_rate": 0.30, "repeat_rate": 0.20}
-#: Quartile distances from the median to a fence, and rows a group needs to be judged by its own quartiles.
+#: Spreads from the median to a fence, and rows a group needs to be judged by its own quantiles.
 WIDTH, ENOUGH = 8.0, 50
 FAN, HELD, MOST_GROUPS = 256, 512, 200_000
 
 
 class Kll:
-    """Mergeable quantile sketch: levels[i] holds items of weight 2**i. Deterministic: compaction alternates parity."""
+    """Mergeable quantile sketch: levels[i] holds items of weight 2**i; compaction alternates parity. What it holds depends on the order in which it met its items; a rank is off by 1 % at most (tested)."""
 
-    def __init__(self, k: int = 200, levels: list[np.ndarray] | None = None, flips: int = 0):
+    def __init__(self, k: int = 800, levels: list[np.ndarray] | None = None, flips: int = 0):
         self.k, self.levels, self.flips = k, levels or [np.zeros(0)], flips
 
     @property
@@ -79,6 +77,12 @@ class Kll:
         run = np.cumsum(w[order])
         return [float(x[order][min(len(x) - 1, int(np.searchsorted(run, q * run[-1])))]) for q in at]
 
+    def upper(self) -> tuple[float, float]:
+        """The median, and the middle one of the values above it: the upper quartile, unless many values equal the median. Both are the median if none lies above."""
+        (mid,) = self.quantiles([0.5])
+        above = Kll(self.k, [x[x > mid] for x in self.levels])
+        return mid, above.quantiles([0.5])[0] if above.n else mid
+
     def dump(self) -> bytes:
         head = struct.pack(f"<III{len(self.levels)}I", self.k, self.flips & 1, len(self.levels), *map(len, self.levels))
         return head + np.concatenate(self.levels).astype("<f8").tobytes()
@@ -178,12 +182,16 @@ def _merged(parts: DataFrame, by: list[str], scratch: Scratch) -> DataFrame:
     return parts
 
 
+def fence(median: float, upper: float) -> float:
+    """WIDTH times as far above the median as the middle of what lies above it; none (infinite) where nothing does."""
+    return median + WIDTH * (upper - median) if upper > median else float("inf")
+
+
 def _fences(pdf: pd.DataFrame) -> pd.DataFrame:
     out = _merge(pdf)
     sketch = [Kll.load(out[r].iloc[0]) for r in RATES]
     for r, s in zip(RATES, sketch, strict=True):
-        low, mid, high = s.quantiles([0.25, 0.5, 0.75])
-        out[f"{r}_top"] = mid + max(SLACK[r], WIDTH * (high - low))
+        out[f"{r}_top"] = fence(*s.upper())
     return out.assign(n=sketch[0].n).drop(columns=list(RATES))
 
 
@@ -191,8 +199,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """Counts, fences and verdict: (id_col, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, rates, fences, base_failed, kept), one row per row of docs.
 
     A document fails at the base with under 20 words, or over 30 % of its words repeated; else it is kept while no rate lies
-    above its group's fence: the median plus 8 quartile distances, SLACK at least. Rows that fail at the base don't shape the
-    fences. A group of under ENOUGH such rows is judged by the fences of its language.
+    above its group's fence: WIDTH times as far above the median as the middle one of the group's rates above it (the upper quartile, unless many equal the median). Rows that fail at the base don't shape the
+    fences. A rate that never lies above the group's median is judged by the language's fence, and by none if that holds there too. A group of under ENOUGH such rows is judged by the fences of its language.
     Null and empty texts have no words, so they fail at the base; very long texts are counted whole. Null lang or source is a group like any other. A rate on the fence is kept; ties and
     repeated rows each count. No rows, no result rows. Further columns, whatever their names, are not read.
     """
@@ -221,7 +229,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         broad = _merged(parts.drop("source"), ["lang"], scratch).groupBy("lang").applyInPandas(_fences, f"lang string, {tops}, n long")
         broad = broad.select(F.col("lang").alias("whole_lang"), *(F.col(f"{r}_top").alias(f"{r}_whole") for r in RATES))
         fences = written(own.join(broad, F.col("lang").eqNullSafe(F.col("whole_lang"))))
-    top = lambda r: F.when(F.col("n") >= ENOUGH, F.col(f"{r}_top")).otherwise(F.col(f"{r}_whole")).alias(f"{r}_top")
+    top = lambda r: F.when((F.col("n") >= ENOUGH) & (F.col(f"{r}_top") < float("inf")), F.col(f"{r}_top")).otherwise(F.col(f"{r}_whole")).alias(f"{r}_top")
     fences = F.broadcast(fences) if fences.count() <= MOST_GROUPS else fences  # beyond, Spark splits the groups that are too large for one task
     fences = fences.select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), *(top(r) for r in RATES))
     got = counts.join(fences, F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source")), "left")

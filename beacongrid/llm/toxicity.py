@@ -9,7 +9,8 @@ that the workers map into memory, however many they are.
 Scoring: Ruzzo and Tompa's linear-time scan finds every maximal segment. A segment of score S among n tokens has the expectation
 E = K n exp(-lambda S) in clean text (Karlin and Altschul 1990); lambda solves sum(p exp(lambda s)) = 1 on clean tokens and K comes from
 clean texts' maxima, as its likeliest value: P(max <= x) = exp(-K n exp(-lambda x)), where a text without a positive token only says that its maximum is below the least positive score. Segments with E under SIGNIFICANT are reported. A logistic curve over the best segment's -log E and the sum of significant
-ones turns them into a probability; it is fitted on at most FIT_ROWS training rows, picked by hash of the text.
+ones turns them into a probability; it is fitted on at most FIT_ROWS training rows, picked by hash of the id. Lambda, K and the curve are
+fitted on halves of the texts, each scored by weights that the other half taught, so that they aren't too sure; the final weights come from all.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from ._words import LETTERS, Words, mix
 PREFIXES = (4, 5, 6, 7)
 ALPHA, Z, DRIFT = 50.0, 1.64, 1.5
 MIN_DOCS, TRAIN_ROWS, FIT_ROWS = 3, 500_000, 100_000
+#: Texts of each label that a half needs to teach what calibrates the other.
+APART = 20
 SIGNIFICANT = 0.05
 SPAN = "array<struct<start:int,end:int,score:double>>"
 
@@ -209,47 +212,66 @@ def _fitted(base: DataFrame, marks: DataFrame, scratch: Scratch) -> Scorer:
     marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0)
     base = base.where("text is not null")
     keyed = base.join(F.broadcast(marks), "id").select("id", "toxic", F.xxhash64("text").alias("k"))
-    reps = scratch.written(keyed.groupBy("k").agg(F.min("id").alias("id"), F.max("toxic").alias("toxic")).select("id", "toxic"))
-    data = base.join(F.broadcast(reps), "id").select("id", "text", "toxic")
-    counts = scratch.written(data.select("text", "toxic").mapInArrow(_count, "f long, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
-    totals = counts.where("f = 0").first()
-    n0, n1 = (totals["clean"], totals["toxic"]) if totals else (0, 0)
+    reps = scratch.written(keyed.groupBy("k").agg(F.min("id").alias("id"), F.max("toxic").alias("toxic")))
+    again = scratch.written(keyed.groupBy("id", "k").agg(F.count("*").alias("n")).where("n > 1").select("id", "k"))
+    data = base.withColumn("k", F.xxhash64("text")).join(F.broadcast(reps), ["id", "k"]).select("id", "k", "text", "toxic")
+    if not again.isEmpty():  # rows that repeat an id and its text
+        data = data.join(F.broadcast(again), ["id", "k"], "left_anti").unionByName(data.join(F.broadcast(again), ["id", "k"], "left_semi").dropDuplicates(["id", "k"]))
+    fold = F.pmod("k", F.lit(2)).cast("int")
+    halves = [data.where(fold == j) for j in (0, 1)]
+    counted = [h.select("text", "toxic").mapInArrow(_count, "f long, clean long, toxic long").withColumn("fold", F.lit(j)) for j, h in enumerate(halves)]
+    counts = scratch.written(counted[0].unionByName(counted[1]).groupBy("f", "fold").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+    texts = {j: (r["clean"], r["toxic"]) for j in (0, 1) for r in counts.where((F.col("f") == 0) & (F.col("fold") == j)).collect()}
+    n0, n1 = (sum(t[k] for t in texts.values()) for k in (0, 1))
     if not n0 or not n1:
         share = min(1 - 1e-6, max(1e-6, (n1 + 0.5) / (n0 + n1 + 1) if n0 + n1 else 0.01))
         return Scorer(None, 1.0, 1.0, (math.log(share / (1 - share)), 0.0, 0.0))
-    prior = F.lit(ALPHA) * (F.col("clean") + F.col("toxic")) / (n0 + n1)
-    odds = lambda y, n: F.log((y + prior) / (n + ALPHA - y - prior))
-    weight = odds(F.col("toxic"), n1) - odds(F.col("clean"), n0) - Z * F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-    best = counts.where(f"f != 0 and toxic >= {MIN_DOCS}").withColumn("weight", weight).where(F.col("weight") > DRIFT)
-    best = best.select("f", "weight").toArrow()
-    f = best["f"].to_numpy().view(np.uint64)
-    order = np.argsort(f)
-    model = Scorer(ship(spark, [f[order].tobytes(), best["weight"].to_numpy()[order].tobytes()]) if len(f) else None, 1.0, 1.0, (0.0, 0.0, 0.0))
+    model = _weighted(counts.groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), n0, n1)
+    # what calibrates a half of the texts is learnt from the other half, where that has enough of both labels
+    apart = len(texts) == 2 and min(min(t) for t in texts.values()) >= APART
+    judge = [_weighted(counts.where(F.col("fold") == 1 - j), *texts[1 - j]) if apart else model for j in (0, 1)]
 
     # lambda on clean tokens, counted by rounded score; K from clean texts' expected maxima
-    def clean_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, "text"):
-                w = Words(as_bytes(b.column("text")), LETTERS)
-                s = np.round(shared.value.tokens(w), 1)
-                v, n = np.unique(s, return_counts=True)
-                top = [max([0.0, *(x for *_, x in maximal_segments(s[p:q]))]) if (s[p:q] > 0).any() else 0.0 for p, q in zip(w.ptr[:-1], w.ptr[1:], strict=True)]
-                m, of = np.unique(np.round(top, 1), return_inverse=True)
-                c, size = np.bincount(of, minlength=len(m)), np.bincount(of, np.diff(w.ptr), len(m)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([v, m])), pa.array(np.concatenate([n, c]), pa.int64()), pa.array(np.concatenate([n, size]), pa.int64()), pa.array([False] * len(v) + [True] * len(m))], ["s", "n", "size", "top"])
-
-    shared = spark.sparkContext.broadcast(model)
-    hist = data.where("toxic = 0").select("text").mapInArrow(lean(clean_scores), "s double, n long, size long, top boolean").groupBy("s", "top").agg(F.sum("n").alias("n"), F.sum("size").alias("size")).toPandas()
+    def clean_scores(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for b in slices(whole, "text"):
+                    w = Words(as_bytes(b.column("text")), LETTERS)
+                    s = np.round(shared.value.tokens(w), 1)
+                    v, n = np.unique(s, return_counts=True)
+                    top = [max([0.0, *(x for *_, x in maximal_segments(s[p:q]))]) if (s[p:q] > 0).any() else 0.0 for p, q in zip(w.ptr[:-1], w.ptr[1:], strict=True)]
+                    m, of = np.unique(np.round(top, 1), return_inverse=True)
+                    c, size = np.bincount(of, minlength=len(m)), np.bincount(of, np.diff(w.ptr), len(m)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([v, m])), pa.array(np.concatenate([n, c]), pa.int64()), pa.array(np.concatenate([n, size]), pa.int64()), pa.array([False] * len(v) + [True] * len(m))], ["s", "n", "size", "top"])
+
+        return lean(run)
+
+    shared = [spark.sparkContext.broadcast(m) for m in judge]
+    seen = [h.where("toxic = 0").select("text").mapInArrow(clean_scores(m), "s double, n long, size long, top boolean") for h, m in zip(halves, shared, strict=True)]
+    hist = seen[0].unionByName(seen[1]).groupBy("s", "top").agg(F.sum("n").alias("n"), F.sum("size").alias("size")).toPandas()
     seg, tok = hist[hist["top"]], hist[~hist["top"]]
-    model.lam = _lambda(tok["s"].to_numpy(), tok["n"].to_numpy(float))
-    model.k = tail_factor(seg["s"].to_numpy(), seg["n"].to_numpy(float), seg["size"].to_numpy(float), model.lam)
+    lam = _lambda(tok["s"].to_numpy(), tok["n"].to_numpy(float))
+    k = tail_factor(seg["s"].to_numpy(), seg["n"].to_numpy(float), seg["size"].to_numpy(float), lam)
+    for m in (model, *judge):
+        m.lam, m.k = lam, k
     few = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-int(n0 + n1) // FIT_ROWS)))) == 0
-    sample = data.where(few).select(F.col("toxic").alias("id"), F.lit(False).alias("held_out"), "text")
-    got = sample.mapInArrow(_score(spark.sparkContext.broadcast(model)), f"id int, held_out boolean, score double, best double, total double, spans {SPAN}").select("id", "best", "total").toPandas()
+    shown = [h.where(few).select(F.col("toxic").alias("id"), F.lit(False).alias("held_out"), "text").mapInArrow(_score(spark.sparkContext.broadcast(m)), f"id int, held_out boolean, score double, best double, total double, spans {SPAN}") for h, m in zip(halves, judge, strict=True)]
+    got = shown[0].unionByName(shown[1]).select("id", "best", "total").toPandas()
     model.curve = _logistic(got[["best", "total"]].to_numpy(float), got["id"].to_numpy(float))
     return model
 
 
+def _weighted(counts: DataFrame, n0: int, n1: int) -> Scorer:
+    """Weights from counts (f, clean, toxic) of n0 clean and n1 toxic texts, in a file; not calibrated yet."""
+    prior = F.lit(ALPHA) * (F.col("clean") + F.col("toxic")) / (n0 + n1 + 1)  # under ALPHA even for what stands in every text
+    odds = lambda y, n: F.log((y + prior) / (n + ALPHA - y - prior))
+    weight = odds(F.col("toxic"), n1) - odds(F.col("clean"), n0) - Z * F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
+    best = counts.where(f"f != 0 and toxic >= {MIN_DOCS}").withColumn("weight", weight).where(F.col("weight") > DRIFT).select("f", "weight").toArrow()
+    f = best["f"].to_numpy().view(np.uint64)
+    order = np.argsort(f)
+    return Scorer(ship(counts.sparkSession, [f[order].tobytes(), best["weight"].to_numpy()[order].tobytes()]) if len(f) else None, 1.0, 1.0, (0.0, 0.0, 0.0))
+
+
 def tail_factor(top: np.ndarray, texts: np.ndarray, words: np.ndarray, lam: float) -> float:
     """The likeliest K of P(max <= x) = exp(-K n exp(-lam x)), of so many texts with so many words in all for each maximum; a maximum of 0 is one below the least positive one. Half a hit is added."""
     hit = top > 0

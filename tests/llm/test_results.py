@@ -4,11 +4,13 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from beacongrid.llm import bpe, class_lm, components, decontaminate, html_blocks, html_extract, language_id, near_dedup, quality, queries, sanitise, sharding, toxicity
@@ -282,7 +284,7 @@ def test_quality_counts_equal_plain_ones(spark, texts):
 
 
 def test_fences_and_verdict_equal_exact_quartiles(spark):
-    """Groups small enough for sketches to be exact: median plus 8 quartile distances, the slack at least; groups of under 50 rows take their language's."""
+    """Groups small enough for sketches to be exact: 8 times as far above the median as the middle of what lies above it; groups of under 50 rows, and rates that never do, take their language's fence, or none."""
     rng = random.Random(7)
     word = lambda n: "".join(rng.choice("abcdefg") for _ in range(n))
     rows = []
@@ -296,11 +298,11 @@ def test_fences_and_verdict_equal_exact_quartiles(spark):
     rank = lambda v, q: sorted(v)[min(len(v) - 1, max(0, math.ceil(q * len(v)) - 1))]
     for r in got.values():
         own = [x for x in good if (x["lang"], x["source"]) == (r["lang"], r["source"])]
-        own = own if len(own) >= quality.ENOUGH else [x for x in good if x["lang"] == r["lang"]]
+        every = [x for x in good if x["lang"] == r["lang"]]
+        own = own if len(own) >= quality.ENOUGH else every
         within = True
         for k in quality.RATES:
-            v = [x[k] for x in own]
-            top = rank(v, 0.5) + max(quality.SLACK[k], 8 * (rank(v, 0.75) - rank(v, 0.25)))
+            top = next((m + 8 * (rank(up, 0.5) - m) for m, up in ((m, [z for z in y if z > m]) for y in (v, [x[k] for x in every]) for m in [rank(y, 0.5)]) if up), math.inf)
             assert math.isclose(r[f"{k}_top"], top, rel_tol=1e-9)
             within = within and r[k] <= top
         assert r["kept"] == (not r["base_failed"] and within)
@@ -315,6 +317,66 @@ def test_many_sketches_merge_as_a_tree(spark, monkeypatch):
     assert len(got) == docs.count() and sum(r["kept"] for r in got) > len(got) / 2
 
 
+def test_sketches_keep_ranks_however_rows_are_dealt():
+    rng = np.random.default_rng(4)
+    x = np.concatenate([np.zeros(30_000), rng.exponential(size=90_000)])
+    rng.shuffle(x)
+    for n in (1, 7, 64):
+        whole = quality.Kll()
+        for p in np.array_split(x, n):
+            whole.merge(quality.Kll.load(quality.Kll().add(p).dump()))
+        for q, v in zip((0.5, 0.75, 0.9, 0.99), whole.quantiles([0.5, 0.75, 0.9, 0.99]), strict=True):
+            assert abs((x <= v).mean() - q) < 0.01
+        mid, up = whole.upper()
+        above = x[x > mid]
+        assert abs((above <= up).mean() - 0.5) < 0.02
+
+
+def test_rates_without_spread_have_no_fence():
+    assert quality.fence(0.0, 0.0) == math.inf and quality.fence(1.0, 1.5) == 5.0 and quality.Kll().add(np.zeros(10)).upper() == (0.0, 0.0)
+
+
+@pytest.mark.parametrize("percent", [30, 40, 50, 60, 71, 80, 90])
+def test_pairs_at_the_threshold_share_a_band(percent):
+    """Pairs of sets just above the threshold: of 600, none misses every band (expected misses: 1e-5)."""
+    rng = np.random.default_rng(percent)
+    bands, rows = near_dedup.bands_for(percent), near_dedup.rows_for(percent)
+    assert bands * rows <= near_dedup.LANES and (1 - (percent / 100) ** rows) ** bands <= near_dedup.MISS
+    n, pairs = 300, 600
+    both = -(-2 * n * percent // (100 + percent))
+    sets = []
+    for _ in range(pairs):
+        e = rng.integers(1, 1 << 62, 2 * n - both).astype(np.uint64)
+        sets += [e[:n], e[n - both :]]
+    s = near_dedup.superminhash(np.concatenate(sets), np.arange(0, (2 * pairs + 1) * n, n))[:, : bands * rows].reshape(pairs, 2, bands, rows)
+    assert (s[:, 0] == s[:, 1]).all(2).any(1).all()
+
+
+def test_toxicity_with_a_word_in_every_text(spark):
+    """One word in all labelled texts tells nothing and ends nothing."""
+    rng = random.Random(6)
+    rows = [(i, "common " + " ".join(rng.choices("alpha beta gamma delta omega".split(), k=20)) + (" vileword vileword awfulness" if i % 3 == 0 else "")) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(120)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, labels).collect()}
+    assert min(got[i] for i in range(0, 120, 3)) > 0.5 > max(got[i] for i in range(120) if i % 3)
+
+
+def test_toxicity_learns_from_repeated_rows_once(spark):
+    docs, labels = spark.read.parquet(f"{MORE}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{MORE}/labels.parquet")
+    one = labels.join(docs, "doc_id").where("toxic = 1 and crc32(cast(cast(doc_id as string) as binary)) % 5 != 0").orderBy("doc_id").first()["doc_id"]
+    many = docs.unionByName(docs.where(F.col("doc_id") == one).crossJoin(spark.range(500)).select("doc_id", "text"))
+    score = lambda d: {(r["doc_id"], round(r["score"], 9)) for r in toxicity.toxicity(d, labels).collect()}
+    assert score(many) == score(docs)
+
+
+def test_toxicity_query_columns(spark):
+    got = queries.QUERIES["op2_toxicity"](spark, SF).toPandas()
+    docs = pd.read_parquet(f"{SF}/documents.parquet")
+    assert sorted(got["doc_id"]) == sorted(docs["doc_id"]) and got["score"].between(0, 1).all()
+    assert (got["predicted"] == (got["score"] >= 0.5).astype(int)).all() and (got["held_out"] == [zlib.crc32(str(i).encode()) % 5 == 0 for i in got["doc_id"]]).all()
+
+
 def test_sketches_merge():
     rng = np.random.default_rng(2)
     x = rng.normal(size=40_000)
