@@ -60,8 +60,14 @@ def incidents_sql() -> str:
     return f"incidents AS (SELECT {cols}, {MICROS['duckdb']} AS t FROM events JOIN nation ON user_id % 25 = n_nationkey)"
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """df, dealt out to all cores where fewer tasks than that would read it: a file of one row group is one task's, however long its texts are."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 80).alias("title"), F.col("text").alias("body"), "source", "lang")
+    return dealt(read(spark, sf_dir, "documents")).select("doc_id", F.substring("text", 1, 80).alias("title"), F.col("text").alias("body"), "source", "lang")
 
 
 ARTICLES = "articles AS (SELECT doc_id, substr(text, 1, 80) AS title, text AS body, source, lang FROM documents)"

@@ -47,9 +47,9 @@ def airspace_relevant(spark, d):
     return incidents(spark, d).select("id", reports.airspace_relevant(F.col("event_type"), F.col("title"), ("armed_conflict", "bomb_threat")).alias("relevant"))
 
 
-@query("SELECT o_orderkey, c_name FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 2 = 0) ON c_custkey = o_custkey")
+@query("SELECT o_orderkey, c_name FROM orders LEFT JOIN customer ON c_custkey = o_custkey")
 def with_dim(spark, d):
-    c = read(spark, d, "customer").where("c_custkey % 2 = 0").withColumnRenamed("c_custkey", "o_custkey")
+    c = read(spark, d, "customer").withColumnRenamed("c_custkey", "o_custkey")
     return reports.with_dim(read(spark, d, "orders").select("o_orderkey", "o_custkey"), c, "o_custkey", ["c_name"]).select("o_orderkey", "c_name")
 
 
