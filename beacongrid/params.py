@@ -14,7 +14,7 @@ NOT_NEWS = ("followup", "roundup", "commentary")
 INJECTIONS = (r"\[INST\]", r"<\|system\|>", r"<\|user\|>", r"<\|assistant\|>", "IGNORE PREVIOUS INSTRUCTIONS", "FORGET ALL PRIOR", "YOU ARE NOW", "SYSTEM OVERRIDE")
 
 # Shapes of headlines that report on what is already known, as (kind, all of which must match, none of which may). The first kind that fits names it.
-# The first two are labels: they are sought in the headline without its publisher.
+# The first two are labels: they are sought in the headline without its publisher. What excludes a kind is a pattern of its own, as the engine that checks the results has no lookahead.
 AFTERMATH = (
     ("desk_label", (r"(?i)^[^:]{0,70}\b(latest|live|updates?|timeline|recap|roundup)\b(\s+(news|live|updates?|blog|coverage|briefing))*\s*:",), ()),
     ("war_diary", (r"(?i)^[^:]{0,50}\bday\s+\d[\d,]{0,6}\b[^:]{0,20}:",), ()),
