@@ -6,7 +6,11 @@ an entity e reveals it as far as the corpus says: PMI(t, e) = log2(n(t, e) N / (
 IC(e) = log2(N / n(e)). All four count distinct texts: those in which t stands near e, all, those with t, and those with e. So copies of one text count
 once throughout, and one signature in many texts counts often. In place of n(t, e) / n(t) stands its lower confidence bound (Chernoff, at an error of
 ERROR), so what few texts show counts for less, without a least count. A term that so discloses a share of at least `generalise` of IC(e) is generalised
-where it stands near e; from `remove` on it is removed.
+where it stands near e; from `remove` on it is removed. A place that two entities flag differently is removed.
+
+Most entities are mentioned once, and one text can show nothing for sure. So with `by_kind` each kind is an entity as well, of which every value of the kind is a mention: n(e) and n(t, e) then count the texts
+with any value of the kind, and with t near one, and IC(e) is the kind's information, which is far less than a value's. A term that so discloses tells that such a value stands here, even where it is masked. Thresholds are
+the same; what a term discloses of its value is judged as ever beside it.
 
 Contexts exist only around entities, so only they are shuffled. n(t) is counted in one pass over all texts for the terms that would reach
 `generalise` if they stood nowhere else; only texts with copies are shuffled for it. The table of terms is broadcast up to MOST_TERMS, as the flagged places
@@ -101,6 +105,10 @@ def _h(s: str) -> int:
     return np.int64(np.uint64(xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass")))).item()
 
 
+#: The entity that stands for all values of a kind.
+OF_KIND = [_h(k) for k in PROTECTED]
+
+
 def lower_ascii(s: str) -> str:
     return s.translate({c: c + 32 for c in range(65, 91)})
 
@@ -155,19 +163,19 @@ def _after(text: str, at: int, room: int = 256) -> list[re.Match]:
 
 @lean
 def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each term near an entity: document key, entity, term and its place; one without a term for an entity that has none near."""
+    """One row for each term near an entity: document key, entity, its kind's entity, term and its place; one without a term for an entity that has none near."""
     for b in batches:
-        cols: list[list] = [[], [], [], [], [], []]
+        cols: list[list] = [[] for _ in range(7)]
         for key, size, text in zip(b.column("k").to_pylist(), b.column("n").to_pylist(), b.column("text").to_pylist(), strict=True):
             if text and (spans := entities(text)):
-                for e, terms in contexts(text, spans):
+                for (kind, *_), (e, terms) in zip(spans, contexts(text, spans), strict=True):
                     for a, z, t in terms or [(None, None, None)]:
-                        for col, v in zip(cols, (key, size, e, t if t is None else t.encode("utf-8", "surrogatepass"), a, z), strict=True):
+                        for col, v in zip(cols, (key, size, e, OF_KIND[kind], t if t is None else t.encode("utf-8", "surrogatepass"), a, z), strict=True):
                             col.append(v)
-        hashes = iter(Words([t for t in cols[3] if t is not None], ALNUM).hash.view(np.int64).tolist())  # each term is one word
-        cols[3] = [t if t is None else next(hashes) for t in cols[3]]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["k", "n", "e", "t", "start", "end"])
+        hashes = iter(Words([t for t in cols[4] if t is not None], ALNUM).hash.view(np.int64).tolist())  # each term is one word
+        cols[4] = [t if t is None else next(hashes) for t in cols[4]]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["k", "n", "e", "c", "t", "start", "end"])
 
 
 def _document_counts(shared):
@@ -261,15 +269,16 @@ def _each_once(base: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
     return base.join(copied, ["k", "n"], "left_anti").select("text").unionByName(several.select("text")), base.count() - surplus
 
 
-def disclosing_terms(base: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def disclosing_terms(base: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, by_kind: bool = False) -> DataFrame:
     """(k, n, terms): places near entities, by key and byte length of the text, that disclose them; base: (text, k, n)."""
     with Scratch(base.sparkSession) as scratch:
-        return written(_disclosing_terms(base, scratch, generalise, remove))
+        return written(_disclosing_terms(base, scratch, generalise, remove, by_kind))
 
 
-def _disclosing_terms(base: DataFrame, scratch: Scratch, generalise: float, remove: float) -> DataFrame:
+def _disclosing_terms(base: DataFrame, scratch: Scratch, generalise: float, remove: float, by_kind: bool) -> DataFrame:
     spark = base.sparkSession
-    near = scratch.written(base.mapInArrow(_mentions, "k long, n long, e long, t long, start int, end int"))
+    near = scratch.written(base.mapInArrow(_mentions, "k long, n long, e long, c long, t long, start int, end int"))
+    near = near.withColumn("e", F.explode(F.array("e", "c"))).drop("c") if by_kind else near.drop("c")
     of_entity = near.select("e", "k", "n").distinct().groupBy("e").agg(F.count("*").alias("n_e"))
     of_pair = scratch.written(near.where("t is not null").select("e", "t", "k", "n").distinct().groupBy("e", "t").agg(F.count("*").alias("n_te")))
     texts, total = _each_once(base, scratch)
@@ -287,11 +296,13 @@ def _disclosing_terms(base: DataFrame, scratch: Scratch, generalise: float, remo
     else:
         of_term = terms.withColumn("n_t", F.lit(0).cast("long"))
     flagged = joined(of_pair, of_term, ["t"]).select("e", "t", "n_te", "n_t", "n_e").mapInArrow(_disclosing(total, generalise, remove), "e long, t long, kind string")
-    return joined(near, scratch.written(flagged), ["e", "t"]).groupBy("k", "n").agg(F.collect_set(F.struct("kind", "start", "end")).alias("terms"))
+    places = joined(near, scratch.written(flagged), ["e", "t"]).groupBy("k", "n", "start", "end").agg(F.min("kind").alias("kind"))  # removed before term
+    return places.groupBy("k", "n").agg(F.collect_list(F.struct("kind", "start", "end")).alias("terms"))
 
 
-def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def sanitise(docs: DataFrame, text_col: str = "text", by_kind: bool = False) -> DataFrame:
     """(columns of docs but text_col, spans, clean_text), one row per row of docs. spans: (kind, start, end) by kind as listed (email, ip, card, phone, secret, term, removed), then start, in code points.
+    by_kind also judges terms by what they disclose of a kind as a whole, so that terms beside values of one mention each count together.
 
     Null texts have no spans and stay null; empty ones stay empty. Very long texts and lines are read whole. Ids aren't used, so null ones change nothing. Repeated rows are treated alike; a term that reaches a threshold exactly is flagged. No rows,
     no result rows. A column of docs that is named like a result column gives way to it.
@@ -300,7 +311,7 @@ def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     but = (text_col, "spans", "clean_text")
     packed = docs.select(row_of(docs, but).alias("id"), F.col(text_col).cast("string").alias("text"))
     base = packed.withColumn("k", F.xxhash64("text")).withColumn("n", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
-    terms = disclosing_terms(base.select("text", "k", "n"))
+    terms = disclosing_terms(base.select("text", "k", "n"), by_kind=by_kind)
     places = terms.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
     both = base.join(F.broadcast(terms), ["k", "n"], "left") if places <= MOST_PLACES else joined(base, terms, ["k", "n"], "left")
     out = both.select("id", "text", "terms").mapInArrow(_spans, typed(packed.schema["id"].dataType, "spans array<struct<kind:string,start:int,end:int>>, clean_text string"))
@@ -308,7 +319,7 @@ def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def op6_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    got = sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"), by_kind=True)
     told = lambda x: F.array_join(F.transform(x, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.filter("spans", lambda s: s["kind"].isin(*KINDS))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")

@@ -199,7 +199,8 @@ def test_secrets():
     assert sanitise.cleaned(text, [("secret", *sanitise.secrets(text)[0])]).startswith('token = "[SECRET]" and')
 
 
-def test_flagged_terms_equal_plain_counts(spark):
+@pytest.mark.parametrize("by_kind", [False, True])
+def test_flagged_terms_equal_plain_counts(spark, by_kind):
     """Every entity and term by plain loops over distinct texts."""
     rng = random.Random(12)
     word = lambda: "".join(rng.choice("abcde") for _ in range(2))
@@ -207,9 +208,15 @@ def test_flagged_terms_equal_plain_counts(spark):
     rows += [(1000 + i, rows[i][1]) for i in range(0, 500, 7)]
     texts = sorted({t for _, t in rows})
     near, with_t, with_e = {}, Counter(), Counter()
+
+    def mentions(t):
+        spans = sanitise.base_spans(t)
+        found = sanitise.contexts(t, spans)
+        return found + [(sanitise.PROTECTED[s[0]], terms) for s, (_, terms) in zip(spans, found, strict=True)] * by_kind
+
     for t in texts:
         with_t.update({sanitise.lower_ascii(x) for x in re.findall(r"[0-9A-Za-z]+", t)})
-        found = sanitise.contexts(t, sanitise.base_spans(t))
+        found = mentions(t)
         with_e.update({e for e, _ in found})
         for e, terms in found:
             for *_, x in terms:
@@ -219,14 +226,35 @@ def test_flagged_terms_equal_plain_counts(spark):
         share = 1 + math.log2(sanitise.surely(np.array([len(where)]), np.array([with_t[x]]))[0]) / math.log2(len(texts) / with_e[e])
         if share >= 0.8:
             flagged[e, x] = "removed" if share >= 0.95 else "term"
-    assert flagged
-    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in sanitise.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert flagged and by_kind == any(e == "email" for e, _ in flagged)
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in sanitise.sanitise(spark.createDataFrame(rows, "doc_id long, text string"), by_kind=by_kind).collect()}
     for i, t in rows:
         base = [(sanitise.KINDS[k], a, b) for k, a, b in sanitise.base_spans(t)]
-        more = {(flagged[e, x], a, z) for e, terms in sanitise.contexts(t, sanitise.base_spans(t)) for a, z, x in terms if (e, x) in flagged}
+        places = {}
+        for e, terms in mentions(t):
+            for a, z, x in terms:
+                if (e, x) in flagged:
+                    places[a, z] = min(flagged[e, x], places.get((a, z), "term"))
+        more = [(kind, a, z) for (a, z), kind in places.items()]
         assert got[i] == base + sorted(more, key=lambda s: (s[0] != "term", s[1]))
 
 
+def test_kinds_tell_planted_terms_of_single_mentions(spark):
+    """Every address stands in one text; only the kind as a whole shows which words go with it. Half of the planted words stand by phones."""
+    rng = random.Random(21)
+    common = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(300)]
+    plain = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    rows = [(i, f"{plain(20)} Korvin x{i}@h{i}.example {plain(20)}") for i in range(40)]
+    rows += [(100 + i, f"{plain(20)} Tellun +1 555 {1000000 + i} {plain(20)}") for i in range(40)]
+    rows += [(200 + i, f"{plain(20)} y{i}@g{i}.example {plain(20)}") for i in range(40)]
+    rows += [(1000 + i, plain(40)) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    text = dict(rows)
+    told = lambda got: {(r["doc_id"], text[r["doc_id"]][s["start"] : s["end"]]) for r in got.collect() for s in r["spans"] if s["kind"] in ("term", "removed")}
+    assert not told(sanitise.sanitise(docs))
+    assert told(sanitise.sanitise(docs, by_kind=True)) == {(i, "Korvin") for i in range(40)} | {(100 + i, "Tellun") for i in range(40)}
+
+
 def test_base_digest_equals_plain_expressions(spark, texts):
     got = {r["doc_id"]: r["base_sha256"] for r in queries.QUERIES["op6_sanitise"](spark, SF).collect()}
     for i, t in texts.items():
