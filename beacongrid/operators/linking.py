@@ -224,27 +224,61 @@ def box_of(points: DataFrame, boxes: DataFrame) -> DataFrame:
     return a.join(b, ["cy", "cx"]).where(inside).withColumn("_f", foreign).withColumn("_s", size).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("id", "box_id")
 
 
-def co_located(df: DataFrame, hours: int = 6, km: float = 50.0) -> DataFrame:
-    """Flash convergence: starts of a window of `hours` with two event types or more at one place: (id, types). Places are equal anchors, or points within `km`.
-
-    Events of one country and neighbouring hours meet by anchor and by cell of the globe, so a busy country isn't compared as a whole.
+def _types_ahead(starts: DataFrame, later: DataFrame, place: list[str], types: list[str], span: int) -> DataFrame:
+    """(id, m0, m1, ...): for each start (place, id, t), which types occur in `later` (place, t2, event_type) within `span` from it. No pairs are made: an event serves the starts from its predecessor of
+    the same type, or from `span` before it, up to itself, and running sums over beginnings and ends of such stretches tell which types serve a start."""
+    before = F.lag("t2").over(Window.partitionBy(*place, "event_type").orderBy("t2"))
+    served = later.withColumn("_a", F.greatest(F.col("t2") - span, before + 1)).where(F.col("_a") <= F.col("t2"))
+    mark = lambda at, step: F.struct(at.alias("at"), F.lit(step).alias("step"))
+    marks = served.select(*place, "event_type", F.explode(F.array(mark(F.col("_a"), 1), mark(F.col("t2") + 1, -1))).alias("m"))
+    marks = marks.select(*place, F.col("m.at").alias("at"), F.lit(0).alias("_own"), F.lit(None).cast(starts.schema["id"].dataType).alias("id"), "event_type", F.col("m.step").alias("step"))
+    at = starts.select(*place, F.col("t").alias("at"), F.lit(1).alias("_own"), "id", F.lit(None).cast("string").alias("event_type"), F.lit(0).alias("step"))
+    w = Window.partitionBy(*place).orderBy("at", "_own").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    open_ = [(F.sum(F.when(F.col("event_type") == k, F.col("step")).otherwise(0)).over(w) > 0).alias(f"m{i}") for i, k in enumerate(types)]
+    return marks.unionByName(at).select("id", "_own", *open_).where("_own = 1").drop("_own")
+
+
+def co_located(df: DataFrame, hours: int = 6, km: float = 50.0, most_types: int = 200) -> DataFrame:
+    """Flash convergence: starts of a window of `hours` with two event types or more at one place: (id, types). Places are equal anchors, or points within `km`. Rows: id, t (microseconds), country, event_type, anchor, lat, lon; without time or country a row meets nothing.
+
+    Time is cut into stretches of `hours`, and an event goes to its own and to the one before, so each (country, place, stretch) is worked apart, however much a country or a place reports. Events don't meet
+    events: distinct points meet distinct points in cells, and then each place is swept once. Types are a closed list of at most `most_types`; more are an error.
+    """
+    span = hours * 3_600_000_000
+    types = [r[0] for r in df.select("event_type").where("event_type is not null").distinct().limit(most_types + 1).collect()]
+    if len(types) > most_types:
+        raise ValueError(f"over {most_types} event types")
+    if len(types) < 2:
+        return df.select("id", F.lit(0).cast("long").alias("types")).where("false")
+    e = df.where("t is not null and country is not null").withColumn("h", F.floor(F.col("t") / span))
+    ahead = e.where("event_type is not null").select("country", "anchor", "lat", "lon", "event_type", F.col("t").alias("t2"), F.explode(F.array(F.col("h"), F.col("h") - 1)).alias("h"))
+    by_anchor = _types_ahead(e.where("anchor is not null"), ahead.where("anchor is not null"), ["country", "anchor", "h"], types, span)
+    at, place = "lat is not null and lon is not null", ["country", "h", "lat", "lon"]
+    own = e.where(at).select(*place).distinct().withColumn("cell", cells(F.col("lat"), F.col("lon"), km)[0])
+    other = ahead.where(at).select(*place).distinct().withColumn("cells", cells(F.col("lat"), F.col("lon"), km)[1])
+    other = other.select("country", "h", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), F.explode("cells").alias("cell"))
+    close = own.join(other, ["country", "h", "cell"]).where(haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) <= km).drop("cell")
+    seen = ahead.where(at).select("country", "h", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "event_type", "t2")
+    by_point = _types_ahead(e.where(at), close.join(seen, ["country", "h", "lat2", "lon2"]).drop("lat2", "lon2"), place, types, span)
+    flags = [f"m{i}" for i in range(len(types))]
+    told = by_anchor.unionByName(by_point).groupBy("id").agg(*(F.max(c).alias(c) for c in flags))
+    return told.select("id", sum((F.col(c).cast("long") for c in flags), F.lit(0).cast("long")).alias("types")).where("types >= 2")
+
+
+def adjudication_candidates(df: DataFrame, id_col: str, group: str, hours: int = 48, least: float = 0.1, most: int = 6, place: str | None = None) -> DataFrame:
+    """(a_id, b_id, kin): for each row, the rows within `hours` that may tell of the same incident, the most akin first, `most` at most (the limit is the feature); ties by id.
+
+    Two nets. By group (a country): rows of one group whose words (unigrams) have a likeness of `least` or more; rows that share no word aren't akin. By place, if a column is named: rows of one place whose groups
+    don't differ where both are known, with a kin of 1, whatever their words. A row without time has no candidates. Rows meet by stretches of `hours`, so a word of every hint or a place of most rows is many keys.
     """
     span = hours * 3_600_000_000
-    e = df.where("t is not null").withColumn("h", F.floor(F.col("t") / span))
-    later = e.select(*(F.col(c).alias(f"{c}2") for c in ("t", "event_type", "lat", "lon")), "country", "anchor", F.explode(F.array(F.col("h"), F.col("h") - 1)).alias("h"))
-    within = (F.col("t2") >= F.col("t")) & (F.col("t2") - F.col("t") <= span)
-    by_anchor = e.join(later.where("anchor is not null"), ["country", "h", "anchor"]).where(within).select("id", "event_type2")
-    points = e.where("lat is not null and lon is not null").withColumn("cell", cells(F.col("lat"), F.col("lon"), km)[0])
-    others = later.where("lat2 is not null and lon2 is not null").drop("anchor").withColumn("cell", F.explode(cells(F.col("lat2"), F.col("lon2"), km)[1]))
-    by_cell = points.join(others, ["country", "h", "cell"]).where(within & (haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) <= km)).select("id", "event_type2")
-    return by_anchor.unionByName(by_cell).groupBy("id").agg(F.countDistinct("event_type2").alias("types")).where("types >= 2")
-
-
-def adjudication_candidates(df: DataFrame, id_col: str, group: str, hours: int = 48, least: float = 0.1, most: int = 6) -> DataFrame:
-    """(a_id, b_id, kin): for each row, the rows of its group within `hours` whose words (unigrams) are the most akin, `most` at most (the limit is the feature); ties by id. Rows that share no word aren't akin."""
-    keyed = df.select(F.col(id_col).alias("a_id"), group, "t", "unigrams", F.explode("unigrams").alias("w"))
-    other = keyed.select(F.col("a_id").alias("b_id"), group, F.col("t").alias("u"), F.col("unigrams").alias("v"), "w")
-    near = keyed.join(other, [group, "w"]).where((F.col("a_id") != F.col("b_id")) & (F.abs(F.col("t") - F.col("u")) <= hours * 3_600_000_000)).dropDuplicates(["a_id", "b_id"])
-    kin = near.select("a_id", "b_id", jaccard("unigrams", "v").alias("kin")).where(F.col("kin") >= least)
+    row = df.where("t is not null").select(F.col(id_col).alias("a_id"), F.col(group).alias("g"), "t", "unigrams", (F.col(place) if place else F.lit(None)).cast("string").alias("p"), F.floor(F.col("t") / span).alias("h"))
+    other = row.select(F.col("a_id").alias("b_id"), F.col("g").alias("g2"), F.col("t").alias("u"), F.col("unigrams").alias("v"), F.col("p").alias("p2"), F.explode(F.array(F.col("h") - 1, F.col("h"), F.col("h") + 1)).alias("h"))
+    near = (F.col("a_id") != F.col("b_id")) & (F.abs(F.col("t") - F.col("u")) <= span)
+    words = row.withColumn("w", F.explode("unigrams")).join(other.withColumn("w", F.explode("v")).withColumnRenamed("g2", "g"), ["g", "w", "h"]).where(near)
+    kin = words.dropDuplicates(["a_id", "b_id"]).select("a_id", "b_id", jaccard("unigrams", "v").alias("kin")).where(F.col("kin") >= least)
+    if place:
+        at = row.where("p is not null").join(other.withColumnRenamed("p2", "p"), ["p", "h"]).where(near & F.coalesce(F.col("g") == F.col("g2"), F.lit(True)))
+        kin = kin.unionByName(at.select("a_id", "b_id", F.lit(1.0).alias("kin"))).groupBy("a_id", "b_id").agg(F.max("kin").alias("kin"))
     w = Window.partitionBy("a_id").orderBy(F.desc("kin"), "b_id")
     return kin.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= most).drop("_rn")

@@ -55,6 +55,14 @@ def storyline_assign_paths(spark, d):
     return storylines.assign_on_all_paths(e)
 
 
+@query(f"""WITH {I}, {_TOK}, w AS (SELECT id, t, u, {_LAND} AS land, {_SPOT} AS spot, row_number() OVER (PARTITION BY storyline ORDER BY t DESC, id DESC) AS k FROM tk WHERE t IS NOT NULL),
+p AS (SELECT a.id AS a_id, b.id AS b_id, CASE WHEN NOT coalesce(a.land = b.land, true) THEN 0.0 WHEN a.spot = b.spot THEN 1.0 WHEN a.land = b.land THEN len(list_intersect(a.u, b.u)) / CAST(len(list_distinct(list_concat(a.u, b.u))) AS DOUBLE) END AS kin FROM w a JOIN w b ON a.id <> b.id AND abs(a.t - b.t) <= {48 * H} WHERE a.k = 1 AND b.k = 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY kin DESC, b_id) AS j FROM p WHERE kin >= 0.1) SELECT a_id, b_id, round(kin, 6) AS kin FROM r WHERE j <= 6""")
+def adjudication_nets(spark, d):
+    e = linking.with_tokens(_newest(spark, d).withColumn("country", F.expr(_LAND)), "hint").withColumn("place", F.expr(_SPOT))
+    return linking.adjudication_candidates(e, "id", "country", place="place").select("a_id", "b_id", r6("kin", "kin"))
+
+
 # ---- watchdog ----
 
 

@@ -323,11 +323,12 @@ def ingest_budget(spark, d):
     return ingest.budgeted(e, "domain", [F.desc("severity"), F.asc("id")], 40, 8, {"news.src0.example.com": 4}).select("id", "domain")
 
 
-@query(f"""WITH {I}, x AS (SELECT url, storyline, domain, id, row_number() OVER (PARTITION BY storyline, domain ORDER BY id) AS k FROM incidents), o AS (SELECT storyline, arg_min(domain, id) AS own FROM incidents GROUP BY storyline),
+@query(f"""WITH {I}, d AS (SELECT storyline, id, concat('src', CAST(id % 8 AS VARCHAR), '.example') AS domain FROM incidents), x AS (SELECT *, row_number() OVER (PARTITION BY storyline, domain ORDER BY id) AS k FROM d), o AS (SELECT storyline, arg_min(domain, id) AS own FROM d GROUP BY storyline),
 y AS (SELECT x.storyline, x.domain, row_number() OVER (PARTITION BY x.storyline ORDER BY x.id) AS j FROM x JOIN o ON o.storyline = x.storyline WHERE k = 1 AND domain <> own)
 SELECT storyline, count(*) AS n_sources, string_agg(domain, ',' ORDER BY j) AS domains FROM y WHERE j <= 5 GROUP BY storyline""")
 def corroborate(spark, d):
-    e = incidents(spark, d)
+    """Each publisher has two hosts."""
+    e = incidents(spark, d).withColumn("domain", F.expr("concat(CASE WHEN id % 3 = 0 THEN 'news' ELSE 'www' END, '.src', id % 8, '.example')"))
     own = e.groupBy("storyline").agg(F.min_by("domain", "id").alias("own"))
     return ingest.corroborated(e.join(own, "storyline"), "storyline", "own", "domain", [F.asc("id")])
 

@@ -115,6 +115,52 @@ def test_missing_country_meets_every_country(spark):
     assert sorted((r["x"], r["y"]) for r in pairs.where(linking.linked("a", "b")).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).collect()) == [(1, 2), (1, 4), (2, 3), (2, 4), (3, 4)]
 
 
+def test_co_located_equals_brute_force(spark):
+    """A place of half of all rows, ties, windows that end exactly, repeated rows, and rows without time, type, country, anchor or point."""
+    rng, span = random.Random(14), 6 * 3_600_000_000
+    none = lambda x, p=0.1: None if rng.random() < p else x
+    times = [k * span // 4 + rng.choice([0, 0, 1, -1]) for k in range(-8, 40)]
+    rows = []
+    for i in range(400):
+        hot = rng.random() < 0.5
+        lat, lon = (10.0, 179.9) if hot else (round(rng.uniform(9, 11), 2), rng.choice([179.9, -179.9, 179.5]))
+        rows.append((i, none(rng.choice(times)), none("AB"[rng.random() < 0.2]), none(rng.choice(["x", "x", "x", "y", "z"])), none("a" if hot else rng.choice("bcd"), 0.4), none(lat, 0.3), lon))
+    rows += [(400 + k, *rows[k][1:]) for k in range(30)]
+
+    def km(a, b):
+        p, q, d = math.radians(a[5]), math.radians(b[5]), math.radians(b[6] - a[6])
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(d / 2) ** 2
+        return 2 * 6371.0 * math.atan2(math.sqrt(h), math.sqrt(max(1 - h, 0.0)))
+
+    want = {}
+    for a in rows:
+        if a[1] is None or a[2] is None:
+            continue
+        met = {b[3] for b in rows if b[1] is not None and b[2] == a[2] and a[1] <= b[1] <= a[1] + span and b[3] is not None and ((a[4] is not None and a[4] == b[4]) or (a[5] is not None and b[5] is not None and km(a, b) <= 50))}
+        if len(met) >= 2:
+            want[a[0]] = len(met)
+    df = spark.createDataFrame(rows, "id long, t long, country string, event_type string, anchor string, lat double, lon double")
+    assert want and {r["id"]: r["types"] for r in linking.co_located(df).collect()} == want
+    assert linking.co_located(df.where("false")).count() == 0
+    with pytest.raises(ValueError):
+        linking.co_located(df, most_types=2)
+
+
+def test_candidates_by_place_and_by_country(spark):
+    hour = 3_600_000_000
+    rows = [(1, "A", 0, ["fire", "dock"], "p"), (2, None, 48 * hour, ["quake"], "p"), (3, "B", 0, ["fire", "dock"], "p"), (4, "A", -48 * hour, ["fire", "port"], None), (5, "A", 49 * hour, ["fire", "dock"], "p"), (6, "A", None, ["fire"], "p"), (7, None, 0, ["fire"], None), (8, "A", hour, [], None)]
+    df = spark.createDataFrame(rows, "id long, country string, t long, unigrams array<string>, place string")
+    got = sorted((r["a_id"], r["b_id"], round(r["kin"], 3)) for r in linking.adjudication_candidates(df, "id", "country", place="place").collect())
+    assert got == [(1, 2, 1.0), (1, 4, 0.333), (2, 1, 1.0), (2, 3, 1.0), (2, 5, 1.0), (3, 2, 1.0), (4, 1, 0.333), (5, 2, 1.0)]
+    assert linking.adjudication_candidates(df, "id", "country", place="place", most=1).where("a_id = 2").first()["b_id"] == 1
+
+
+def test_hosts_of_one_publisher_are_one_source(spark):
+    rows = [(1, "s", "www.own.co.uk"), (2, "s", "live.own.co.uk"), (3, "s", "a.other.com"), (4, "s", "b.other.com"), (5, "s", None), (6, "u", "x.com")]
+    df = spark.createDataFrame(rows, "id long, s string, domain string").withColumn("own", F.when(F.col("s") == "s", "own.co.uk").otherwise("x.com"))
+    assert [tuple(r) for r in ingest.corroborated(df, "s", "own", "domain", [F.asc("id")]).collect()] == [("s", 1, "other.com")]
+
+
 def test_duplicates_equal_brute_force(spark):
     rng = random.Random(3)
     places = {"kyiv": None, "lviv": None}
