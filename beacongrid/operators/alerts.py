@@ -128,18 +128,21 @@ def claim(held: dict[str, tuple[int, int]], t: int, r: int, keys: list[str], sen
 def two_key_claims(df: DataFrame, hours: int = 4) -> DataFrame:
     """(id, decision): sent, suppressed or failed, by the claims on two keys. df: id, t (microseconds), rank (over 0), key, geo (may be null), sent (whether delivery worked).
 
-    A decision depends on those before it on either key, so rows that keys join, directly or over other rows, are one stream: such groups are components of the graph of keys, found by label propagation over
-    keys; rows are dealt by group, sorted, and only the claims of the open group are held.
+    A decision depends on those before it on either key, so rows that keys join, directly or over other rows, are one stream: such groups are components of the graph of keys, found by joining
+    whole groups to the smallest group beside them, so a long chain of keys takes far fewer rounds than it has links; rows are dealt by group, sorted, and only the claims of the open group are held.
     """
     rows = df.where("rank > 0 and t is not null")
     edges = rows.where("geo is not null").select("key", "geo").distinct()
     label = settled(edges.select("key", F.col("key").alias("group")).distinct())
     while True:
-        low = edges.join(label, "key").groupBy("geo").agg(F.min("group").alias("group"))
-        now = settled(edges.join(low, "geo").groupBy("key").agg(F.min("group").alias("group")))
-        if not now.exceptAll(label).limit(1).count():
+        low = edges.join(label, "key").groupBy("geo").agg(F.min("group").alias("low"))
+        near = edges.join(low, "geo").groupBy("key").agg(F.min("low").alias("low"))
+        to = settled(label.join(near, "key").groupBy("group").agg(F.min("low").alias("to")))
+        if to.where("to < group").isEmpty():
             break
-        label = now
+        for _ in range(2):  # a group that joins another may find that joining a third
+            to = to.join(to.select(F.col("group").alias("to"), F.col("to").alias("further")), "to").select("group", F.col("further").alias("to"))
+        label = settled(label.join(to, "group").select("key", F.col("to").alias("group")))
     dealt = rows.join(label, "key", "left").select(F.coalesce("group", "key").alias("k"), F.col("id").alias("i"), "t", F.col("rank").cast("int").alias("r"), "key", "geo", "sent")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -398,3 +398,45 @@ def test_bucket_waits():
     assert [b.take() for _ in range(5)] == [0, 0, 0, 0.5, 1.0]
     at[0] = 10.0
     assert b.take(3) == 0 and b.take() == 0.5
+
+
+def test_a_long_chain_of_keys_takes_few_rounds(spark, monkeypatch):
+    """Row i joins keys i and i + 1, so all are one stream; names are shuffled, so labels don't run along the chain."""
+    n, rounds, real = 200, [], alerts.settled
+    monkeypatch.setattr(alerts, "settled", lambda df: rounds.append(1) or real(df))
+    name = [f"k{(i * 83) % n:03d}" for i in range(n)]
+    df = spark.createDataFrame([(i, i, 1, name[i // 2], f"g{(i + 1) // 2}", True) for i in range(2 * n)], "id long, t long, rank int, key string, geo string, sent boolean")
+    got = {r["id"]: r["decision"] for r in alerts.two_key_claims(df).collect()}
+    held, want = {}, {}
+    for i in range(2 * n):
+        want[i] = alerts.claim(held, i, 1, [name[i // 2], f"g{(i + 1) // 2}"], True, 4)
+    assert got == want
+    assert len(rounds) < 16
+
+
+def test_executors_get_the_package(tmp_path):
+    """Two executors with no path to the repository import it from the zip in the shared folder."""
+    import os
+    import subprocess
+    import sys
+
+    from beacongrid.session import ROOT, packed
+
+    assert packed() == packed()
+    job = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+import pyarrow as pa
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.checkpoint.dir", {str(tmp_path)!r}).config("spark.ui.enabled", "false").getOrCreate()
+from beacongrid.session import reachable
+def where(batches):
+    from beacongrid.functions import fuzzy
+    for _ in batches:
+        yield pa.RecordBatch.from_pylist([{{"at": fuzzy.__file__}}])
+print("AT", [r["at"] for r in reachable(reachable(spark)).range(4).mapInArrow(where, "at string").distinct().collect()])
+spark.stop()
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", job], capture_output=True, text=True, env=env, cwd=tmp_path, timeout=180).stdout
+    assert "AT ['" in out and ".zip/beacongrid/functions/fuzzy.py" in out and ROOT not in out
