@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from ..session import reachable
 
 #: Batches of texts for Python workers, where the session has Spark's defaults.
 ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
@@ -25,12 +24,8 @@ MOST_IDS = 1 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package: its folder joins the path that workers get. Every operator calls it; the session's settings stay."""
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if _ROOT not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
-    return spark
+    """Lets Python workers import this package. Every operator calls it; the session's settings stay."""
+    return reachable(spark)
 
 
 def small_batches(spark: SparkSession) -> SparkSession:

@@ -196,15 +196,16 @@ def own_labels(page: list[Block]) -> list[int] | None:
     return [int(i and not (_OUT & set(b.tags)) and not (roles(b.names) & other)) for i, b in zip(inside, page, strict=True)]
 
 
-def made_pages(count: int = MADE_PAGES, seed: int = 11) -> Iterator[str]:
-    """Pages of many layouts whose elements carry data-mark: 1 for main text, 0 for anything else."""
+def made_pages(count: int = MADE_PAGES, seed: int = 11, unnamed: float = 0.2) -> Iterator[str]:
+    """Pages of many layouts whose elements carry data-mark: 1 for main text, 0 for anything else. In a share `unnamed` of pages, names of class and id say nothing: they are made-up words."""
     rng = random.Random(seed)
     syllable = [a + b for a in "bdfgklmnprstvz" for b in ("a", "e", "i", "o", "u", "an", "er", "in", "ol")]
     word = lambda: "".join(rng.choice(syllable) for _ in range(rng.randint(1, 3)))
     phrase = lambda a, b: " ".join(word() for _ in range(rng.randint(a, b))).capitalize()
     sentence = lambda: phrase(4, 22).replace(" ", ", ", rng.randint(0, 1)) + rng.choice("....!?")
     para = lambda a=1, b=6: " ".join(sentence() for _ in range(rng.randint(a, b)))
-    pick = lambda role: rng.choice(ROLES[role].split())
+    telling = [True]
+    pick = lambda role: rng.choice(ROLES[role].split()) if telling[0] else word()
 
     def tag(name: str, inner: str, mark: int | None = None, **attrs: str) -> str:
         extra = "".join(f' {k.rstrip("_")}="{v}"' for k, v in attrs.items() if v)
@@ -281,6 +282,7 @@ def made_pages(count: int = MADE_PAGES, seed: int = 11) -> Iterator[str]:
         return tag("div", inner, 1)
 
     for _ in range(count):
+        telling[0] = rng.random() >= unnamed
         before = [f() for f in (nav, head, note, ad, form, share) if rng.random() < 0.45]
         after = [f() for f in (side, ad, share, comments, form, note, nav) if rng.random() < 0.4]
         rng.shuffle(before)

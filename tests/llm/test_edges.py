@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names, for every operator and stage."""
 
 import hashlib
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,3 +151,12 @@ def test_stages_keep_columns_and_act(spark, docs, tmp_path):
 def test_stages_on_an_empty_table(stage, spark, docs, items, tmp_path):
     items.write.parquet(str(tmp_path / "benchmark.parquet"))
     assert stage(spark, docs.where("false"), str(tmp_path)).count() == 0
+
+
+def test_a_repeated_document_keeps_one_defined_row(spark):
+    rows = [(1, "b c", "x"), (1, "a", "y"), (1, "a", "x"), (2, None, "x"), (2, "a", "x"), (3, "a", "x")]
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    first = min(rows[:3], key=lambda r: (digest(r[1]), r[2]))
+    for order in itertools.islice(itertools.permutations(rows), 0, 720, 119):
+        got = corpus_pipeline.first_of(spark.createDataFrame(list(order), "doc_id long, text string, source string").repartition(3))
+        assert sorted(map(tuple, got.collect())) == [first, (2, None, "x"), (3, "a", "x")]

@@ -589,6 +589,50 @@ def test_main_text():
     assert right / sum(len(y) for _, y in fresh) > 0.97
 
 
+def test_pages_whose_names_say_nothing():
+    """Without telling names of class and id, tags and text features alone must find the main text."""
+    model = html_extract.fit([])
+    for unnamed, least in ((0.0, 0.985), (1.0, 0.95)):
+        fresh = [(html_extract.features(b), [int(x.mark == "1") for x in b]) for b in map(html_blocks.blocks, html_extract.made_pages(120, seed=91, unnamed=unnamed))]
+        right = sum(a == b for f, y in fresh for a, b in zip(model.decode(f), y, strict=True))
+        assert right / sum(len(y) for _, y in fresh) > least
+
+
+def test_main_text_of_all_given_pages(spark):
+    """Every row of pages has one <article>, read here by the standard library's parser, which the operator doesn't use."""
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        apart = frozenset("p h1 h2 h3 br li div article ul".split())
+
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.inside, self.parts = False, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.inside |= tag == "article"
+            self.parts += [""] * (tag in self.apart)
+
+        def handle_endtag(self, tag):
+            self.inside &= tag != "article"
+            self.parts += [""] * (tag in self.apart)
+
+        def handle_data(self, data):
+            self.parts[-1] += data if self.inside else ""
+
+    def read(page):
+        parser = Article()
+        parser.feed(page or "")
+        parser.close()
+        return " ".join(x for x in (" ".join(p.split()) for p in parser.parts) if x)
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    got = html_extract.op1_main_text(spark, SF).collect()
+    text = {r["page_id"]: read(r["html"]) for r in pages}
+    assert len(got) == len(pages) and {(r["page_id"], r["url"]) for r in got} == {(r["page_id"], r["url"]) for r in pages}
+    assert all(r["text"] == text[r["page_id"]] and r["n_chars"] == len(r["text"]) for r in got)
+
+
 @pytest.mark.parametrize("tag", ["<svg viewBox='0 0 1 1' />", "<math/>", "<select><option>", "<object data=x>", "<canvas>", "<iframe src=x>", "<template>"])
 def test_unclosed_and_empty_elements_leave_the_page(tag):
     name = re.match("<([a-z]+)", tag)[1]
