@@ -27,15 +27,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select(*(now[c].alias(c) if c in now else F.col(f"doc_id.`{c}`").alias(c) for c in docs.columns))
 
 
+def first_of(docs: DataFrame) -> DataFrame:
+    """Of each doc_id the row of the smallest digest of its text, a null text's first; of equal texts, the smallest as JSON. Aggregated before rows are shuffled, whatever a doc_id's share of them."""
+    row = row_of(docs)
+    order = F.struct(F.sha2("text", 256), F.to_json(row))
+    return docs.groupBy("doc_id").agg(F.min_by(row, order).alias("row")).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group (five-word shingles, similarity of 0.8 or more) stays, the one of the smallest doc_id, in one row if it is repeated. Rows without doc_id
-    and documents without words stay; very long texts are compared whole; no rows, no result rows."""
+    """One document of each group (five-word shingles, similarity of 0.8 or more) stays, the one of the smallest doc_id. If a doc_id is repeated, the row of the smallest digest of its text stays (a null text's before
+    all others; of equal texts, the smallest as JSON). Rows without doc_id and documents without words stay; very long texts are compared whole; no rows, no result rows."""
     groups = written(near_dedup(docs, shingle=5, percent=80))
     gone = small(written(groups.where("not kept").select("doc_id").distinct()))  # else all texts would be shuffled
     again = groups.where("doc_id is not null and kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     left = docs.join(gone, "doc_id", "left_anti")
     if not again.isEmpty():
-        left = left.join(again, "doc_id", "left_anti").unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+        left = left.join(again, "doc_id", "left_anti").unionByName(first_of(left.join(again, "doc_id", "left_semi")))
     return left.select(*(f"`{c}`" for c in docs.columns))
 
 
