@@ -128,7 +128,9 @@ def _scan(least: int):
             cut = int(np.flatnonzero(begins(now))[-1])
             tail = now.slice(cut).combine_chunks()
             if not cut and tail.num_rows > 1 << 16:  # one run goes on and on
-                tail = _by_source(tail.drop_columns("h")).append_column("h", [tail.column("h").combine_chunks()[:1].take(pa.array([0] * len(np.flatnonzero(_starts(tail, ["source"])))))])
+                added = _by_source(tail.drop_columns("h"))
+                added = added.append_column("h", pa.repeat(tail.column("h")[0], added.num_rows))
+                tail = pa.table(added.select(tail.column_names).columns, schema=tail.schema)  # as the batches that follow, whose columns of Spark may be declared never null
             if cut:
                 yield from kept(now.slice(0, cut)).to_batches()
         if tail is not None:

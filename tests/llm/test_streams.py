@@ -263,3 +263,12 @@ def test_partial_and_long_runs(monkeypatch):
     feed = [divergence.pa.RecordBatch.from_pylist(x, schema=kind) for x in (one[:70_000], one[70_000:80_000], one[80_000:], rest)]
     got = [(r["term"], r["source"], r["n"], r["all_n"], r["head"]) for b in divergence._scan(30)(iter(feed)) for r in b.to_pylist()]
     assert got == [("t", "s0", 60_000, 180_000, True), ("t", "s1", 60_000, 180_000, False), ("t", "s2", 60_000, 180_000, False), ("v", "s0", 2, 2, True)]
+
+
+def test_long_run_as_spark_deals_it(spark):
+    """More than a block of partial runs of one term: the hash in front of them comes as a column that is never null."""
+    n = 150_000
+    runs = spark.range(0, n, 1, 1).selectExpr("'x' lang", "'t' term", f"concat('s', id div {n // 3}) source", "1L docs", "2L n", "xxhash64('x', 't') h")
+    assert not runs.schema["h"].nullable
+    got = runs.mapInArrow(divergence._scan(30), "lang string, term string, source string, n long, all_n long, head boolean").collect()
+    assert [tuple(r) for r in got] == [("x", "t", f"s{i}", n // 3 * 2, n * 2, i == 0) for i in range(3)]
