@@ -52,10 +52,9 @@ def _span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def words_of(data: bytes, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and hash of every word of one buffer, worked in blocks that end between words."""
+def _blocks(data: bytes, member: np.ndarray):
+    """Place, bytes, and starts and ends of words of each block of one buffer; blocks end between words."""
     whole = np.frombuffer(data, np.uint8)
-    starts, ends, hashes = [], [], []
     at = 0
     while at < len(whole):
         to = min(len(whole), at + _BLOCK)
@@ -69,17 +68,30 @@ def words_of(data: bytes, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
         inside = np.zeros(len(part) + 2, np.int8)
         inside[1:-1] = member[part]
         edge = np.diff(inside)
-        s, e = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        yield at, part, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        at = to
+
+
+def words_of(data: bytes, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of every word of one buffer, worked in blocks that end between words."""
+    starts, ends, hashes = [], [], []
+    for at, part, s, e in _blocks(data, member):
         starts.append(s + at)
         ends.append(e + at)
         hashes.append(_span_hash(part, s, e))
-        at = to
     if not starts:
         none = np.zeros(0, np.int64)
         return none, none, none.astype(np.uint64)
     return np.concatenate(starts), np.concatenate(ends), np.concatenate(hashes)
 
 
+def spans_of(data: bytes, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word of one buffer."""
+    none = np.zeros(0, np.int64)
+    found = [(none, none), *((s + at, e + at) for at, _, s, e in _blocks(data, member))]
+    return np.concatenate([s for s, _ in found]), np.concatenate([e for _, e in found])
+
+
 def span_hashes(buf: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of any spans of a buffer, sorted by start, worked in blocks; equal bytes hash alike wherever they stand."""
     whole, out, i = np.frombuffer(buf, np.uint8), [], 0

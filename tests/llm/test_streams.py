@@ -203,6 +203,38 @@ def test_packing_edges(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "b")).groupBy("length").count().count() == 2
 
 
+@pytest.mark.parametrize("change", [None, "cased", "split", "added"])
+def test_signs_and_capitals_are_learned_once(change):
+    """Words that differ in capitals and in signs at their ends are a few pieces, if the tokenizer lower-cases and splits so; ids are the library's in any case."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(bpe.tokenizer_path(), "rb") as f:
+        spec = json.load(f)
+    if change == "cased":
+        spec["normalizer"]["normalizers"].pop()
+    elif change == "split":
+        spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}]+[.,]?|[^\s]"
+    elif change == "added":
+        spec["added_tokens"].append({**spec["added_tokens"][0], "id": 49408, "content": "ab."})
+    raw = json.dumps(spec).encode()
+    lib = Tokenizer.from_str(raw.decode())
+    lib.no_truncation(), lib.no_padding()
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdeéß", k=rng.randint(3, 9))) for _ in range(100)]
+    texts = [" ".join(w.title() + sign if k % 2 else w + sign for w in words) for k, sign in enumerate(["", ".", ",", "!?", "&&&", "...", '."', "'"])]
+    few = packing.Encoder(raw)
+    few.encode([t.encode() for t in texts])
+    if change is None:
+        assert len(few.hash) <= 2 * 100 + 8
+    odd = [*"abJ'.,;!<|>*&$ \n19", "é", "É", "×", "÷", "\u0301", "\u030c", "\u0338", "İ", "Σ", "ﬁ", "ª", "½", "»", "\xa0", "'s", "'LL", "<|endoftext|>", "<|EndOfText|>", "\ufeff", "日", "ab."]
+    texts += ["".join(rng.choices(odd, k=rng.randint(0, 12))) for _ in range(3000)] + ["word" + "." * 30, "." * 5000 + "a", "1." * 50, ""]
+    ids, ptr = few.encode([t.encode() for t in texts])
+    for i, t in enumerate(texts):
+        assert ids[ptr[i] : ptr[i + 1]].tolist() == lib.encode(t, add_special_tokens=False).ids, t
+
+
 # ---- divergence ----
 
 
