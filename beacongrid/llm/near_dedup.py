@@ -9,7 +9,7 @@
     compared with the leader alone, by signature, then on full sets. So a group of n copies makes n pairs, not n * n.
 4.  Links found so far give components. A bucket that still holds several components has its minority members compared
     with all members of other components, in blocks of about 2 * `block` members: first as signatures, which names the rows
-    that may be linked, then those rows' full sets as products of incidence matrices. A block returns a forest over its
+    that may be linked, then those rows' full sets as products of incidence matrices, in parts of 2 * MOST_SET hashes or so, whatever the length of texts. A part returns a forest over its
     components, so a group of n copies never makes n * n rows, and no link between two components is lost, whatever the size of a bucket.
     A pair is looked at in the first bucket it shares only. n members of a bucket that stay apart cost n * n / block signatures.
 5.  Links and forests give the final components.
@@ -38,6 +38,8 @@ from ._words import Words, mix, windows
 from .components import components
 
 LANES, ROWS, MISS = 256, 4, 2.1e-8
+#: Hashes (8 bytes each) of the sets that a side of a block brings to a task, but for its last set.
+MOST_SET = 1 << 19
 _FREE = np.uint64((1 << 64) - 1)
 _STEP = 0x9E3779B97F4A7C15
 
@@ -202,14 +204,26 @@ def _linked(percent: int):
     return lean(run)
 
 
-def _involved(least: float, percent: int):
-    """Rows of a block that may be linked across components and share no earlier band: minority members against the others, by set size and signature."""
+def _dealt(left: pd.DataFrame, right: pd.DataFrame, most: int) -> pd.DataFrame:
+    """A block's rows in parts (s, t) whose sides have sets of `most` hashes in all, but for the last one: each row of the left meets each of the right in one part."""
+    s, t = (np.cumsum(x["size"].to_numpy()) // most for x in (left, right))
+    s, t = (np.unique(x, return_inverse=True)[1] for x in (s, t))
+    m, n = int(s.max(initial=-1)) + 1, int(t.max(initial=-1)) + 1
+    at, to = np.repeat(np.arange(len(left)), n), np.repeat(np.arange(len(right)), m)
+    return pd.concat([
+        left.iloc[at].assign(s=s[at], t=np.tile(np.arange(n), len(left))),
+        right.iloc[to].assign(s=np.tile(np.arange(m), len(right)), t=t[to]),
+    ])
+
+
+def _involved(least: float, percent: int, most: int):
+    """Rows of a block that may be linked across components and share no earlier band: minority members against the others, by set size and signature. Long sets are dealt to several parts of the block."""
     drop = ["size", "sig", "bands", "band"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = pdf[pdf["odd"]], pdf[~pdf["odd"]]
         if not len(left) or not len(right):
-            return pdf[:0].drop(columns=drop)
+            return _dealt(left[:0], right[:0], most).drop(columns=drop)
         s, t = (np.frombuffer(b"".join(x["sig"]), np.uint8).reshape(len(x), -1) for x in (left, right))
         u, v = (np.stack(x["bands"].tolist())[:, : pdf["band"].iloc[0]] for x in (left, right))
         m, n = left["size"].to_numpy()[:, None], right["size"].to_numpy()[None, :]
@@ -223,7 +237,7 @@ def _involved(least: float, percent: int):
             good = (s[p] == t[q]).mean(1) >= least
             on[0][p[good]] = True
             on[1][q[good]] = True
-        return pd.concat([left[on[0]], right[on[1]]]).drop(columns=drop)
+        return _dealt(left[on[0]], right[on[1]], most).drop(columns=drop)
 
     return run
 
@@ -351,9 +365,9 @@ def _groups(base: DataFrame, reps: DataFrame, scratch: Scratch, shingle: int, pe
     cols = ["k", "band", "id", "label", "size", "sig", "bands"]
     right = rows.select(*cols, F.lit(False).alias("odd"), spot("nr").alias("i"), every("nl").alias("j"))
     left = rows.where("label != main").select(*cols, F.lit(True).alias("odd"), every("nr").alias("i"), spot("nl").alias("j"))
-    blocks = scratch.written(right.unionByName(left).groupBy("k", "i", "j").applyInPandas(_involved(least, percent), "k long, id long, label long, odd boolean, i int, j int"))
+    blocks = scratch.written(right.unionByName(left).groupBy("k", "i", "j").applyInPandas(_involved(least, percent, MOST_SET), "k long, id long, label long, odd boolean, i int, j int, s int, t int"))
     sets = _sets_of(base, blocks.select("id"), shingle)
-    more = scratch.written(blocks.join(sets, "id").groupBy("k", "i", "j").applyInPandas(_joined(percent), "a long, b long").distinct())
+    more = scratch.written(blocks.join(sets, "id").groupBy("k", "i", "j", "s", "t").applyInPandas(_joined(percent), "a long, b long").distinct())
     return components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more), "a", "b")
 
 
