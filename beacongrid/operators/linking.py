@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import EARTH_KM, haversine
 from ..functions.text import containment, hint_tokens, hint_words, jaccard
 from ..params import Linking, Vocabulary
+from ..session import settled
 
 
 def with_tokens(df: DataFrame, hint: str, v: Vocabulary = Vocabulary()) -> DataFrame:
@@ -55,10 +56,55 @@ def candidate_pairs(df: DataFrame, id_col: str, keys: list[Column]) -> DataFrame
     return same.unionByName(free).withColumn("_a", F.col("a.id")).withColumn("_b", F.col("b.id")).dropDuplicates(["_a", "_b"]).drop("_a", "_b")
 
 
-def best_match(pairs: DataFrame, order: list[Column]) -> DataFrame:
-    """For each b, the one a of the greatest similarity; ties by the given order."""
-    w = Window.partitionBy("b_id").orderBy(F.desc("similarity"), *order)
-    return pairs.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+def linked_pairs(df: DataFrame, id_col: str, ambient: DataFrame | None = None, p: Linking = Linking(), v: Vocabulary = Vocabulary()) -> DataFrame:
+    """(a_id, b_id, similarity): the pairs that `linked` links, or storylines.linked_under if `ambient` (one row: words) is given, each once, the smaller id first.
+
+    Pairs are never shuffled. Words decide between classes of rows of one country and hint, so classes meet first, each two by the least word they share that tells; rows of linked classes then meet, and rows of
+    one anchor or place, by stretches of time. A pair comes by its words, else by its anchor, else by its place. Rows: id, t, country, anchor, place, tokens, unigrams; a row without t is in no pair.
+    """
+    hour, span = 3_600_000_000, p.days * 86_400_000_000
+    by, none = ["country", "tokens", "unigrams"], F.array().cast("array<string>")
+    anchor = F.upper("anchor") if ambient is None else F.upper(F.nullif(F.col("anchor"), F.lit("")))
+    row = settled(df.where("t is not null").select(F.col(id_col).alias("id"), "t", *by, anchor.alias("anchor"), "place", F.floor(F.col("t") / span).alias("h")))
+    classes = settled(row.groupBy(*by).agg(F.min("id").alias("c")))
+    told = lambda pairs: pairs.withColumn("words", none) if ambient is None else pairs.crossJoin(F.broadcast(ambient))  # noqa: E731  one row
+    near = lambda rows: rows.withColumn("h", F.explode(F.array(F.col("h") - 1, F.col("h"), F.col("h") + 1)))
+    tells = lambda words: F.filter(words, lambda w: ~w.isin(*v.shared_words))
+
+    gap, sim = F.abs(F.col("a.t") - F.col("b.t")), jaccard(F.col("a.tokens"), F.col("b.tokens"))
+    shared = F.array_intersect(F.col("a.unigrams"), F.col("b.unigrams"))
+    by_words = (sim > p.jaccard) & (F.size(tells(shared)) > 0)
+    by_parts = (F.size(shared) >= 2) & (F.size(F.array_except(tells(shared), F.col("words"))) >= 1) & (containment(F.col("a.unigrams"), F.col("b.unigrams")) >= p.containment)
+
+    kinds = classes.select(F.struct("c", *by).alias("e"), F.explode(F.array_distinct(tells(F.col("unigrams")))).alias("w"))
+    akin = told(_compatible(kinds, kinds, ["w"]).where(F.col("w") == F.array_min(tells(shared))))
+    akin = akin.select(F.col("a.c").alias("ca"), F.col("b.c").alias("cb"), sim.alias("similarity"), F.when(by_words, span).when(by_parts, min(span, p.containment_hours * hour)).alias("within")).where("within is not null")
+    named = classes.select(*(F.col(k).alias(f"_{k}") for k in by), "c")
+    of = row.join(named, row["country"].eqNullSafe(named["_country"]) & (row["tokens"] == named["_tokens"]) & (row["unigrams"] == named["_unigrams"])).select("id", "t", "h", "c")
+    a, b = of.select(F.col("id").alias("a_id"), "t", "h", F.col("c").alias("ca")), near(of).select(F.col("id").alias("b_id"), F.col("t").alias("u"), "h", F.col("c").alias("cb"))
+    words = a.join(akin, "ca").join(b, ["cb", "h"]).where((F.col("a_id") < F.col("b_id")) & (F.abs(F.col("t") - F.col("u")) <= F.col("within"))).select("a_id", "b_id", "similarity")
+
+    e = row.select("h", "anchor", "place", F.struct("id", "t", *by, "anchor").alias("e"))
+    first = (F.col("a.id") < F.col("b.id")) & (gap <= span) & ~(by_words | by_parts & (gap <= p.containment_hours * hour))
+    same = F.coalesce(F.col("a.anchor") == F.col("b.anchor"), F.lit(False))
+    ends = lambda pairs, how: told(pairs).where(first & how).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), sim.alias("similarity"))
+    at = lambda k: _compatible(e.where(F.col(k).isNotNull()), near(e.where(F.col(k).isNotNull())), [k, "h"])
+    return words.unionByName(ends(at("anchor"), (gap <= p.assist_hours * hour) | (sim >= p.assist))).unionByName(ends(at("place"), ~same & (sim >= p.assist)))
+
+
+def _compatible(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, a, b: the rows `e` (structs with country) of both sides under equal keys, where countries don't differ; a missing one meets all."""
+    a, b = a.select(*keys, F.col("e.country").alias("_g"), F.col("e").alias("a")), b.select(*keys, F.col("e.country").alias("_g"), F.col("e").alias("b"))
+    some, free = F.col("_g").isNotNull(), F.col("_g").isNull()
+    out = a.where(some).join(b.where(some), [*keys, "_g"]).drop("_g")
+    return out.unionByName(a.where(free).drop("_g").join(b.drop("_g"), keys)).unionByName(a.where(some).drop("_g").join(b.where(free).drop("_g"), keys))
+
+
+def best_match(pairs: DataFrame) -> DataFrame:
+    """For each b, the a of the greatest similarity; ties by the smallest id: (b_id, similarity, a_id). Pairs are counted together where they are made, so only one for each b and similarity is shuffled."""
+    least = pairs.groupBy("b_id", "similarity").agg(F.min("a_id").alias("a_id"))
+    w = Window.partitionBy("b_id").orderBy(F.desc("similarity"))
+    return least.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def assign_in_order(df: DataFrame, block: str, p: Linking = Linking()) -> DataFrame:

@@ -13,7 +13,7 @@ from ..session import shared
 from ..sources import feed_source
 from ..streaming import watchdog
 from .bindings import AS_OF_MICROS, incidents, read
-from .queries import _FLIGHT, _HAV, _LAND, _PAIRS, _SPOT, _TOK, H, I, _newest, query, r6
+from .queries import _FLIGHT, _HAV, _LAND, _PAIRS, _SPOT, _TOK, H, I, _located, query, r6
 
 # ---- anchors by the likeness of whole words ----
 
@@ -43,10 +43,8 @@ def anchor_fuzzy(spark, d):
 SELECT a_id, b_id, round(sim, 6) AS similarity FROM p, am WHERE gap <= {14 * 24 * H} AND ((sim > 0.4 AND len(list_filter(sh, lambda x: x <> 'sector')) > 0) OR (gap <= {72 * H} AND len(sh) >= 2 AND len(list_filter(sh, lambda x: x <> 'sector' AND NOT list_contains(words, x))) >= 1 AND con >= 0.5)
   OR (coalesce(same, false) AND (gap <= {72 * H} OR sim >= 0.2)) OR (NOT coalesce(same, false) AND coalesce(near, false) AND sim >= 0.2))""")
 def storyline_pairs_telling(spark, d):
-    e = linking.with_tokens(_newest(spark, d).withColumn("country", F.expr(_LAND)), "hint").withColumn("place", F.expr(_SPOT))
-    pairs = linking.candidate_pairs(e, "id", [F.col("unigrams"), F.array(F.concat(F.lit("@"), F.upper("anchor")), F.concat(F.lit("#"), F.col("place")))])
-    told = pairs.crossJoin(F.broadcast(storylines.ambient_words(e, "storyline")))  # one row
-    return told.where(storylines.linked_under("a", "b", F.col("words"))).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), r6(text.jaccard(F.col("a.tokens"), F.col("b.tokens")), "similarity"))
+    e = _located(spark, d)
+    return linking.linked_pairs(e, "id", storylines.ambient_words(e, "storyline")).select("a_id", "b_id", r6("similarity", "similarity"))
 
 
 @query(None)
@@ -59,8 +57,7 @@ def storyline_assign_paths(spark, d):
 p AS (SELECT a.id AS a_id, b.id AS b_id, CASE WHEN NOT coalesce(a.land = b.land, true) THEN 0.0 WHEN a.spot = b.spot THEN 1.0 WHEN a.land = b.land THEN len(list_intersect(a.u, b.u)) / CAST(len(list_distinct(list_concat(a.u, b.u))) AS DOUBLE) END AS kin FROM w a JOIN w b ON a.id <> b.id AND abs(a.t - b.t) <= {48 * H} WHERE a.k = 1 AND b.k = 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY kin DESC, b_id) AS j FROM p WHERE kin >= 0.1) SELECT a_id, b_id, round(kin, 6) AS kin FROM r WHERE j <= 6""")
 def adjudication_nets(spark, d):
-    e = linking.with_tokens(_newest(spark, d).withColumn("country", F.expr(_LAND)), "hint").withColumn("place", F.expr(_SPOT))
-    return linking.adjudication_candidates(e, "id", "country", place="place").select("a_id", "b_id", r6("kin", "kin"))
+    return linking.adjudication_candidates(_located(spark, d), "id", "country", place="place").select("a_id", "b_id", r6("kin", "kin"))
 
 
 # ---- watchdog ----

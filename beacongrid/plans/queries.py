@@ -547,20 +547,19 @@ p AS (SELECT a.id AS a_id, b.id AS b_id, abs(a.t - b.t) AS gap, a.anchor = b.anc
 lk AS (SELECT a_id, b_id, sim FROM p WHERE gap <= {14 * 24 * H} AND ((sim > 0.4 AND len(list_filter(sh, lambda x: x <> 'sector')) > 0) OR (gap <= {72 * H} AND len(sh) >= 2 AND len(list_filter(sh, lambda x: x <> 'sector')) >= 1 AND con >= 0.5) OR (coalesce(same, false) AND (gap <= {72 * H} OR sim >= 0.2)) OR (NOT coalesce(same, false) AND coalesce(near, false) AND sim >= 0.2)))"""
 
 
-def _linked(spark, d):
-    e = linking.with_tokens(_newest(spark, d).withColumn("country", F.expr(_LAND)), "hint").withColumn("place", F.expr(_SPOT))
-    pairs = linking.candidate_pairs(e, "id", [F.col("unigrams"), F.array(F.concat(F.lit("@"), F.upper("anchor")), F.concat(F.lit("#"), F.col("place")))])
-    return pairs.where(linking.linked("a", "b")).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), text.jaccard(F.col("a.tokens"), F.col("b.tokens")).alias("similarity"))
+def _located(spark, d):
+    """The newest event of each storyline with its words, land and spot."""
+    return linking.with_tokens(_newest(spark, d).withColumn("country", F.expr(_LAND)), "hint").withColumn("place", F.expr(_SPOT))
 
 
 @query(f"WITH {I}, {_TOK}, {_PAIRS} SELECT a_id, b_id, round(sim, 6) AS similarity FROM lk")
 def storyline_pairs(spark, d):
-    return _linked(spark, d).select("a_id", "b_id", r6("similarity", "similarity"))
+    return linking.linked_pairs(_located(spark, d), "id").select("a_id", "b_id", r6("similarity", "similarity"))
 
 
 @query(f"WITH {I}, {_TOK}, {_PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY b_id ORDER BY sim DESC, a_id) AS j FROM lk) SELECT b_id, a_id FROM r WHERE j = 1")
 def storyline_best(spark, d):
-    return linking.best_match(_linked(spark, d), [F.asc("a_id")]).select("b_id", "a_id")
+    return linking.best_match(linking.linked_pairs(_located(spark, d), "id")).select("b_id", "a_id")
 
 
 @query(None)
