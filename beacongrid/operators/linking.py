@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import math
 from collections import Counter
@@ -315,16 +316,67 @@ def adjudication_candidates(df: DataFrame, id_col: str, group: str, hours: int =
     """(a_id, b_id, kin): for each row, the rows within `hours` that may tell of the same incident, the most akin first, `most` at most (the limit is the feature); ties by id.
 
     Two nets. By group (a country): rows of one group whose words (unigrams) have a likeness of `least` or more; rows that share no word aren't akin. By place, if a column is named: rows of one place whose groups
-    don't differ where both are known, with a kin of 1, whatever their words. A row without time has no candidates. Rows meet by stretches of `hours`, so a word of every hint or a place of most rows is many keys.
+    don't differ where both are known, with a kin of 1, whatever their words. A row without time has no candidates.
+
+    Rows don't meet rows: cells (a stretch of `hours` of one group's equal words, or of one group's place) meet cells, each two by their least shared word. A row sees all of its own stretch, so a cell that is
+    less akin than `most` rows there is left out; of a cell it takes the `most` smallest ids within reach.
     """
     span = hours * 3_600_000_000
-    row = df.where("t is not null").select(F.col(id_col).alias("a_id"), F.col(group).alias("g"), "t", "unigrams", (F.col(place) if place else F.lit(None)).cast("string").alias("p"), F.floor(F.col("t") / span).alias("h"))
-    other = row.select(F.col("a_id").alias("b_id"), F.col("g").alias("g2"), F.col("t").alias("u"), F.col("unigrams").alias("v"), F.col("p").alias("p2"), F.explode(F.array(F.col("h") - 1, F.col("h"), F.col("h") + 1)).alias("h"))
-    near = (F.col("a_id") != F.col("b_id")) & (F.abs(F.col("t") - F.col("u")) <= span)
-    words = row.withColumn("w", F.explode("unigrams")).join(other.withColumn("w", F.explode("v")).withColumnRenamed("g2", "g"), ["g", "w", "h"]).where(near)
-    kin = words.dropDuplicates(["a_id", "b_id"]).select("a_id", "b_id", jaccard("unigrams", "v").alias("kin")).where(F.col("kin") >= least)
+    row = settled(df.where("t is not null").select(F.col(id_col).alias("id"), F.col(group).alias("country"), "t", F.array_sort("unigrams").alias("unigrams"), (F.col(place) if place else F.lit(None)).cast("string").alias("p"), F.floor(F.col("t") / span).alias("h")))
+    cell = lambda rows, net, *by: rows.groupBy("country", *by, "h").agg(F.min("id").alias("c"), F.count("*").alias("n")).select(F.lit(net).alias("net"), F.struct("c", "n", "h", "country", *by).alias("e"))
+    at = lambda cells: cells.withColumn("h", F.col("e.h"))
+    near = lambda cells: cells.withColumn("h", F.explode(F.array(F.col("e.h") - 1, F.col("e.h"), F.col("e.h") + 1)))
+    ends = lambda pairs, kin: pairs.select("net", F.col("a.c").alias("ca"), F.col("a.h").alias("ha"), F.col("b.c").alias("c"), F.col("b.h").alias("h"), F.col("b.n").alias("n"), kin.alias("kin"))
+    mine = lambda rows, cells, *by: rows.join(cells.select("e.*", "net").select(*(F.col(k).alias(f"_{k}") for k in ("country", "h", *by)), "c", "net"), F.col("country").eqNullSafe(F.col("_country")) & (F.col("h") == F.col("_h")) & (F.col(by[0]) == F.col(f"_{by[0]}"))).select("net", "c", "id", "t", "h")
+
+    told = row.where("country is not null and size(unigrams) > 0")
+    cells = settled(cell(told, 0, "unigrams"))
+    word = cells.withColumn("w", F.explode("e.unigrams"))
+    a, b = (x.select("net", "h", "w", F.col("e.country").alias("g"), F.col("e").alias(k)) for x, k in ((at(word), "a"), (near(word), "b")))
+    meet = a.join(b.drop("net"), ["g", "w", "h"]).where(F.col("w") == F.array_min(F.array_intersect("a.unigrams", "b.unigrams")))
+    links = ends(meet, jaccard(F.col("a.unigrams"), F.col("b.unigrams"))).where(F.col("kin") >= least)
+    held = mine(told, cells, "unigrams")
     if place:
-        at = row.where("p is not null").join(other.withColumnRenamed("p2", "p"), ["p", "h"]).where(near & F.coalesce(F.col("g") == F.col("g2"), F.lit(True)))
-        kin = kin.unionByName(at.select("a_id", "b_id", F.lit(1.0).alias("kin"))).groupBy("a_id", "b_id").agg(F.max("kin").alias("kin"))
+        placed = row.where("p is not null")
+        spots = settled(cell(placed, 1, "p"))
+        spot = spots.withColumn("p", F.col("e.p"))
+        links = links.unionByName(ends(_compatible(at(spot), near(spot), ["net", "p", "h"]), F.lit(1.0)))
+        held = held.unionByName(mine(placed, spots, "p"))
+    own = F.when(F.col("h") == F.col("ha"), F.col("n")).otherwise(0)
+    of = Window.partitionBy("net", "ca", "ha")
+    above = F.sum(own).over(of.orderBy(F.desc("kin"))) - F.sum(own).over(Window.partitionBy("net", "ca", "ha", "kin"))
+    links = settled(links.withColumn("_above", above).where(F.col("_above") <= most).select("net", "ca", "c", "kin", (F.col("h") - F.col("ha")).alias("side")))  # a row is in its own cell: hence <=
+    held = settled(held)
+
+    asked = held.select("net", F.col("c").alias("ca"), F.col("id").alias("a_id"), "t").join(links, ["net", "ca"]).drop("ca")
+    first = held.withColumn("_k", F.row_number().over(Window.partitionBy("net", "c").orderBy("id"))).where(F.col("_k") <= most + 1).select("net", "c", F.col("id").alias("b_id"))
+    beside = asked.where("side = 0").join(first, ["net", "c"]).where("a_id != b_id").select("a_id", "b_id", "kin")
+    # before and after, a row reaches a part of a cell: all from its far end inwards
+    ends_ = links.where("side != 0").select("net", "c", "side").distinct()
+    marks = held.join(ends_, ["net", "c"]).select("net", "c", "side", (F.col("side") * F.col("t")).alias("at"), F.lit(0).alias("own"), "id", F.lit(0.0).alias("kin"))
+    marks = marks.unionByName(asked.where("side != 0").select("net", "c", "side", (F.col("side") * F.col("t") + span).alias("at"), F.lit(1).alias("own"), F.col("a_id").alias("id"), "kin"))
+    reach = _least_so_far(marks, ["net", "c", "side"], most)
+    kin = beside.unionByName(reach).repartition("a_id").groupBy("a_id", "b_id").agg(F.max("kin").alias("kin"))
     w = Window.partitionBy("a_id").orderBy(F.desc("kin"), "b_id")
     return kin.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= most).drop("_rn")
+
+
+def _least_so_far(marks: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """(a_id, b_id, kin): for each mark with own = 1, the `most` smallest ids of marks with own = 0 of its keys up to it, in order of `at`. Marks stream by; so many ids are held."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held = None, []
+        for pdf in batches:
+            out = []
+            for *k, own, i, kin in zip(*(pdf[c].tolist() for c in (*keys, "own", "id", "kin")), strict=True):
+                if k != key:
+                    key, held = k, []
+                if own:
+                    out.extend((i, b, kin) for b in held)
+                elif len(held) < most or i < held[-1]:
+                    bisect.insort(held, i)
+                    del held[most:]
+            yield pd.DataFrame(out, columns=["a_id", "b_id", "kin"]).astype({"kin": "float64"})
+
+    kind = marks.schema["id"].dataType.simpleString()
+    return marks.repartition(*keys).sortWithinPartitions(*keys, "at", "own").mapInPandas(run, f"a_id {kind}, b_id {kind}, kin double")

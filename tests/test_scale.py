@@ -71,3 +71,27 @@ def test_an_event_meets_few_open_storylines():
         held.expire(i * HOUR // 100)
         held.add({"id": i, "t": i * HOUR // 100, "country": rng.choice([None, *(f"N{k}" for k in range(25))]), "anchor": None, "place": rng.choice([None, "p"]), "tokens": uni + [f"{a} {b}" for a, b in zip(uni, uni[1:], strict=False)], "unigrams": uni})
     assert len(held.open) > 150 and Seen.n < 30 * 6000
+
+
+@pytest.mark.parametrize("most", [1, 3])
+@pytest.mark.parametrize("place", [None, "place"])
+def test_candidates_are_those_of_all_pairs(spark, place, most):
+    df = located(spark, 160, 9)
+    a, b = (df.select(F.struct("id", "t", "country", "place", "unigrams").alias(k)) for k in "ab")
+    kin = F.when(F.col("a.country") == F.col("b.country"), text.jaccard(F.col("a.unigrams"), F.col("b.unigrams")))
+    if place:
+        kin = F.when((F.col("a.place") == F.col("b.place")) & F.coalesce(F.col("a.country") == F.col("b.country"), F.lit(True)), 1.0).otherwise(kin)
+    every = a.crossJoin(b).where((F.col("a.id") != F.col("b.id")) & (F.abs(F.col("a.t") - F.col("b.t")) <= 48 * HOUR)).select("a.id", "b.id", kin).toDF("a", "b", "kin").where("kin >= 0.1").collect()
+    want = []
+    for i in {r["a"] for r in every}:
+        want += sorted(((r["a"], r["b"], r["kin"]) for r in every if r["a"] == i), key=lambda r: (-r[2], r[1]))[:most]
+    got = linking.adjudication_candidates(df, "id", "country", most=most, place=place)
+    assert want and sorted(tuple(r) for r in got.select("a_id", "b_id", "kin").collect()) == sorted(want)
+
+
+def test_candidates_of_one_hint_are_not_all_its_pairs(spark):
+    """2,000 rows of one hint, country and hour have 4 million pairs; each row takes six."""
+    df = spark.range(2000).select("id", F.lit("A").alias("country"), (F.col("id") * 1000).alias("t"), F.array(F.lit("harbor"), F.lit("fire")).alias("unigrams"))
+    got = linking.adjudication_candidates(df, "id", "country")
+    assert "MapInPandas" in plan(got)
+    assert got.where("b_id < 7").count() == got.count() == 12000
