@@ -52,11 +52,27 @@ def watch(df: DataFrame) -> Column:
     return F.when((F.col("ti") <= 50) & (F.col("delta") > 0) & (F.col("z") > 0.5), "watchlist").when(F.col("cluster_count").between(1, 3) & F.col("severe_credible"), "emerging")
 
 
+def within_reach(df: DataFrame, group: str, micros: str, span: int, value: Column, name: str, ahead: bool = False) -> DataFrame:
+    """df with the sum of `value` over the rows of a group from `span` microseconds before a row up to it (with `ahead`: from it up to `span` after it), both ends and ties included. Rows without time go.
+
+    A frame that slides by values is added up anew for each row, so a row's work would grow with the window. Time is cut into stretches of `span` instead: a window is the beginning of one stretch and the end of the
+    one before, each a running sum over one sorted stretch, so work is in proportion and a group is many tasks.
+    """
+    t, h = F.col(micros), F.floor(F.col(micros) / span)
+    mark = lambda at, h, late: F.struct(at.alias("at"), h.alias("h"), F.lit(late).alias("late"))
+    marks = df.where(t.isNotNull()).withColumn("_v", value).withColumn("_m", F.explode(F.array(mark(t, h, False), mark(t + span, h + 1, True)))).select("*", "_m.*").drop("_m")
+    of = Window.partitionBy(group, "h")
+    now, late = (F.when(F.col("late") == x, F.col("_v")).otherwise(0) for x in (False, True))
+    run = of.orderBy("at")
+    total = F.sum(now).over(run.rangeBetween(Window.unboundedPreceding, 0)) + F.sum(late).over(of) - F.coalesce(F.sum(late).over(run.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return marks.withColumn(name, total).where(F.col("late") == ahead).drop("_v", "at", "h", "late")
+
+
 def flash_verified(df: DataFrame, hours: int = 6, credible: float = 0.8, sure: float = 0.66, least: int = 3) -> DataFrame:
     """Starts of a window of `hours` with `least` verified events or more in a country: (id, verified)."""
-    ok = ((F.col("credibility") >= credible) | (F.col("confidence") >= sure)).cast("int")
-    w = Window.partitionBy("country").orderBy("t").rangeBetween(0, hours * 3_600_000_000)
-    return df.where("t is not null").withColumn("verified", F.sum(ok).over(w)).where(F.col("verified") >= least).select("id", "verified")
+    ok = F.coalesce(((F.col("credibility") >= credible) | (F.col("confidence") >= sure)).cast("int"), F.lit(0))
+    e = df.select("id", "country", "t", ok.alias("ok"))
+    return within_reach(e, "country", "t", hours * 3_600_000_000, F.col("ok"), "verified", ahead=True).where(F.col("verified") >= least).select("id", "verified")
 
 
 def flash_triggers(z: DataFrame, meeting: DataFrame, verified: DataFrame, top: float = 3.0, most: int = 5) -> DataFrame:

@@ -1,12 +1,13 @@
 """What grows with the square of a group, or lands in one task, stays small: plans and results on tables with large groups."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from beacongrid.functions import text
-from beacongrid.operators import linking, storylines
+from beacongrid.operators import forecast, linking, storylines
 from beacongrid.params import Linking
 from beacongrid.plans import queries as q
 
@@ -95,3 +96,20 @@ def test_candidates_of_one_hint_are_not_all_its_pairs(spark):
     got = linking.adjudication_candidates(df, "id", "country")
     assert "MapInPandas" in plan(got)
     assert got.where("b_id < 7").count() == got.count() == 12000
+
+
+@pytest.mark.parametrize("ahead", [False, True])
+def test_sums_within_reach_are_those_of_a_sliding_window(spark, ahead):
+    rng = random.Random(2)
+    rows = [(i, rng.choice(["A", "B", None]), rng.choice([None, *[rng.randint(-50, 50)] * 8]), rng.randint(0, 3)) for i in range(300)]
+    for span in (1, 7, 24, 1000):
+        want = {i: sum(v for _, c, u, v in rows if c == g and u is not None and (t <= u <= t + span if ahead else t - span <= u <= t)) for i, g, t, _ in rows if t is not None}
+        got = forecast.within_reach(spark.createDataFrame(rows, "id long, g string, t long, v int").repartition(3), "g", "t", span, F.col("v"), "n", ahead)
+        assert {r["id"]: r["n"] for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("name", ["new_activity", "flash_verified"])
+def test_no_frame_slides(spark, name):
+    """A frame with two moving ends is added up anew for each row."""
+    frames = re.findall(r"specifiedwindowframe\(RangeFrame, ([^,]+), ", plan(q.QUERIES[name](spark, SF)))
+    assert frames and all(f == "unboundedpreceding$()" for f in frames)
