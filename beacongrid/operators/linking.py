@@ -271,25 +271,21 @@ def box_of(points: DataFrame, boxes: DataFrame) -> DataFrame:
     return a.join(b, ["cy", "cx"]).where(inside).withColumn("_f", foreign).withColumn("_s", size).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("id", "box_id")
 
 
-def _types_ahead(starts: DataFrame, later: DataFrame, place: list[str], types: list[str], span: int) -> DataFrame:
-    """(id, m0, m1, ...): for each start (place, id, t), which types occur in `later` (place, t2, event_type) within `span` from it. No pairs are made: an event serves the starts from its predecessor of
-    the same type, or from `span` before it, up to itself, and running sums over beginnings and ends of such stretches tell which types serve a start."""
-    before = F.lag("t2").over(Window.partitionBy(*place, "event_type").orderBy("t2"))
-    served = later.withColumn("_a", F.greatest(F.col("t2") - span, before + 1)).where(F.col("_a") <= F.col("t2"))
-    mark = lambda at, step: F.struct(at.alias("at"), F.lit(step).alias("step"))
-    marks = served.select(*place, "event_type", F.explode(F.array(mark(F.col("_a"), 1), mark(F.col("t2") + 1, -1))).alias("m"))
-    marks = marks.select(*place, F.col("m.at").alias("at"), F.lit(0).alias("_own"), F.lit(None).cast(starts.schema["id"].dataType).alias("id"), "event_type", F.col("m.step").alias("step"))
-    at = starts.select(*place, F.col("t").alias("at"), F.lit(1).alias("_own"), "id", F.lit(None).cast("string").alias("event_type"), F.lit(0).alias("step"))
-    w = Window.partitionBy(*place).orderBy("at", "_own").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    open_ = [(F.sum(F.when(F.col("event_type") == k, F.col("step")).otherwise(0)).over(w) > 0).alias(f"m{i}") for i, k in enumerate(types)]
-    return marks.unionByName(at).select("id", "_own", *open_).where("_own = 1").drop("_own")
+def _types_ahead(rows: DataFrame, place: list[str], types: list[str], span: int) -> DataFrame:
+    """(id, m0, m1, ...): for each row that starts (own), a word of bits for every 62 types: which occur among the rows of its place (place, t, kind: its type's number) within `span` from it, itself included. One backward pass over a
+    place keeps the next time of each type; no pairs are made."""
+    w = Window.partitionBy(*place).orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    soon = [F.coalesce(F.min(F.when(F.col("kind") == k, F.col("t"))).over(w) - F.col("t") <= span, F.lit(False)) for k in range(len(types))]
+    bits = [sum((F.when(x, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, x in enumerate(soon[at : at + 62])), F.lit(0).cast("long")).alias(f"m{at // 62}") for at in range(0, len(types), 62)]
+    return rows.select("id", "own", *bits).where("own").drop("own")
 
 
 def co_located(df: DataFrame, hours: int = 6, km: float = 50.0, most_types: int = 200) -> DataFrame:
     """Flash convergence: starts of a window of `hours` with two event types or more at one place: (id, types). Places are equal anchors, or points within `km`. Rows: id, t (microseconds), country, event_type, anchor, lat, lon; without time or country a row meets nothing.
 
     Time is cut into stretches of `hours`, and an event goes to its own and to the one before, so each (country, place, stretch) is worked apart, however much a country or a place reports. Events don't meet
-    events: distinct points meet distinct points in cells, and then each place is swept once. Types are a closed list of at most `most_types`; more are an error.
+    events, and few points meet points: small cells of the globe do, each with the circle that holds its points. Two cells that lie within `km` as a whole are swept together; only where the radius cuts through two
+    cells their points are compared, and each point is swept with those in reach. Types are a closed list of at most `most_types`; more are an error.
     """
     span = hours * 3_600_000_000
     types = [r[0] for r in df.select("event_type").where("event_type is not null").distinct().limit(most_types + 1).collect()]
@@ -297,19 +293,42 @@ def co_located(df: DataFrame, hours: int = 6, km: float = 50.0, most_types: int
         raise ValueError(f"over {most_types} event types")
     if len(types) < 2:
         return df.select("id", F.lit(0).cast("long").alias("types")).where("false")
-    e = df.where("t is not null and country is not null").withColumn("h", F.floor(F.col("t") / span))
-    ahead = e.where("event_type is not null").select("country", "anchor", "lat", "lon", "event_type", F.col("t").alias("t2"), F.explode(F.array(F.col("h"), F.col("h") - 1)).alias("h"))
-    by_anchor = _types_ahead(e.where("anchor is not null"), ahead.where("anchor is not null"), ["country", "anchor", "h"], types, span)
-    at, place = "lat is not null and lon is not null", ["country", "h", "lat", "lon"]
-    own = e.where(at).select(*place).distinct().withColumn("cell", cells(F.col("lat"), F.col("lon"), km)[0])
-    other = ahead.where(at).select(*place).distinct().withColumn("cells", cells(F.col("lat"), F.col("lon"), km)[1])
-    other = other.select("country", "h", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), F.explode("cells").alias("cell"))
-    close = own.join(other, ["country", "h", "cell"]).where(haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) <= km).drop("cell")
-    seen = ahead.where(at).select("country", "h", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "event_type", "t2")
-    by_point = _types_ahead(e.where(at), close.join(seen, ["country", "h", "lat2", "lon2"]).drop("lat2", "lon2"), place, types, span)
-    flags = [f"m{i}" for i in range(len(types))]
-    told = by_anchor.unionByName(by_point).groupBy("id").agg(*(F.max(c).alias(c) for c in flags))
-    return told.select("id", sum((F.col(c).cast("long") for c in flags), F.lit(0).cast("long")).alias("types")).where("types >= 2")
+    lat, lon = F.col("lat"), F.col("lon")
+    # a tenth of the radius high; as wide at the equator
+    small = [F.floor(lat / F.lit(km / 1110.0)).cast("long").alias("sy"), F.floor(lon / F.lit(km / 1110.0)).cast("long").alias("sx")]
+    e = df.where("t is not null and country is not null").select("id", "t", "country", (F.nullif(F.array_position(F.array(*map(F.lit, types)), F.col("event_type")), F.lit(0)) - 1).cast("short").alias("kind"), "anchor", "lat", "lon", F.floor(F.col("t") / span).alias("h"))
+    dealt = lambda rows: rows.withColumn("_h", F.explode(F.array(F.col("h"), F.col("h") - 1))).where((F.col("_h") == F.col("h")) | F.col("kind").isNotNull()).withColumn("own", F.col("_h") == F.col("h")).drop("h").withColumnRenamed("_h", "h")
+    by_anchor = _types_ahead(dealt(e.where("anchor is not null")).select("id", "own", "country", "anchor", "h", "t", "kind"), ["country", "anchor", "h"], types, span)
+
+    at = e.where("lat is not null and lon is not null").withColumns({c: F.when(F.isnan(c), None).otherwise(F.col(c)) for c in ("lat", "lon")}).where("lat is not null and lon is not null").select("*", *small)
+    points = settled(at.select("country", "sy", "sx", "lat", "lon").distinct())
+    mid, by = [F.avg("lat").alias("y"), F.avg("lon").alias("x")], ["country", "sy", "sx"]
+    circle = settled(points.join(points.groupBy(*by).agg(*mid), by).groupBy(*by, "y", "x").agg(F.max(haversine(F.col("y"), F.col("x"), lat, lon)).alias("r")).withColumn("c", F.monotonically_increasing_id()))
+    # any point of a cell lies within its circle of the middle, so points within km have middles within km and both radii, each a fifth of km at most
+    wide = km * 1.5
+    y, x = F.col("y"), F.col("x")
+    here, there = circle.select(*by, "y", "x", "r", "c", cells(y, x, wide)[0].alias("cell")), circle.select("country", *(F.col(c).alias(f"{c}2") for c in ("sy", "sx", "y", "x", "r")), F.explode(cells(y, x, wide)[1]).alias("cell"))
+    apart = haversine(y, x, F.col("y2"), F.col("x2"))
+    meet = here.join(there, ["country", "cell"]).withColumn("d", apart).where(F.col("d") - F.col("r") - F.col("r2") <= km + 1e-6)
+    same = (F.col("sy") == F.col("sy2")) & (F.col("sx") == F.col("sx2"))
+    whole = F.when(same, 2 * F.col("r")).otherwise(F.col("d") + F.col("r") + F.col("r2")) <= km - 1e-6
+    meet = settled(meet.select(*by, "sy2", "sx2", "c", whole.alias("whole")))
+
+    to = meet.where("whole").select("country", F.col("sy2").alias("sy"), F.col("sx2").alias("sx"), "c", same.alias("home"))
+    near = dealt(at.join(to, by)).withColumn("own", F.col("own") & F.col("home")).where("own or kind is not null")
+    by_cell = _types_ahead(near.select("id", "own", "c", "h", "t", "kind"), ["c", "h"], types, span)
+
+    cut = meet.where("not whole")
+    p = points.select(*by, lat.alias("to_lat"), lon.alias("to_lon"))
+    q = points.select("country", F.col("sy").alias("sy2"), F.col("sx").alias("sx2"), "lat", "lon")
+    reach = cut.join(p, by).join(q, ["country", "sy2", "sx2"]).where(haversine(F.col("to_lat"), F.col("to_lon"), lat, lon) <= km).select("country", "to_lat", "to_lon", "lat", "lon")
+    reach = reach.unionByName(reach.select("country", "to_lat", "to_lon").distinct().select("*", F.col("to_lat").alias("lat"), F.col("to_lon").alias("lon")))
+    seen = dealt(at.join(reach, ["country", "lat", "lon"])).withColumn("own", F.col("own") & (lat == F.col("to_lat")) & (lon == F.col("to_lon"))).where("own or kind is not null")
+    by_point = _types_ahead(seen.select("id", "own", "country", F.col("to_lat").alias("lat"), F.col("to_lon").alias("lon"), "h", "t", "kind"), ["country", "lat", "lon", "h"], types, span)
+
+    flags = [f"m{k}" for k in range(0, -(-len(types) // 62))]
+    told = by_anchor.unionByName(by_cell).unionByName(by_point).groupBy("id").agg(*(F.bit_or(c).alias(c) for c in flags))
+    return told.select("id", sum((F.bit_count(c).cast("long") for c in flags), F.lit(0).cast("long")).alias("types")).where("types >= 2")
 
 
 def adjudication_candidates(df: DataFrame, id_col: str, group: str, hours: int = 48, least: float = 0.1, most: int = 6, place: str | None = None) -> DataFrame:

@@ -113,3 +113,11 @@ def test_no_frame_slides(spark, name):
     """A frame with two moving ends is added up anew for each row."""
     frames = re.findall(r"specifiedwindowframe\(RangeFrame, ([^,]+), ", plan(q.QUERIES[name](spark, SF)))
     assert frames and all(f == "unboundedpreceding$()" for f in frames)
+
+
+def test_points_of_one_small_cell_do_not_meet_each_other(spark):
+    """90 points within 14 km, each with events of every stretch: events stay as many as they are, though all points lie within reach."""
+    df = spark.range(4000).selectExpr("id", "id * 3600000 AS t", "'A' AS country", "CASE WHEN id % 400 = 0 THEN 'y' ELSE 'x' END AS event_type", "CAST(NULL AS STRING) AS anchor", "CAST(10 + id % 10 / 100D AS DOUBLE) AS lat", "CAST(20 + id % 9 / 100D AS DOUBLE) AS lon")
+    got = linking.co_located(df)
+    assert got.count() == 4000 - 399
+    assert "lag(" not in plan(got) and "lat2#" not in plan(got)
