@@ -250,13 +250,19 @@ def cells(lat: Column, lon: Column, km: float) -> tuple[Column, Column]:
 
 
 def nearby(points: DataFrame, places: DataFrame, km: float, most: int) -> DataFrame:
-    """The `most` nearest places within `km` of each point: (id, place_id, distance, k). Points and places meet in cells, so only neighbours are compared."""
-    a = points.where("lat is not null and lon is not null").withColumn("cell", cells(F.col("lat"), F.col("lon"), km)[0])
-    b = places.where("lat is not null and lon is not null").select("place_id", F.col("lat").alias("plat"), F.col("lon").alias("plon"), "tier", F.explode(cells(F.col("lat"), F.col("lon"), km)[1]).alias("cell"))
+    """The `most` nearest places within `km` of each point: (id, place_id, distance, k). Points and places meet in cells, so only neighbours are compared.
+
+    Equal points are compared once, and of places at one spot the first `most` (by tier, then id) stand for all, as they are equally far. A point lies in one cell, so its hits are ranked where they are found."""
+    some = points.where("lat is not null and lon is not null").select("id", "lat", "lon")
+    a = some.select("lat", "lon").distinct().withColumn("cell", cells(F.col("lat"), F.col("lon"), km)[0])
+    spot = Window.partitionBy("lat", "lon").orderBy("tier", "place_id")
+    b = places.where("lat is not null and lon is not null").withColumn("_k", F.row_number().over(spot)).where(F.col("_k") <= most)
+    b = b.select("place_id", F.col("lat").alias("plat"), F.col("lon").alias("plon"), "tier", F.explode(cells(F.col("lat"), F.col("lon"), km)[1]).alias("cell"))
     d = haversine(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))
     hits = a.join(b, "cell").withColumn("distance", d).where(F.col("distance") <= km)
-    w = Window.partitionBy("id").orderBy("distance", "tier", "place_id")
-    return hits.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most).select("id", "place_id", "distance", "k")
+    w = Window.partitionBy("cell", "lat", "lon").orderBy("distance", "tier", "place_id")
+    best = hits.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most).groupBy("lat", "lon").agg(F.collect_list(F.struct("place_id", "distance", "k")).alias("_n"))
+    return some.join(best, ["lat", "lon"]).select("id", F.inline("_n"))
 
 
 def box_of(points: DataFrame, boxes: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """What grows with the square of a group, or lands in one task, stays small: plans and results on tables with large groups."""
 
+import io
+import json
 import random
 import re
 
@@ -10,6 +12,7 @@ from beacongrid.functions import text
 from beacongrid.operators import forecast, linking, storylines
 from beacongrid.params import Linking
 from beacongrid.plans import queries as q
+from beacongrid.sources import feed_source
 
 SF, HOUR = "/root/testdata/sf0.001", 3_600_000_000
 
@@ -121,3 +124,32 @@ def test_points_of_one_small_cell_do_not_meet_each_other(spark):
     got = linking.co_located(df)
     assert got.count() == 4000 - 399
     assert "lag(" not in plan(got) and "lat2#" not in plan(got)
+
+
+def test_large_files_of_lines_are_cut(spark, tmp_path):
+    """Each line comes once, whatever range it begins in, and no task holds a file."""
+    xml = "<rss><channel><item><title>T</title><link>http://x/1</link></item></channel></rss>"
+    with open(tmp_path / "a.jsonl", "w") as f:
+        for i in range(9000):
+            f.write(json.dumps({"feed": f"f{i}", "xml": xml, "more": "é" * (i % 97)}, ensure_ascii=False) + "\n" * (i % 3 + 1))
+    got = feed_source.register(spark).read.format("landed_feeds").options(dated="false", bytes="1").load(str(tmp_path))
+    assert got.rdd.getNumPartitions() == 2
+    assert sorted(r["feed"] for r in got.where("kind = 'strict'").collect()) == sorted(f"f{i}" for i in range(9000)) and got.count() == 9000
+
+
+def test_lines_of_ranges_are_all_lines():
+    rng = random.Random(4)
+    for _ in range(500):
+        data = b"".join(bytes(rng.choices(b"ab\n\n", k=rng.randint(0, 30))) for _ in range(rng.randint(0, 4)))
+        most, block = rng.randint(1, 12), rng.randint(1, 9)
+        got = [x for at in range(0, len(data), most) for x in feed_source.lines_of(io.BytesIO(data), at, min(at + most, len(data)), block) if x]
+        assert got == [x for x in data.split(b"\n") if x]
+
+
+def test_equal_points_and_places_of_one_spot_meet_once(spark):
+    """2,000 points at one spot and 2,000 places at another are 4 million hits; each point takes three."""
+    a = spark.range(2000).selectExpr("id", "10D AS lat", "20D AS lon")
+    b = spark.range(2000).selectExpr("id AS place_id", "10.5D AS lat", "20D AS lon", "CAST(id % 3 AS INT) AS tier")
+    got = linking.nearby(a, b, 600.0, 3)
+    assert sorted({(r["place_id"], r["k"]) for r in got.collect()}) == [(0, 1), (3, 2), (6, 3)] and got.count() == 6000
+    assert "windowspecdefinition(cell#" in plan(got)
