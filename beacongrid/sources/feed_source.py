@@ -2,7 +2,7 @@
 
 Options: `path` (a folder, or a file), `as_of` (ISO time) and `days`: items without a date, and those older than `days` before `as_of`, are left out; without as_of only undated ones are. `advisories` = true: items are travel advisories, so
 only those worth it stay (level 3 or 4, or raised; `curated` = a part of the feed's name whose items all stay) and each link ends in #adv-YYYYMMDD, so that an update of a page is an item of its own. `dated` = false keeps undated items.
-`bytes`: files are dealt to partitions of about so many bytes.
+`bytes`: partitions are about so many bytes: small files are dealt together, and a large file of lines is cut into ranges (of 1 MB at least), of which each holds the lines that begin in it.
 
 A file `*.jsonl` (with `lines` = true, any file) holds a feed a line ({"feed": name, "xml": text}); any other file is one feed, named by its path. Rows: feed, title, link, description, published (UTC), domain, kind (`strict`, `lenient`, or `corrupt` for a feed that holds nothing to
 read: then all else is null and corrupt_record is its text). The folder is read through pyarrow's file systems, so a path with a scheme they know is read where it lies.
@@ -50,10 +50,40 @@ def worth(text: str) -> bool:
     return not re.search(r"\bno change\b|\blowered\b|\bdecreased\b", t) and bool(advisory_level(t) >= 3 or re.search(r"\braised\b|\bincreased\b", t))
 
 
+def lines_of(f, begin: int, end: int | None, block: int = 1 << 20) -> Iterator[bytes]:
+    """The lines of a file that begin at `begin` or later, and before `end`; held are a block and one line. A line that begins before `begin` is the range's before."""
+    at = max(begin - 1, 0)  # a line begins at `begin` if a line ends just before
+    f.seek(at)
+    rest, skip = [], begin > 0
+    while end is None or at < end:
+        data = f.read(block)
+        if not data:
+            break
+        *whole, tail = data.split(b"\n")
+        for part in whole:
+            begun = at - sum(map(len, rest))
+            if not skip and (end is None or begun < end):
+                yield b"".join([*rest, part])
+            skip, rest = False, []
+            at += len(part) + 1
+            if end is not None and at >= end:
+                return
+        if tail:
+            rest.append(tail)
+            at += len(tail)
+    # the last line of the range may go on beyond it
+    if rest and not skip:
+        while b"\n" not in rest[-1] and (data := f.read(block)):
+            rest.append(data)
+        yield b"".join(rest).partition(b"\n")[0]
+
+
 class Files(InputPartition):
-    def __init__(self, paths: list[str]):
+    """(path, begin, end) each; end is None for a whole file."""
+
+    def __init__(self, parts: list[tuple[str, int, int | None]]):
         super().__init__(0)
-        self.paths = paths
+        self.parts = parts
 
 
 class FeedReader(DataSourceReader):
@@ -77,31 +107,39 @@ class FeedReader(DataSourceReader):
         for f in sorted(found, key=lambda f: f.path):
             if f.type != fs.FileType.File or f.base_name.startswith(("_", ".")):
                 continue
+            if self._lines(f.path) and f.size > (part := max(most, 1 << 20)):
+                out.extend([(f.path, at, min(at + part, f.size))] for at in range(0, f.size, part))
+                size = most
+                continue
             if not out or size + f.size > most:
                 out.append([])
                 size = 0
-            out[-1].append(f.path)
+            out[-1].append((f.path, 0, None))
             size += f.size
         return [Files(p) for p in out] or [Files([])]
 
+    def _lines(self, path: str) -> bool:
+        return path.endswith(".jsonl") or self.options.get("lines") == "true"
+
     def read(self, partition: Files) -> Iterator[tuple]:
         system, _ = self._fs()
-        for path in partition.paths:
-            with system.open_input_stream(path) as f:
-                raw = f.read()
-            if not path.endswith(".jsonl") and self.options.get("lines") != "true":
-                yield from self.rows(path, raw.decode("utf-8", "replace"))
+        for path, begin, end in partition.parts:
+            if not self._lines(path):
+                with system.open_input_stream(path) as f:
+                    yield from self.rows(path, f.read().decode("utf-8", "replace"))
                 continue
-            for line in raw.decode("utf-8", "replace").split("\n"):
-                if not line.strip():
-                    continue
-                try:
-                    one = json.loads(line)
-                    name, xml = one["feed"], one["xml"]
-                except (ValueError, KeyError, TypeError):
-                    yield (path, *(None,) * 5, "corrupt", line)
-                    continue
-                yield from self.rows(name, xml)
+            with system.open_input_file(path) as f:
+                for raw in lines_of(f, begin, end):
+                    line = raw.decode("utf-8", "replace")
+                    if not line.strip():
+                        continue
+                    try:
+                        one = json.loads(line)
+                        name, xml = one["feed"], one["xml"]
+                    except (ValueError, KeyError, TypeError):
+                        yield (path, *(None,) * 5, "corrupt", line)
+                        continue
+                    yield from self.rows(name, xml)
 
     def rows(self, feed: str, xml: str | None) -> Iterator[tuple]:
         kind, items = items_of(xml, kind=True)
